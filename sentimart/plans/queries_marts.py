@@ -1 +1,357 @@
-"""Queries for the analytics marts."""
+"""Queries for the dashboard marts, README analytics and data-quality reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sentimart import resources as R
+from sentimart.operators import marts as M
+from sentimart.operators import ngrams as N
+from sentimart.operators import quality as Q
+from sentimart.plans import oracle as O
+from sentimart.plans.catalog import register
+from sentimart.plans.queries_text import processed
+from sentimart.sources import tables as ST
+
+W = O.with_ctes
+P = O.PROCESSED
+EX_COLS = "app_name, rank, raw_id, rating, review_ts, sentiment, sentiment_score, review_text"
+
+
+def raw(spark, sf_dir):
+    return ST.raw_reviews(spark, sf_dir)
+
+
+def examples(spark, sf_dir):
+    return M.join_examples(raw(spark, sf_dir), processed(spark, sf_dir))
+
+
+# ------------------------------------------------------------------------------ A1-A9
+@register("kpi_overview", W(P + [
+    ("r", "SELECT app_name, count(*) AS total_reviews, avg(rating) AS avg_rating FROM raw_reviews GROUP BY app_name"),
+    ("p", """SELECT app_name, (CAST(count(*) FILTER (WHERE sentiment = 'Positive') AS DOUBLE) / count(*)) * 100.0 AS positive_pct
+FROM processed GROUP BY app_name"""),
+    ("m", """SELECT app_name, sentiment AS dominant_sentiment FROM (
+  SELECT app_name, sentiment, count(*) AS n FROM processed WHERE sentiment IS NOT NULL GROUP BY app_name, sentiment)
+QUALIFY row_number() OVER (PARTITION BY app_name ORDER BY n DESC, sentiment) = 1"""),
+], """SELECT coalesce(r.app_name, p.app_name) AS app_name, r.total_reviews, r.avg_rating, p.positive_pct,
+  m.dominant_sentiment
+FROM r FULL JOIN p ON r.app_name = p.app_name LEFT JOIN m ON m.app_name = coalesce(r.app_name, p.app_name)"""))
+def kpi_overview(spark, sf_dir):
+    """A1-A4: total reviews, mean rating, positive share, dominant sentiment per app."""
+    return M.kpi_overview(raw(spark, sf_dir), processed(spark, sf_dir))
+
+
+@register("rating_distribution", W(O.BASE, """SELECT app_name, rating, count(*) AS review_count
+FROM raw_reviews WHERE rating IS NOT NULL GROUP BY app_name, rating"""))
+def rating_distribution(spark, sf_dir):
+    """Rating histogram per app."""
+    return M.rating_distribution(raw(spark, sf_dir))
+
+
+_LAB_SQL = " UNION ALL ".join(
+    f"SELECT app_name, '{lab}' AS sentiment, {i} AS label_order, n{i} AS review_count FROM agg"
+    for i, lab in enumerate(R.SENTIMENT_LABELS))
+
+
+@register("sentiment_distribution", W(P + [("agg", "SELECT app_name, " + ", ".join(
+    f"count(*) FILTER (WHERE sentiment = '{lab}') AS n{i}" for i, lab in enumerate(R.SENTIMENT_LABELS))
+    + " FROM processed WHERE sentiment IS NOT NULL GROUP BY app_name")], _LAB_SQL))
+def sentiment_distribution(spark, sf_dir):
+    """Label histogram per app, re-indexed to Negative/Neutral/Positive with zero fill."""
+    return M.sentiment_distribution(processed(spark, sf_dir))
+
+
+@register("sentiment_trend_monthly", W(P, """SELECT app_name, year_month, sentiment, count(*) AS review_count
+FROM processed WHERE year_month IS NOT NULL AND sentiment IS NOT NULL GROUP BY app_name, year_month, sentiment"""))
+def sentiment_trend_monthly(spark, sf_dir):
+    """A7 (flagship): reviews per app, month and label over the processed table."""
+    return M.sentiment_trend_monthly(processed(spark, sf_dir))
+
+
+@register("processed_total", W(P, "SELECT count(*) AS total_processed FROM processed"))
+def processed_total(spark, sf_dir):
+    """A8."""
+    return M.processed_total(processed(spark, sf_dir))
+
+
+@register("sentiment_counts_global", W(P, """SELECT sentiment, count(*) AS review_count FROM processed
+WHERE sentiment IS NOT NULL GROUP BY sentiment"""))
+def sentiment_counts_global(spark, sf_dir):
+    """A9."""
+    return M.sentiment_counts_global(processed(spark, sf_dir))
+
+
+# ------------------------------------------------------------------------------ n-grams
+NG = P + [("nd", f"SELECT app_name, raw_id, {O.ngram_tokens('cleaned_text')} AS toks FROM processed "
+                 "WHERE cleaned_text IS NOT NULL")]
+UNI = ("SELECT app_name, raw_id, unnest(toks) AS ngram, unnest(range(len(toks))) AS pos FROM nd")
+BI = ("SELECT app_name, raw_id, unnest(list_transform(range(len(toks) - 1), lambda i: toks[i + 1] || ' ' || toks[i + 2])) AS ngram, "
+      "unnest(range(len(toks) - 1)) AS pos FROM nd")
+BRIDGE = ("SELECT app_name, raw_id, ngram, pos FROM (SELECT app_name, raw_id, len(toks) - 1 AS pos, "
+          "toks[-1] || ' ' || lead(toks[1]) OVER (PARTITION BY app_name ORDER BY raw_id) AS ngram "
+          "FROM nd WHERE len(toks) > 0) WHERE ngram IS NOT NULL")
+
+
+def topk_sql(items: str, k: int) -> str:
+    return f"""SELECT app_name, CAST(rank AS INT) AS rank, ngram, ngram_count FROM (
+  SELECT app_name, ngram, ngram_count,
+    row_number() OVER (PARTITION BY app_name ORDER BY ngram_count DESC, first) AS rank
+  FROM (SELECT app_name, ngram, count(*) AS ngram_count, min({{'raw_id': raw_id, 'pos': pos}}) AS first
+        FROM ({items}) GROUP BY app_name, ngram))
+WHERE rank <= {k}"""
+
+
+@register("top_unigrams", W(NG, topk_sql(UNI, 20)))
+def top_unigrams(spark, sf_dir):
+    """20 most frequent words per app (ties: first seen)."""
+    return N.top_unigrams(processed(spark, sf_dir))
+
+
+@register("top_bigrams", W(NG, topk_sql(BI, 20)))
+def top_bigrams(spark, sf_dir):
+    """20 most frequent adjacent pairs inside reviews per app."""
+    return N.top_bigrams(processed(spark, sf_dir))
+
+
+@register("top_bigrams_corpus", W(NG, topk_sql(f"{BI} UNION ALL {BRIDGE}", 20)))
+def top_bigrams_corpus(spark, sf_dir):
+    """Pairs over each app's concatenated corpus, including across reviews."""
+    return N.top_bigrams_corpus(processed(spark, sf_dir))
+
+
+@register("term_weights", W(NG, f"""SELECT *, CAST(ngram_count AS DOUBLE) / max(ngram_count) OVER (PARTITION BY app_name) AS weight
+FROM ({topk_sql(UNI, 100)})"""))
+def term_weights(spark, sf_dir):
+    """A16 (re-aimed word cloud): top 100 words per app with relative weight."""
+    return N.term_weights(processed(spark, sf_dir))
+
+
+@register("theme_counts", W(NG + [("themes", O.values(R.THEMES, "theme, token"))], """SELECT app_name, theme,
+  count(DISTINCT raw_id) AS review_count
+FROM (SELECT app_name, raw_id, unnest(list_distinct(toks)) AS token FROM nd) x JOIN themes USING (token)
+GROUP BY app_name, theme"""))
+def theme_counts(spark, sf_dir):
+    """Reviews per app mentioning price, shipping, product, app, service."""
+    return N.theme_counts(processed(spark, sf_dir), R.themes_df(spark))
+
+
+# ------------------------------------------------------------------------------ joins and examples
+JX = P + [("ex", """SELECT r.raw_id, r.app_name, r.review_id, r.rating, r.review_ts, r.review_text,
+  CASE WHEN h.app_name IS NULL THEN 'Unknown' ELSE p.sentiment END AS sentiment,
+  CASE WHEN h.app_name IS NULL THEN NULL ELSE p.sentiment_score END AS sentiment_score
+FROM raw_reviews r
+LEFT JOIN processed p ON p.app_name = r.app_name AND p.review_id IS NOT DISTINCT FROM r.review_id
+LEFT JOIN (SELECT DISTINCT app_name FROM processed) h ON h.app_name = r.app_name""")]
+
+
+@register("join_examples", W(JX, "SELECT * FROM ex"))
+def join_examples(spark, sf_dir):
+    """Raw rows with the same app's processed label and score ('Unknown' fallback)."""
+    return examples(spark, sf_dir)
+
+
+def _ex_body(where: str, order: str) -> str:
+    return f"""SELECT {EX_COLS} FROM (SELECT *, CAST(row_number() OVER (PARTITION BY app_name ORDER BY {order}) AS INT) AS rank
+FROM ex WHERE {where}) WHERE rank <= 5"""
+
+
+def _ex_sql(where: str, order: str) -> str:
+    return W(JX, _ex_body(where, order))
+
+
+NEUTRAL_WHERE = ("sentiment = 'Neutral' AND (sentiment_score IS NOT NULL OR app_name NOT IN "
+                 "(SELECT app_name FROM ex WHERE sentiment = 'Neutral' AND sentiment_score IS NOT NULL))")
+NEUTRAL_ORDER = f"md5('{R.SAMPLE_SEED}:' || CAST(raw_id AS VARCHAR)), raw_id"
+
+
+@register("examples_positive", _ex_sql("sentiment = 'Positive' AND sentiment_score IS NOT NULL",
+                                       "sentiment_score DESC, raw_id"))
+def examples_positive(spark, sf_dir):
+    """Five most positive reviews per app."""
+    return M.examples_positive(examples(spark, sf_dir)).select(*[c.strip() for c in EX_COLS.split(",")])
+
+
+@register("examples_negative", _ex_sql("sentiment = 'Negative' AND sentiment_score IS NOT NULL",
+                                       "sentiment_score ASC, raw_id"))
+def examples_negative(spark, sf_dir):
+    """Five most negative reviews per app."""
+    return M.examples_negative(examples(spark, sf_dir)).select(*[c.strip() for c in EX_COLS.split(",")])
+
+
+@register("examples_neutral", _ex_sql(NEUTRAL_WHERE, NEUTRAL_ORDER))
+def examples_neutral(spark, sf_dir):
+    """Five seeded-random neutral reviews per app (md5 order, same in any engine)."""
+    return M.examples_neutral(examples(spark, sf_dir)).select(*[c.strip() for c in EX_COLS.split(",")])
+
+
+def _title_sql(rel: str, tab: str) -> str:
+    return (f"SELECT app_name, '{tab}' AS tab, rank, 'Rating: ' || coalesce(CAST(rating AS VARCHAR), 'N/A') || "
+            f"' ⭐ | VADER Score: ' || coalesce(CAST(round(CAST(sentiment_score AS DECIMAL(18, 4)), 3) AS VARCHAR), 'N/A') || "
+            f"' | Date: ' || coalesce(strftime(review_ts, '%Y-%m-%d'), 'N/A') AS title FROM ({rel})")
+
+
+@register("examples_formatted", W(JX, " UNION ALL ".join([
+    _title_sql(_ex_body("sentiment = 'Positive' AND sentiment_score IS NOT NULL", "sentiment_score DESC, raw_id"), "Positive"),
+    _title_sql(_ex_body("sentiment = 'Negative' AND sentiment_score IS NOT NULL", "sentiment_score ASC, raw_id"), "Negative"),
+    _title_sql(_ex_body(NEUTRAL_WHERE, NEUTRAL_ORDER), "Neutral"),
+])))
+def examples_formatted(spark, sf_dir):
+    """The example headers as the dashboard prints them (3 decimals, %Y-%m-%d, N/A)."""
+    from sentimart.functions.formats import fmt_date, fmt_fixed
+    ex = examples(spark, sf_dir)
+    parts = [(M.examples_positive(ex), "Positive"), (M.examples_negative(ex), "Negative"),
+             (M.examples_neutral(ex), "Neutral")]
+    out = None
+    for df, tab in parts:
+        title = F.concat(
+            F.lit("Rating: "), F.coalesce(F.col("rating").cast("string"), F.lit("N/A")),
+            F.lit(" ⭐ | VADER Score: "), fmt_fixed(F.col("sentiment_score"), 3),
+            F.lit(" | Date: "), fmt_date(F.col("review_ts")))
+        df = df.select("app_name", F.lit(tab).alias("tab"), "rank", title.alias("title"))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+@register("sample_processed", W(P, """SELECT raw_id, app_name, rating, review_text, cleaned_text, sentiment
+FROM processed ORDER BY raw_id LIMIT 10"""))
+def sample_processed(spark, sf_dir):
+    """First ten processed rows, display columns."""
+    return M.sample_processed(processed(spark, sf_dir))
+
+
+@register("filter_app", W(P, f"""SELECT {', '.join(c.strip() for c in
+    'raw_id, app_name, review_id, rating, review_ts, review_text, cleaned_text, word_count, sentiment_score, sentiment, year_month'.split(','))}
+FROM processed WHERE app_name = (SELECT min(app_name) FROM (SELECT app_name FROM raw_reviews UNION SELECT app_name FROM processed))"""))
+def filter_app(spark, sf_dir):
+    """the processed rows of the selected app (default: first app name)."""
+    r, p = raw(spark, sf_dir), processed(spark, sf_dir)
+    # One-row relation: broadcasting it is bounded by construction.
+    return p.join(F.broadcast(M.first_app(r, p)), "app_name").select(*p.columns)
+
+
+@register("drop_null_score", W(JX, """SELECT app_name, sentiment, count(*) AS review_count FROM ex
+WHERE sentiment_score IS NOT NULL GROUP BY app_name, sentiment"""))
+def drop_null_score(spark, sf_dir):
+    """example rows with a score, counted per app and label."""
+    ex = examples(spark, sf_dir).na.drop(subset=["sentiment_score"])
+    return ex.groupBy("app_name", "sentiment").agg(F.count(F.lit(1)).alias("review_count"))
+
+
+@register("app_names", W(P, "SELECT app_name FROM raw_reviews UNION SELECT app_name FROM processed"))
+def app_names(spark, sf_dir):
+    """Distinct app names of both tables."""
+    return M.app_names(raw(spark, sf_dir), processed(spark, sf_dir))
+
+
+# ------------------------------------------------------------------------------ R1-R3, R5
+@register("volume_trend_monthly", W(O.BASE + [("m", f"""SELECT app_name, {O.year_month('review_ts')} AS year_month,
+  count(*) AS review_count FROM raw_reviews WHERE review_ts IS NOT NULL GROUP BY ALL""")],
+    """SELECT app_name, year_month, review_count, lag(review_count) OVER w AS prev_count,
+  review_count - lag(review_count) OVER w AS change
+FROM m WINDOW w AS (PARTITION BY app_name ORDER BY year_month)"""))
+def volume_trend_monthly(spark, sf_dir):
+    """Monthly review volume per app and change from the month before."""
+    return M.volume_trend_monthly(raw(spark, sf_dir))
+
+
+@register("rating_patterns", W(O.BASE + [("a", """SELECT app_name, count(*) AS n_ratings, avg(rating) AS avg_rating,
+  avg(CASE WHEN rating = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS share_1star,
+  avg(CASE WHEN rating = 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS share_5star,
+  avg(CASE WHEN rating IN (1, 5) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS polarisation
+FROM raw_reviews WHERE rating IS NOT NULL GROUP BY app_name""")],
+    "SELECT *, CAST(rank() OVER (ORDER BY avg_rating DESC) AS INT) AS rating_rank FROM a"))
+def rating_patterns(spark, sf_dir):
+    """R2: mean rating per app, rank, and polarisation (share of 1 and 5 stars)."""
+    return M.rating_patterns(raw(spark, sf_dir))
+
+
+@register("sentiment_share", W(P + [("c", """SELECT app_name, sentiment, count(*) AS review_count FROM processed
+WHERE sentiment IS NOT NULL GROUP BY app_name, sentiment""")], """SELECT *, CAST(rank() OVER (PARTITION BY sentiment ORDER BY share DESC) AS INT) AS share_rank
+FROM (SELECT *, CAST(review_count AS DOUBLE) / sum(review_count) OVER (PARTITION BY app_name) AS share FROM c)"""))
+def sentiment_share(spark, sf_dir):
+    """Label share per app and rank of apps within each label."""
+    return M.sentiment_share(processed(spark, sf_dir))
+
+
+def _corr(a: str, b: str) -> str:
+    c = f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
+    return f"CASE WHEN isnan({c}) THEN NULL ELSE round({c}, 6) END"
+
+
+@register("length_correlation", W(P, f"""SELECT app_name, count(*) AS n_reviews,
+  {_corr('word_count', 'rating')} AS corr_length_rating,
+  {_corr('word_count', 'sentiment_score')} AS corr_length_score,
+  {_corr('rating', 'sentiment_score')} AS corr_rating_score,
+  avg(CASE WHEN sentiment = 'Negative' THEN word_count END) AS avg_len_negative,
+  avg(CASE WHEN sentiment = 'Neutral' THEN word_count END) AS avg_len_neutral,
+  avg(CASE WHEN sentiment = 'Positive' THEN word_count END) AS avg_len_positive
+FROM processed GROUP BY app_name"""))
+def length_correlation(spark, sf_dir):
+    """Correlation of length, rating and score; mean length per label."""
+    return M.length_correlation(processed(spark, sf_dir))
+
+
+# ------------------------------------------------------------------------------ data quality
+def _report_sql(agg_rel: str, checks: list[tuple[str, str, int, str]]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS "check", CAST({col} AS BIGINT) AS value, CAST({thr} AS BIGINT) AS threshold,
+  '{cmp}' AS comparison, CAST({col} AS BIGINT) {cmp} {thr} AS passed FROM {agg_rel}"""
+        for name, col, thr, cmp in checks)
+
+
+def _blank(c: str) -> str:
+    return f"({c} IS NULL OR trim({c}, ' ') = '')"
+
+
+DUP_SQL = """SELECT app_name, review_id, count(*) AS dup_count FROM {rel} WHERE review_id IS NOT NULL
+GROUP BY app_name, review_id HAVING count(*) > 1"""
+
+
+@register("dq_report", W(O.DIRTY + [
+    ("a", f"""SELECT count(*) FILTER (WHERE {_blank('app_name')}) AS blank_app_name,
+  count(*) FILTER (WHERE {_blank('review_text')}) AS blank_review_text,
+  count(*) FILTER (WHERE review_ts > {O.ts(ST.DQ_AS_OF)}) AS future_review_ts,
+  count(*) FILTER (WHERE rating < 1 OR rating > 5) AS invalid_rating FROM dirty_reviews"""),
+    ("d", f"SELECT count(*) AS duplicate_groups FROM ({DUP_SQL.format(rel='dirty_reviews')})"),
+], _report_sql("a", [("blank_app_name", "blank_app_name", 0, "<="), ("blank_review_text", "blank_review_text", 0, "<="),
+                     ("invalid_rating", "invalid_rating", 0, "<="), ("future_review_ts", "future_review_ts", 0, "<=")])
+   + " UNION ALL " + _report_sql("d", [("duplicate_review_id", "duplicate_groups", 0, "<=")])))
+def dq_report(spark, sf_dir):
+    """Five checks on the dirty raw view (warn only)."""
+    return Q.dq_report(ST.dirty_reviews(spark, sf_dir), as_of=ST.DQ_AS_OF)
+
+
+@register("dq_duplicates", W(O.DIRTY, DUP_SQL.format(rel="dirty_reviews")))
+def dq_duplicates(spark, sf_dir):
+    """Duplicate (app, review id) groups with their size."""
+    return Q.duplicates(ST.dirty_reviews(spark, sf_dir))
+
+
+@register("dq_gate_raw", W(O.DIRTY + [
+    ("a", """SELECT count(*) AS row_count, count(*) FILTER (WHERE app_name IS NULL) AS null_app_name,
+  count(*) FILTER (WHERE rating IS NULL) AS null_rating, count(*) FILTER (WHERE review_text IS NULL) AS null_review_text,
+  count(*) FILTER (WHERE NOT (rating BETWEEN 1 AND 5)) AS rating_out_of_range FROM dirty_reviews"""),
+    ("d", f"SELECT count(*) AS d FROM ({DUP_SQL.format(rel='dirty_reviews')})"),
+], _report_sql("a", [("row_count", "row_count", 100, ">="), ("null_app_name", "null_app_name", 0, "<="),
+                     ("null_rating", "null_rating", 0, "<="), ("null_review_text", "null_review_text", 0, "<="),
+                     ("rating_out_of_range", "rating_out_of_range", 0, "<=")])
+   + " UNION ALL " + _report_sql("d", [("duplicate_review_id", "d", 0, "<=")])))
+def dq_gate_raw(spark, sf_dir):
+    """Q2: raw gate report (the pipeline raises when a row fails)."""
+    return Q.dq_gate_raw(ST.dirty_reviews(spark, sf_dir))
+
+
+@register("dq_gate_processed", W(P + [("a", f"""SELECT count(*) AS row_count,
+  count(*) FILTER (WHERE cleaned_text IS NULL) AS null_cleaned_text,
+  count(*) FILTER (WHERE sentiment_score IS NULL) AS null_score,
+  count(*) FILTER (WHERE sentiment_score < -1.0 OR sentiment_score > 1.0) AS score_out_of_range,
+  count(*) FILTER (WHERE sentiment_score IS NOT NULL AND sentiment <> {O.label('sentiment_score')}) AS label_mismatch,
+  count(*) FILTER (WHERE NOT (sentiment IN ('Negative', 'Neutral', 'Positive'))) AS label_not_in_domain
+FROM processed""")], _report_sql("a", [
+    ("row_count", "row_count", 50, ">="), ("null_cleaned_text", "null_cleaned_text", 0, "<="),
+    ("null_score", "null_score", 0, "<="), ("score_out_of_range", "score_out_of_range", 0, "<="),
+    ("label_mismatch", "label_mismatch", 0, "<="), ("label_not_in_domain", "label_not_in_domain", 0, "<=")])))
+def dq_gate_processed(spark, sf_dir):
+    """Q3: processed gate report."""
+    return Q.dq_gate_processed(processed(spark, sf_dir))
