@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentimart import resources as R
@@ -44,7 +44,7 @@ HTML_ENTITIES: tuple[tuple[str, str], ...] = (
 URL = rf"http[^{WS_CLASS}]+|www[^{WS_CLASS}]+"
 # Union of the reference's emoji ranges: {U+200D, U+231A, U+23CF, U+23E9} and U+24C2..U+10FFFF.
 EMOJI = r"[\x{200D}\x{231A}\x{23CF}\x{23E9}\x{24C2}-\x{10FFFF}]+"
-NON_LETTER = rf"[^a-zA-Z{WS_CLASS}]"
+NON_LETTER = rf"[^a-zA-Z{WS_CLASS}]+"
 BLANKS = rf"[{WS_CLASS}]+"
 # One pass for all tokenizer splits: the first part of a split word, when followed by its rest.
 TOKEN_SPLIT = r"\b(" + "|".join(
@@ -128,6 +128,37 @@ def clean_tokens(c: Column, stopwords: Iterable[str] = R.STOPWORDS) -> Column:
     return remove_stopwords(tokenize(pre_clean(c)), stopwords)
 
 
+def _guarded(df: DataFrame, col: str, triggers: tuple[str, ...], step) -> DataFrame:
+    """Apply ``step`` only to rows whose text holds one of the trigger substrings.
+
+    The step is a chain of regex passes that can only change text containing a trigger, so
+    the cheap byte search skips it for most rows. Each step is its own projection: the input
+    column is referenced three times, so Catalyst keeps it as a separate projection instead of
+    inlining (and re-evaluating) the expression below it.
+    """
+    c = F.col(col)
+    hit = None
+    for t in triggers:
+        h = c.contains(t)
+        hit = h if hit is None else hit | h
+    return df.withColumn(col, F.when(hit, step(c)).otherwise(c))
+
+
+def add_clean_tokens(df: DataFrame, src: str, dst: str, stopwords: Iterable[str] = R.STOPWORDS) -> DataFrame:
+    """X1-X8 as staged projections on a DataFrame: same result as :func:`clean_tokens`, faster."""
+    t = f"{dst}__text"
+    df = df.withColumn(t, lower_text(F.col(src)))
+    df = _guarded(df, t, ("<", "&"), strip_html)
+    df = _guarded(df, t, ("http", "www"), strip_urls)
+    df = df.withColumn(t, strip_emoji(F.col(t)))
+    df = _guarded(df, t, ("'", "’"), expand_contractions)
+    df = df.withColumn(t, keep_letters(F.col(t)))
+    df = _guarded(df, t, tuple(w for w, _, _ in R.TOKEN_SPLITS),
+                  lambda c: F.regexp_replace(c, TOKEN_SPLIT, "$1 "))
+    toks = F.filter(F.split(F.col(t), BLANKS), lambda x: x != F.lit(""))
+    return df.withColumn(dst, remove_stopwords(toks, stopwords)).drop(t)
+
+
 def join_tokens(tokens: Column) -> Column:
     """X10."""
     return F.array_join(tokens, " ")

@@ -55,7 +55,3 @@ def lemma_map(vocab: DataFrame, lemmas: DataFrame | None = None,
     irregular = vocab.join(F.broadcast(lemmas.select("token", "lemma")), "token")
     return by_rule.join(irregular.select("token"), "token", "left_anti").unionByName(irregular)
 
-
-def apply_changes(tokens, changes):
-    """Tokens with the per-document changes (map position -> lemma) applied."""
-    return F.transform(tokens, lambda t, i: F.coalesce(F.try_element_at(changes, i), t))

@@ -189,7 +189,10 @@ def sentiment_share(processed: DataFrame) -> DataFrame:
 def length_correlation(processed: DataFrame) -> DataFrame:
     """Correlation of review length, rating and score per app; mean length per label."""
     def rcorr(a: str, b: str) -> Column:
-        return F.round(F.corr(F.col(a).cast("double"), F.col(b).cast("double")), 6)
+        # Pearson r = cov / (sd_a * sd_b). ``corr`` itself raises DIVIDE_BY_ZERO under ANSI
+        # mode when one side is constant; try_divide returns null there instead.
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        return F.round(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)), 6)
 
     def mean_len(label: str) -> Column:
         return F.avg(F.when(F.col("sentiment") == label, F.col("word_count")))

@@ -26,12 +26,19 @@ def ngram_docs(processed: DataFrame, stopwords=R.STOPWORDS) -> DataFrame:
             .select("app_name", "raw_id", TF.ngram_tokens(F.col("cleaned_text"), stopwords).alias("toks")))
 
 
+def _items(docs: DataFrame, arr) -> DataFrame:
+    # posexplode_outer + filter: the inner form would push an inferred size() filter below the
+    # projection that tokenizes, tokenizing twice.
+    return (docs.select("app_name", "raw_id", F.posexplode_outer(arr).alias("pos", "ngram"))
+            .filter(F.col("ngram").isNotNull()))
+
+
 def unigram_items(docs: DataFrame) -> DataFrame:
-    return docs.select("app_name", "raw_id", F.posexplode("toks").alias("pos", "ngram"))
+    return _items(docs, F.col("toks"))
 
 
 def bigram_items(docs: DataFrame) -> DataFrame:
-    return docs.select("app_name", "raw_id", F.posexplode(TF.bigrams(F.col("toks"))).alias("pos", "ngram"))
+    return _items(docs, TF.bigrams(F.col("toks")))
 
 
 def bridge_bigrams(docs: DataFrame, bucket_size: int = BRIDGE_BUCKET) -> DataFrame:
@@ -107,7 +114,8 @@ def term_weights(processed: DataFrame, k: int = 100) -> DataFrame:
 def theme_counts(processed: DataFrame, themes: DataFrame) -> DataFrame:
     """Reviews per app that mention each theme (any of its tokens; a review counts once)."""
     docs = ngram_docs(processed)
-    toks = docs.select("app_name", "raw_id", F.explode(F.array_distinct("toks")).alias("token"))
+    toks = (docs.select("app_name", "raw_id", F.explode_outer(F.array_distinct("toks")).alias("token"))
+            .filter(F.col("token").isNotNull()))
     hits = toks.join(F.broadcast(themes.select("theme", "token")), "token")
     return (hits.select("app_name", "theme", "raw_id").distinct()
             .groupBy("app_name", "theme").agg(F.count(F.lit(1)).alias("review_count")))

@@ -5,10 +5,12 @@ Plan, per batch of raw rows:
 * constraint filter and first-row-per-key de-duplication (processed keys are unique);
 * ``left_anti`` against what is already processed, *before* any text work (I3);
 * native column chain -> tokens (narrow, whole-stage codegen);
-* token occurrences (posexplode) -> one inner join with a per-distinct-token table that holds
-  the lemma (if it changes) and the lexicon valence (if any). Most occurrences find no partner
-  and drop out, so the per-document aggregate that follows sees few rows;
-* per-document aggregate -> (changes map, valence sum), left-joined back by ``raw_id``.
+* token occurrences (posexplode) -> a per-distinct-token table that holds the lemma (if it
+  changes) and the lexicon valence (if any), built once per distinct token, not per occurrence;
+* occurrences left-joined to that table and regrouped per document: tokens sorted by position
+  (O(n log n) per document), word count and valence sum in the same aggregate;
+* the document attributes (no tokens: Catalyst prunes the text work from that side) joined
+  with the per-document result by ``raw_id``. Texts are tokenized only where tokens are used.
 
 No Python UDF, no collect. Resource tables (lexicon, irregular lemmas) are bounded and
 broadcast; the lemma map grows with the vocabulary, so it is joined without a hint and AQE
@@ -27,7 +29,7 @@ from sentimart import resources as R
 from sentimart.functions import sentiment as SF
 from sentimart.functions import text as TF
 from sentimart.functions.formats import year_month
-from sentimart.operators.lemmas import apply_changes, lemma_map
+from sentimart.operators.lemmas import lemma_map
 
 
 @dataclass
@@ -65,11 +67,18 @@ def first_per_review_id(raw: DataFrame) -> DataFrame:
 
 
 def tokenized(raw: DataFrame, stopwords=R.STOPWORDS, text_col: str = "review_text") -> DataFrame:
-    return raw.withColumn("_toks", TF.clean_tokens(F.col(text_col), stopwords))
+    return TF.add_clean_tokens(raw, text_col, "_toks", stopwords)
 
 
 def token_occurrences(docs: DataFrame, tokens_col: str = "_toks") -> DataFrame:
-    return docs.select("raw_id", F.posexplode(tokens_col).alias("pos", "token"))
+    """(raw_id, pos, token) per token.
+
+    ``posexplode_outer`` + a null filter above it, not ``posexplode``: for the inner form Spark
+    infers ``size(tokens) > 0`` and pushes it below the projections that build the tokens,
+    which re-runs the whole regex chain inside the filter.
+    """
+    return (docs.select("raw_id", F.posexplode_outer(tokens_col).alias("pos", "token"))
+            .filter(F.col("token").isNotNull()))
 
 
 def token_table(vocab: DataFrame, res: TextResources) -> DataFrame:
@@ -87,22 +96,34 @@ def token_table(vocab: DataFrame, res: TextResources) -> DataFrame:
 
 
 def per_document(occ: DataFrame, table: DataFrame) -> DataFrame:
-    hits = occ.join(table, "token")
-    return hits.groupBy("raw_id").agg(
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("lemma").isNotNull(), F.struct("pos", "lemma")))
-        ).alias("_changes"),
+    """(raw_id, lemmas, word_count, _vsum) from the occurrences of all documents with tokens."""
+    j = occ.join(table, "token", "left")
+    form = F.coalesce(F.col("lemma"), F.col("token"))
+    return j.groupBy("raw_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos"), form.alias("form")))),
+                    lambda x: x["form"]).alias("lemmas"),
+        F.count(F.lit(1)).cast("int").alias("word_count"),
         F.sum("valence").alias("_vsum"),
     )
 
 
-def lemmatized_tokens(docs: DataFrame, res: TextResources) -> DataFrame:
-    """docs with ``_toks`` -> docs with ``lemmas`` (array) and ``_vsum`` (valence sum)."""
-    occ = token_occurrences(docs)
+def lemmatized(docs: DataFrame, res: TextResources, keep: list[str],
+               materialize: bool = True) -> DataFrame:
+    """``docs`` (raw_id, text, ...) -> ``keep`` columns + lemmas, word_count, _vsum.
+
+    The token occurrences feed the vocabulary (four uses inside the lemma job) and the
+    per-document regroup. They are written once to the shared checkpoint folder
+    (``checkpoint()``, reliable, not local), so the regex chain runs once per text and a lost
+    executor re-reads tokens instead of re-tokenizing.
+    """
+    occ = token_occurrences(tokenized(docs.select("raw_id", "review_text"), res.stopwords))
+    if materialize:
+        occ = occ.checkpoint(eager=True)
     vocab = occ.select("token").distinct()
     agg = per_document(occ, token_table(vocab, res))
-    out = docs.join(agg, "raw_id", "left")
-    return out.withColumn("lemmas", apply_changes(F.col("_toks"), F.col("_changes"))).drop("_changes")
+    out = docs.select(*keep).join(agg, "raw_id", "left")
+    return out.withColumn("lemmas", F.coalesce(F.col("lemmas"), F.array().cast("array<string>"))) \
+              .withColumn("word_count", F.coalesce(F.col("word_count"), F.lit(0)))
 
 
 def process_reviews(raw: DataFrame, res: TextResources | None = None,
@@ -116,8 +137,8 @@ def process_reviews(raw: DataFrame, res: TextResources | None = None,
         todo = todo.join(existing.select("review_id").filter(F.col("review_id").isNotNull()),
                          "review_id", "left_anti")
     todo = first_per_review_id(todo)
-    docs = tokenized(todo, res.stopwords)
-    scored = lemmatized_tokens(docs, res)
+    keep = ["raw_id", "app_name", "review_id", "rating", "review_ts", "review_text"]
+    scored = lemmatized(todo, res, keep)
     score = SF.compound(F.col("_vsum"))
     stamp = F.lit(processed_at).cast("timestamp") if processed_at else F.current_timestamp()
     return scored.select(
@@ -128,7 +149,7 @@ def process_reviews(raw: DataFrame, res: TextResources | None = None,
         F.col("review_ts"),
         F.col("review_text"),
         TF.join_tokens(F.col("lemmas")).alias("cleaned_text"),
-        F.size("lemmas").cast("int").alias("word_count"),
+        F.col("word_count"),
         score.alias("sentiment_score"),
         SF.sentiment_label(score).alias("sentiment"),
         year_month(F.col("review_ts")).alias("year_month"),
@@ -140,11 +161,11 @@ def clean_text_only(df: DataFrame, res: TextResources | None = None, text_col: s
     """(raw_id, cleaned_text, word_count, sentiment_score) for any (raw_id, text) frame."""
     spark = df.sparkSession
     res = (res or TextResources()).resolve(spark)
-    docs = tokenized(df.select("raw_id", F.col(text_col).alias("review_text")), res.stopwords)
-    scored = lemmatized_tokens(docs, res)
+    docs = df.select("raw_id", F.col(text_col).alias("review_text"))
+    scored = lemmatized(docs, res, ["raw_id"])
     return scored.select(
         "raw_id",
         TF.join_tokens(F.col("lemmas")).alias("cleaned_text"),
-        F.size("lemmas").cast("int").alias("word_count"),
+        F.col("word_count"),
         SF.compound(F.col("_vsum")).alias("sentiment_score"),
     )
