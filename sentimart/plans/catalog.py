@@ -33,5 +33,5 @@ def register(name: str, sql: str | None):
 
 def load_all() -> dict[str, Query]:
     """Import the modules that register queries, then return the registry."""
-    from sentimart.plans import queries_ingest, queries_marts, queries_text  # noqa: F401
+    from sentimart.plans import queries_ingest, queries_marts, queries_stream, queries_text  # noqa: F401
     return REGISTRY

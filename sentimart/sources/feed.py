@@ -16,20 +16,27 @@ CORRUPT = "_corrupt_record"
 
 
 def read_feed(spark: SparkSession, root: str, keep_corrupt: bool = False) -> DataFrame:
-    """All landed feed records. Malformed lines are kept in ``_corrupt_record`` (PERMISSIVE)."""
-    schema = S.FEED
-    if keep_corrupt:
-        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
-    if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    df = reader.json(root)
-    return df.withColumn("feed_file", F.input_file_name())
+    """All landed feed records, every app in one scan (``app`` from the folder name).
+
+    With ``keep_corrupt`` the lines are read as text and parsed with ``from_json`` in PERMISSIVE
+    mode: a malformed line (bad JSON, or a value of the wrong type) keeps its text in
+    ``_corrupt_record`` instead of failing the job.
+    """
+    if not keep_corrupt:
+        return (spark.read.schema(S.FEED).option("mode", "PERMISSIVE").json(root)
+                .withColumn("feed_file", F.input_file_name()))
+    schema = T.StructType(S.FEED.fields + [T.StructField(CORRUPT, T.StringType())])
+    lines = spark.read.text(root)
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    cols = [c for c in lines.columns if c != "value"]
+    return (lines.filter(F.trim("value") != "")
+            .select(*cols, parsed.alias("r"), F.input_file_name().alias("feed_file"))
+            .select(*cols, "r.*", "feed_file"))
 
 
 def stream_feed(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The same feed as a file stream (new files are picked up once)."""
-    reader = spark.readStream.schema(S.FEED.add(T.StructField("app", T.StringType())))
+    reader = spark.readStream.schema(T.StructType(S.FEED.fields + [T.StructField("app", T.StringType())]))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(root)
