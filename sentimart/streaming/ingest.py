@@ -8,7 +8,8 @@ micro-batch:
 2. per-app watermark from the watermark log, strict ``>`` filter (F1, I1);
 3. newest ``max_per_app`` per app (F2);
 4. insert-or-ignore against the raw table written so far (S7, I2: global uniqueness);
-5. write ``raw/batch=<id>`` and then ``watermarks/batch=<id>`` (the watermark goes last).
+5. write ``raw/batch=<id>`` and then ``watermarks/batch=<id>`` (the watermark goes last; it is
+   the newest date among the rows read, ignored duplicates included).
 
 Each batch writes only folders named by its batch id, with overwrite: a replayed batch (after a
 lost executor or driver) rewrites the same folders, and it reads the tables *without* its own
@@ -73,8 +74,9 @@ def ingest_batch(batch: DataFrame, batch_id: int, tables_root: str, max_per_app:
     new = I.insert_or_ignore(target, capped).select(*S.RAW_COLUMNS)
     out = os.path.join(tables_root, "raw", f"batch={batch_id}")
     new.write.mode("overwrite").parquet(out)
-    committed = spark.read.parquet(out)
-    I.watermarks_from(committed).write.mode("overwrite").parquet(
+    # The watermark covers every row read in this batch (ignored duplicates included, as the
+    # reference tracks the newest date it has seen), and is written only after the raw commit.
+    I.watermarks_from(capped).write.mode("overwrite").parquet(
         os.path.join(tables_root, "watermarks", f"batch={batch_id}"))
 
 
@@ -89,8 +91,11 @@ def run_ingest_stream(spark: SparkSession, feed_root: str, tables_root: str, che
     """
     stream = spark.readStream.schema(FEED_STREAM_SCHEMA).json(feed_root)
     if dedupe_watermark:
-        stream = (stream.withWatermark("at", dedupe_watermark)
-                  .dropDuplicatesWithinWatermark(["reviewId"]))
+        # Event-time watermarks need TIMESTAMP; the feed time is wall-clock (NTZ), session UTC.
+        stream = (stream.withColumn("_event_ts", F.col("at").cast("timestamp"))
+                  .withWatermark("_event_ts", dedupe_watermark)
+                  .dropDuplicatesWithinWatermark(["reviewId"])
+                  .drop("_event_ts"))
     q = (stream.writeStream
          .foreachBatch(lambda df, bid: ingest_batch(df, bid, tables_root, max_per_app, scraped_at))
          .option("checkpointLocation", checkpoint)
