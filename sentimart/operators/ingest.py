@@ -75,12 +75,14 @@ def insert_or_ignore(target: DataFrame | None, batch: DataFrame, kind: str = "ra
     """Rows of ``batch`` that an INSERT OR IGNORE into ``target`` would add.
 
     Constraint filter first (a bad first row must not hide a good second one), then the first
-    arrival per key, then ``left_anti`` against keys already in the target. The caller appends.
+    arrival per key, then ``left_anti`` against keys already in the target. Same result as
+    anti join first, but a review id copied a million times is cut to one row per map task
+    (partial WindowGroupLimit) before any join shuffle. The caller appends.
     """
-    ok = batch.filter(constraint_reason(kind).isNull())
+    ok = first_arrivals(batch.filter(constraint_reason(kind).isNull()))
     if target is not None:
         ok = ok.join(target.select("review_id").filter(F.col("review_id").isNotNull()), "review_id", "left_anti")
-    return first_arrivals(ok)
+    return ok
 
 
 def constraint_rejects(batch: DataFrame, target: DataFrame | None = None, kind: str = "raw") -> DataFrame:
@@ -94,9 +96,13 @@ def constraint_rejects(batch: DataFrame, target: DataFrame | None = None, kind:
         ok = ok.join(existing, "review_id", "left")
     else:
         ok = ok.withColumn("_exists", F.lit(None).cast("boolean"))
-    w = Window.partitionBy(review_key()).orderBy("raw_id")
-    ok = ok.withColumn("_rn", F.row_number().over(w))
-    dup = ok.filter(F.col("_exists").isNotNull() | (F.col("_rn") > 1)).withColumn(
+    # First arrival per key as an aggregate (partial, map-side) joined back, not a window: a
+    # key copied across a third of the rows never lands whole in one task (AQE splits the
+    # skewed side of the join; the aggregate side has one row per key).
+    ok = ok.withColumn("_key", review_key())
+    firsts = ok.groupBy("_key").agg(F.min("raw_id").alias("_first"))
+    ok = ok.join(firsts, "_key")
+    dup = ok.filter(F.col("_exists").isNotNull() | (F.col("raw_id") != F.col("_first"))).withColumn(
         "reason", F.lit("duplicate_review_id"))
     cols = ["raw_id", "app_name", "review_id", "rating", "reason"]
     return bad.select(*cols).unionByName(dup.select(*cols))

@@ -131,12 +131,12 @@ def process_reviews(raw: DataFrame, res: TextResources | None = None,
     """Raw rows -> processed rows not yet in ``existing`` (schema: ``schemas.PROCESSED``)."""
     spark = raw.sparkSession
     res = (res or TextResources()).resolve(spark)
-    todo = valid_for_processed(raw)
+    # First row per key before the anti joins: equal result, and a hot key is cut map-side.
+    todo = first_per_review_id(valid_for_processed(raw))
     if existing is not None:
         todo = todo.join(existing.select("raw_id"), "raw_id", "left_anti")
         todo = todo.join(existing.select("review_id").filter(F.col("review_id").isNotNull()),
                          "review_id", "left_anti")
-    todo = first_per_review_id(todo)
     keep = ["raw_id", "app_name", "review_id", "rating", "review_ts", "review_text"]
     scored = lemmatized(todo, res, keep)
     score = SF.compound(F.col("_vsum"))

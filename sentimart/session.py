@@ -16,6 +16,8 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove checkpoint files once the checkpointed DataFrame is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
