@@ -40,14 +40,19 @@ class TextResources:
     lexicon: DataFrame | None = None
     lemmas: DataFrame | None = None
     dictionary: DataFrame | None = None
+    # "lexicon": sum of valences; "vader": plus booster, negation and 'least' rules.
+    mode: str = "lexicon"
+    boosters: tuple[tuple[str, float], ...] = R.BOOSTER_SEED
+    negators: tuple[str, ...] = R.NEGATOR_SEED
 
     def resolve(self, spark: SparkSession) -> "TextResources":
-        return TextResources(
-            stopwords=self.stopwords,
-            lexicon=self.lexicon if self.lexicon is not None else R.lexicon_df(spark),
-            lemmas=self.lemmas if self.lemmas is not None else R.lemmas_df(spark),
-            dictionary=self.dictionary,
-        )
+        if self.mode not in ("lexicon", "vader"):
+            raise ValueError(f"unknown sentiment mode {self.mode}")
+        # User tables are broadcast: check they are resource-sized (one small count each).
+        lexicon = R.bounded(self.lexicon, "lexicon") if self.lexicon is not None else R.lexicon_df(spark)
+        lemmas = R.bounded(self.lemmas, "lemmas") if self.lemmas is not None else R.lemmas_df(spark)
+        return TextResources(self.stopwords, lexicon, lemmas, self.dictionary, self.mode,
+                             self.boosters, self.negators)
 
 
 def valid_for_processed(raw: DataFrame) -> DataFrame:
@@ -95,16 +100,24 @@ def token_table(vocab: DataFrame, res: TextResources) -> DataFrame:
     )
 
 
-def per_document(occ: DataFrame, table: DataFrame) -> DataFrame:
+def per_document(occ: DataFrame, table: DataFrame, res: TextResources | None = None) -> DataFrame:
     """(raw_id, lemmas, word_count, _vsum) from the occurrences of all documents with tokens."""
     j = occ.join(table, "token", "left")
     form = F.coalesce(F.col("lemma"), F.col("token"))
-    return j.groupBy("raw_id").agg(
+    aggs = [
         F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos"), form.alias("form")))),
                     lambda x: x["form"]).alias("lemmas"),
         F.count(F.lit(1)).cast("int").alias("word_count"),
         F.sum("valence").alias("_vsum"),
-    )
+    ]
+    if res is not None and res.mode == "vader":
+        aggs.append(F.array_sort(F.collect_list(F.when(
+            F.col("valence").isNotNull(), F.struct(F.col("pos"), F.col("valence"))))).alias("_hits"))
+    out = j.groupBy("raw_id").agg(*aggs)
+    if res is not None and res.mode == "vader":
+        out = out.withColumn("_vsum", SF.heuristic_valence_sum(
+            F.col("lemmas"), F.col("_hits"), res.boosters, res.negators)).drop("_hits")
+    return out
 
 
 def lemmatized(docs: DataFrame, res: TextResources, keep: list[str],
@@ -120,7 +133,7 @@ def lemmatized(docs: DataFrame, res: TextResources, keep: list[str],
     if materialize:
         occ = occ.checkpoint(eager=True)
     vocab = occ.select("token").distinct()
-    agg = per_document(occ, token_table(vocab, res))
+    agg = per_document(occ, token_table(vocab, res), res)
     out = docs.select(*keep).join(agg, "raw_id", "left")
     return out.withColumn("lemmas", F.coalesce(F.col("lemmas"), F.array().cast("array<string>"))) \
               .withColumn("word_count", F.coalesce(F.col("word_count"), F.lit(0)))

@@ -126,6 +126,42 @@ def label(score: str) -> str:
             f"WHEN {score} <= {R.NEGATIVE_THRESHOLD} THEN 'Negative' ELSE 'Neutral' END")
 
 
+def vader_sum(lemmas: str, hits: str) -> str:
+    """SQL twin of ``functions.sentiment.heuristic_valence_sum`` (hits: list of {pos, v})."""
+    from sentimart.functions.sentiment import DAMPING
+    boosters = [w for w, _ in R.BOOSTER_SEED]
+
+    def word(p: str) -> str:
+        return f"(CASE WHEN ({p}) >= 0 THEN {lemmas}[({p}) + 1] END)"
+
+    def booster(w: str) -> str:
+        cases = " ".join(f"WHEN {w} = {q(b)} THEN {float(v)!r}" for b, v in R.BOOSTER_SEED)
+        return f"(CASE {cases} ELSE 0.0 END)"
+
+    hit_pos = f"list_transform({hits}, lambda h: h.pos)"
+    cur = (f"list_transform({hits}, lambda h: {{'pos': h.pos, 'v': CASE WHEN {word('h.pos')} IN "
+           f"({', '.join(q(b) for b in boosters)}) THEN 0.0 ELSE h.v END}})")
+    negs = ", ".join(q(n) for n in R.NEGATOR_SEED)
+    for k in (1, 2, 3):
+        w = word(f"h.pos - {k}")
+        s = f"({booster(w)} * {DAMPING[k - 1]!r})"
+        v1 = f"(h.v + CASE WHEN h.v < 0 THEN -{s} ELSE {s} END)"
+        if k == 1:
+            keep = "false"
+        elif k == 2:
+            keep = f"({w} = 'without' AND {word('h.pos - 1')} = 'doubt')"
+        else:
+            keep = f"({w} = 'without' AND ({word('h.pos - 2')} = 'doubt' OR {word('h.pos - 1')} = 'doubt'))"
+        v2 = (f"(CASE WHEN NOT {keep} AND coalesce({w} IN ({negs}), false) "
+              f"THEN {v1} * {R.NEGATION_SCALAR!r} ELSE {v1} END)")
+        elig = f"(h.pos - {k} >= 0 AND NOT list_contains({hit_pos}, h.pos - {k}))"
+        cur = f"list_transform({cur}, lambda h: {{'pos': h.pos, 'v': CASE WHEN {elig} THEN {v2} ELSE h.v END}})"
+    least = (f"(h.pos >= 1 AND NOT list_contains({hit_pos}, h.pos - 1) AND {word('h.pos - 1')} = 'least' "
+             f"AND (h.pos < 2 OR NOT coalesce({word('h.pos - 2')} IN ('at', 'very'), false)))")
+    cur = f"list_transform({cur}, lambda h: {{'pos': h.pos, 'v': CASE WHEN {least} THEN h.v * {R.NEGATION_SCALAR!r} ELSE h.v END}})"
+    return f"coalesce(list_sum(list_transform({cur}, lambda h: h.v)), 0.0)"
+
+
 def year_month(x: str) -> str:
     return f"CAST(date_trunc('month', {x}) AS DATE)"
 

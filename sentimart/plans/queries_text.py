@@ -191,3 +191,18 @@ def coerce_types(spark, sf_dir):
         FF.try_timestamp(F.col("ts").cast("string")).alias("ts_parsed"),
         FF.try_timestamp(F.col("event_type")).alias("bad_ts"),
     )
+
+
+_GOLDEN_VADER = _GOLDEN_LEM + [("g_vd", """SELECT o.raw_id,
+  list(coalesce(t.lemma, o.token) ORDER BY o.pos) AS lemmas,
+  list({'pos': o.pos, 'v': t.valence} ORDER BY o.pos) FILTER (WHERE t.valence IS NOT NULL) AS hits
+FROM g_occ o LEFT JOIN g_tok t ON t.token = o.token GROUP BY o.raw_id""")]
+
+
+@register("sentiment_score_vader", O.with_ctes(_GOLDEN_VADER, f"""SELECT d.raw_id,
+  {O.compound(O.vader_sum('v.lemmas', 'v.hits'))} AS sentiment_score
+FROM g_docs d LEFT JOIN g_vd v ON v.raw_id = d.raw_id"""))
+def sentiment_score_vader(spark, sf_dir):
+    """X13 with VADER's heuristics: boosters (damped), negators, 'without doubt', 'least'."""
+    res = P.TextResources(mode="vader")
+    return P.clean_text_only(_golden(spark, sf_dir), res).select("raw_id", "sentiment_score")

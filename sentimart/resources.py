@@ -197,6 +197,10 @@ GOLDEN_TEXT: tuple[tuple[int, str | None], ...] = (
     (-20, "terrible products, bad shipping but great prices"),
     (-21, "the children loved these boxes and watches"),
     (-22, "I wanna love it, gonna be the best"),
+    (-23, "This app is really good but never great"),
+    (-24, "extremely terrible, without doubt the best"),
+    (-25, "least good, hardly bad"),
+    (-26, "totally bad and nothing good, absolutely great"),
 )
 
 

@@ -92,3 +92,19 @@ def test_golden_sentiment(spark):
     s = 3.2 + 3.2
     assert got[1] == pytest.approx(round(s / (s * s + 15) ** 0.5, 4))
     assert got[2] == 0.0
+
+
+def test_vader_heuristics_by_hand(spark):
+    """'app really good never great': booster before 'good', negator before 'great', and
+    the damped booster three tokens back (its sign follows the now negative valence)."""
+    df = _frame(spark, ["This app is really good but never great", "least good", "good"])
+    got = {r.raw_id: r.sentiment_score
+           for r in P.clean_text_only(df, P.TextResources(mode="vader")).collect()}
+    good = 1.9 + 0.293
+    great = 3.1 * -0.74 - 0.293 * 0.9
+    s = good + great
+    assert got[0] == pytest.approx(round(s / (s * s + 15) ** 0.5, 4))
+    s = 1.9 * -0.74
+    assert got[1] == pytest.approx(round(s / (s * s + 15) ** 0.5, 4))
+    s = 1.9
+    assert got[2] == pytest.approx(round(s / (s * s + 15) ** 0.5, 4))
