@@ -206,3 +206,12 @@ def sentiment_score_vader(spark, sf_dir):
     """X13 with VADER's heuristics: boosters (damped), negators, 'without doubt', 'least'."""
     res = P.TextResources(mode="vader")
     return P.clean_text_only(_golden(spark, sf_dir), res).select("raw_id", "sentiment_score")
+
+
+@register("strip_html_exact", None)
+def strip_html_exact(spark, sf_dir):
+    """X2 exact mode on raw web pages: standard-library HTML parser in an Arrow UDF (no SQL
+    twin: an HTML parser is not expressible in SQL)."""
+    from sentimart.functions.html_exact import strip_html_exact as exact
+    pages = ST.table(spark, sf_dir, "pages")
+    return pages.select("page_id", exact(TF.lower_text(F.col("html"))).alias("text"))

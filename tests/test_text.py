@@ -108,3 +108,15 @@ def test_vader_heuristics_by_hand(spark):
     assert got[1] == pytest.approx(round(s / (s * s + 15) ** 0.5, 4))
     s = 1.9
     assert got[2] == pytest.approx(round(s / (s * s + 15) ** 0.5, 4))
+
+
+def test_exact_html_mode_agrees_with_native_on_simple_markup(spark):
+    from sentimart.functions.html_exact import html_to_text, strip_html_exact
+    rows = ["<b>love</b> it &amp; more", "a<br>b", "<script>var a=1;</script>hi", "<!-- c -->hi",
+            "<p title='a>b'>x</p>", "2 &lt; 3 &#233;t&eacute;"]
+    assert html_to_text(rows[4]) == "x"          # the regex chain would cut at the '>'
+    assert html_to_text(rows[5]) == "2 < 3 été"  # every character reference
+    df = _frame(spark, rows[:4])
+    got = df.select("raw_id", strip_html_exact(F.col("review_text")).alias("a"),
+                    TF.strip_html(F.col("review_text")).alias("b")).collect()
+    assert all(r.a == r.b for r in got)
