@@ -131,6 +131,8 @@ def lemmatized(docs: DataFrame, res: TextResources, keep: list[str],
     """
     occ = token_occurrences(tokenized(docs.select("raw_id", "review_text"), res.stopwords))
     if materialize:
+        from sentimart.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(occ.sparkSession)
         occ = occ.checkpoint(eager=True)
     vocab = occ.select("token").distinct()
     agg = per_document(occ, token_table(vocab, res), res)

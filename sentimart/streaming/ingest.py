@@ -41,12 +41,20 @@ def land_feed(rows: DataFrame, feed_root: str) -> None:
     rows.write.mode("append").partitionBy("app").json(feed_root)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of the path (local, HDFS, object store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, exclude_batch: int | None) -> DataFrame:
     """Table folder with ``batch=<id>`` sub-folders; empty frame before the first batch."""
     with_batch = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
     try:
         df = spark.read.schema(with_batch).parquet(path)
-        df.inputFiles()  # resolves the listing: raises when the folder does not exist yet
     except AnalysisException:
         return spark.createDataFrame([], schema)
     if exclude_batch is not None:
