@@ -48,6 +48,18 @@ def cap_per_app(rows: DataFrame, n: int = MAX_REVIEWS_PER_APP) -> DataFrame:
     return rows.withColumn("feed_rank", F.row_number().over(w)).filter(F.col("feed_rank") <= n)
 
 
+def cap_report(rows: DataFrame, n: int = MAX_REVIEWS_PER_APP) -> DataFrame:
+    """Per app, rows offered, rows kept by the cap and rows skipped by it.
+
+    The reference caps newest-first and then moves the watermark to the newest date, so the
+    skipped rows are never fetched again; this makes the loss visible.
+    """
+    c = rows.groupBy("app_name").agg(F.count(F.lit(1)).alias("n_candidates"))
+    return c.select("app_name", "n_candidates",
+                    F.least(F.col("n_candidates"), F.lit(n)).alias("n_kept"),
+                    F.greatest(F.col("n_candidates") - n, F.lit(0)).alias("skipped_by_cap"))
+
+
 def constraint_reason(kind: str = "raw") -> Column:
     """Q4: first violated constraint of a row, or null."""
     reason = (F.when(F.col("app_name").isNull(), F.lit("app_name_null"))

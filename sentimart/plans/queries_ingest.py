@@ -52,6 +52,15 @@ def cap_per_app(spark, sf_dir):
     return I.cap_per_app(rows).withColumn("feed_rank", F.col("feed_rank").cast("int"))
 
 
+@register("cap_report", W(INC, f"""SELECT app_name, count(*) AS n_candidates,
+  least(count(*), {I.MAX_REVIEWS_PER_APP}) AS n_kept, greatest(count(*) - {I.MAX_REVIEWS_PER_APP}, 0) AS skipped_by_cap
+FROM inc GROUP BY app_name"""))
+def cap_report(spark, sf_dir):
+    """Rows the per-app cap keeps and skips in the incremental run."""
+    rows = I.incremental_filter(_feed(spark, sf_dir), _history_wm(spark, sf_dir))
+    return I.cap_report(rows)
+
+
 @register("watermark_upsert", W(INC + [("new", """SELECT app_name, max(review_ts) AS last_ts FROM inc
 GROUP BY app_name HAVING max(review_ts) IS NOT NULL""")], """SELECT app_name, max(last_ts) AS last_ts
 FROM (SELECT app_name, last_ts FROM wm UNION ALL SELECT app_name, last_ts FROM new) GROUP BY app_name"""))

@@ -54,3 +54,24 @@ def test_entry_and_registry(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) >= 50
+
+
+def test_unknown_label_only_for_apps_without_processed_rows(spark):
+    from sentimart.operators import marts as M
+    raw = spark.createDataFrame(
+        [(1, "a", "r1", 5), (2, "a", "r2", 4), (3, "b", "r3", 1)],
+        "raw_id long, app_name string, review_id string, rating int"
+    ).withColumn("review_ts", F.lit(None).cast("timestamp_ntz")).withColumn("review_text", F.lit("good"))
+    proc = spark.createDataFrame([(1, "a", "r1", "Positive", 0.44)],
+                                 "raw_id long, app_name string, review_id string, sentiment string, sentiment_score double")
+    got = {r.raw_id: (r.sentiment, r.sentiment_score) for r in M.join_examples(raw, proc).collect()}
+    # App a has processed rows: an unmatched row keeps null; app b has none: 'Unknown'.
+    assert got == {1: ("Positive", 0.44), 2: (None, None), 3: ("Unknown", None)}
+
+
+def test_dictionary_vocabulary(spark):
+    df = spark.createDataFrame([(1, "cats dogs glasses")], "raw_id long, review_text string")
+    dictionary = spark.createDataFrame([("cat",), ("glass",)], "token string")
+    out = P.clean_text_only(df, P.TextResources(dictionary=dictionary)).first()
+    # cats->cat and glasses->glass (ses rule) are in the dictionary; dog is not, dogs stays.
+    assert out.cleaned_text == "cat dogs glass"
