@@ -83,6 +83,18 @@ def first_arrivals(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def anti_join_existing(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Rows of ``batch`` whose non-null ``key`` is not in ``target`` (null keys are kept).
+
+    The target (a whole table) only contributes its key column, and first meets the batch's
+    distinct keys in a semi join: AQE broadcasts those keys when the batch is small, so the
+    table is scanned but never shuffled. The anti join then runs between two small sides.
+    """
+    keys = batch.select(key).filter(F.col(key).isNotNull()).distinct()
+    present = target.select(key).filter(F.col(key).isNotNull()).join(keys, key, "left_semi").distinct()
+    return batch.join(present, key, "left_anti")
+
+
 def insert_or_ignore(target: DataFrame | None, batch: DataFrame, kind: str = "raw") -> DataFrame:
     """Rows of ``batch`` that an INSERT OR IGNORE into ``target`` would add.
 
@@ -93,7 +105,7 @@ def insert_or_ignore(target: DataFrame | None, batch: DataFrame, kind: str = "ra
     """
     ok = first_arrivals(batch.filter(constraint_reason(kind).isNull()))
     if target is not None:
-        ok = ok.join(target.select("review_id").filter(F.col("review_id").isNotNull()), "review_id", "left_anti")
+        ok = anti_join_existing(ok, target, "review_id")
     return ok
 
 

@@ -149,9 +149,12 @@ def process_reviews(raw: DataFrame, res: TextResources | None = None,
     # First row per key before the anti joins: equal result, and a hot key is cut map-side.
     todo = first_per_review_id(valid_for_processed(raw))
     if existing is not None:
-        todo = todo.join(existing.select("raw_id"), "raw_id", "left_anti")
-        todo = todo.join(existing.select("review_id").filter(F.col("review_id").isNotNull()),
-                         "review_id", "left_anti")
+        # Ids only: the pending raw_ids are found on two key columns, then the raw rows (with
+        # their text) are kept by a semi join on that (usually small) pending set.
+        from sentimart.operators.ingest import anti_join_existing
+        ids = todo.select("raw_id", "review_id")
+        pending = anti_join_existing(anti_join_existing(ids, existing, "raw_id"), existing, "review_id")
+        todo = todo.join(pending.select("raw_id"), "raw_id", "left_semi")
     keep = ["raw_id", "app_name", "review_id", "rating", "review_ts", "review_text"]
     scored = lemmatized(todo, res, keep)
     score = SF.compound(F.col("_vsum"))
