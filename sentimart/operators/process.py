@@ -124,16 +124,19 @@ def lemmatized(docs: DataFrame, res: TextResources, keep: list[str],
                materialize: bool = True) -> DataFrame:
     """``docs`` (raw_id, text, ...) -> ``keep`` columns + lemmas, word_count, _vsum.
 
-    The token occurrences feed the vocabulary (four uses inside the lemma job) and the
-    per-document regroup. They are written once to the shared checkpoint folder
+    The tokens feed the vocabulary (four uses inside the lemma job) and the per-document
+    regroup. Each document's token array is written once to the shared checkpoint folder
     (``checkpoint()``, reliable, not local), so the regex chain runs once per text and a lost
     executor re-reads tokens instead of re-tokenizing.
     """
-    occ = token_occurrences(tokenized(docs.select("raw_id", "review_text"), res.stopwords))
+    toks = tokenized(docs.select("raw_id", "review_text"), res.stopwords).select("raw_id", "_toks")
     if materialize:
+        # One row per document (its token array), not one per token: far fewer objects to
+        # write; the explode below is cheap and re-runs from the checkpoint.
         from sentimart.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(occ.sparkSession)
-        occ = occ.checkpoint(eager=True)
+        ensure_checkpoint_dir(toks.sparkSession)
+        toks = toks.checkpoint(eager=True)
+    occ = token_occurrences(toks)
     vocab = occ.select("token").distinct()
     agg = per_document(occ, token_table(vocab, res), res)
     out = docs.select(*keep).join(agg, "raw_id", "left")
