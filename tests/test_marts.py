@@ -75,3 +75,17 @@ def test_dictionary_vocabulary(spark):
     out = P.clean_text_only(df, P.TextResources(dictionary=dictionary)).first()
     # cats->cat and glasses->glass (ses rule) are in the dictionary; dog is not, dogs stays.
     assert out.cleaned_text == "cat dogs glass"
+
+
+def test_top_k_is_subset_of_counts(spark):
+    processed = P.process_reviews(ST.raw_reviews(spark, SF001))
+    counts = N.count_items(N.unigram_items(N.ngram_docs(processed)))
+    top = N.top_k(counts, 5)
+    c = counts.select("app_name", "ngram", F.col("ngram_count").alias("c"))
+    joined = top.join(c, ["app_name", "ngram"])
+    assert joined.count() == top.count()
+    assert joined.filter(F.col("ngram_count") != F.col("c")).count() == 0
+    # Nothing outside the top k has a higher count than the k-th entry of its app.
+    kth = top.groupBy("app_name").agg(F.min("ngram_count").alias("m"))
+    outside = c.join(top.select("app_name", "ngram"), ["app_name", "ngram"], "left_anti").join(kth, "app_name")
+    assert outside.filter(F.col("c") > F.col("m")).count() == 0
