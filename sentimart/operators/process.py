@@ -7,8 +7,8 @@ Plan, per batch of raw rows:
 * native column chain -> tokens (narrow, whole-stage codegen);
 * token occurrences (posexplode) -> a per-distinct-token table that holds the lemma (if it
   changes) and the lexicon valence (if any), built once per distinct token, not per occurrence;
-* occurrences left-joined to that table and regrouped per document: tokens sorted by position
-  (O(n log n) per document), word count and valence sum in the same aggregate;
+* occurrences inner-joined to that table (only hits survive) and aggregated per document into
+  a small token -> lemma map and a valence sum, applied to the document's token array;
 * the document attributes (no tokens: Catalyst prunes the text work from that side) joined
   with the per-document result by ``raw_id``. Texts are tokenized only where tokens are used.
 
@@ -101,47 +101,53 @@ def token_table(vocab: DataFrame, res: TextResources) -> DataFrame:
 
 
 def per_document(occ: DataFrame, table: DataFrame, res: TextResources | None = None) -> DataFrame:
-    """(raw_id, lemmas, word_count, _vsum) from the occurrences of all documents with tokens."""
-    j = occ.join(table, "token", "left")
-    form = F.coalesce(F.col("lemma"), F.col("token"))
+    """(raw_id, _changes, _vsum[, _hits]) from the occurrences that hit the token table.
+
+    Inner join: only tokens that change or carry a valence survive, so the per-document
+    aggregate sees a small fraction of the tokens. ``_changes`` maps each changed token of the
+    document to its lemma (distinct pairs, so the map stays as small as the document's set of
+    changed forms).
+    """
+    hits = occ.join(table, "token")
     aggs = [
-        F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos"), form.alias("form")))),
-                    lambda x: x["form"]).alias("lemmas"),
-        F.count(F.lit(1)).cast("int").alias("word_count"),
+        F.map_from_entries(F.collect_set(F.when(F.col("lemma").isNotNull(),
+                                                F.struct(F.col("token"), F.col("lemma"))))).alias("_changes"),
         F.sum("valence").alias("_vsum"),
     ]
     if res is not None and res.mode == "vader":
         aggs.append(F.array_sort(F.collect_list(F.when(
             F.col("valence").isNotNull(), F.struct(F.col("pos"), F.col("valence"))))).alias("_hits"))
-    out = j.groupBy("raw_id").agg(*aggs)
-    if res is not None and res.mode == "vader":
-        out = out.withColumn("_vsum", SF.heuristic_valence_sum(
-            F.col("lemmas"), F.col("_hits"), res.boosters, res.negators)).drop("_hits")
-    return out
+    return hits.groupBy("raw_id").agg(*aggs)
 
 
 def lemmatized(docs: DataFrame, res: TextResources, keep: list[str],
                materialize: bool = True) -> DataFrame:
     """``docs`` (raw_id, text, ...) -> ``keep`` columns + lemmas, word_count, _vsum.
 
-    The tokens feed the vocabulary (four uses inside the lemma job) and the per-document
-    regroup. Each document's token array is written once to the shared checkpoint folder
+    The tokens feed the vocabulary (four uses inside the lemma job), the hit join and the
+    final rewrite. Each document's token array is written once to the shared checkpoint folder
     (``checkpoint()``, reliable, not local), so the regex chain runs once per text and a lost
     executor re-reads tokens instead of re-tokenizing.
     """
     toks = tokenized(docs.select("raw_id", "review_text"), res.stopwords).select("raw_id", "_toks")
     if materialize:
-        # One row per document (its token array), not one per token: far fewer objects to
-        # write; the explode below is cheap and re-runs from the checkpoint.
         from sentimart.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(toks.sparkSession)
         toks = toks.checkpoint(eager=True)
     occ = token_occurrences(toks)
     vocab = occ.select("token").distinct()
     agg = per_document(occ, token_table(vocab, res), res)
-    out = docs.select(*keep).join(agg, "raw_id", "left")
-    return out.withColumn("lemmas", F.coalesce(F.col("lemmas"), F.array().cast("array<string>"))) \
-              .withColumn("word_count", F.coalesce(F.col("word_count"), F.lit(0)))
+    t = toks.join(agg, "raw_id", "left")
+    lemmas = F.transform(F.col("_toks"), lambda x: F.coalesce(F.try_element_at(F.col("_changes"), x), x))
+    t = t.select("raw_id", lemmas.alias("lemmas"), F.size("_toks").cast("int").alias("word_count"),
+                 "_vsum", *(["_hits"] if res.mode == "vader" else []))
+    if res.mode == "vader":
+        t = t.withColumn("_vsum", SF.heuristic_valence_sum(
+            F.col("lemmas"), F.coalesce(F.col("_hits"), F.array().cast("array<struct<pos:int,valence:double>>")),
+            res.boosters, res.negators)).drop("_hits")
+    return docs.select(*keep).join(t, "raw_id", "left") \
+        .withColumn("lemmas", F.coalesce(F.col("lemmas"), F.array().cast("array<string>"))) \
+        .withColumn("word_count", F.coalesce(F.col("word_count"), F.lit(0)))
 
 
 def process_reviews(raw: DataFrame, res: TextResources | None = None,
