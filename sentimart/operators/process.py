@@ -136,6 +136,10 @@ def lemmatized(docs: DataFrame, res: TextResources, keep: list[str],
         toks = toks.checkpoint(eager=True)
     occ = token_occurrences(toks)
     vocab = occ.select("token").distinct()
+    if materialize:
+        # Four branches of the lemma job read the vocabulary; their plans differ slightly, so
+        # Spark would not reuse one exchange. Distinct tokens are small: write them once.
+        vocab = vocab.checkpoint(eager=True)
     agg = per_document(occ, token_table(vocab, res), res)
     t = toks.join(agg, "raw_id", "left")
     lemmas = F.transform(F.col("_toks"), lambda x: F.coalesce(F.try_element_at(F.col("_changes"), x), x))
