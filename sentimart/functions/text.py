@@ -37,7 +37,7 @@ HTML_ENTITIES: tuple[tuple[str, str], ...] = (
     ("&quot;", '"'),
     ("&#39;", "'"),
     ("&apos;", "'"),
-    ("&nbsp;", " "),
+    ("&nbsp;", "\u00a0"),
     ("&amp;", "&"),
 )
 
