@@ -82,17 +82,20 @@ def app_names(raw: DataFrame, processed: DataFrame) -> DataFrame:
     return raw.select("app_name").union(processed.select("app_name")).distinct()
 
 
-def join_examples(raw: DataFrame, processed: DataFrame) -> DataFrame:
+def join_examples(raw: DataFrame, processed: DataFrame, match_null_ids: bool = True) -> DataFrame:
     """Raw rows of each app with the label and score of the same app's processed row.
 
     The review id matches null-safely (as the reference's merge does); an app without any
     processed row gets 'Unknown'. The join keys are (app_name, review_id), so the per-app
-    merge of the reference runs for all apps in one equi-join.
+    merge of the reference runs for all apps in one equi-join. Null ids matching each other
+    multiplies rows (raw nulls x processed nulls of an app); ``match_null_ids=False`` turns
+    that off.
     """
     p = processed.select(
         F.col("app_name").alias("_p_app"), F.col("review_id").alias("_p_rid"),
         "sentiment", "sentiment_score")
-    j = raw.join(p, (raw.app_name == p._p_app) & raw.review_id.eqNullSafe(p._p_rid), "left")
+    id_match = raw.review_id.eqNullSafe(p._p_rid) if match_null_ids else raw.review_id == p._p_rid
+    j = raw.join(p, (raw.app_name == p._p_app) & id_match, "left")
     has_processed = processed.select(F.col("app_name").alias("_h_app")).distinct() \
         .withColumn("_has", F.lit(True))
     j = j.join(has_processed, j.app_name == has_processed._h_app, "left")
