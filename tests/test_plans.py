@@ -52,3 +52,15 @@ def test_no_cross_join(spark):
     for name in ("sentiment_distribution", "kpi_overview", "filter_app", "dq_report", "dq_gate_raw"):
         p = plan(E.queries()[name](spark, SF001))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_batch_vs_table_check_does_not_shuffle_the_table(spark):
+    """After execution, AQE's final plan joins the table's ids to the broadcast batch keys."""
+    from sentimart.operators import ingest as I
+    from conftest import SF01
+    raw = ST.raw_reviews(spark, SF01)
+    cut = F.lit("2024-12-01").cast("timestamp_ntz")
+    df = I.insert_or_ignore(raw.filter(F.col("review_ts") < cut), raw.filter(F.col("review_ts") >= cut))
+    df.write.format("noop").mode("overwrite").save()
+    p = plan(df)
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p and "SortMergeJoin" not in p
