@@ -100,3 +100,13 @@ def test_null_ids_match_unless_disabled(spark):
                                  "raw_id long, app_name string, review_id string, sentiment string, sentiment_score double")
     assert M.join_examples(raw, proc).count() == 4                      # 2 x 2, as a null-safe merge
     assert M.join_examples(raw, proc, match_null_ids=False).count() == 2
+
+
+def test_dominant_sentiment_tie_goes_to_first_label(spark):
+    from sentimart.operators import marts as M
+    raw = spark.createDataFrame([(1, "a", 5)], "raw_id long, app_name string, rating int")
+    proc = spark.createDataFrame([("a", "Positive"), ("a", "Negative"), ("a", "Neutral"), ("a", "Negative"),
+                                  ("a", "Positive")], "app_name string, sentiment string")
+    r = M.kpi_overview(raw, proc).first()
+    assert r.dominant_sentiment == "Negative"          # Negative and Positive tie at 2
+    assert r.positive_pct == 40.0 and r.total_reviews == 1 and r.avg_rating == 5.0
