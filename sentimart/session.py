@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +57,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     """A sub-folder of the shared checkpoint folder (for stream checkpoints, table versions)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per Spark context, for clusters where it is not installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_sentimart_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="sentimart-package-"), "sentimart.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._sentimart_shipped = True
