@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import pieces, token_counts
+from sentimart.llm import licenses, pieces, pii, token_counts, url_filter
+from sentimart.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -25,6 +26,7 @@ def _query(name: str, sql: str | None = None):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -42,3 +44,37 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@_query("op9_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_* and base_sha256 tell of the base spans, spans and n_added of what the method adds to them."""
+    found = pii.find_pii(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.digest(base), 256).alias("base_sha256"),
+        pii.digest(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size(base)).cast("long").alias("n_added"),
+    )
+
+
+#: (verdict, host, path) of the rules.
+URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+
+@_query("op6_url_filters")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the quality label of the document whose number its path gives (/lang/number)."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("good"))
+    number = F.expr("try_cast(regexp_extract(url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) as bigint)")
+    labelled = pages.withColumn("number", number).join(labels, F.col("number") == F.col("doc_id"), "left")
+    return url_filter.judge_urls(labelled, URL_RULES, "good").select("page_id", "host", "path", "rule", "verdict", F.round("good_rate", 6).alias("good_rate"))
+
+
+@_query("op5_license_scans")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"), licenses.known_notices(spark))
+    return found.select("doc_id", "digest", "text_license", F.array_join("line_licenses", ",").alias("line_licenses"))
