@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import licenses, pieces, pii, token_counts, url_filter
+from sentimart.llm import decontaminate, licenses, pieces, pii, token_counts, url_filter
 from sentimart.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"), licenses.known_notices(spark))
     return found.select("doc_id", "digest", "text_license", F.array_join("line_licenses", ",").alias("line_licenses"))
+
+
+@_query("op4_benchmark_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
