@@ -206,3 +206,7 @@ def mask_pii(df: DataFrame, text: str = "text") -> DataFrame:
 def digest(spans: Column) -> Column:
     """kind:start:end of spans, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def count_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import decontaminate, licenses, pieces, pii, token_counts, url_filter
+from sentimart.llm import decontaminate, licenses, pieces, pii, token_counts, topk, url_filter
 from sentimart.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,7 +53,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        *[pii.count_of(base, k).alias(f"n_{k}") for k in pii.KINDS],
         F.sha2(pii.digest(base), 256).alias("base_sha256"),
         pii.digest(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size(base)).cast("long").alias("n_added"),
@@ -83,3 +83,24 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_benchmark_decontamination")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.id AS query_id, b.id AS vec_id, CAST(list_dot_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 20 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@_query("op7_exact_top_k", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
