@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import decontaminate, licenses, pieces, pii, suffix_dedup, token_counts, topk, url_filter
+from sentimart.llm import decontaminate, licenses, ngram_join, pieces, pii, suffix_dedup, token_counts, topk, url_filter
 from sentimart.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,27 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=50)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Words, shingles, links and their closure, each by its definition.
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS sh
+  FROM w
+), e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS an, b.n AS bn, count(*) AS i FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs WHERE 100 * i >= 90 * (an + bn - i)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, m.c AS component_id
+FROM s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON s.doc_id = m.a
+"""
+
+
+@_query("op1_ngram_jaccard_join", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(_table(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
