@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import decontaminate, licenses, ngram_join, pieces, pii, suffix_dedup, token_counts, topk, url_filter
+from sentimart.llm import decontaminate, licenses, ngram_join, pieces, pii, suffix_dedup, token_counts, topk, toxicity, url_filter
 from sentimart.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,10 @@ FROM s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON s.doc_id = m.a
 @_query("op1_ngram_jaccard_join", OP1_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(_table(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
+@_query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
