@@ -295,6 +295,20 @@ def jaccard_classes(df: DataFrame, width: int = 3, percent: int = 90, text: str
     return out.select(F.col("key").cast(kind).alias(key), F.col("n").alias("n_shingles"), F.coalesce("lowest", "key").cast(kind).alias("component_id"), "set_id")
 
 
+def keep_one(df: DataFrame, width: int, percent: int, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """df's rows, all columns, but of each class only the row of the smallest key (nulls last), then text hash.
+
+    Rows are told apart by a number given before anything else. Texts without words stay.
+    """
+    numbered = stored(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    classes = jaccard_classes(numbered.select("__row", text), width, percent, text, "__row")
+    rows = numbered.select("__row", F.col(key).alias("__key"), F.xxhash64(text).alias("__text")).join(classes.filter("set_id is not null").select("__row", "component_id"), "__row")
+    # A partial minimum: no class meets in one task as rows.
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("__key").isNull(), "__key", "__text", "__row")).alias("m")).select(F.col("m.__row").alias("__row"))
+    gone = rows.select("__row").join(first, "__row", "left_anti")
+    return numbered.join(gone, "__row", "left_anti").drop("__row")
+
+
 def _in_blocks(members: DataFrame) -> DataFrame:
     """Adds to the sets the block of their group, of about BLOCK_SETS sets each, and the group's number of blocks."""
     counts = members.groupBy("root").agg(F.count("*").alias("c"))

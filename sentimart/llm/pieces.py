@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sentimart.llm.textblocks import BLOCK_BYTES, RangeHash, blocks, per_row, starts_of_rows, text_column
@@ -137,3 +138,13 @@ def encode_decode(df: DataFrame, model: str, text: str = "text", key: str = "doc
             yield pa.RecordBatch.from_arrays([b.column("__key"), ids, decoded], names=[key, "ids", "decoded"])
 
     return df.select(df[key].alias("__key"), df[text].alias("__text")).mapInArrow(run, schema)
+
+
+def digests(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256) of encode_decode's rows: the ids in decimal, joined by one space."""
+    return encoded.select(
+        key,
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

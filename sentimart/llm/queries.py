@@ -37,13 +37,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op10_sentencepiece")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pieces.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
-    return out.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return pieces.digests(pieces.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
 
 
 @_query("op9_pii")

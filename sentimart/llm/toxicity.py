@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -278,8 +279,6 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", key: str =
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """The rows of docs, all columns, that are not predicted toxic."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def toxicity(col: pd.Series) -> pd.Series:
         array = pa.array(col, pa.string(), from_pandas=True)
