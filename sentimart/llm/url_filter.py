@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentimart.llm.scratch import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Suffixes of two labels; a fixed list of common ones, to be replaced by a longer list where needed.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "com.mx", "gov.uk", "org.au", "org.uk")
@@ -92,6 +94,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], outcome:
     parts = pages.select(F.col(key).alias("__key"), F.col(outcome).cast("long").alias("__good"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     counts = parts.groupBy("host").agg(F.count("__good").alias("n"), F.coalesce(F.sum("__good"), F.lit(0)).alias("k"))
     size = F.col("a") + F.col("b")
+    counts = stored(counts, "hosts")  # every level reads it, and none the pages again
     known = reputation(counts).select("host", F.col("mean").alias("good_rate"), F.least(F.lit(1.0), F.col("mean") + Z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (size + 1))).alias("good_bound"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     # A host can hold a third of the pages: its side of the join may be split, as the other has one row for it.
