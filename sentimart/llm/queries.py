@@ -58,7 +58,47 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 
 
-@_query("op6_url_filters")
+def _shrunk_sql(level: str, keys: str, parent: str, on: str) -> str:
+    """A level (keys, n, k) with prior m: its prior weight by moments, then a, b and mean."""
+    return f"""
+{level}_p AS (SELECT {keys}, n, k, m FROM {level} JOIN {parent} ON {on}),
+{level}_w AS (
+  SELECT coalesce(1 / greatest(1 / 1001.0, least(0.5, (spread - noise) / greatest(room - noise, 1e-9))) - 1, 1000.0) AS w
+  FROM (SELECT sum(n * (k::DOUBLE / n - m) * (k::DOUBLE / n - m)) AS spread, sum(m * (1 - m)) AS noise, sum(n * m * (1 - m)) AS room FROM {level}_p WHERE n > 0)
+),
+{level}_r AS (SELECT {keys.replace(level + '.', '')}, k + w * m AS a, n - k + w * (1 - m) AS b, (k + w * m) / (n + w) AS m FROM {level}_p, {level}_w)"""
+
+
+OP6_SQL = rf"""
+WITH lab AS (SELECT doc_id, min(quality) AS good FROM labels GROUP BY doc_id),
+p AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
+    try_cast(regexp_extract(url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) AS BIGINT) AS number
+  FROM pages
+),
+l AS (SELECT p.*, good FROM p LEFT JOIN lab ON number = doc_id),
+c AS (SELECT host, string_split(host, '.') AS parts, count(good) AS n, coalesce(sum(good), 0) AS k FROM l GROUP BY host),
+t AS (SELECT *, array_to_string(parts[-2:], '.') IN ({", ".join(f"'{x}'" for x in url_filter.TWO_LABEL_SUFFIXES)}) AS two FROM c),
+h AS (SELECT host, n, k, array_to_string(CASE WHEN two THEN parts[-2:] ELSE parts[-1:] END, '.') AS suffix, array_to_string(CASE WHEN two THEN parts[-3:] ELSE parts[-2:] END, '.') AS domain FROM t),
+d AS (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM h GROUP BY ALL),
+s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY ALL),
+g AS (SELECT (sum(k) + 1) / (sum(n) + 2)::DOUBLE AS m FROM s),
+{_shrunk_sql("s", "s.suffix", "g", "true")},
+{_shrunk_sql("d", "d.suffix, d.domain", "s_r", "d.suffix = s_r.suffix")},
+{_shrunk_sql("h", "h.host", "d_r", "h.suffix = d_r.suffix AND h.domain = d_r.domain")},
+judged AS (
+  SELECT l.page_id, l.host, l.path, m, least(1.0, m + {url_filter.Z} * sqrt(m * (1 - m) / (a + b + 1))) AS bound,
+    CASE {" ".join(f"WHEN (l.host = '{h}' OR l.host LIKE '%.{h}') AND starts_with(l.path, '{p}') THEN '{h}{p}:{what}'" for what, h, p in sorted(URL_RULES, key=lambda r: -len(r[1] + r[2])))} END AS won
+  FROM l JOIN h_r ON l.host = h_r.host
+)
+SELECT page_id, host, path, split_part(won, ':', 1) AS rule, coalesce(split_part(won, ':', 2), CASE WHEN bound < 0.5 THEN 'block' ELSE 'allow' END) AS verdict, round(m, 6) AS good_rate
+FROM judged
+"""
+
+
+@_query("op6_url_filters", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is the quality label of the document whose number its path gives (/lang/number)."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
