@@ -37,7 +37,8 @@ NOTICES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
-_COPYRIGHT_LINE = r"(?im)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©)[^\n]*\d{4}[^\n]*$|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
+#: Lines end at \n only (the flag d; RE2 has no other way).
+_COPYRIGHT_LINE = r"(?imd)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©)[^\n]*\d{4}[^\n]*$|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 
 
 def canonical(text: Column) -> Column:

@@ -30,6 +30,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 @_query("op2_token_counts")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
@@ -108,13 +112,68 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(labelled, URL_RULES, "good").select("page_id", "host", "path", "rule", "verdict", F.round("good_rate", 6).alias("good_rate"))
 
 
-@_query("op5_license_scans")
+def _canonical_sql(text: str) -> str:
+    out = f"trim(regexp_replace(lower(regexp_replace({text}, {_quoted(licenses._COPYRIGHT_LINE.replace('(?imd)', '(?im)'))}, ' ', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    for a, b in licenses.SPELLINGS:
+        out = f"replace({out}, {_quoted(a)}, {_quoted(b)})"
+    return out
+
+
+OP5_SQL = f"""
+WITH known AS (
+  SELECT sha256({_canonical_sql("t")}) AS d, min(id) AS id FROM (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licenses.NOTICES)}) AS v(id, t) GROUP BY 1
+),
+forms AS (SELECT doc_id, {_canonical_sql("text")} AS form FROM documents),
+lines AS (SELECT DISTINCT doc_id, {_canonical_sql("line")} AS form FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+hits AS (SELECT doc_id, array_to_string(list_sort(list(DISTINCT id)), ',') AS ids FROM lines JOIN known ON sha256(form) = d GROUP BY doc_id)
+SELECT f.doc_id, CASE WHEN form <> '' THEN sha256(form) END AS digest, known.id AS text_license, coalesce(ids, '') AS line_licenses
+FROM forms f LEFT JOIN known ON form <> '' AND sha256(form) = d LEFT JOIN hits ON hits.doc_id = f.doc_id
+"""
+
+
+@_query("op5_license_scans", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"), licenses.known_notices(spark))
     return found.select("doc_id", "digest", "text_license", F.array_join("line_licenses", ",").alias("line_licenses"))
 
 
-@_query("op4_benchmark_decontamination")
+def _template_sql(name: str, source: str, key: str) -> str:
+    """Steps that give (key, at, tokens, vals) for each window of a table's texts; a shorter text is one window at -1."""
+    units = ", ".join(map(_quoted, decontaminate.UNITS))
+    number = "substring({0}, 1, 1) BETWEEN '0' AND '9'".format
+    return f"""
+{name}_w AS (SELECT {key}, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM {source}),
+{name}_b AS (SELECT *, list_transform(words, lambda w: trim(w, {_quoted(decontaminate.PUNCTUATION)})) AS bares FROM {name}_w),
+{name}_t AS (
+  SELECT {key}, list_transform(bares, lambda b: lower(b)) AS vals, list_transform(bares, lambda b, i: CASE
+    WHEN {number("b")} THEN '<num>'
+    WHEN lower(b) = b THEN CASE WHEN b IN ({units}) AND i > 1 AND {number("bares[i - 1]")} THEN '<unit>' ELSE b END
+    WHEN i > 1 AND right(words[i - 1], 1) NOT IN ('.', '!', '?', ':') AND substring(b, 1, 1) <> substring(lower(b), 1, 1) THEN '<name>'
+    ELSE lower(b) END) AS tokens
+  FROM {name}_b
+),
+{name} AS (
+  SELECT {key}, place, tokens[place:place + {decontaminate.WINDOW - 1}] AS tokens, vals[place:place + {decontaminate.WINDOW - 1}] AS vals
+  FROM (SELECT *, unnest(range(1, len(tokens) - {decontaminate.WINDOW - 2})) AS place FROM {name}_t WHERE len(tokens) >= {decontaminate.WINDOW})
+  UNION ALL SELECT {key}, -1, tokens, vals FROM {name}_t WHERE len(tokens) BETWEEN 1 AND {decontaminate.WINDOW - 1}
+)"""
+
+
+_SLOTS = "len(list_distinct(list_filter(list_transform(d.tokens, lambda t, i: CASE WHEN t IN ('<num>', '<unit>', '<name>') THEN [t, {0}] END), lambda s: s IS NOT NULL)))".format
+OP4_SQL = f"""
+WITH {_template_sql("d", "documents", "doc_id")}, {_template_sql("m", "benchmark", "item_id")},
+told AS (SELECT DISTINCT item_id, tokens, vals FROM m WHERE len(list_filter(tokens, lambda t: t NOT IN ('<num>', '<unit>', '<name>', ''))) >= least({decontaminate.LEXICAL}, len(tokens))),
+met AS (
+  SELECT doc_id, place, item_id FROM d JOIN told ON d.tokens = told.tokens
+  WHERE {_SLOTS("d.vals[i], told.vals[i]")} = {_SLOTS("d.vals[i]")} AND {_SLOTS("d.vals[i], told.vals[i]")} = {_SLOTS("told.vals[i]")}
+),
+leaks AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, count(DISTINCT place) AS n_windows, min(item_id) AS item FROM met GROUP BY doc_id)
+SELECT doc_id, coalesce(n_items, 0) AS n_items, coalesce(n_windows, 0) AS n_windows, item, n_windows IS NOT NULL AS contaminated
+FROM documents LEFT JOIN leaks USING (doc_id)
+"""
+
+
+@_query("op4_benchmark_decontamination", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
