@@ -13,8 +13,6 @@ from pyspark.sql.window import Window
 
 from sentimart import resources as R
 
-MAX_REVIEWS_PER_APP = 500
-
 
 def watermarks_from(rows: DataFrame) -> DataFrame:
     """Newest review time per app (nulls skipped); apps without any time get no row."""
@@ -38,7 +36,7 @@ def incremental_filter(feed: DataFrame, watermarks: DataFrame, inclusive: bool =
     return j.filter(wm.isNull() | ts.isNull() | newer)
 
 
-def cap_per_app(rows: DataFrame, n: int = MAX_REVIEWS_PER_APP) -> DataFrame:
+def cap_per_app(rows: DataFrame, n: int) -> DataFrame:
     """The n newest rows per app (feed order: newest first, undated last).
 
     ``row_number() <= n`` becomes a partial top-n per map task, so a hot app never funnels
@@ -48,11 +46,11 @@ def cap_per_app(rows: DataFrame, n: int = MAX_REVIEWS_PER_APP) -> DataFrame:
     return rows.withColumn("feed_rank", F.row_number().over(w)).filter(F.col("feed_rank") <= n)
 
 
-def cap_report(rows: DataFrame, n: int = MAX_REVIEWS_PER_APP) -> DataFrame:
+def cap_report(rows: DataFrame, n: int) -> DataFrame:
     """Per app, rows offered, rows kept by the cap and rows skipped by it.
 
-    The reference caps newest-first and then moves the watermark to the newest date, so the
-    skipped rows are never fetched again; this makes the loss visible.
+    Jobs never cap unless asked; an asked-for cap leaves the app's watermark where it was as
+    long as rows are skipped (``uncapped_watermarks``), so later runs fetch them.
     """
     c = rows.groupBy("app_name").agg(F.count(F.lit(1)).alias("n_candidates"))
     return c.select("app_name", "n_candidates",
@@ -60,6 +58,23 @@ def cap_report(rows: DataFrame, n: int = MAX_REVIEWS_PER_APP) -> DataFrame:
                     F.greatest(F.col("n_candidates") - n, F.lit(0)).alias("skipped_by_cap"))
 
 
+def uncapped_watermarks(rows: DataFrame, n: int) -> DataFrame:
+    """Watermarks of the apps whose rows all fit under a cap of n; others must not advance."""
+    whole = cap_report(rows, n).filter("skipped_by_cap = 0").select("app_name")
+    return watermarks_from(rows.join(whole, "app_name", "left_semi"))
+
+
+def with_raw_ids(staged: DataFrame, target: DataFrame, pos_col: str) -> DataFrame:
+    """Row ids for rows that have none: above every id of the table and of the batch itself.
+
+    ``staged`` is a written table whose ``pos_col`` numbers its rows (any gaps), so ids are the
+    same at every reading; arrival order is kept within and across batches.
+    """
+    top = target.select("raw_id").union(staged.select("raw_id")).agg(F.coalesce(F.max("raw_id"), F.lit(-1)).alias("m"))
+    first = int(top.first()["m"]) + 1
+    return staged.withColumn("raw_id", F.coalesce("raw_id", F.lit(first) + F.col(pos_col))).drop(pos_col)
+
+
 def constraint_reason(kind: str = "raw") -> Column:
     """Q4: first violated constraint of a row, or null."""
     reason = (F.when(F.col("app_name").isNull(), F.lit("app_name_null"))

@@ -17,10 +17,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sentimart import schemas as S
-from sentimart.operators import ingest as I
 from sentimart.operators import process as P
 from sentimart.operators import quality as Q
-from sentimart.streaming.ingest import _read_or_empty, current_watermarks, raw_table
+from sentimart.streaming.ingest import _read_or_empty, commit_batch, raw_table
 
 
 @dataclass
@@ -50,19 +49,13 @@ def _gate(report: DataFrame, enforce: bool) -> list[tuple[str, int, bool]]:
 
 
 def run_pipeline(spark: SparkSession, feed_rows: DataFrame, root: str, run_id: int,
-                 max_per_app: int = I.MAX_REVIEWS_PER_APP, raw_min_rows: int = 100,
+                 max_per_app: int | None = None, raw_min_rows: int = 100,
                  processed_min_rows: int = 50, enforce_gates: bool = True,
                  resources: P.TextResources | None = None) -> RunResult:
     """One scheduled run over ``feed_rows`` (raw-table shaped rows of all apps)."""
-    # 1. ingest: watermark filter, cap, insert-or-ignore; raw rows first, then the watermark.
-    wm = current_watermarks(spark, root, exclude_batch=run_id)
-    fresh = I.incremental_filter(feed_rows, wm).drop("last_ts")
-    capped = I.cap_per_app(fresh, max_per_app).drop("feed_rank")
-    new_raw = I.insert_or_ignore(raw_table(spark, root, exclude_batch=run_id), capped)
-    raw_path = os.path.join(root, "raw", f"batch={run_id}")
-    raw_n = _write(new_raw.select(*S.RAW_COLUMNS), raw_path, f"raw_{run_id}")
-    I.watermarks_from(capped).write.mode("overwrite").parquet(
-        os.path.join(root, "watermarks", f"batch={run_id}"))
+    # 1. ingest: watermark filter, insert-or-ignore; raw rows first, then the watermark.
+    commit_batch(feed_rows, run_id, root, max_per_app)
+    raw_n = spark.read.schema(S.RAW).parquet(os.path.join(root, "raw", f"batch={run_id}")).count()
 
     # 2. raw gate over the whole raw table.
     raw_all = raw_table(spark, root)
@@ -75,5 +68,10 @@ def run_pipeline(spark: SparkSession, feed_rows: DataFrame, root: str, run_id: i
                     os.path.join(root, "processed", f"batch={run_id}"), f"processed_{run_id}")
 
     # 4. processed gate.
-    proc_gate = _gate(Q.dq_gate_processed(processed_table(spark, root), processed_min_rows), enforce_gates)
+    done = processed_table(spark, root)
+    proc_gate = _gate(Q.dq_gate_processed(done, processed_min_rows), enforce_gates)
+    missing = P.valid_for_processed(raw_all).count() - done.count()
+    proc_gate.append(("unprocessed_rows", missing, missing == 0))
+    if enforce_gates and missing:
+        raise Q.GateFailed(f"gate failed: {missing} valid raw rows have no processed row")
     return RunResult(run_id, raw_n, proc_n, raw_gate, proc_gate)

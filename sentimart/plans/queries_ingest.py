@@ -29,6 +29,10 @@ def _history_wm(spark, sf_dir):
     return I.watermarks_from(ST.feed_history(_feed(spark, sf_dir)))
 
 
+#: A cap is only ever an explicit argument; this one cuts rows at every scale.
+CAP = 7
+
+
 @register("watermark_lookup", W(WM, f"""SELECT r.raw_id, r.app_name, r.review_ts, w.last_ts FROM raw_reviews r
 LEFT JOIN wm w ON w.app_name = r.app_name WHERE r.review_ts >= {SPLIT}"""))
 def watermark_lookup(spark, sf_dir):
@@ -45,20 +49,20 @@ def incremental_filter(spark, sf_dir):
 
 @register("cap_per_app", W(INC, f"""SELECT raw_id, app_name, review_ts, last_ts, feed_rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY app_name ORDER BY review_ts DESC NULLS LAST, raw_id) AS INT) AS feed_rank
-  FROM inc) WHERE feed_rank <= {I.MAX_REVIEWS_PER_APP}"""))
+  FROM inc) WHERE feed_rank <= {CAP}"""))
 def cap_per_app(spark, sf_dir):
-    """Newest 500 rows per app of the incremental run."""
+    """The CAP newest rows per app of the incremental run."""
     rows = I.incremental_filter(_feed(spark, sf_dir), _history_wm(spark, sf_dir))
-    return I.cap_per_app(rows).withColumn("feed_rank", F.col("feed_rank").cast("int"))
+    return I.cap_per_app(rows, CAP).withColumn("feed_rank", F.col("feed_rank").cast("int"))
 
 
 @register("cap_report", W(INC, f"""SELECT app_name, count(*) AS n_candidates,
-  least(count(*), {I.MAX_REVIEWS_PER_APP}) AS n_kept, greatest(count(*) - {I.MAX_REVIEWS_PER_APP}, 0) AS skipped_by_cap
+  least(count(*), {CAP}) AS n_kept, greatest(count(*) - {CAP}, 0) AS skipped_by_cap
 FROM inc GROUP BY app_name"""))
 def cap_report(spark, sf_dir):
     """Rows the per-app cap keeps and skips in the incremental run."""
     rows = I.incremental_filter(_feed(spark, sf_dir), _history_wm(spark, sf_dir))
-    return I.cap_report(rows)
+    return I.cap_report(rows, CAP)
 
 
 @register("watermark_upsert", W(INC + [("new", """SELECT app_name, max(review_ts) AS last_ts FROM inc

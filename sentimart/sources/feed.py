@@ -15,31 +15,28 @@ from sentimart import schemas as S
 CORRUPT = "_corrupt_record"
 
 
-def read_feed(spark: SparkSession, root: str, keep_corrupt: bool = False) -> DataFrame:
-    """All landed feed records, every app in one scan (``app`` from the folder name).
-
-    With ``keep_corrupt`` the lines are read as text and parsed with ``from_json`` in PERMISSIVE
-    mode: a malformed line (bad JSON, or a value of the wrong type) keeps its text in
-    ``_corrupt_record`` instead of failing the job.
-    """
-    if not keep_corrupt:
-        return (spark.read.schema(S.FEED).option("mode", "PERMISSIVE").json(root)
-                .withColumn("feed_file", F.input_file_name()))
-    schema = T.StructType(S.FEED.fields + [T.StructField(CORRUPT, T.StringType())])
-    lines = spark.read.text(root)
+#: Lines with the app from the folder name; always a string ("007" stays "007").
+LINES = "value string, app string"
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """JSON lines (value, app) -> feed records; a malformed line keeps its text in ``_corrupt_record``."""
+    schema = T.StructType(S.FEED.fields + [T.StructField("feed_pos", T.LongType()), T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    cols = [c for c in lines.columns if c != "value"]
-    return (lines.filter(F.trim("value") != "")
-            .select(*cols, parsed.alias("r"), F.input_file_name().alias("feed_file"))
-            .select(*cols, "r.*", "feed_file"))
+    return lines.filter(F.trim("value") != "").select("app", parsed.alias("r"), F.input_file_name().alias("feed_file")).select("app", "r.*", "feed_file")
+
+
+def read_feed(spark: SparkSession, root: str) -> DataFrame:
+    """All landed feed records, every app in one scan, malformed lines marked (see ``split_rejects``)."""
+    return parse_lines(spark.read.schema(LINES).text(root))
 
 
-def stream_feed(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The same feed as a file stream (new files are picked up once)."""
-    reader = spark.readStream.schema(T.StructType(S.FEED.fields + [T.StructField("app", T.StringType())]))
+def stream_lines(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The feed's lines as a file stream (new files are picked up once); parsed inside the batch."""
+    reader = spark.readStream.schema(LINES)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(root)
+    return reader.text(root)
 
 
 def split_rejects(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -56,7 +53,8 @@ def split_rejects(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def map_feed_record(feed: DataFrame, scraped_at: str | None = None) -> DataFrame:
     """S3: feed record -> raw row. Field names change, app name and scrape time are added."""
     scraped = F.lit(scraped_at).cast("timestamp_ntz") if scraped_at else F.localtimestamp()
-    pos = F.col("feed_pos") if "feed_pos" in feed.columns else F.monotonically_increasing_id()
+    # Without a position in the feed the id stays null until the batch is stored (with_raw_ids).
+    pos = F.col("feed_pos") if "feed_pos" in feed.columns else F.lit(None)
     return feed.select(
         pos.cast("long").alias("raw_id"),
         F.current_timestamp().alias("ingested_at"),

@@ -4,13 +4,18 @@ Feed files land under ``<feed_root>/app=<name>/*.json``. The ingest stream reads
 file source (each file once, progress in the checkpoint) and runs one ``foreachBatch`` per
 micro-batch:
 
-1. feed record -> raw row (S3);
-2. per-app watermark from the watermark log, strict ``>`` filter (F1, I1);
-3. newest ``max_per_app`` per app (F2);
+1. parse the lines; malformed ones go to ``rejects/batch=<id>`` with their text (S14);
+2. feed record -> raw row (S3), stored in ``staged/batch=<id>``; rows without a feed position
+   get ids above all ids in use, once (``with_raw_ids``);
+3. per-app watermark from the watermark log, strict ``>`` filter (F1, I1);
 4. insert-or-ignore against the raw table written so far (S7, I2: global uniqueness);
+   constraint violations go to the rejects too, and each app's counts to ``runs/batch=<id>``;
 5. write ``raw/batch=<id>`` and then ``watermarks/batch=<id>`` (the watermark goes last; it is
    the newest date among the rows read, ignored duplicates included).
 
+No row is capped unless ``max_per_app`` is given; then an app's watermark stays where it is as
+long as the cap skips rows of it, so that a later run fetches them.
+
 Each batch writes only folders named by its batch id, with overwrite: a replayed batch (after a
 lost executor or driver) rewrites the same folders, and it reads the tables *without* its own
 folder, so a half-written attempt never hides rows from the replay. The watermark log is
@@ -21,7 +26,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,12 +34,6 @@ from sentimart import schemas as S
 from sentimart.operators import ingest as I
 from sentimart.sources import feed as FD
 
-FEED_STREAM_SCHEMA = T.StructType(S.FEED.fields + [
-    T.StructField("feed_pos", T.LongType()),
-    T.StructField("app", T.StringType()),
-])
-
-
 def land_feed(rows: DataFrame, feed_root: str) -> None:
     """Append feed records (``sources.tables.as_feed`` shape) as JSON lines, one folder per app."""
     rows.write.mode("append").partitionBy("app").json(feed_root)
@@ -53,10 +51,7 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, exclude
     with_batch = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    try:
-        df = spark.read.schema(with_batch).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    df = spark.read.schema(with_batch).parquet(path)
     if exclude_batch is not None:
         df = df.filter(F.col("batch") != exclude_batch)
     return df.drop("batch")
@@ -71,40 +66,78 @@ def raw_table(spark: SparkSession, tables_root: str, exclude_batch: int | None =
     return _read_or_empty(spark, os.path.join(tables_root, "raw"), S.RAW, exclude_batch)
 
 
-def ingest_batch(batch: DataFrame, batch_id: int, tables_root: str, max_per_app: int = I.MAX_REVIEWS_PER_APP,
-                 scraped_at: str | None = None) -> None:
-    spark = batch.sparkSession
-    rows = FD.map_feed_record(batch, scraped_at)
-    wm = current_watermarks(spark, tables_root, exclude_batch=batch_id)
-    fresh = I.incremental_filter(rows, wm).drop("last_ts")
-    capped = I.cap_per_app(fresh, max_per_app).drop("feed_rank")
+def _batch_path(root: str, table: str, batch_id: int) -> str:
+    return os.path.join(root, table, f"batch={batch_id}")
+
+
+def commit_batch(rows: DataFrame, batch_id: int, tables_root: str, max_per_app: int | None = None,
+                 malformed: DataFrame | None = None) -> DataFrame:
+    """Store one batch of raw-shaped rows; returns the batch's run counts (one row per app).
+
+    read = too old + rejected + ignored + capped + inserted, for every app.
+    """
+    spark = rows.sparkSession
+    staged = _batch_path(tables_root, "staged", batch_id)
+    rows.select(*S.RAW_COLUMNS).withColumn("_pos", F.monotonically_increasing_id()).write.mode("overwrite").parquet(staged)
     target = raw_table(spark, tables_root, exclude_batch=batch_id)
-    new = I.insert_or_ignore(target, capped).select(*S.RAW_COLUMNS)
-    out = os.path.join(tables_root, "raw", f"batch={batch_id}")
-    new.write.mode("overwrite").parquet(out)
-    # The watermark covers every row read in this batch (ignored duplicates included, as the
-    # reference tracks the newest date it has seen), and is written only after the raw commit.
-    I.watermarks_from(capped).write.mode("overwrite").parquet(
-        os.path.join(tables_root, "watermarks", f"batch={batch_id}"))
+    read = I.with_raw_ids(spark.read.parquet(staged), target, "_pos")
+    wm = current_watermarks(spark, tables_root, exclude_batch=batch_id)
+    fresh = I.incremental_filter(read, wm).drop("last_ts")
+    new = I.insert_or_ignore(target, fresh).select(*S.RAW_COLUMNS)
+    # Duplicates go before the cap: a run never spends its cap on rows that are stored already.
+    capped = new if max_per_app is None else I.cap_per_app(new, max_per_app).drop("feed_rank")
+    raw_path = _batch_path(tables_root, "raw", batch_id)
+    capped.write.mode("overwrite").parquet(raw_path)
+
+    rejects = I.constraint_rejects(fresh).filter("reason <> 'duplicate_review_id'")
+    rejects = rejects.select("app_name", F.col("raw_id").cast("string").alias("line"), "reason")
+    if malformed is not None:
+        rejects = rejects.unionByName(malformed.select(F.col("app").alias("app_name"), "line", "reason"))
+    rejects.write.mode("overwrite").parquet(_batch_path(tables_root, "rejects", batch_id))
+    counts = _run_counts(read, fresh, spark.read.schema(rejects.schema).parquet(_batch_path(tables_root, "rejects", batch_id)),
+                         spark.read.schema(S.RAW).parquet(raw_path))
+    counts.write.mode("overwrite").parquet(_batch_path(tables_root, "runs", batch_id))
+
+    # The watermark is written only after the raw commit and never passes rows that were skipped.
+    seen = I.watermarks_from(fresh)
+    if max_per_app is not None:
+        held = I.cap_report(new, max_per_app).filter("skipped_by_cap > 0").select("app_name")
+        seen = seen.join(held, "app_name", "left_anti")
+    seen.write.mode("overwrite").parquet(_batch_path(tables_root, "watermarks", batch_id))
+    return spark.read.schema(counts.schema).parquet(_batch_path(tables_root, "runs", batch_id))
+
+
+def _run_counts(read: DataFrame, fresh: DataFrame, rejects: DataFrame, stored: DataFrame) -> DataFrame:
+    """Per app, lines read, malformed, too old, rejected by a constraint, not stored otherwise
+    (duplicates, or over an asked-for cap) and inserted; one partial sum over the four tables."""
+    def tag(df: DataFrame, name: str) -> DataFrame:
+        return df.select("app_name", F.lit(name).alias("t"))
+
+    bad = F.when(F.col("reason") == "malformed_record", F.lit("malformed")).otherwise(F.lit("rejected"))
+    tagged = (tag(read, "read").unionByName(tag(fresh, "fresh")).unionByName(tag(stored, "stored"))
+              .unionByName(rejects.select("app_name", bad.alias("t"))))
+    n = {t: F.count(F.when(F.col("t") == t, 1)) for t in ("read", "fresh", "malformed", "rejected", "stored")}
+    return tagged.groupBy("app_name").agg(
+        (n["read"] + n["malformed"]).alias("n_read"), n["malformed"].alias("n_malformed"),
+        (n["read"] - n["fresh"]).alias("n_old"), n["rejected"].alias("n_rejected"),
+        (n["fresh"] - n["rejected"] - n["stored"]).alias("n_ignored"), n["stored"].alias("n_inserted"))
+
+
+def ingest_batch(lines: DataFrame, batch_id: int, tables_root: str, max_per_app: int | None = None,
+                 scraped_at: str | None = None) -> None:
+    """One micro-batch of feed lines (value, app)."""
+    good, malformed = FD.split_rejects(FD.parse_lines(lines))
+    commit_batch(FD.map_feed_record(good, scraped_at), batch_id, tables_root, max_per_app, malformed)
 
 
 def run_ingest_stream(spark: SparkSession, feed_root: str, tables_root: str, checkpoint: str,
-                      max_per_app: int = I.MAX_REVIEWS_PER_APP, scraped_at: str | None = None,
-                      dedupe_watermark: str | None = None) -> None:
+                      max_per_app: int | None = None, scraped_at: str | None = None) -> None:
     """Process every feed file landed so far, then stop (``availableNow``).
 
-    ``dedupe_watermark`` (e.g. "30 days") adds ``dropDuplicatesWithinWatermark`` on the review
-    id inside the stream: bounded state that drops replays early; the anti join in the batch
-    keeps uniqueness exact beyond that horizon.
+    Uniqueness of review ids is exact through the insert-or-ignore of each batch, for any delay;
+    the stream itself keeps no state, so late rows and rows without an id are never dropped.
     """
-    stream = spark.readStream.schema(FEED_STREAM_SCHEMA).json(feed_root)
-    if dedupe_watermark:
-        # Event-time watermarks need TIMESTAMP; the feed time is wall-clock (NTZ), session UTC.
-        stream = (stream.withColumn("_event_ts", F.col("at").cast("timestamp"))
-                  .withWatermark("_event_ts", dedupe_watermark)
-                  .dropDuplicatesWithinWatermark(["reviewId"])
-                  .drop("_event_ts"))
-    q = (stream.writeStream
+    q = (FD.stream_lines(spark, feed_root).writeStream
          .foreachBatch(lambda df, bid: ingest_batch(df, bid, tables_root, max_per_app, scraped_at))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
