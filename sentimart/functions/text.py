@@ -12,6 +12,7 @@ same way: no back-references, no look-behind, explicit character classes instead
 from __future__ import annotations
 
 import re
+from html.entities import name2codepoint
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -29,17 +30,12 @@ WS_CLASS = (
 HTML_COMMENT = r"(?s)<!--.*?-->"
 HTML_SCRIPT = r"(?s)<script(?:[^a-z0-9>][^>]*)?>.*?</script[^>]*>"
 HTML_STYLE = r"(?s)<style(?:[^a-z0-9>][^>]*)?>.*?</style[^>]*>"
-HTML_TAG = r"</?[a-z!][^>]*>"
-# Entities decoded after the tags are gone; ``&amp;`` last so ``&amp;lt;`` stays ``&lt;``.
-HTML_ENTITIES: tuple[tuple[str, str], ...] = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&amp;", "&"),
-)
+# A quoted attribute value may hold ">".
+HTML_TAG = r"""</?[a-z!](?:[^>"']+|"[^"]*"|'[^']*')*>"""
+# Character references are decoded after the tags are gone, each once. Names: the HTML 4 set in
+# lower case (the text is), taken from the standard library.
+ENTITY = "^(#x[0-9a-f]{1,6}|#[0-9]{1,7}|[a-z0-9]{2,8});"
+ENTITIES: dict[str, str] = {name: chr(code) for name, code in sorted(name2codepoint.items()) if name == name.lower()} | {"apos": "'"}
 
 URL = rf"http[^{WS_CLASS}]+|www[^{WS_CLASS}]+"
 # Union of the reference's emoji ranges: {U+200D, U+231A, U+23CF, U+23E9} and U+24C2..U+10FFFF.
@@ -53,7 +49,10 @@ TOKEN_SPLIT = r"\b(" + "|".join(
 
 
 def contraction_regex(pattern: str) -> str:
-    """Regex for a contraction rule; an apostrophe matches the straight and the curly one."""
+    """Regex for a contraction rule; an apostrophe matches the straight and the curly one, "=" marks a whole word."""
+    if pattern.startswith("="):
+        edge = "" if pattern[1] == "'" else r"\b"
+        return edge + contraction_regex(pattern[1:]) + r"\b"
     return "".join("['’]" if ch == "'" else re.escape(ch) for ch in pattern)
 
 
@@ -68,9 +67,26 @@ def strip_html(c: Column) -> Column:
     out = F.regexp_replace(out, HTML_SCRIPT, "")
     out = F.regexp_replace(out, HTML_STYLE, "")
     out = F.regexp_replace(out, HTML_TAG, "")
-    for entity, char in HTML_ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    return decode_entities(out)
+
+
+def decode_entities(c: Column) -> Column:
+    """Named and numeric character references; unknown ones stay as they are."""
+    table = F.expr("map(" + ", ".join(f"'{k}', decode(unhex('{v.encode().hex()}'), 'UTF-8')" for k, v in ENTITIES.items()) + ")")
+
+    def char(code: Column) -> Column:
+        ok = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+    def part(p: Column, i: Column) -> Column:
+        name = F.regexp_extract(p, ENTITY, 1)
+        found = (F.when(name.startswith("#x"), char(F.conv(F.substring(name, 3, 6), 16, 10).cast("long")))
+                 .when(name.startswith("#"), char(F.substring(name, 2, 7).cast("long")))
+                 .otherwise(F.try_element_at(table, name)))
+        return F.when((i == 0) | (name == ""), F.concat(F.when(i > 0, F.lit("&")).otherwise(F.lit("")), p)).otherwise(
+            F.concat(F.coalesce(found, F.concat(F.lit("&"), name, F.lit(";"))), F.substr(p, F.length(name) + 2)))
+
+    return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, "&"), part), "")).otherwise(c)
 
 
 def strip_urls(c: Column) -> Column:
@@ -151,7 +167,7 @@ def add_clean_tokens(df: DataFrame, src: str, dst: str, stopwords: Iterable[str]
     df = _guarded(df, t, ("<", "&"), strip_html)
     df = _guarded(df, t, ("http", "www"), strip_urls)
     df = df.withColumn(t, strip_emoji(F.col(t)))
-    df = _guarded(df, t, ("'", "’"), expand_contractions)
+    df = _guarded(df, t, ("'", "’", *R.SLANG), expand_contractions)
     df = df.withColumn(t, keep_letters(F.col(t)))
     df = _guarded(df, t, tuple(w for w, _, _ in R.TOKEN_SPLITS),
                   lambda c: F.regexp_replace(c, TOKEN_SPLIT, "$1 "))

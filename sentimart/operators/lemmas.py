@@ -4,8 +4,8 @@ The reference calls a dictionary lemmatizer per token. Here the work is done onc
 token, not per occurrence:
 
 1. candidates = the token itself plus one form per matching noun suffix rule;
-2. keep candidates found in the vocabulary (a semi join; the vocabulary defaults to the
-   corpus' own distinct tokens when no dictionary is given);
+2. keep candidates found in the dictionary (a semi join; a seed dictionary by default), so one
+   text has one result whatever else is in its batch;
 3. the shortest kept candidate wins, ties going to the token itself, then to rule order;
 4. the irregular-form table overrides the rules.
 
@@ -40,10 +40,10 @@ def lemma_map(vocab: DataFrame, lemmas: DataFrame | None = None,
               dictionary: DataFrame | None = None, rules=R.NOUN_SUFFIX_RULES) -> DataFrame:
     """(token, lemma) for every vocabulary token whose lemma differs from it.
 
-    ``vocab``: distinct tokens to lemmatise. ``dictionary``: known words (defaults to ``vocab``).
+    ``vocab``: distinct tokens to lemmatise. ``dictionary``: known words (default: the seed).
     ``lemmas``: irregular forms (token, lemma), applied before the rules.
     """
-    known = (dictionary if dictionary is not None else vocab).select(F.col("token").alias("cand"))
+    known = (dictionary if dictionary is not None else R.dictionary_df(vocab.sparkSession)).select(F.col("token").alias("cand"))
     cands = candidate_forms(vocab, rules).join(known, "cand", "left_semi")
     best = cands.groupBy("token").agg(
         F.min(F.struct(F.length("cand").alias("len"), F.col("ord"), F.col("cand"))).alias("b")
@@ -51,7 +51,6 @@ def lemma_map(vocab: DataFrame, lemmas: DataFrame | None = None,
     by_rule = best.select("token", F.col("b.cand").alias("lemma")).filter(F.col("lemma") != F.col("token"))
     if lemmas is None:
         return by_rule
-    # The irregular table is a bounded resource: broadcast it and stream the vocabulary.
-    irregular = vocab.join(F.broadcast(lemmas.select("token", "lemma")), "token")
+    irregular = vocab.join(lemmas.select("token", "lemma"), "token")
     return by_rule.join(irregular.select("token"), "token", "left_anti").unionByName(irregular)
 

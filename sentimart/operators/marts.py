@@ -82,19 +82,22 @@ def app_names(raw: DataFrame, processed: DataFrame) -> DataFrame:
     return raw.select("app_name").union(processed.select("app_name")).distinct()
 
 
-def join_examples(raw: DataFrame, processed: DataFrame, match_null_ids: bool = True) -> DataFrame:
+def join_examples(raw: DataFrame, processed: DataFrame, pair_null_ids: bool = False) -> DataFrame:
     """Raw rows of each app with the label and score of the same app's processed row.
 
-    The review id matches null-safely (as the reference's merge does); an app without any
-    processed row gets 'Unknown'. The join keys are (app_name, review_id), so the per-app
-    merge of the reference runs for all apps in one equi-join. Null ids matching each other
-    multiplies rows (raw nulls x processed nulls of an app); ``match_null_ids=False`` turns
-    that off.
+    Rows match on the review id; rows without one match on their own ``raw_id``, so an app's
+    null ids never meet each other. ``pair_null_ids=True`` pairs all of them, as a null-safe merge
+    does (raw nulls x processed nulls of an app). An app without any processed row gets 'Unknown'.
     """
     p = processed.select(
-        F.col("app_name").alias("_p_app"), F.col("review_id").alias("_p_rid"),
+        F.col("app_name").alias("_p_app"), F.col("review_id").alias("_p_rid"), F.col("raw_id").alias("_p_raw"),
         "sentiment", "sentiment_score")
-    id_match = raw.review_id.eqNullSafe(p._p_rid) if match_null_ids else raw.review_id == p._p_rid
+    if pair_null_ids:
+        id_match = raw.review_id.eqNullSafe(p._p_rid)
+    else:
+        def own(rid, row):
+            return F.coalesce(rid, F.concat(F.lit("\u0000null:"), row.cast("string")))
+        id_match = own(raw.review_id, raw.raw_id) == own(p._p_rid, p._p_raw)
     j = raw.join(p, (raw.app_name == p._p_app) & id_match, "left")
     has_processed = processed.select(F.col("app_name").alias("_h_app")).distinct() \
         .withColumn("_has", F.lit(True))

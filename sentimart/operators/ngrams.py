@@ -116,7 +116,6 @@ def theme_counts(processed: DataFrame, themes: DataFrame) -> DataFrame:
     docs = ngram_docs(processed)
     toks = (docs.select("app_name", "raw_id", F.explode_outer(F.array_distinct("toks")).alias("token"))
             .filter(F.col("token").isNotNull()))
-    themes = R.bounded(themes.select("theme", "token"), "themes")  # a resource: checked, then broadcast
-    hits = toks.join(F.broadcast(themes), "token")
+    hits = toks.join(themes.select("theme", "token"), "token")
     return (hits.select("app_name", "theme", "raw_id").distinct()
             .groupBy("app_name", "theme").agg(F.count(F.lit(1)).alias("review_count")))

@@ -12,9 +12,8 @@ Plan, per batch of raw rows:
 * the document attributes (no tokens: Catalyst prunes the text work from that side) joined
   with the per-document result by ``raw_id``. Texts are tokenized only where tokens are used.
 
-No Python UDF, no collect. Resource tables (lexicon, irregular lemmas) are bounded and
-broadcast; the lemma map grows with the vocabulary, so it is joined without a hint and AQE
-picks broadcast or sort-merge from its measured size.
+No Python UDF, no collect. Resource tables (lexicon, irregular lemmas, dictionary) and the lemma
+map are joined without a hint: AQE picks broadcast or sort-merge from their measured sizes.
 """
 
 from __future__ import annotations
@@ -23,7 +22,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sentimart import resources as R
 from sentimart.functions import sentiment as SF
@@ -34,23 +32,22 @@ from sentimart.operators.lemmas import lemma_map
 
 @dataclass
 class TextResources:
-    """Resource tables used by the transform. ``None`` -> built-in seed (``dictionary``: corpus)."""
+    """Resource tables used by the transform. ``None`` -> built-in seed."""
 
     stopwords: tuple[str, ...] = R.STOPWORDS
     lexicon: DataFrame | None = None
     lemmas: DataFrame | None = None
     dictionary: DataFrame | None = None
-    # "lexicon": sum of valences; "vader": plus booster, negation and 'least' rules.
-    mode: str = "lexicon"
+    # "vader": valences with booster, negation and 'least' rules; "lexicon": their plain sum.
+    mode: str = "vader"
     boosters: tuple[tuple[str, float], ...] = R.BOOSTER_SEED
     negators: tuple[str, ...] = R.NEGATOR_SEED
 
     def resolve(self, spark: SparkSession) -> "TextResources":
         if self.mode not in ("lexicon", "vader"):
             raise ValueError(f"unknown sentiment mode {self.mode}")
-        # User tables are broadcast: check they are resource-sized (one small count each).
-        lexicon = R.bounded(self.lexicon, "lexicon") if self.lexicon is not None else R.lexicon_df(spark)
-        lemmas = R.bounded(self.lemmas, "lemmas") if self.lemmas is not None else R.lemmas_df(spark)
+        lexicon = self.lexicon if self.lexicon is not None else R.lexicon_df(spark)
+        lemmas = self.lemmas if self.lemmas is not None else R.lemmas_df(spark)
         return TextResources(self.stopwords, lexicon, lemmas, self.dictionary, self.mode,
                              self.boosters, self.negators)
 
@@ -60,17 +57,6 @@ def valid_for_processed(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("app_name").isNotNull() & F.col("rating").between(1, 5))
 
 
-def first_per_review_id(raw: DataFrame) -> DataFrame:
-    """First row (lowest raw_id) per review_id; rows with a null id never conflict.
-
-    ``row_number() = 1`` becomes a partial WindowGroupLimit before the shuffle, so even a key
-    that holds a third of the rows sends one row per map task.
-    """
-    key = F.coalesce(F.col("review_id"), F.concat(F.lit("\u0000null:"), F.col("raw_id").cast("string")))
-    w = Window.partitionBy(key).orderBy("raw_id")
-    return raw.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
 def tokenized(raw: DataFrame, stopwords=R.STOPWORDS, text_col: str = "review_text") -> DataFrame:
     return TF.add_clean_tokens(raw, text_col, "_toks", stopwords)
 
@@ -89,7 +75,7 @@ def token_occurrences(docs: DataFrame, tokens_col: str = "_toks") -> DataFrame:
 def token_table(vocab: DataFrame, res: TextResources) -> DataFrame:
     """(token, lemma, valence) for tokens that change or carry a valence; others are absent."""
     lm = lemma_map(vocab, res.lemmas, res.dictionary)
-    lex = F.broadcast(res.lexicon.select(F.col("token").alias("form"), "valence"))
+    lex = res.lexicon.select(F.col("token").alias("form"), "valence")
     info = (
         vocab.join(lm, "token", "left")
         .withColumn("form", F.coalesce(F.col("lemma"), F.col("token")))
@@ -125,15 +111,16 @@ def lemmatized(docs: DataFrame, res: TextResources, keep: list[str],
     """``docs`` (raw_id, text, ...) -> ``keep`` columns + lemmas, word_count, _vsum.
 
     The tokens feed the vocabulary (four uses inside the lemma job), the hit join and the
-    final rewrite. Each document's token array is written once to the shared checkpoint folder
-    (``checkpoint()``, reliable, not local), so the regex chain runs once per text and a lost
-    executor re-reads tokens instead of re-tokenizing.
+    final rewrite. Attributes and tokens are written once to the shared checkpoint folder
+    (``checkpoint()``, reliable, not local), so the regex chain and whatever dedupe stands before
+    it run once per text; only the small per-document result is joined to them.
     """
-    toks = tokenized(docs.select("raw_id", "review_text"), res.stopwords).select("raw_id", "_toks")
+    whole = tokenized(docs, res.stopwords).select(*dict.fromkeys(["raw_id", *keep]), "_toks")
     if materialize:
         from sentimart.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(toks.sparkSession)
-        toks = toks.checkpoint(eager=True)
+        ensure_checkpoint_dir(whole.sparkSession)
+        whole = whole.checkpoint(eager=True)
+    toks = whole.select("raw_id", "_toks")
     occ = token_occurrences(toks)
     vocab = occ.select("token").distinct()
     if materialize:
@@ -141,17 +128,15 @@ def lemmatized(docs: DataFrame, res: TextResources, keep: list[str],
         # Spark would not reuse one exchange. Distinct tokens are small: write them once.
         vocab = vocab.checkpoint(eager=True)
     agg = per_document(occ, token_table(vocab, res), res)
-    t = toks.join(agg, "raw_id", "left")
+    t = whole.join(agg, "raw_id", "left")
     lemmas = F.transform(F.col("_toks"), lambda x: F.coalesce(F.try_element_at(F.col("_changes"), x), x))
-    t = t.select("raw_id", lemmas.alias("lemmas"), F.size("_toks").cast("int").alias("word_count"),
+    t = t.select(*keep, lemmas.alias("lemmas"), F.size("_toks").cast("int").alias("word_count"),
                  "_vsum", *(["_hits"] if res.mode == "vader" else []))
     if res.mode == "vader":
         t = t.withColumn("_vsum", SF.heuristic_valence_sum(
             F.col("lemmas"), F.coalesce(F.col("_hits"), F.array().cast("array<struct<pos:int,valence:double>>")),
             res.boosters, res.negators)).drop("_hits")
-    return docs.select(*keep).join(t, "raw_id", "left") \
-        .withColumn("lemmas", F.coalesce(F.col("lemmas"), F.array().cast("array<string>"))) \
-        .withColumn("word_count", F.coalesce(F.col("word_count"), F.lit(0)))
+    return t
 
 
 def process_reviews(raw: DataFrame, res: TextResources | None = None,
@@ -159,15 +144,14 @@ def process_reviews(raw: DataFrame, res: TextResources | None = None,
     """Raw rows -> processed rows not yet in ``existing`` (schema: ``schemas.PROCESSED``)."""
     spark = raw.sparkSession
     res = (res or TextResources()).resolve(spark)
-    # First row per key before the anti joins: equal result, and a hot key is cut map-side.
-    todo = first_per_review_id(valid_for_processed(raw))
+    # Ids only: first rows per review id and pending ids are found on two key columns; the rows
+    # with their text are read once, through a semi join on the ids that are left.
+    from sentimart.operators.ingest import anti_join_existing, first_arrivals
+    valid = valid_for_processed(raw)
+    ids = first_arrivals(valid.select("raw_id", "review_id"))
     if existing is not None:
-        # Ids only: the pending raw_ids are found on two key columns, then the raw rows (with
-        # their text) are kept by a semi join on that (usually small) pending set.
-        from sentimart.operators.ingest import anti_join_existing
-        ids = todo.select("raw_id", "review_id")
-        pending = anti_join_existing(anti_join_existing(ids, existing, "raw_id"), existing, "review_id")
-        todo = todo.join(pending.select("raw_id"), "raw_id", "left_semi")
+        ids = anti_join_existing(anti_join_existing(ids, existing, "raw_id"), existing, "review_id")
+    todo = valid.join(ids.select("raw_id"), "raw_id", "left_semi")
     keep = ["raw_id", "app_name", "review_id", "rating", "review_ts", "review_text"]
     scored = lemmatized(todo, res, keep)
     score = SF.compound(F.col("_vsum"))

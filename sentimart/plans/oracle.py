@@ -67,9 +67,17 @@ def strip_html(x: str) -> str:
     out = rx(out, TF.HTML_SCRIPT)
     out = rx(out, TF.HTML_STYLE)
     out = rx(out, TF.HTML_TAG)
-    for entity, char in TF.HTML_ENTITIES:
-        out = f"replace({out}, {q(entity)}, {q(char)})"
-    return out
+    table = "MAP {" + ", ".join(f"'{k}': chr({ord(v)})" for k, v in TF.ENTITIES.items()) + "}"
+    name = f"regexp_extract(p, {q(TF.ENTITY)}, 1)"
+
+    def char(code: str) -> str:
+        return f"(CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr(CAST({code} AS INT)) ELSE chr(65533) END)"
+
+    found = (f"CASE WHEN starts_with({name}, '#x') THEN {char(f'CAST(CAST(concat(chr(48), chr(120), substr({name}, 3)) AS INT) AS BIGINT)')} "
+             f"WHEN starts_with({name}, '#') THEN {char(f'CAST(substr({name}, 2) AS BIGINT)')} ELSE {table}[{name}] END")
+    part = (f"CASE WHEN i = 1 THEN p WHEN {name} = '' THEN '&' || p "
+            f"ELSE coalesce({found}, '&' || {name} || ';') || substr(p, length({name}) + 2) END")
+    return f"(CASE WHEN contains({out}, '&') THEN array_to_string(list_transform(string_split({out}, '&'), lambda p, i: {part}), '') ELSE {out} END)"
 
 
 def strip_urls(x: str) -> str:
@@ -184,7 +192,7 @@ def lemma_ctes(prefix: str, docs: str) -> list[tuple[str, str]]:
 FROM (SELECT token, unnest([{', '.join(cand_structs)}]) AS c FROM {p}_vocab)
 WHERE struct_extract(c, 'cand') IS NOT NULL AND struct_extract(c, 'cand') <> ''"""),
         (f"{p}_rule", f"""SELECT token, cand AS lemma FROM {p}_cand
-WHERE cand IN (SELECT token FROM {p}_vocab)
+WHERE list_contains({str_list(R.DICTIONARY_SEED)}, cand)
 QUALIFY row_number() OVER (PARTITION BY token ORDER BY length(cand), ord) = 1"""),
         (f"{p}_irr", f"SELECT token, lemma FROM {values(R.LEMMA_SEED, 'token, lemma')} "
                      f"WHERE token IN (SELECT token FROM {p}_vocab)"),
@@ -195,10 +203,12 @@ UNION ALL SELECT token, lemma FROM {p}_irr"""),
         (f"{p}_tok", f"""SELECT v.token, m.lemma, x.valence FROM {p}_vocab v
 LEFT JOIN {p}_lm m ON m.token = v.token
 LEFT JOIN {p}_lex x ON x.token = coalesce(m.lemma, v.token)"""),
-        (f"{p}_lem", f"""SELECT o.raw_id,
-  string_agg(coalesce(t.lemma, o.token), ' ' ORDER BY o.pos) AS cleaned_text,
-  count(*) AS word_count, sum(t.valence) AS vsum
+        (f"{p}_agg", f"""SELECT o.raw_id, list(coalesce(t.lemma, o.token) ORDER BY o.pos) AS lemmas,
+  list({{'pos': o.pos, 'v': t.valence}} ORDER BY o.pos) FILTER (WHERE t.valence IS NOT NULL) AS hits,
+  sum(t.valence) AS lsum
 FROM {p}_occ o LEFT JOIN {p}_tok t ON t.token = o.token GROUP BY o.raw_id"""),
+        (f"{p}_lem", f"""SELECT raw_id, array_to_string(lemmas, ' ') AS cleaned_text, len(lemmas) AS word_count,
+  lsum, {vader_sum('lemmas', 'hits')} AS vsum FROM {p}_agg"""),
     ]
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sentimart import resources as R
 from sentimart.operators import marts as M
 from sentimart.operators import ngrams as N
+from sentimart.operators import process as PR
 from sentimart.operators import quality as Q
 from sentimart.plans import oracle as O
 from sentimart.plans.catalog import register
@@ -127,13 +128,22 @@ def term_weights(spark, sf_dir):
     return N.term_weights(processed(spark, sf_dir))
 
 
-@register("theme_counts", W(NG + [("themes", O.values(R.THEMES, "theme, token"))], """SELECT app_name, theme,
-  count(DISTINCT raw_id) AS review_count
+# The driver texts hold none of the theme words; the golden rows do (as an app of their own).
+_THEMED = P + [("gt_docs", f"SELECT raw_id, {O.clean_tokens('review_text')} AS toks FROM {O.values(R.GOLDEN_TEXT, 'raw_id, review_text')}")]
+_THEMED += O.lemma_ctes("gt", "gt_docs") + [
+    ("themed", "SELECT app_name, raw_id, cleaned_text FROM processed UNION ALL SELECT 'golden', raw_id, cleaned_text FROM gt_lem"),
+    ("nd", f"SELECT app_name, raw_id, {O.ngram_tokens('cleaned_text')} AS toks FROM themed WHERE cleaned_text IS NOT NULL"),
+    ("themes", O.values(R.THEMES, "theme, token"))]
+
+
+@register("theme_counts", W(_THEMED, """SELECT app_name, theme, count(DISTINCT raw_id) AS review_count
 FROM (SELECT app_name, raw_id, unnest(list_distinct(toks)) AS token FROM nd) x JOIN themes USING (token)
 GROUP BY app_name, theme"""))
 def theme_counts(spark, sf_dir):
     """Reviews per app mentioning price, shipping, product, app, service."""
-    return N.theme_counts(processed(spark, sf_dir), R.themes_df(spark))
+    golden = PR.clean_text_only(R.golden_text_df(spark)).select(F.lit("golden").alias("app_name"), "raw_id", "cleaned_text")
+    docs = processed(spark, sf_dir).select("app_name", "raw_id", "cleaned_text").unionByName(golden)
+    return N.theme_counts(docs, R.themes_df(spark))
 
 
 # ------------------------------------------------------------------------------ joins and examples
@@ -141,7 +151,8 @@ JX = P + [("ex", """SELECT r.raw_id, r.app_name, r.review_id, r.rating, r.review
   CASE WHEN h.app_name IS NULL THEN 'Unknown' ELSE p.sentiment END AS sentiment,
   CASE WHEN h.app_name IS NULL THEN NULL ELSE p.sentiment_score END AS sentiment_score
 FROM raw_reviews r
-LEFT JOIN processed p ON p.app_name = r.app_name AND p.review_id IS NOT DISTINCT FROM r.review_id
+LEFT JOIN processed p ON p.app_name = r.app_name
+  AND (p.review_id = r.review_id OR (p.review_id IS NULL AND r.review_id IS NULL AND p.raw_id = r.raw_id))
 LEFT JOIN (SELECT DISTINCT app_name FROM processed) h ON h.app_name = r.app_name""")]
 
 

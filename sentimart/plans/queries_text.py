@@ -193,25 +193,16 @@ def coerce_types(spark, sf_dir):
     )
 
 
-_GOLDEN_VADER = _GOLDEN_LEM + [("g_vd", """SELECT o.raw_id,
-  list(coalesce(t.lemma, o.token) ORDER BY o.pos) AS lemmas,
-  list({'pos': o.pos, 'v': t.valence} ORDER BY o.pos) FILTER (WHERE t.valence IS NOT NULL) AS hits
-FROM g_occ o LEFT JOIN g_tok t ON t.token = o.token GROUP BY o.raw_id""")]
+@register("sentiment_score_lexicon", O.with_ctes(_GOLDEN_LEM, f"""SELECT d.raw_id, {O.compound('l.lsum')} AS sentiment_score
+FROM g_docs d LEFT JOIN g_lem l ON l.raw_id = d.raw_id"""))
+def sentiment_score_lexicon(spark, sf_dir):
+    """X13 without the heuristics: the plain sum of valences."""
+    return P.clean_text_only(_golden(spark, sf_dir), P.TextResources(mode="lexicon")).select("raw_id", "sentiment_score")
 
 
-@register("sentiment_score_vader", O.with_ctes(_GOLDEN_VADER, f"""SELECT d.raw_id,
-  {O.compound(O.vader_sum('v.lemmas', 'v.hits'))} AS sentiment_score
-FROM g_docs d LEFT JOIN g_vd v ON v.raw_id = d.raw_id"""))
+@register("sentiment_score_vader", O.with_ctes(_GOLDEN_LEM, f"""SELECT d.raw_id,
+  {O.compound('l.vsum')} AS sentiment_score FROM g_docs d LEFT JOIN g_lem l ON l.raw_id = d.raw_id"""))
 def sentiment_score_vader(spark, sf_dir):
     """X13 with VADER's heuristics: boosters (damped), negators, 'without doubt', 'least'."""
     res = P.TextResources(mode="vader")
     return P.clean_text_only(_golden(spark, sf_dir), res).select("raw_id", "sentiment_score")
-
-
-@register("strip_html_exact", None)
-def strip_html_exact(spark, sf_dir):
-    """X2 exact mode on raw web pages: standard-library HTML parser in an Arrow UDF (no SQL
-    twin: an HTML parser is not expressible in SQL)."""
-    from sentimart.functions.html_exact import strip_html_exact as exact
-    pages = ST.table(spark, sf_dir, "pages")
-    return pages.select("page_id", exact(TF.lower_text(F.col("html"))).alias("text"))

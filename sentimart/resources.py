@@ -46,12 +46,47 @@ CONTRACTIONS: tuple[tuple[int, str, str], ...] = (
     (1, "won't", "will not"),
     (2, "can't", "cannot"),
     (3, "shan't", "shall not"),
-    (4, "n't", " not"),
-    (5, "'re", " are"),
-    (6, "'ll", " will"),
-    (7, "'ve", " have"),
-    (8, "'m", " am"),
+    (4, "=ain't", "are not"),
+    (5, "=y'all", "you all"),
+    (6, "=let's", "let us"),
+    (7, "='cause", "because"),
+    (8, "=ma'am", "madam"),
+    (9, "=o'clock", "of the clock"),
+    (10, "=he's", "he is"),
+    (11, "=here's", "here is"),
+    (12, "=how's", "how is"),
+    (13, "=it's", "it is"),
+    (14, "=she's", "she is"),
+    (15, "=that's", "that is"),
+    (16, "=there's", "there is"),
+    (17, "=what's", "what is"),
+    (18, "=when's", "when is"),
+    (19, "=where's", "where is"),
+    (20, "=who's", "who is"),
+    (21, "=why's", "why is"),
+    (22, "=he'd", "he would"),
+    (23, "=i'd", "i would"),
+    (24, "=it'd", "it would"),
+    (25, "=she'd", "she would"),
+    (26, "=that'd", "that would"),
+    (27, "=there'd", "there would"),
+    (28, "=they'd", "they would"),
+    (29, "=we'd", "we would"),
+    (30, "=who'd", "who would"),
+    (31, "=you'd", "you would"),
+    (40, "n't", " not"),
+    (41, "'re", " are"),
+    (42, "'ll", " will"),
+    (43, "'ve", " have"),
+    (44, "'m", " am"),
+    (50, "=gimme", "give me"),
+    (51, "=gonna", "going to"),
+    (52, "=gotta", "got to"),
+    (53, "=lemme", "let me"),
+    (54, "=wanna", "want to"),
 )
+#: Words without an apostrophe that the rules expand.
+SLANG: tuple[str, ...] = tuple(p[1:] for _, p, _ in CONTRACTIONS if p[0] == "=" and "'" not in p)
 
 # ---------------------------------------------------------------------------------------------
 # FIXED VALUES: whole-word splits made by the public Treebank word tokenizer on text that holds
@@ -95,6 +130,23 @@ LEMMA_SEED: tuple[tuple[str, str], ...] = (
     ("phenomena", "phenomenon"),
 )
 
+# Seed dictionary of nouns the suffix rules may reduce to. Ours; a user passes a full one. A fixed
+# dictionary makes a text's lemmas independent of the other texts of its batch.
+DICTIONARY_SEED: tuple[str, ...] = tuple((
+    "account ad address advert answer app battery benefit bill bonus book box boy branch brand brush bug bus business button "
+    "buyer call camera car card case cat category cause change chat choice city class click client clown code color comment "
+    "company complaint computer cost country coupon crash customer date day deal delay delivery detail device discount dish "
+    "dog driver email employee error experience face fact family feature fee file fix friend game gift girl glass half help "
+    "home hour house idea idiot image issue item job key knife lady language leaf letter life light line link list loaf login "
+    "loser lunch man manager match meal menu message mile minute mistake mobile moment money month moron movie music name "
+    "network news notification number offer office option order package page part party password patch payment people person "
+    "phone photo picture place plan player point pony price problem process product program promise purchase question rating "
+    "reason refund reply request response restaurant result review reward rule scam screen search second seller series "
+    "service setting shelf shop sign site song star state step store story street student subscription system tax team "
+    "thief thing time tip toy transaction trip try update user value version video view vote watch way website week wife "
+    "window wish wolf woman word work worker world year"
+).split())
+
 # ---------------------------------------------------------------------------------------------
 # Seed lexicon (token -> valence). The first five values are those of the public VADER lexicon
 # as used in FIXTURES.md; the rest are our seed values for words found in the driver text and
@@ -130,22 +182,24 @@ NEGATIVE_THRESHOLD = -0.05   # compound <= this -> Negative
 
 # Seed booster words (+ increases, - decreases intensity) and negators that can survive the
 # cleaning chain (the ones with apostrophes or in the stopword list cannot).
-BOOSTER_SEED: tuple[tuple[str, float], ...] = (
-    ("absolutely", BOOSTER_INCREMENT),
-    ("completely", BOOSTER_INCREMENT),
-    ("extremely", BOOSTER_INCREMENT),
-    ("highly", BOOSTER_INCREMENT),
-    ("really", BOOSTER_INCREMENT),
-    ("totally", BOOSTER_INCREMENT),
-    ("barely", -BOOSTER_INCREMENT),
-    ("hardly", -BOOSTER_INCREMENT),
-    ("slightly", -BOOSTER_INCREMENT),
-    ("somewhat", -BOOSTER_INCREMENT),
+# FIXED VALUES: the one-word boosters and dampeners and the negators of the public VADER rules.
+BOOSTERS_UP = (
+    "absolutely amazingly awfully completely considerable considerably decidedly deeply effing enormous enormously entirely "
+    "especially exceptional exceptionally extreme extremely fabulously flippin flipping frackin fracking frickin fricking "
+    "friggin frigging fully fuckin fucking fuggin fugging greatly hella highly hugely incredible incredibly intensely major "
+    "majorly more most particularly purely quite really remarkably so substantially thoroughly total totally tremendous "
+    "tremendously uber unbelievably unusually utter utterly very"
 )
-NEGATOR_SEED: tuple[str, ...] = (
-    "never", "none", "nope", "nothing", "nowhere", "neither", "without", "rarely", "seldom",
-    "despite", "cant", "dont", "isnt", "wont",
+BOOSTERS_DOWN = (
+    "almost barely hardly kinda kindof less little marginal marginally occasional occasionally partly scarce scarcely slight "
+    "slightly somewhat sorta sortof"
 )
+BOOSTER_SEED: tuple[tuple[str, float], ...] = tuple(
+    [(w, BOOSTER_INCREMENT) for w in BOOSTERS_UP.split()] + [(w, -BOOSTER_INCREMENT) for w in BOOSTERS_DOWN.split()])
+NEGATOR_SEED: tuple[str, ...] = tuple((
+    "aint arent cannot cant couldnt darent despite didnt doesnt dont hadnt hasnt havent isnt mightnt mustnt neednt neither "
+    "never none nope nor not nothing nowhere oughtnt rarely seldom shant shouldnt uhuh uhhuh wasnt werent without wont wouldnt"
+).split())
 
 # ---------------------------------------------------------------------------------------------
 # Themes named in the reference's results section (theme -> token that signals it).
@@ -201,20 +255,15 @@ GOLDEN_TEXT: tuple[tuple[int, str | None], ...] = (
     (-24, "extremely terrible, without doubt the best"),
     (-25, "least good, hardly bad"),
     (-26, "totally bad and nothing good, absolutely great"),
+    (-27, "That's great, let's go. I'd buy it; ain't bad, y'all gonna love it"),
+    (-28, "never great"),
+    (-29, "broken boxes and sad news about the shelves"),
+    (-30, "price, delivery and service of this product: the app is cheap"),
 )
 
 
-def _check_small(name: str, rows: int, limit: int = 2_000_000) -> None:
-    if rows > limit:
-        raise ValueError(f"resource table {name} has {rows} rows; above {limit}, join it without broadcast")
-
-
-def stopwords_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOPWORDS], "token string")
-
-
-def contractions_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(CONTRACTIONS), "ord int, pattern string, replacement string")
+def dictionary_df(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(w,) for w in DICTIONARY_SEED], "token string")
 
 
 def lemmas_df(spark: SparkSession) -> DataFrame:
@@ -225,32 +274,12 @@ def lexicon_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(LEXICON_SEED), "token string, valence double")
 
 
-def boosters_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(BOOSTER_SEED), "token string, scalar double")
-
-
-def negators_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in NEGATOR_SEED], "token string")
-
-
 def themes_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(THEMES), "theme string, token string")
 
 
-def labels_dim_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(lab, i) for i, lab in enumerate(SENTIMENT_LABELS)], "sentiment string, ord int"
-    )
-
-
 def golden_text_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(GOLDEN_TEXT), T.StructType([
         T.StructField("raw_id", T.LongType(), False),
         T.StructField("review_text", T.StringType(), True),
     ]))
-
-
-def bounded(df: DataFrame, name: str, limit: int = 2_000_000) -> DataFrame:
-    """Return ``df`` after checking it is small enough to broadcast (one count of a resource)."""
-    _check_small(name, df.count(), limit)
-    return df

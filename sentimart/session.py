@@ -43,11 +43,13 @@ def build_session(master: str | None = None, app_name: str = "sentimart",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared folder and is used as is. Only when it is unset
-    (tests, a laptop) do we make a scratch folder here.
+    On a cluster this setting names a shared folder and is used as is. On a local master (tests,
+    a laptop) an unset one becomes a scratch folder; elsewhere that would be each machine's own disk.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="sentimart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -110,13 +110,38 @@ def test_vader_heuristics_by_hand(spark):
     assert got[2] == pytest.approx(round(s / (s * s + 15) ** 0.5, 4))
 
 
-def test_exact_html_mode_agrees_with_native_on_simple_markup(spark):
-    from sentimart.functions.html_exact import html_to_text, strip_html_exact
-    rows = ["<b>love</b> it &amp; more", "a<br>b", "<script>var a=1;</script>hi", "<!-- c -->hi",
-            "<p title='a>b'>x</p>", "2 &lt; 3 &#233;t&eacute;"]
-    assert html_to_text(rows[4]) == "x"          # the regex chain would cut at the '>'
-    assert html_to_text(rows[5]) == "2 < 3 été"  # every character reference
-    df = _frame(spark, rows[:4])
-    got = df.select("raw_id", strip_html_exact(F.col("review_text")).alias("a"),
-                    TF.strip_html(F.col("review_text")).alias("b")).collect()
-    assert all(r.a == r.b for r in got)
+def test_html_fixed_values(spark):
+    rows = {"<b>love</b> it &amp; more": "love it & more", "a<br>b": "ab", "<script>var a=1;</script>hi": "hi", "<!-- c -->hi": "hi",
+            "<p title='a>b'>x</p>": "x", '<a href="x>y" >z</a>': "z", "2 &lt; 3 &#233;t&eacute; &#x1f600;": "2 < 3 \u00e9t\u00e9 \U0001f600",
+            "&middot;&copy;don&rsquo;t": "\u00b7\u00a9don\u2019t", "&amp;lt; &nosuch; & &#0; a&b": "&lt; &nosuch; & \ufffd a&b"}
+    got = _frame(spark, list(rows)).select("raw_id", TF.strip_html(F.col("review_text")).alias("t")).collect()
+    assert [r.t for r in sorted(got, key=lambda r: r.raw_id)] == list(rows.values())
+
+
+def test_html_agrees_with_the_parser_on_all_pages(spark):
+    """Same words as the standard library's parser on every page."""
+    from sentimart.functions.html_exact import html_to_text
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = pages.select(F.lower("html").alias("h"), TF.strip_html(F.lower("html")).alias("t")).collect()
+    differ = [r for r in got if html_to_text(r.h).split() != r.t.split()]
+    assert not differ, (len(differ), differ[0].t[:300], html_to_text(differ[0].h)[:300])
+
+
+def test_contractions(spark):
+    got = _frame(spark, ["that's great, let's go, I'd buy", "ain't bad", "y'all gonna love it", "don't you'll dog's"]) \
+        .select("raw_id", TF.expand_contractions(F.lower("review_text")).alias("t")).collect()
+    assert [r.t for r in sorted(got, key=lambda r: r.raw_id)] == [
+        "that is great, let us go, i would buy", "are not bad", "you all going to love it", "do not you will dog's"]
+
+
+def test_lemmas_do_not_depend_on_the_batch(spark):
+    texts = ["broken boxes", "broken boxes and one box", "sad news", "sad news of a new app"]
+    together = {r.raw_id: r.cleaned_text for r in P.clean_text_only(_frame(spark, texts)).collect()}
+    alone = {i: P.clean_text_only(_frame(spark, [t])).collect()[0].cleaned_text for i, t in enumerate(texts)}
+    assert together == alone and together[0] == "broken box" and together[2] == "sad news"
+
+
+def test_negation_is_the_default(spark):
+    row = P.clean_text_only(_frame(spark, ["never great"])).collect()[0]
+    assert row.sentiment_score == pytest.approx(-0.5096)
