@@ -53,9 +53,9 @@ def brute(rows, width, percent):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block_sets, width, percent", [(2000, 3, 90), (4, 5, 80)])
-def test_classes(docs_of, monkeypatch, block_sets, width, percent):
-    monkeypatch.setattr(ngram_join, "BLOCK_SETS", block_sets)
+@pytest.mark.parametrize("block_bytes, width, percent", [(8 << 20, 3, 90), (1500, 5, 80)])
+def test_classes(docs_of, monkeypatch, block_bytes, width, percent):
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", block_bytes)
     rng, rows = random.Random(4), []
     for _ in range(4):
         base = [rng.choice("abcdefghij") + str(rng.randrange(50)) for _ in range(rng.choice([3, 8, 40, 80]))]
