@@ -3,13 +3,15 @@
 Two texts link when their sets of `width`-word shingles overlap by `percent` of the union. The operator returns
 every row's class of linked rows; rows with equal sets are one node from the start.
 
-1. A text becomes its sorted set of 64-bit shingle hashes. A partner must share need = ceil(percent * n) of the n
-   shingles, so among a set's n - need + extra smallest hashes at least `extra` are shared with it, both ways.
-   Only these hashes leave the first pass.
-2. Hashes that several sets hold are counted; a set with fewer than `extra` of them has no partner and drops out.
-3. Of a remaining set's shared hashes only the rarest matter (prefix filter in the global order by frequency):
-   sets that share none of these can't link. Connected sets form a candidate group.
-4. A group's whole sets are cut into blocks of BLOCK_SETS. Each block is a trie of its sets in the global order,
+1. A text becomes its sorted set of 64-bit shingle hashes; equal sets become one node.
+2. Linked sets differ in at most `apart` shingles, which follows from their sizes. Dealt by hash into apart + 1 +
+   spare parts, more than `spare` are equal, so a non-empty one is unless over `spare` are empty (then empty parts
+   count too). Parts are made for the set's size class and the next larger one, as a partner's class is the
+   same or the next. A part's signature is its sum of hashes; some eight shingles must agree, so a passage that
+   unlike texts share hardly ever makes one.
+3. Sets with a common signature are connected through the smallest of them (a star, not all pairs); connected sets
+   form a candidate group.
+4. A group's whole sets are cut into blocks of about BLOCK_BYTES. Each block is a trie of its sets in the global order,
    frequent shingles first, so near copies share long paths. A set is looked up before it is inserted: the walk
    adds up the overlap along shared paths and leaves a subtree when overlap plus the shorter remaining length, by
    the subtree's least size, can't reach the need, or when all sets in it are in the looker's class already.
@@ -40,8 +42,8 @@ from pyspark.sql import types as T
 from sentimart.llm.scratch import stored
 from sentimart.llm.textblocks import U64, RangeHash, blocks, mix, per_row, runs, starts_of_rows, text_column
 
-#: Sets in one trie.
-BLOCK_SETS = 2000
+#: Bytes of shingle hashes in one trie.
+BLOCK_BYTES = 8 << 20
 _WORD = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0x27D4EB2F165667C5), U64(0x85EBCA77C2B2AE63))
 
 
@@ -95,8 +97,48 @@ def _set_id(values: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def size_bounds(percent: int, largest: int) -> np.ndarray:
+    """Upper ends of the size classes: partners' sizes, at least percent of each other, lie in one class or neighbours."""
+    ends = [1]
+    while ends[-1] < largest:
+        ends.append(max(ends[-1] + 1, (100 * (ends[-1] + 1)) // percent))
+    return np.array([*ends, max(ends[-1] + 1, (100 * (ends[-1] + 1)) // percent)], np.int64)
+
+
+def signatures(values: np.ndarray, begin: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(set, signature) of the sets' parts in both their classes."""
+    n = np.diff(begin)
+    ends = size_bounds(percent, int(n.max(initial=1)))
+    own = np.searchsorted(ends, n)
+    owner = np.repeat(np.arange(len(n)), n)
+    out_set, out_sign = [], []
+    for up in (0, 1):
+        kind = own + up
+        # |A| + |B| <= 2 * end and overlap >= percent of the union: so many shingles differ at most.
+        apart = 2 * ends[kind] * (100 - percent) // (100 + percent)
+        spare = 4 + apart // 8
+        parts = np.where(n > 0, apart + 1 + spare, 0)
+        at = np.cumsum(parts) - parts
+        total = int(parts.sum())
+        slot = at[owner] + ((values >> U64(20)) % parts[owner].astype(np.uint64)).astype(np.int64)
+        order = np.argsort(slot, kind="stable")
+        sums = np.zeros(total, np.uint64)
+        counts = np.bincount(slot, minlength=total)
+        filled = np.flatnonzero(counts)
+        if len(filled):
+            sums[filled] = np.add.reduceat(mix(values[order] ^ U64(0xD6E8FEB86659FD93)), np.cumsum(counts[filled]) - counts[filled])
+        set_of = np.repeat(np.arange(len(n)), parts)
+        number = np.arange(total) - at[set_of]
+        sign = mix(sums * _WORD[0] + number.astype(np.uint64) * _WORD[1] + kind[set_of].astype(np.uint64) * _WORD[2] + counts.astype(np.uint64))
+        empty = np.bincount(set_of, counts == 0, len(n))
+        keep = (counts > 0) | (empty > spare)[set_of]
+        out_set.append(set_of[keep])
+        out_sign.append(sign[keep])
+    return np.concatenate(out_set), np.concatenate(out_sign)
+
+
 def _sets(df: DataFrame, width: int, percent: int) -> DataFrame:
-    """(key, n, set_id, head): head: the smallest hashes, as far as the filters need them."""
+    """(key, n, set_id, head): head: the signatures of the set's parts."""
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("set_id", T.LongType()), T.StructField("head", T.ArrayType(T.LongType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,11 +146,10 @@ def _sets(df: DataFrame, width: int, percent: int) -> DataFrame:
             values, begin = shingle_sets(b.column("text"), width)
             n = np.diff(begin)
             ids = [_set_id(values[a:z]) if z > a else None for a, z in zip(begin.tolist(), begin[1:].tolist())]
-            spare = n - need(n, percent)
-            size = np.minimum(n, 2 * spare + 1)  # at least spare + 1 of these are shared with a partner
-            ends = np.cumsum(size)
-            head = values[np.arange(int(ends[-1])) + np.repeat(begin[:-1] - (ends - size), size)].view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(head, pa.int64()))
+            owner, sign = signatures(values, begin, percent)
+            order = np.argsort(owner, kind="stable")
+            ends = np.searchsorted(owner[order], np.arange(len(n) + 1))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sign[order].view(np.int64), pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), lists], schema=pa.schema([("key", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("head", lists.type)]))
 
     return df.mapInArrow(run, schema)
@@ -117,15 +158,17 @@ def _sets(df: DataFrame, width: int, percent: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node connected with each node of edges (a, b); every round's table is stored.
 
-    Each round takes the smallest label around a node, then the label's own label, so paths shorten as they grow.
+    Each round takes the smallest label around a node; from the fourth on also that label's own label, so long
+    paths shorten as they grow.
     """
-    both = stored(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), "edges")
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("root")), "labels")
-    while True:
-        around = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        nearer = labels.join(around, labels["node"] == around["a"]).select("node", "root", F.least("root", "near").alias("low"))
-        up = labels.select(F.col("node").alias("low"), F.col("root").alias("top"))
-        new = stored(nearer.join(up, "low").select("node", F.least("low", "top").alias("root"), (F.least("low", "top") < F.col("root")).alias("moved")), "labels")
+    pairs = edges.filter("a <> b").select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")), F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))).alias("e"))
+    both = stored(pairs.select("e.a", "e.b").distinct(), "edges")
+    labels = stored(both.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root"), "labels")
+    for turn in range(1 << 30):
+        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("low"), F.max(F.when(F.col("a") == F.col("b"), F.col("root"))).alias("old"))
+        if turn >= 3:
+            near = near.join(labels.select(F.col("node").alias("low"), F.col("root").alias("top")), "low").select("a", F.least("low", "top").alias("low"), "old")
+        new = stored(near.select(F.col("a").alias("node"), F.col("low").alias("root"), (F.col("low") < F.col("old")).alias("moved")), "labels")
         labels = new.select("node", "root")
         if not new.filter("moved").limit(1).count():
             return labels
@@ -262,23 +305,12 @@ def jaccard_classes(df: DataFrame, width: int = 3, percent: int = 90, text: str
     kind = df.schema[key].dataType
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     sets = stored(_sets(rows, width, percent), "sets")
-    # One row for each distinct set.
-    nodes = stored(sets.filter("set_id is not null").groupBy("set_id").agg(F.first("n").alias("n"), F.first("head").alias("head")), "nodes")
+    # One row for each distinct set and signature; several sets of one signature meet through the smallest.
+    nodes = stored(sets.filter("set_id is not null").groupBy("set_id").agg(F.first("head").alias("head")), "nodes")
     heads = nodes.select("set_id", F.explode("head").alias("value"))
-    shared = heads.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
-    met = heads.join(shared, "value").groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"))
-    # A pair shares at least as many head values as the smaller spare and one more; a partner is at most percent smaller.
-    least_need = F.ceil(F.lit(percent) * F.col("n") / 100)
-    extra = F.floor(least_need * (100 - percent) / 100) + 1
-    own = met.join(nodes.select("set_id", "n"), "set_id").select("set_id", "n", "shared", (F.col("n") - least_need).alias("spare"), extra.alias("extra")).filter(F.size("shared") >= F.col("extra"))
-    # Rarest first: values beyond head size - extra + 1 in that order can't be the only ones shared. Those of one set are already gone.
-    size = F.least(F.col("n"), 2 * F.col("spare") + 1)
-    unshared = size - F.size("shared")
-    take = F.greatest(size - F.col("extra") + 1 - unshared, F.lit(0)).cast("int")
-    rare = own.select("set_id", F.explode(F.slice("shared", 1, take)).alias("s")).select("set_id", F.col("s.value").alias("value"))
-    # A value joins its sets through its smallest one: a star, not all pairs.
-    hubs = rare.groupBy("value").agg(F.min("set_id").alias("hub"), F.count("*").alias("c")).filter("c > 1")
-    groups = components(rare.join(hubs, "value").select(F.col("set_id").alias("a"), F.col("hub").alias("b")))
+    hubs = heads.groupBy("value").agg(F.min("set_id").alias("hub"), F.count("*").alias("c")).filter("c > 1").select("value", "hub")
+    star = heads.join(hubs, "value").select(F.col("set_id").alias("a"), F.col("hub").alias("b")).filter("a <> b")
+    groups = components(star)
 
     keys = sets.join(groups.select(F.col("node").alias("set_id"), "root"), "set_id").groupBy("set_id", "root").agg(F.min("key").alias("key"))
     null_keys = keys.filter("key is null").limit(1).count()
@@ -286,8 +318,7 @@ def jaccard_classes(df: DataFrame, width: int = 3, percent: int = 90, text: str
     wanted = keys.withColumn("key", F.coalesce("key", F.lit(-(1 << 63)).cast("long"))) if null_keys else keys
     whole = _whole_sets(source, wanted, width)
     members = whole.join(keys.select("set_id", "root"), "set_id")
-    links = stored(_linked(stored(_in_blocks(members), "members"), percent), "links")
-    classes = components(links).select(F.col("node").alias("set_id"), F.col("root").alias("class"))
+    classes = _classes(stored(_in_blocks(members), "members"), percent)
 
     named = sets.select("key", "n", "set_id").join(classes, "set_id", "left").withColumn("class", F.coalesce("class", "set_id"))
     lowest = named.filter("class is not null").groupBy("class").agg(F.min("key").alias("lowest"))
@@ -310,14 +341,14 @@ def keep_one(df: DataFrame, width: int, percent: int, text: str = "text", key: s
 
 
 def _in_blocks(members: DataFrame) -> DataFrame:
-    """Adds to the sets the block of their group, of about BLOCK_SETS sets each, and the group's number of blocks."""
-    counts = members.groupBy("root").agg(F.count("*").alias("c"))
-    blocks_of = F.ceil(F.col("c") / BLOCK_SETS).cast("int")
+    """Adds to the sets the block of their group, of about BLOCK_BYTES each, and the group's number of blocks."""
+    counts = members.groupBy("root").agg(F.sum(F.length("members")).alias("c"))
+    blocks_of = F.ceil(F.col("c") / BLOCK_BYTES).cast("int")
     return members.join(counts.select("root", blocks_of.alias("n_blocks")), "root").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("n_blocks")).cast("int"))
 
 
-def _linked(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between set ids that connect what is linked."""
+def _classes(sets: DataFrame, percent: int) -> DataFrame:
+    """(set_id, class) of the sets that are linked with others."""
 
     def inside(group: pd.DataFrame) -> pd.DataFrame:
         ids = group["set_id"].to_numpy(np.int64)
@@ -326,7 +357,7 @@ def _linked(sets: DataFrame, percent: int) -> DataFrame:
     links = stored(sets.groupBy("root", "block").applyInPandas(inside, "a long, b long").filter("a <> b"), "inside")
     large = sets.filter("n_blocks > 1")
     if not large.limit(1).count():
-        return links
+        return links.select(F.col("a").alias("set_id"), F.col("b").alias("class"))  # each group was one block
 
     def across(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("side", kind="stable")
@@ -354,4 +385,4 @@ def _linked(sets: DataFrame, percent: int) -> DataFrame:
     one = of_block.select("root", F.col("block").alias("i"), F.col("low").alias("li"), F.col("high").alias("hi"))
     two = of_block.select("root", F.col("block").alias("j"), F.col("low").alias("lj"), F.col("high").alias("hj"))
     apart = every.join(one, ["root", "i"]).join(two, ["root", "j"]).filter("li <> hi or lj <> hj or li <> lj").select("root", "i", "j")
-    return meet(apart, links)
+    return components(meet(apart, links)).select(F.col("node").alias("set_id"), F.col("root").alias("class"))
