@@ -37,7 +37,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sentimart.llm.scratch import stored
 from sentimart.llm.textblocks import U64, RangeHash, blocks, mix, per_row, runs, starts_of_rows, text_column
@@ -137,24 +136,33 @@ def signatures(values: np.ndarray, begin: np.ndarray, percent: int) -> tuple[np.
     return np.concatenate(out_set), np.concatenate(out_sign)
 
 
-def _sets(df: DataFrame, width: int, percent: int) -> DataFrame:
-    """(key, n, set_id, head): head: the signatures of the set's parts."""
-    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("set_id", T.LongType()), T.StructField("head", T.ArrayType(T.LongType(), False))])
+def _sets(df: DataFrame, width: int) -> DataFrame:
+    """(key, n, set_id) of each row; texts without words have no set."""
+    schema = "key long, n long, set_id long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             values, begin = shingle_sets(b.column("text"), width)
-            n = np.diff(begin)
             ids = [_set_id(values[a:z]) if z > a else None for a, z in zip(begin.tolist(), begin[1:].tolist())]
-            owner, sign = signatures(values, begin, percent)
-            order = np.argsort(owner, kind="stable")
-            ends = np.searchsorted(owner[order], np.arange(len(n) + 1))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sign[order].view(np.int64), pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), lists], schema=pa.schema([("key", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("head", lists.type)]))
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(np.diff(begin), pa.int64()), pa.array(ids, pa.int64())], names=["key", "n", "set_id"])
 
     return df.mapInArrow(run, schema)
 
 
+def _signed(df: DataFrame, width: int, percent: int) -> DataFrame:
+    """(set_id, value) for each signature of each row's set. Both readers compute it from the texts anew, which costs
+    less than to store about half a number for every word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches, "text"):
+            values, begin = shingle_sets(b.column("text"), width)
+            ids = np.array([_set_id(values[a:z]) if z > a else 0 for a, z in zip(begin.tolist(), begin[1:].tolist())], np.int64)
+            owner, sign = signatures(values, begin, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[owner], pa.int64()), pa.array(sign.view(np.int64), pa.int64())], names=["set_id", "value"])
+
+    return df.mapInArrow(run, "set_id long, value long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node connected with each node of edges (a, b); every round's table is stored.
 
@@ -304,11 +312,10 @@ def jaccard_classes(df: DataFrame, width: int = 3, percent: int = 90, text: str
     """(key, n_shingles, component_id, set_id) for each row; component_id: the smallest key reachable by links."""
     kind = df.schema[key].dataType
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    sets = stored(_sets(rows, width, percent), "sets")
-    # One row for each distinct set and signature; several sets of one signature meet through the smallest.
-    nodes = stored(sets.filter("set_id is not null").groupBy("set_id").agg(F.first("head").alias("head")), "nodes")
-    heads = nodes.select("set_id", F.explode("head").alias("value"))
-    hubs = heads.groupBy("value").agg(F.min("set_id").alias("hub"), F.count("*").alias("c")).filter("c > 1").select("value", "hub")
+    sets = stored(_sets(rows, width), "sets")
+    # Several sets of one signature meet through the smallest; repeated rows of one set are no meeting.
+    heads = _signed(rows, width, percent)
+    hubs = heads.groupBy("value").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("other")).filter("hub <> other").select("value", "hub")
     star = heads.join(hubs, "value").select(F.col("set_id").alias("a"), F.col("hub").alias("b")).filter("a <> b")
     groups = components(star)
 
