@@ -231,10 +231,12 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     """Learn from the labelled rows that are not held out, at most about `sample` of them."""
     chars = char_model(docs, text)
     marks = labels.filter(F.col(label).isNotNull()).groupBy(F.col(label_key).alias("key")).agg(F.max(label).alias("toxic"))
-    known = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(marks, "key").filter(~held_out(F.col("key")))
-    rows = marks.filter(~held_out(F.col("key"))).count()
+    marks = marks.filter("key is not null").filter(~held_out(F.col("key")))
+    rows = marks.count()
     if rows > sample:
-        known = known.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < int(sample / rows * (1 << 20)))
+        marks = marks.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < int(sample / rows * (1 << 20)))
+    # At most about `sample` keys and marks are broadcast, so the texts of all other rows stay where they are.
+    known = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(marks), "key")
     known = stored(known, "labelled")
     sizes = {int(r["toxic"]): r["count"] for r in known.groupBy("toxic").count().collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
