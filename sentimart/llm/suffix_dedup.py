@@ -22,6 +22,7 @@ scanned in overlapping segments.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -300,7 +301,7 @@ def remove_repeats(df: DataFrame, length: int = 50, text: str = "text", key: str
         flags = _smaller_keys(np.frombuffer(b"".join(group["data"]), np.uint8), sizes, np.frombuffer(b"".join(group["keys"]), np.int64), length)
         counts = np.array([len(x) for x in group["sizes"]])
         ends = np.cumsum(counts)
-        return pd.DataFrame({"part": group["part"], "block": group["block"], "bits": [flags[e - n : e].tobytes() for e, n in zip(ends, counts)], "more": None})
+        return pd.DataFrame({"part": group["part"], "block": group["block"], "bits": [zlib.compress(flags[e - n : e].tobytes(), 1) for e, n in zip(ends, counts)], "more": None})
 
     sent = known.mapInPandas(send_contexts, "part long, block long, data binary, sizes binary, keys binary")
     flags = stored(sent.groupBy("part").applyInPandas(sort_part, "part long, block long, bits binary, more binary"), "flags")
@@ -313,7 +314,7 @@ def remove_repeats(df: DataFrame, length: int = 50, text: str = "text", key: str
                 block = _Block(row, length)
                 first, last, key_of, number, _, _, _, lead = block.contexts(listed(row.again), buckets, parts, length)
                 replies = sorted(listed(row.flags))
-                bits = np.frombuffer(b"".join(r[1] for r in replies), np.uint32)
+                bits = np.frombuffer(b"".join(zlib.decompress(r[1]) for r in replies), np.uint32)
                 count = last - first + 1
                 here = bits[number].astype(np.uint64)
                 here[key_of > lead[number]] = U64((1 << 40) - 1)  # a smaller key of this block has the context
