@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from odd_rows import ODD_ROWS
+from odd_rows import ODD_ROWS, docs_of, llm_spark  # noqa: F401  fixtures
 from sentimart.llm import decontaminate, licenses, topk, url_filter
 from sentimart.llm.queries import ORACLE_SQL, QUERIES, URL_RULES
 

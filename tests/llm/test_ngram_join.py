@@ -7,7 +7,7 @@ import pytest
 
 from sentimart.llm import ngram_join
 
-from odd_rows import ODD_ROWS
+from odd_rows import ODD_ROWS, docs_of, llm_spark  # noqa: F401  fixtures
 
 
 def classes(sets, percent):

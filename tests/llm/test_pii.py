@@ -8,7 +8,7 @@ import pytest
 
 from sentimart.llm import pii
 
-from odd_rows import ODD_ROWS
+from odd_rows import ODD_ROWS, docs_of, llm_spark  # noqa: F401  fixtures
 
 
 def luhn(digits):

@@ -6,7 +6,7 @@ import numpy as np
 
 from sentimart.llm import suffix_dedup
 
-from odd_rows import ODD_ROWS
+from odd_rows import ODD_ROWS, docs_of, llm_spark  # noqa: F401  fixtures
 
 
 def test_two_stage_order():

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from sentimart.llm import pieces, token_counts
 
-from odd_rows import ODD_ROWS
+from odd_rows import ODD_ROWS, docs_of, llm_spark  # noqa: F401  fixtures
 
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 

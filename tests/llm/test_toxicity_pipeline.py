@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 
 import corpus_pipeline
-from odd_rows import ODD_ROWS
+from odd_rows import ODD_ROWS, docs_of, llm_spark  # noqa: F401  fixtures
 from sentimart.llm import pii, toxicity
 from sentimart.llm.queries import OP4_SQL, QUERIES
 
