@@ -13,6 +13,11 @@ itself; an empty table gives an empty table. Only the named columns are read, so
 
 from __future__ import annotations
 
+import itertools
+import re
+from collections.abc import Iterator
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,18 +29,77 @@ SPELLINGS = (
     ("favour", "favor"), ("judgement", "judgment"), ("labour", "labor"), ("licence", "license"), ("merchantibility", "merchantability"),
     ("non commercial", "noncommercial"), ("organisation", "organization"), ("per cent", "percent"), ("sub license", "sublicense"), ("whilst", "while"),
 )
-# Short public notices by SPDX id.
-NOTICES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "Licensed under CC0 1.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-)
+# Names of licences in notices, by SPDX id.
+NAMES = {
+    "0BSD": ("the Zero-Clause BSD License", "the BSD Zero Clause License"),
+    "AGPL-3.0": ("the GNU Affero General Public License, version 3", "the GNU Affero General Public License v3.0", "the GNU AGPL v3", "AGPLv3"),
+    "Apache-2.0": ("the Apache License, Version 2.0", "Apache License, Version 2.0", "the Apache License 2.0", "Apache License 2.0", "the Apache 2.0 License", "Apache 2.0", "the Apache-2.0 license"),
+    "BSD-2-Clause": ("the BSD 2-Clause License", "the 2-Clause BSD License", "the Simplified BSD License"),
+    "BSD-3-Clause": ("the BSD 3-Clause License", "the 3-Clause BSD License", "the New BSD License", "the Modified BSD License"),
+    "BSL-1.0": ("the Boost Software License, Version 1.0", "the Boost Software License 1.0"),
+    "CC-BY-4.0": ("CC BY 4.0", "the CC BY 4.0 license", "a Creative Commons Attribution 4.0 International License", "the Creative Commons Attribution 4.0 International License", "Creative Commons Attribution 4.0 International"),
+    "CC-BY-NC-4.0": ("CC BY-NC 4.0", "the CC BY-NC 4.0 license", "a Creative Commons Attribution-NonCommercial 4.0 International License", "the Creative Commons Attribution-NonCommercial 4.0 International License", "Creative Commons Attribution-NonCommercial 4.0 International"),
+    "CC-BY-SA-4.0": ("CC BY-SA 4.0", "the CC BY-SA 4.0 license", "a Creative Commons Attribution-ShareAlike 4.0 International License", "the Creative Commons Attribution-ShareAlike 4.0 International License", "Creative Commons Attribution-ShareAlike 4.0 International"),
+    "CC0-1.0": ("CC0 1.0", "the CC0 1.0 license", "CC0 1.0 Universal", "the Creative Commons CC0 1.0 Universal License"),
+    "GPL-2.0": ("the GNU General Public License, version 2", "the GNU General Public License v2.0", "the GNU GPL v2", "the GNU GPL, version 2", "the GPL, version 2", "GPLv2", "the GPLv2"),
+    "GPL-3.0": ("the GNU General Public License, version 3", "the GNU General Public License v3.0", "the GNU GPL v3", "the GNU GPL, version 3", "the GPL, version 3", "GPLv3", "the GPLv3"),
+    "ISC": ("the ISC License",),
+    "LGPL-2.1": ("the GNU Lesser General Public License, version 2.1", "the GNU Lesser General Public License v2.1", "the GNU LGPL v2.1"),
+    "LGPL-3.0": ("the GNU Lesser General Public License, version 3", "the GNU Lesser General Public License v3.0", "the GNU LGPL v3"),
+    "MIT": ("the MIT License", "MIT License", "MIT", "the MIT License (MIT)", "an MIT License"),
+    "MPL-2.0": ("the Mozilla Public License, v. 2.0", "the Mozilla Public License, version 2.0", "the Mozilla Public License 2.0", "the MPL 2.0"),
+    "Unlicense": ("the Unlicense",),
+    "Zlib": ("the zlib License", "the zlib/libpng License"),
+}
+# What a notice says before the name.
+SUBJECTS = ("", "This work is ", "This project is ", "This software is ", "This program is ", "This code is ", "This file is ", "This document is ")
+VERBS = ("licensed", "released", "distributed", "available", "made available", "published")
+LINKS = ("under", "under the terms of")
+# Titles that a short licence text may bear (the text alone is known as well); longer texts hold their own.
+TITLES = {
+    "0BSD": ("Zero-Clause BSD", "BSD Zero Clause License", "Zero-Clause BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "Zlib": ("zlib License", "The zlib License"),
+}
+# Copyright lines of templates that nobody has filled in (lines with a year fall out of the canonical form).
+UNFILLED = ("Copyright (c) <year> <copyright holders>", "Copyright (c) [year] [fullname]")
+
+
+def _notices() -> Iterator[tuple[str, str]]:
+    for spdx, names in NAMES.items():
+        for subject, verb, link, name in itertools.product(SUBJECTS, VERBS, LINKS, names):
+            yield spdx, f"{subject}{verb} {link} {name}."
+        yield spdx, f"SPDX-License-Identifier: {spdx}"
+    yield "MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+
+
+def _forms(spdx: str, text: str) -> Iterator[str]:
+    """A full text in the forms it is passed on in: with and without title, appendix, list numbers, filled-in names, https."""
+    forms = [text]
+    if "END OF TERMS AND CONDITIONS" in text:
+        body, mark, _ = text.partition("END OF TERMS AND CONDITIONS")
+        forms += [body, body + mark, re.sub(r"(?m)^ *Copyright \[yyyy\].*$", "", text)]
+    if spdx in TITLES:
+        forms += [re.sub(r"(?m)^ *\d\. ", "", text)]
+        forms = [f"{line}\n\n{f}" for f in forms for line in ("", *UNFILLED)]
+        forms += [f"{title}\n\n{f}" for f in forms for title in TITLES[spdx]]
+    for form in forms:
+        yield from {form: 0, form.replace("http://", "https://"): 0, form.replace("https://", "http://"): 0}
+
+
+def _texts() -> Iterator[tuple[str, str]]:
+    """The full public texts beside this module; a file is named SPDX.txt or SPDX@variant.txt."""
+    for file in sorted(resources.files(__package__).joinpath("license_texts").iterdir(), key=lambda f: f.name):
+        spdx = file.name.removesuffix(".txt").split("@")[0]
+        for form in _forms(spdx, file.read_text(encoding="utf-8")):
+            yield spdx, form
+
+
+#: Known notices and full texts by SPDX id.
+NOTICES = tuple(dict.fromkeys([*_notices(), *_texts()]))
 
 #: Lines end at \n only (the flag d; RE2 has no other way).
 _COPYRIGHT_LINE = r"(?imd)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©)[^\n]*\d{4}[^\n]*$|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"

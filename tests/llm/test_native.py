@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -83,6 +85,47 @@ def test_licenses(docs_of, llm_spark):
     assert licenses.scan_licenses(docs_of([]), known).count() == 0
 
 
+def test_license_lines_of_documents(llm_spark):
+    """Every line that speaks of a licence, found without the known table, gets one."""
+    folder = "/root/testdata/sf0.01"
+    lines = {r.doc_id: [x for x in (r.text or "").split("\n") if re.search("licen[cs]e|CC[ -]BY", x, re.I)] for r in llm_spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    got = {r.doc_id: [x for x in r.line_licenses.split(",") if x] for r in QUERIES["op5_license_scans"](llm_spark, folder).collect()}
+    assert sum(map(bool, lines.values())) > 10
+    for key, own in lines.items():
+        assert len(got[key]) == len({x.split(" under ")[-1] for x in own}), own
+        assert ("MIT" in got[key]) == any("MIT License" in x for x in own)
+
+
+MIT_TEXT = """The MIT License (MIT)
+
+Copyright (c) 2019 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \u201cSoftware\u201d), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED \u201cAS IS\u201d, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_full_license_texts(docs_of, llm_spark):
+    folder = Path(licenses.__file__).parent / "license_texts"
+    texts = {f.stem: f.read_text() for f in folder.iterdir()}
+    apache = texts["Apache-2.0"]
+    rows = [
+        (1, MIT_TEXT),
+        (2, "Copyright 2001 A. Body. All rights reserved.\n\n" + texts["BSD-3-Clause"].upper()),
+        (3, apache.replace("http:", "https:")),
+        (4, apache.replace("[yyyy] [name of copyright owner]", "2020 Jane Doe")),
+        (5, apache.split("APPENDIX")[0]),
+        (6, texts["GPL-2.0"].split("How to Apply")[0]),
+        (7, MIT_TEXT.replace("free of charge", "for a fee")),
+        *[(100 + i, t) for i, t in enumerate(texts.values())],
+    ]
+    got = {r.doc_id: r.text_license for r in licenses.scan_licenses(docs_of(rows), licenses.known_notices(llm_spark)).collect()}
+    assert [got[i] for i in range(1, 8)] == ["MIT", "BSD-3-Clause", "Apache-2.0", "Apache-2.0", "Apache-2.0", "GPL-2.0", None]
+    assert {i: got[100 + i] for i in range(len(texts))} == {i: name.split("@")[0] for i, name in enumerate(texts)}
+
+
 def rule_by_hand(url):
     if url is None or "://" not in url:
         return "", "", None, None
