@@ -54,6 +54,28 @@ def test_slots_must_agree(docs_of, benchmark):
     assert leaks(docs_of, benchmark, ["bought 13 apples and 8 pears for 40"])[0][0] is True
 
 
+def test_every_case_and_slot_heavy_items(docs_of, llm_spark):
+    """Copies whose template says little: their words are compared, in whatever case; amounts are numbers."""
+    sums, table = "12 + 30 = 42 and 9 * 8 = 72 or 5", "Name Alice Bob Carol Dave Erin Frank Grace Heidi"
+    paid = "they paid $20 for the old lamp in town today"
+    items = llm_spark.createDataFrame([(1, ITEM), (2, sums), (3, table), (4, paid)], "item_id long, text string")
+    plain = llm_spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    lists = [
+        (f"see {sums} there", 2),
+        (f"see {sums} there".replace("42", "43").replace("72", "73").replace("30", "31"), None),
+        (f"see {table.lower()} there", 3),
+        (f"see {' '.join(reversed(table.split()))} there", None),
+        (f"see {ITEM.upper()} THERE", 1),
+        (f"see {ITEM.title()} There", 1),
+        (paid.replace("$20", "€35"), 4),
+        (paid.replace("$20", "35"), 4),
+        ("SHORT", None),
+    ]
+    got = leaks(docs_of, items, [t for t, _ in lists])
+    assert [got[i][1] for i in range(len(lists))] == [item for _, item in lists]
+    assert [v for _, v in sorted(leaks(docs_of, plain, [ITEM.upper(), ITEM.title(), "A B C D E F G H I"]).items())] == [(True, 1), (True, 1), (False, None)]
+
+
 def test_drop_leaks(docs_of, benchmark):
     rows = [(1, ITEM), (1, "clean"), (2, ITEM + " more"), (2, ITEM + " more"), (None, ITEM), *ODD_ROWS]
     kept = decontaminate.drop_leaks(docs_of(rows), benchmark)
