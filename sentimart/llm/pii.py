@@ -6,10 +6,11 @@ for every character of the normalised text the range of source characters it cam
 
 * look-alike letters, full-width forms and invisible characters become their plain letters or nothing;
 * "(at)", "[dot]" and their kin become "@" and "."; bare " at " counts only with a " dot " after it;
-* runs of spelled digits ("four one one", "plus four four") become digits.
+* runs of spelled digits ("four one one", "plus four four") become digits: first runs of LONG_RUN or more, then, on a
+  copy of its own, runs of any length, which with dots, brackets and figures between them may make up one number.
 
-The same detectors run on the normalised text; a finding is mapped back to source offsets and added if it used
-at least one rewritten character and overlaps no base span. Offsets are code points, end exclusive.
+The same detectors run on the normalised texts; a finding is mapped back to source offsets and added if it used
+at least one rewritten character and overlaps no base span and no span of the copy before. Offsets are code points, end exclusive.
 
 Cases: null and empty texts have no spans; repeated rows and ids give a row each; an empty table gives an empty
 table; spans that begin together are listed in the order e-mail, IP, card, phone. Only the named columns are
@@ -60,17 +61,21 @@ _WORD = "|".join(sorted(SPELLED, key=len, reverse=True))
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 #: Longest blank beside a disguise; keeps every scan linear.
 _GAP = r"[\x20\t]{0,3}"
-_DISGUISE = re.compile(
+LONG_RUN = 7
+_DISGUISE = (
     rf"(?P<char>[{re.escape(''.join(_CHARS))}])"
     rf"|(?P<at>{_GAP}{_OPEN}{_GAP}(?:at|@|arroba|arobase){_GAP}{_CLOSE}{_GAP})"
     rf"|(?P<dot>{_GAP}{_OPEN}{_GAP}(?:dot|\.|point|punto|punkt){_GAP}{_CLOSE}{_GAP})"
     rf"|(?P<bare_at>(?<=[A-Za-z0-9])[\x20\t]at[\x20\t](?=[A-Za-z0-9-]{{1,63}}[\x20\t]dot[\x20\t]))"
     rf"|(?P<bare_dot>(?<=[A-Za-z0-9])[\x20\t]dot[\x20\t](?=[A-Za-z0-9]))"
-    rf"|(?P<spelled>\b(?:plus[\x20-])?(?:(?:{_WORD}|[0-9])[\x20,-]{{1,2}}){{6,}}(?:{_WORD}|[0-9])\b)",
-    re.IGNORECASE,
+    rf"|(?P<spelled>\b(?:plus[\x20-])?(?:(?:{_WORD}|[0-9])[\x20,-]{{1,2}}){{LEAST,}}(?:{_WORD}|[0-9])\b)"
 )
+_LONG_RUNS, _ALL_RUNS = (re.compile(_DISGUISE.replace("LEAST", str(n)), re.IGNORECASE) for n in (LONG_RUN - 1, 0))
 # Texts without any of these need no rewriting, and texts without a digit or @ have no plain finding (RE2 syntax).
 _TRIGGER = rf"(?i)[{''.join(_CHARS)}]|{_OPEN}[ \t]{{0,3}}(at|@|arroba|arobase|dot|\.|point|punto|punkt)[ \t]{{0,3}}{_CLOSE}|[ \t]dot[ \t]|(({_WORD}|[0-9])[ ,-]{{1,2}}){{5}}"
+# Texts without these have no run that only counts on the second copy: a spelled digit next to another or to a figure.
+_NEIGHBOURS = rf"(?i)({_WORD}|[0-9])[^a-z0-9]+({_WORD})|({_WORD})[^a-z0-9]+[0-9]|({_WORD})[^a-z0-9]+(dot|point|punto|punkt)[^a-z0-9]|(dot|point|punto|punkt)[^a-z0-9]+({_WORD})"
+_BETWEEN = re.compile(_NEIGHBOURS)
 _PLAIN = "[0-9@]"
 _SPELLED_DIGIT = re.compile(rf"{_WORD}|[0-9]|plus", re.IGNORECASE)
 
@@ -115,7 +120,7 @@ def detect(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def normalise(text: str) -> tuple[str, list[int], list[int], list[bool]]:
+def normalise(text: str, disguise: re.Pattern = _LONG_RUNS) -> tuple[str, list[int], list[int], list[bool]]:
     """The text without disguises; for each of its characters the source range it stands for and whether it was rewritten."""
     out, begin, end, new = [], [], [], []
 
@@ -126,12 +131,15 @@ def normalise(text: str) -> tuple[str, list[int], list[int], list[bool]]:
         new.extend([changed] * len(made))
 
     done = 0
-    for m in _DISGUISE.finditer(text):
+    for m in disguise.finditer(text):
         kind = m.lastgroup
         if kind == "char":
             made = _CHARS.get(m[0], m[0])
         elif kind == "spelled":
-            made = "".join("+" if (w := x.lower()) == "plus" else SPELLED.get(w, w) for x in _SPELLED_DIGIT.findall(m[0]))
+            parts = _SPELLED_DIGIT.findall(m[0])
+            if len(parts) < LONG_RUN and all("0" <= x <= "9" for x in parts):
+                continue  # a few plain figures stay as they are
+            made = "".join("+" if (w := x.lower()) == "plus" else SPELLED.get(w, w) for x in parts)
         else:
             made = "@" if "at" in kind else "."
         take(text[done : m.start()], done, m.start(), False)
@@ -145,20 +153,21 @@ def spans_of(text: str, disguised: bool = True) -> list[tuple[str, int, int, boo
     """All spans (kind, start, end, base) of a text by start, then kind as listed; disguised: look for rewritten ones too."""
     found = [(*s, True) for s in detect(text)]
     if disguised:
-        clean, begin, end, new = normalise(text)
-        base = sorted(s[1:3] for s in found)
-        for kind, a, b in detect(clean):
-            # A finding counts if a character of it was rewritten, or one inside it removed.
-            if any(new[a:b]) or end[b - 1] - begin[a] != b - a:
-                x, y = begin[a], end[b - 1]
-                if not any(p < y and q > x for p, q in base):
-                    found.append((kind, x, y, False))
+        for disguise in (_LONG_RUNS, _ALL_RUNS) if _BETWEEN.search(text) else (_LONG_RUNS,):
+            clean, begin, end, new = normalise(text, disguise)
+            before = sorted(s[1:3] for s in found if s[3] or disguise is _ALL_RUNS)
+            for kind, a, b in detect(clean):
+                # A finding counts if a character of it was rewritten, or one inside it removed.
+                if any(new[a:b]) or end[b - 1] - begin[a] != b - a:
+                    x, y = begin[a], end[b - 1]
+                    if not any(p < y and q > x for p, q in before):
+                        found.append((kind, x, y, False))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
 def spans_column(col: pa.Array) -> list[list[tuple[str, int, int, bool]]]:
     """spans_of each text of an Arrow array; a null has none."""
-    hidden = pc.match_substring_regex(col, _TRIGGER).fill_null(False)
+    hidden = pc.or_(pc.match_substring_regex(col, _TRIGGER), pc.match_substring_regex(col, _NEIGHBOURS)).fill_null(False)
     some = pc.or_(hidden, pc.match_substring_regex(col, _PLAIN).fill_null(False))
     out: list = [[] for _ in range(len(col))]
     for i in pc.indices_nonzero(some).to_pylist():

@@ -54,6 +54,22 @@ def test_disguises(text, kind, found):
     assert pii.spans_column(pa.array([text, None]))[0] == pii.spans_of(text)  # the column's filter lets it through
 
 
+@pytest.mark.parametrize(
+    "text, kind, found",
+    [
+        ("at one nine two dot one six eight dot zero dot one now", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("at 192.168.zero.one now", "ip", "192.168.zero.one"),
+        ("call +4420 seven nine four six zero one now", "phone", "+4420 seven nine four six zero one"),
+        ("call plus one (four one five) five five five 2671 now", "phone", "plus one (four one five) five five five 2671"),
+        ("pay 4111 1111 1111 one one one one now", "card", "4111 1111 1111 one one one one"),
+        ("call plus four four two zero seven nine four six zero nine five eight. one two three four more", "phone", "plus four four two zero seven nine four six zero nine five eight"),
+    ],
+)
+def test_short_spelled_runs(text, kind, found):
+    assert [(k, text[a:b], base) for k, a, b, base in pii.spans_of(text)] == [(kind, found, False)]
+    assert pii.spans_column(pa.array([text]))[0] == pii.spans_of(text)
+
+
 def test_ordinary_text_adds_nothing():
     for text in ("we met at noon and one by one six of them left", "un deux trois", "see (at) least; point. 5 - 6", "a@b c dot", "the dot at the end"):
         assert pii.spans_of(text) == []
