@@ -46,9 +46,15 @@ IMITATED = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g
 SELF, IMITATION, WILD, REPEAT = 0.0, 1.0, 2.0, 0.5
 MAX_STRETCH = 40
 
-_SIGN = r"0-9@$!|+*€"
-# RE2, over whole columns: which texts hold something suspicious.
-_SUSPICIOUS = rf"(?i)[a-z][{_SIGN}]+[a-z]|(^|[^a-z{_SIGN}])[{_SIGN}]{{1,3}}[a-z]{{2}}|(^|[^a-z0-9])[a-z{_SIGN}][ ._*-]{{1,2}}[a-z{_SIGN}][ ._*-]{{1,2}}[a-z{_SIGN}]([^a-z0-9]|$)|" + "|".join(c * 3 for c in "abcdefghijklmnopqrstuvwxyz")
+_SIGN = r"0-9@$!|+*€("
+_LETTER = "a-zA-Zİ\u212a"  # all whose lower case has an ASCII letter
+_EDGE = "[^a-zA-Z0-9\u212a]"
+# RE2, over whole columns: which texts hold something suspicious; every text in which _STRETCH finds one is among them.
+_SUSPICIOUS = (
+    rf"(^|{_EDGE})[{_LETTER}{_SIGN}][ ._*-]{{1,2}}[{_LETTER}{_SIGN}][ ._*-]{{1,2}}(İ|[{_LETTER}{_SIGN}]({_EDGE}|$))"
+    rf"|[{_LETTER}][{_SIGN}][{_LETTER}{_SIGN}]|[{_SIGN}][{_LETTER}][{_LETTER}{_SIGN}]|[{_LETTER}{_SIGN}][{_LETTER}][{_SIGN}]|[{_LETTER}{_SIGN}][{_SIGN}][{_LETTER}]"
+    "|(?i:" + "|".join(c * 3 for c in "abcdefghijklmnopqrstuvwxyz") + ")"
+)
 _STRETCH = re.compile(
     rf"(?P<apart>(?<![a-z0-9])[a-z{_SIGN}](?:[ ._*-]{{1,2}}[a-z{_SIGN}](?![a-z0-9])){{2,{MAX_STRETCH}}})"
     rf"|(?P<mixed>(?<![a-z{_SIGN}])(?=[a-z{_SIGN}]*[a-z])(?=[a-z]*[{_SIGN}])[a-z{_SIGN}]{{3,{MAX_STRETCH}}}(?![a-z{_SIGN}]))"
@@ -91,9 +97,12 @@ class CharModel:
         cost = self.cost
         paths = {(0, 0): (0.0, "")}  # the two last symbols: cost so far, letters so far
         previous = ""
-        for sign in stretch:
+        first, last = len(stretch) - len(stretch.lstrip("(")), len(stretch.rstrip("!"))  # outside, both may be punctuation
+        for i, sign in enumerate(stretch):
             letters = [(sign, SELF)] if "a" <= sign <= "z" else [(c, WILD if sign == "*" else IMITATION) for c in IMITATED.get(sign, "")]
             ways = [(ord(c) - 96, c, w) for c, w in letters]
+            if i < first or i >= last:
+                ways.append((0, sign, SELF))
             new: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (so_far, text) in paths.items():
                 if sign == previous and (a, b) != (0, 0) or not ways:

@@ -1,12 +1,14 @@
 """op3 on held-out labels and disguised words; the pipeline against brute force, stage by stage."""
 
 import hashlib
+import random
 import zlib
 
 import duckdb
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 
@@ -40,6 +42,20 @@ def test_restoring(model, hidden, word):
     assert disguised == pytest.approx(plain)
 
 
+@pytest.mark.parametrize("hidden, word", [("idio7", "idiot"), ("1di0+", "idiot"), ("id!0+", "idiot"), ("m0r0n", "moron"), ("s(um", "scum"), ("idiot!", "idiot"), ("(idiot", "idiot")])
+def test_gate_lets_disguises_through(model, hidden, word):
+    plain, disguised = toxicity._restored(pa.array([f"an {word} of it", f"an {hidden} of it"]), model.chars).to_pylist()
+    assert plain.split() == [x.strip("!(") for x in disguised.split()]
+
+
+def test_gate_is_no_narrower_than_the_decoder():
+    rng = random.Random(3)
+    for letters in ("ab3$! .", "aA(*- x0", "İ\u212aſk. 1", "aaAbé+ _"):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(20_000)]
+        gate = pc.match_substring_regex(pa.array(texts), toxicity._SUSPICIOUS).to_pylist()
+        assert not [t for t, open_ in zip(texts, gate) if not open_ and toxicity._STRETCH.search(t.lower())]
+
+
 def test_ordinary_text_is_left_alone(model):
     for text in ("the onthe in was with that erstion", "a as i in on", "call 555 now"):
         assert model.chars.restore(text) == text
