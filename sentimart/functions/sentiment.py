@@ -22,63 +22,3 @@ def sentiment_label(score: Column) -> Column:
         .when(score <= R.NEGATIVE_THRESHOLD, F.lit("Negative"))
         .otherwise(F.lit("Neutral"))
     )
-
-
-DAMPING = (1.0, 0.95, 0.9)   # FIXED VALUES: booster damping at distance 1, 2, 3 (VADER)
-
-
-def _booster(w: Column, boosters) -> Column:
-    out = F.lit(0.0)
-    for word, scalar in boosters:
-        out = F.when(w == word, F.lit(float(scalar))).otherwise(out)
-    return out
-
-
-def heuristic_valence_sum(lemmas: Column, hits: Column, boosters=R.BOOSTER_SEED,
-                          negators=R.NEGATOR_SEED) -> Column:
-    """Sum of valences with VADER's booster, negation and 'least' rules, per document.
-
-    ``lemmas``: the document's cleaned tokens; ``hits``: array<struct<pos, valence>> of the
-    tokens found in the lexicon. Each rule is one ``transform`` over the (few) hits, reading the
-    running value as a field, so no expression is duplicated.
-    """
-    booster_words = [w for w, _ in boosters]
-    neg = list(negators)
-    hit_pos = F.transform(hits, lambda h: h["pos"])
-
-    def word(pos: Column) -> Column:
-        return F.when(pos >= 0, F.element_at(lemmas, pos + 1))
-
-    # A booster word is scored 0 even when it is in the lexicon.
-    cur = F.transform(hits, lambda h: F.struct(
-        h["pos"].alias("pos"),
-        F.when(word(h["pos"]).isin(booster_words), F.lit(0.0)).otherwise(h["valence"]).alias("v")))
-    def make_step(k: int):
-        # One-argument lambda: transform() passes the element index to a two-argument one.
-        def step(h):
-            j = h["pos"] - k
-            w = word(j)
-            eligible = (j >= 0) & ~F.array_contains(hit_pos, j)
-            s = _booster(w, boosters) * DAMPING[k - 1]
-            v1 = h["v"] + F.when(h["v"] < 0, -s).otherwise(s)
-            if k == 1:
-                keep = F.lit(False)
-            elif k == 2:
-                keep = (w == "without") & (word(h["pos"] - 1) == "doubt")
-            else:
-                keep = (w == "without") & ((word(h["pos"] - 2) == "doubt") | (word(h["pos"] - 1) == "doubt"))
-            v2 = F.when(~keep & F.coalesce(w.isin(neg), F.lit(False)), v1 * R.NEGATION_SCALAR).otherwise(v1)
-            return F.struct(h["pos"].alias("pos"), F.when(eligible, v2).otherwise(h["v"]).alias("v"))
-        return step
-
-    for k in (1, 2, 3):
-        cur = F.transform(cur, make_step(k))
-
-    def least(h):
-        p = h["pos"]
-        prev_is_least = (p >= 1) & ~F.array_contains(hit_pos, p - 1) & (word(p - 1) == "least")
-        guard = (p < 2) | ~F.coalesce(word(p - 2).isin("at", "very"), F.lit(False))
-        return F.struct(p.alias("pos"), F.when(prev_is_least & guard, h["v"] * R.NEGATION_SCALAR)
-                        .otherwise(h["v"]).alias("v"))
-    cur = F.transform(cur, least)
-    return F.aggregate(cur, F.lit(0.0), lambda acc, h: acc + h["v"])

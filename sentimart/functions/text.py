@@ -42,6 +42,11 @@ URL = rf"http[^{WS_CLASS}]+|www[^{WS_CLASS}]+"
 EMOJI = r"[\x{200D}\x{231A}\x{23CF}\x{23E9}\x{24C2}-\x{10FFFF}]+"
 NON_LETTER = rf"[^a-zA-Z{WS_CLASS}]+"
 BLANKS = rf"[{WS_CLASS}]+"
+# The same characters as NON_LETTER, listed instead of negated: Java tests a negated union member by member.
+DROPPED = (
+    r"[!-@\[-`{-\x7F\x00-\x08\x0E-\x1B\x{80}-\x{84}\x{86}-\x{9F}\x{A1}-\x{167F}\x{1681}-\x{1FFF}\x{200B}-\x{2027}"
+    r"\x{202A}-\x{202E}\x{2030}-\x{205E}\x{2060}-\x{2FFF}\x{3001}-\x{10FFFF}]+"
+)
 # One pass for all tokenizer splits: the first part of a split word, when followed by its rest.
 TOKEN_SPLIT = r"\b(" + "|".join(
     f"{a}(?={b}\\b)" for _, a, b in R.TOKEN_SPLITS
@@ -107,9 +112,64 @@ def expand_contractions(c: Column, rules: Iterable[tuple[int, str, str]] = R.CON
     return out
 
 
+# A run of word characters and apostrophes is cut before each suffix of a contraction: "shouldn't've" -> should, n't, 've.
+WORD_RUN = "[a-zA-Z0-9_'’]+"
+RUN_CUT = "(?<=.)(?=n['’]t)|(?<=.)(?=['’](?!t))|(?<=[^n])(?=['’]t)"
+
+
+def contraction_tables(rules: Iterable[tuple[int, str, str]] = R.CONTRACTIONS) -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """(stem and suffix -> words, suffix -> words, whole word -> words) of the rules, with straight apostrophes."""
+    cut = re.compile(RUN_CUT)
+    pairs: dict[str, str] = {}
+    singles: dict[str, str] = {}
+    words: dict[str, str] = {}
+    for _, pattern, replacement in sorted(rules):
+        parts = cut.split(pattern.removeprefix("="))
+        if len(parts) == 2:
+            pairs[" ".join(parts)] = replacement
+        elif "'" in pattern:
+            singles[parts[0]] = replacement.strip()
+        else:
+            words[parts[0]] = replacement
+    return pairs, singles, words
+
+
+def expand_words(c: Column, rules: Iterable[tuple[int, str, str]] = R.CONTRACTIONS) -> Column:
+    """X5 in one pass: each candidate word is cut into stem and suffixes, and the longest entry of the rule table wins.
+
+    A stem with its suffix ("wo n't") goes before the suffix alone ("n't"); what is in no table stays. The
+    result has single blanks, which is all that the tokenizer needs.
+    """
+    pairs, singles, words = contraction_tables(rules)
+
+    def table(entries: dict[str, str]) -> Column:
+        return F.create_map(*[F.lit(x) for kv in entries.items() for x in kv]) if entries else F.expr("map('', '')")
+
+    pair_of, single_of, word_of = table(pairs), table(singles), table(words)
+
+    def word(run: Column) -> Column:
+        parts = F.split(F.regexp_replace(run, "’", "'"), RUN_CUT)
+
+        def part(p: Column, i: Column) -> Column:
+            after = F.try_element_at(pair_of, F.concat_ws(" ", p, F.get(parts, i + 1)))
+            before = F.try_element_at(pair_of, F.concat_ws(" ", F.get(parts, i - 1), p))
+            suffix = F.try_element_at(single_of, p)
+            return (F.when(after.isNotNull(), after).when(before.isNotNull(), F.lit(""))
+                    .when(suffix.isNotNull(), F.concat(F.lit(" "), suffix)).otherwise(p))
+
+        return F.coalesce(F.try_element_at(word_of, run), F.array_join(F.transform(parts, part), ""))
+
+    def run_or_rest(piece: Column) -> Column:
+        candidate = piece.rlike("^[a-zA-Z0-9_'’]") & (piece.contains("'") | piece.contains("’") | piece.isin(*words))
+        return F.when(candidate, word(piece)).otherwise(piece)
+
+    pieces = F.regexp_extract_all(c, F.lit(f"(?s){WORD_RUN}|[^a-zA-Z0-9_'’]+"), F.lit(0))
+    return F.array_join(F.transform(pieces, run_or_rest), "")
+
+
 def keep_letters(c: Column) -> Column:
     """Everything but ASCII letters and blanks is deleted (not replaced by a blank)."""
-    return F.regexp_replace(c, NON_LETTER, "")
+    return F.regexp_replace(c, DROPPED, "")
 
 
 def tokenize(c: Column) -> Column:
@@ -161,18 +221,19 @@ def _guarded(df: DataFrame, col: str, triggers: tuple[str, ...], step) -> DataFr
 
 
 def add_clean_tokens(df: DataFrame, src: str, dst: str, stopwords: Iterable[str] = R.STOPWORDS) -> DataFrame:
-    """X1-X8 as staged projections on a DataFrame: same result as :func:`clean_tokens`, faster."""
+    """X1-X8 as staged projections on a DataFrame: the tokens of :func:`clean_tokens`, faster."""
     t = f"{dst}__text"
     df = df.withColumn(t, lower_text(F.col(src)))
     df = _guarded(df, t, ("<", "&"), strip_html)
     df = _guarded(df, t, ("http", "www"), strip_urls)
     df = df.withColumn(t, strip_emoji(F.col(t)))
-    df = _guarded(df, t, ("'", "’", *R.SLANG), expand_contractions)
+    df = _guarded(df, t, ("'", "’", *R.SLANG), expand_words)
     df = df.withColumn(t, keep_letters(F.col(t)))
     df = _guarded(df, t, tuple(w for w, _, _ in R.TOKEN_SPLITS),
                   lambda c: F.regexp_replace(c, TOKEN_SPLIT, "$1 "))
-    toks = F.filter(F.split(F.col(t), BLANKS), lambda x: x != F.lit(""))
-    return df.withColumn(dst, remove_stopwords(toks, stopwords)).drop(t)
+    # Only letters and blanks are left, so what is no letter parts the tokens.
+    toks = F.split(F.col(t), "[^a-zA-Z]+")
+    return df.withColumn(dst, F.filter(toks, lambda x: ~x.isin("", *stopwords))).drop(t)
 
 
 def join_tokens(tokens: Column) -> Column:

@@ -1,39 +1,46 @@
 """Lemmatisation as a table job (X9, SURVEY N3).
 
-The reference calls a dictionary lemmatizer per token. Here the work is done once per distinct
-token, not per occurrence:
+A noun's lemma is the shortest dictionary word that one of the suffix rules makes of it, or the word
+itself. The rules are turned round: each dictionary word and rule give the one form that the rule
+reduces to it. So the table of forms comes from the resources alone, once, whatever the corpus is;
+no pass over a batch's vocabulary is needed and a text has one result in every batch.
 
-1. candidates = the token itself plus one form per matching noun suffix rule;
-2. keep candidates found in the dictionary (a semi join; a seed dictionary by default), so one
-   text has one result whatever else is in its batch;
-3. the shortest kept candidate wins, ties going to the token itself, then to rule order;
-4. the irregular-form table overrides the rules.
+1. forms = the dictionary words themselves, and for each rule the word with the rule undone;
+2. per form the shortest word wins, ties going to the word itself, then to rule order;
+3. the irregular-form table overrides the rules.
 
-The result holds only tokens whose lemma differs, so it stays a fraction of the vocabulary.
+The result holds only forms whose lemma differs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentimart import resources as R
 
 
-def candidate_forms(vocab: DataFrame, rules=R.NOUN_SUFFIX_RULES) -> DataFrame:
-    """(token, ord, cand): ord 0 is the token itself, ord i the i-th suffix rule."""
-    t = F.col("token")
-    forms = [F.struct(F.lit(0).alias("ord"), t.alias("cand"))]
-    for i, (suffix, repl) in enumerate(rules, start=1):
-        stem = F.substring(t, F.lit(1), F.length(t) - F.lit(len(suffix)))
-        forms.append(F.struct(
-            F.lit(i).alias("ord"),
-            F.when(t.endswith(suffix), F.concat(stem, F.lit(repl))).alias("cand"),
-        ))
-    return (
-        vocab.select(t, F.inline(F.array(*forms)))
-        .filter(F.col("cand").isNotNull() & (F.col("cand") != ""))
-    )
+def _undone(word, suffix: str, repl: str):
+    """The form that the rule suffix -> repl reduces to the word; null where the word does not end so."""
+    stem = F.substring(word, F.lit(1), F.length(word) - F.lit(len(repl)))
+    form = F.concat(stem, F.lit(suffix))
+    return F.when(word.endswith(repl), form) if repl else form
+
+
+def noun_forms(dictionary: DataFrame, lemmas: DataFrame | None = None, rules=R.NOUN_SUFFIX_RULES) -> DataFrame:
+    """(token, lemma) of every form whose lemma differs from it, from the resource tables alone."""
+    word = F.col("word")
+    made = [F.struct(word.alias("token"), F.lit(0).alias("ord"), word)]
+    made += [F.struct(_undone(word, suffix, repl).alias("token"), F.lit(i).alias("ord"), word)
+             for i, (suffix, repl) in enumerate(rules, start=1)]
+    words = dictionary.select(F.col("token").alias("word")).filter("word <> ''")
+    best = (words.select(F.inline(F.array(*made))).filter(F.col("token").isNotNull())
+            .groupBy("token").agg(F.min(F.struct(F.length("word").alias("len"), "ord", "word")).alias("b")))
+    by_rule = best.select("token", F.col("b.word").alias("lemma")).filter("lemma <> token")
+    if lemmas is None:
+        return by_rule
+    irregular = lemmas.groupBy("token").agg(F.min("lemma").alias("lemma"))
+    return by_rule.join(irregular.select("token"), "token", "left_anti").unionByName(irregular)
 
 
 def lemma_map(vocab: DataFrame, lemmas: DataFrame | None = None,
@@ -43,14 +50,6 @@ def lemma_map(vocab: DataFrame, lemmas: DataFrame | None = None,
     ``vocab``: distinct tokens to lemmatise. ``dictionary``: known words (default: the seed).
     ``lemmas``: irregular forms (token, lemma), applied before the rules.
     """
-    known = (dictionary if dictionary is not None else R.dictionary_df(vocab.sparkSession)).select(F.col("token").alias("cand"))
-    cands = candidate_forms(vocab, rules).join(known, "cand", "left_semi")
-    best = cands.groupBy("token").agg(
-        F.min(F.struct(F.length("cand").alias("len"), F.col("ord"), F.col("cand"))).alias("b")
-    )
-    by_rule = best.select("token", F.col("b.cand").alias("lemma")).filter(F.col("lemma") != F.col("token"))
-    if lemmas is None:
-        return by_rule
-    irregular = vocab.join(lemmas.select("token", "lemma"), "token")
-    return by_rule.join(irregular.select("token"), "token", "left_anti").unionByName(irregular)
-
+    spark: SparkSession = vocab.sparkSession
+    known = dictionary if dictionary is not None else R.dictionary_df(spark)
+    return vocab.select("token").join(noun_forms(known, lemmas, rules), "token")

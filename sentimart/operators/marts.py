@@ -62,7 +62,8 @@ def sentiment_distribution(processed: DataFrame) -> DataFrame:
 
 
 def sentiment_trend_monthly(processed: DataFrame) -> DataFrame:
-    return (processed.na.drop(subset=["year_month", "sentiment"])
+    # A label is never null (X12), so only the month can drop a row.
+    return (processed.filter(F.col("year_month").isNotNull())
             .groupBy("app_name", "year_month", "sentiment")
             .agg(F.count(F.lit(1)).alias("review_count")))
 

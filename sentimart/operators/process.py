@@ -2,23 +2,24 @@
 
 Plan, per batch of raw rows:
 
-* constraint filter and first-row-per-key de-duplication (processed keys are unique);
-* ``left_anti`` against what is already processed, *before* any text work (I3);
-* native column chain -> tokens (narrow, whole-stage codegen);
-* token occurrences (posexplode) -> a per-distinct-token table that holds the lemma (if it
-  changes) and the lexicon valence (if any), built once per distinct token, not per occurrence;
-* occurrences inner-joined to that table (only hits survive) and aggregated per document into
-  a small token -> lemma map and a valence sum, applied to the document's token array;
-* the document attributes (no tokens: Catalyst prunes the text work from that side) joined
-  with the per-document result by ``raw_id``. Texts are tokenized only where tokens are used.
-
-No Python UDF, no collect. Resource tables (lexicon, irregular lemmas, dictionary) and the lemma
-map are joined without a hint: AQE picks broadcast or sort-merge from their measured sizes.
+* constraint filter, first row per key and anti joins against what is already processed, on ids only;
+* the rows left, met with their text by a shuffled semi join on ``raw_id``: from here on every row of a
+  document lies in the task of its id, and no later step of a document shuffles again;
+* native column chain -> tokens -> occurrences (posexplode);
+* the token table (lemma, valence, booster, negator, phrase word) is made from the resource tables
+  alone (``lemmas.noun_forms``, ``score.word_table``), so neither the corpus nor its vocabulary is read
+  for it. It is broadcast only if its size is known to be bounded, else AQE picks the join;
+* score: the marked occurrences only, joined by (document, position) (``operators.score``);
+* text: every occurrence carries its lemma and a document's are gathered by position;
+* both per-document results are joined to the document's attributes by ``raw_id``. A query that does
+  not use one of them does not compute it (the join is dropped by Catalyst).
+
+No Python UDF, no collect, no job while the plan is built.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,29 +28,58 @@ from sentimart import resources as R
 from sentimart.functions import sentiment as SF
 from sentimart.functions import text as TF
 from sentimart.functions.formats import year_month
-from sentimart.operators.lemmas import lemma_map
+from sentimart.operators import score as SC
+from sentimart.operators.lemmas import noun_forms
+
+
+#: Rows of a token table that may be broadcast.
+BROADCAST_WORDS = 200_000
 
 
 @dataclass
 class TextResources:
-    """Resource tables used by the transform. ``None`` -> built-in seed."""
+    """Resource tables used by the transform. ``None`` -> built-in seed.
+
+    ``bounded``: whether the token table made of them may be broadcast; known for the seeds, found by
+    :meth:`prepared` for other tables, else left to AQE.
+    """
 
     stopwords: tuple[str, ...] = R.STOPWORDS
-    lexicon: DataFrame | None = None
-    lemmas: DataFrame | None = None
-    dictionary: DataFrame | None = None
-    # "vader": valences with booster, negation and 'least' rules; "lexicon": their plain sum.
+    lexicon: DataFrame | None = None       # token string, valence double
+    lemmas: DataFrame | None = None        # token string, lemma string: irregular forms
+    dictionary: DataFrame | None = None    # token string: words the suffix rules may reduce to
+    # "vader": valences with booster, negation, phrase and 'least' rules; "lexicon": their plain sum.
     mode: str = "vader"
-    boosters: tuple[tuple[str, float], ...] = R.BOOSTER_SEED
-    negators: tuple[str, ...] = R.NEGATOR_SEED
+    boosters: DataFrame | None = None      # token string, scalar double
+    negators: DataFrame | None = None      # token string
+    phrases: DataFrame | None = None       # phrase string (two or three words), valence double
+    bounded: bool | None = None
+    words: DataFrame | None = None         # the token table, if already made
 
     def resolve(self, spark: SparkSession) -> "TextResources":
         if self.mode not in ("lexicon", "vader"):
             raise ValueError(f"unknown sentiment mode {self.mode}")
-        lexicon = self.lexicon if self.lexicon is not None else R.lexicon_df(spark)
-        lemmas = self.lemmas if self.lemmas is not None else R.lemmas_df(spark)
-        return TextResources(self.stopwords, lexicon, lemmas, self.dictionary, self.mode,
-                             self.boosters, self.negators)
+        given = (self.lexicon, self.lemmas, self.dictionary, self.boosters, self.negators, self.phrases)
+        seeds = (R.lexicon_df, R.lemmas_df, R.dictionary_df, R.boosters_df, R.negators_df, R.phrases_df)
+        tables = [g if g is not None else make(spark) for g, make in zip(given, seeds)]
+        bounded = self.bounded if self.bounded is not None else all(g is None for g in given)
+        words = self.words
+        if words is None:
+            lexicon, lemmas, dictionary, boosters, negators, phrases = tables
+            words = SC.word_table(noun_forms(dictionary, lemmas), SC.role_words(lexicon, boosters, negators, phrases))
+        return TextResources(self.stopwords, *tables[:3], self.mode, *tables[3:], bounded, words)
+
+    def prepared(self, spark: SparkSession) -> "TextResources":
+        """Make and measure the token table once (two small jobs); for full-size tables used by many queries."""
+        from sentimart.session import ensure_checkpoint_dir
+        res = self.resolve(spark)
+        ensure_checkpoint_dir(spark)
+        words = res.words.checkpoint(eager=True)
+        bounded = words.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
+        return replace(res, words=words, bounded=bounded)
+
+    def token_side(self) -> DataFrame:
+        return F.broadcast(self.words) if self.bounded else self.words
 
 
 def valid_for_processed(raw: DataFrame) -> DataFrame:
@@ -72,71 +102,30 @@ def token_occurrences(docs: DataFrame, tokens_col: str = "_toks") -> DataFrame:
             .filter(F.col("token").isNotNull()))
 
 
-def token_table(vocab: DataFrame, res: TextResources) -> DataFrame:
-    """(token, lemma, valence) for tokens that change or carry a valence; others are absent."""
-    lm = lemma_map(vocab, res.lemmas, res.dictionary)
-    lex = res.lexicon.select(F.col("token").alias("form"), "valence")
-    info = (
-        vocab.join(lm, "token", "left")
-        .withColumn("form", F.coalesce(F.col("lemma"), F.col("token")))
-        .join(lex, "form", "left")
-    )
-    return info.filter(F.col("lemma").isNotNull() | F.col("valence").isNotNull()).select(
-        "token", "lemma", "valence"
-    )
+def scores(occ: DataFrame, res: TextResources) -> DataFrame:
+    """(raw_id, _vsum) of the documents that hold a scored word."""
+    marks = occ.join(res.token_side().filter("valence is not null or scalar is not null or negates or in_phrase or word in "
+                                             f"({', '.join(repr(w) for w in SC.NAMED_WORDS)})"), "token")
+    if res.mode == "lexicon":
+        return marks.groupBy("raw_id").agg(F.sum("valence").alias("_vsum"))
+    return SC.valence_sums(marks, F.broadcast(res.phrases) if res.bounded else res.phrases)
 
 
-def per_document(occ: DataFrame, table: DataFrame, res: TextResources | None = None) -> DataFrame:
-    """(raw_id, _changes, _vsum[, _hits]) from the occurrences that hit the token table.
+def cleaned(occ: DataFrame, res: TextResources) -> DataFrame:
+    """(raw_id, lemmas, word_count): every occurrence with its lemma, gathered by position."""
+    changed = res.token_side().filter("changed").select("token", "word")
+    by_pos = F.sort_array(F.collect_list(F.struct("pos", F.coalesce("word", "token").alias("word"))))
+    return occ.join(changed, "token", "left").groupBy("raw_id").agg(
+        by_pos["word"].alias("lemmas"), F.count(F.lit(1)).cast("int").alias("word_count"))
 
-    Inner join: only tokens that change or carry a valence survive, so the per-document
-    aggregate sees a small fraction of the tokens. ``_changes`` maps each changed token of the
-    document to its lemma (distinct pairs, so the map stays as small as the document's set of
-    changed forms).
-    """
-    hits = occ.join(table, "token")
-    aggs = [
-        F.map_from_entries(F.collect_set(F.when(F.col("lemma").isNotNull(),
-                                                F.struct(F.col("token"), F.col("lemma"))))).alias("_changes"),
-        F.sum("valence").alias("_vsum"),
-    ]
-    if res is not None and res.mode == "vader":
-        aggs.append(F.array_sort(F.collect_list(F.when(
-            F.col("valence").isNotNull(), F.struct(F.col("pos"), F.col("valence"))))).alias("_hits"))
-    return hits.groupBy("raw_id").agg(*aggs)
-
-
-def lemmatized(docs: DataFrame, res: TextResources, keep: list[str],
-               materialize: bool = True) -> DataFrame:
-    """``docs`` (raw_id, text, ...) -> ``keep`` columns + lemmas, word_count, _vsum.
-
-    The tokens feed the vocabulary (four uses inside the lemma job), the hit join and the
-    final rewrite. Attributes and tokens are written once to the shared checkpoint folder
-    (``checkpoint()``, reliable, not local), so the regex chain and whatever dedupe stands before
-    it run once per text; only the small per-document result is joined to them.
-    """
-    whole = tokenized(docs, res.stopwords).select(*dict.fromkeys(["raw_id", *keep]), "_toks")
-    if materialize:
-        from sentimart.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(whole.sparkSession)
-        whole = whole.checkpoint(eager=True)
-    toks = whole.select("raw_id", "_toks")
-    occ = token_occurrences(toks)
-    vocab = occ.select("token").distinct()
-    if materialize:
-        # Four branches of the lemma job read the vocabulary; their plans differ slightly, so
-        # Spark would not reuse one exchange. Distinct tokens are small: write them once.
-        vocab = vocab.checkpoint(eager=True)
-    agg = per_document(occ, token_table(vocab, res), res)
-    t = whole.join(agg, "raw_id", "left")
-    lemmas = F.transform(F.col("_toks"), lambda x: F.coalesce(F.try_element_at(F.col("_changes"), x), x))
-    t = t.select(*keep, lemmas.alias("lemmas"), F.size("_toks").cast("int").alias("word_count"),
-                 "_vsum", *(["_hits"] if res.mode == "vader" else []))
-    if res.mode == "vader":
-        t = t.withColumn("_vsum", SF.heuristic_valence_sum(
-            F.col("lemmas"), F.coalesce(F.col("_hits"), F.array().cast("array<struct<pos:int,valence:double>>")),
-            res.boosters, res.negators)).drop("_hits")
-    return t
+
+def lemmatized(docs: DataFrame, res: TextResources, keep: list[str]) -> DataFrame:
+    """``docs`` (raw_id unique, review_text, ...) -> ``keep`` columns + lemmas, word_count, _vsum."""
+    texts = docs.select("raw_id", "review_text")
+    occ = token_occurrences(tokenized(texts, res.stopwords).select("raw_id", "_toks"))
+    out = docs.select(*keep).join(cleaned(occ, res), "raw_id", "left").join(scores(occ, res), "raw_id", "left")
+    return out.select(*keep, F.coalesce("lemmas", F.array().cast("array<string>")).alias("lemmas"),
+                      F.coalesce("word_count", F.lit(0)).alias("word_count"), "_vsum")
 
 
 def process_reviews(raw: DataFrame, res: TextResources | None = None,
@@ -151,7 +140,8 @@ def process_reviews(raw: DataFrame, res: TextResources | None = None,
     ids = first_arrivals(valid.select("raw_id", "review_id"))
     if existing is not None:
         ids = anti_join_existing(anti_join_existing(ids, existing, "raw_id"), existing, "review_id")
-    todo = valid.join(ids.select("raw_id"), "raw_id", "left_semi")
+    # A shuffled semi join, also where the ids are few: it deals the texts by document.
+    todo = valid.join(ids.select("raw_id").hint("merge"), "raw_id", "left_semi")
     keep = ["raw_id", "app_name", "review_id", "rating", "review_ts", "review_text"]
     scored = lemmatized(todo, res, keep)
     score = SF.compound(F.col("_vsum"))
@@ -176,7 +166,7 @@ def clean_text_only(df: DataFrame, res: TextResources | None = None, text_col: s
     """(raw_id, cleaned_text, word_count, sentiment_score) for any (raw_id, text) frame."""
     spark = df.sparkSession
     res = (res or TextResources()).resolve(spark)
-    docs = df.select("raw_id", F.col(text_col).alias("review_text"))
+    docs = df.select("raw_id", F.col(text_col).alias("review_text")).repartition("raw_id")
     scored = lemmatized(docs, res, ["raw_id"])
     return scored.select(
         "raw_id",

@@ -134,40 +134,39 @@ def label(score: str) -> str:
             f"WHEN {score} <= {R.NEGATIVE_THRESHOLD} THEN 'Negative' ELSE 'Neutral' END")
 
 
-def vader_sum(lemmas: str, hits: str) -> str:
-    """SQL twin of ``functions.sentiment.heuristic_valence_sum`` (hits: list of {pos, v})."""
-    from sentimart.functions.sentiment import DAMPING
-    boosters = [w for w, _ in R.BOOSTER_SEED]
-
-    def word(p: str) -> str:
-        return f"(CASE WHEN ({p}) >= 0 THEN {lemmas}[({p}) + 1] END)"
-
-    def booster(w: str) -> str:
-        cases = " ".join(f"WHEN {w} = {q(b)} THEN {float(v)!r}" for b, v in R.BOOSTER_SEED)
-        return f"(CASE {cases} ELSE 0.0 END)"
-
-    hit_pos = f"list_transform({hits}, lambda h: h.pos)"
-    cur = (f"list_transform({hits}, lambda h: {{'pos': h.pos, 'v': CASE WHEN {word('h.pos')} IN "
-           f"({', '.join(q(b) for b in boosters)}) THEN 0.0 ELSE h.v END}})")
-    negs = ", ".join(q(n) for n in R.NEGATOR_SEED)
+def vader_ctes(p: str) -> list[tuple[str, str]]:
+    """CTEs from ``{p}_mark`` (raw_id, pos, word, valence) of all occurrences to ``{p}_vsum`` (raw_id, vsum).
+
+    Every neighbour is a self join on (document, position).
+    """
+    from sentimart.operators.score import DAMPING, WINDOWS
+    joins = " ".join(f"LEFT JOIN {p}_mark m{k} ON m{k}.raw_id = h.raw_id AND m{k}.pos = h.pos + {k}".replace("m-", "b").replace("+ -", "- ")
+                     for k in (-3, -2, -1, 1, 2))
+    cols = ["h.raw_id", "h.pos", "h.word AS w0", "h.valence"]
+    cols += [f"b{k}.word AS l{k}, b{k}.valence IS NOT NULL AS known{k}, coalesce(s{k}.scalar, 0.0) * {DAMPING[k - 1]!r} AS add{k}, "
+             f"b{k}.word IN (SELECT token FROM {p}_neg) AS neg{k}" for k in (1, 2, 3)]
+    cols += ["m1.word AS r1", "m2.word AS r2"]
+    scal = " ".join(f"LEFT JOIN {p}_boost s{k} ON s{k}.token = b{k}.word" for k in (1, 2, 3))
+    doubt = {1: "false", 2: "(l2 = 'without' AND l1 = 'doubt')", 3: "(l3 = 'without' AND (l2 = 'doubt' OR l1 = 'doubt'))"}
+    out = [
+        (f"{p}_boost", values(R.BOOSTER_SEED, "token, scalar")),
+        (f"{p}_neg", values([(w,) for w in R.NEGATOR_SEED], "token")),
+        (f"{p}_phr", values(R.PHRASE_SEED, "phrase, valence")),
+        (f"{p}_v0", f"""SELECT {', '.join(cols)} FROM {p}_mark h {joins} {scal}
+WHERE h.valence IS NOT NULL AND h.word NOT IN (SELECT token FROM {p}_boost)"""),
+    ]
+    prev = "valence"
     for k in (1, 2, 3):
-        w = word(f"h.pos - {k}")
-        s = f"({booster(w)} * {DAMPING[k - 1]!r})"
-        v1 = f"(h.v + CASE WHEN h.v < 0 THEN -{s} ELSE {s} END)"
-        if k == 1:
-            keep = "false"
-        elif k == 2:
-            keep = f"({w} = 'without' AND {word('h.pos - 1')} = 'doubt')"
-        else:
-            keep = f"({w} = 'without' AND ({word('h.pos - 2')} = 'doubt' OR {word('h.pos - 1')} = 'doubt'))"
-        v2 = (f"(CASE WHEN NOT {keep} AND coalesce({w} IN ({negs}), false) "
-              f"THEN {v1} * {R.NEGATION_SCALAR!r} ELSE {v1} END)")
-        elig = f"(h.pos - {k} >= 0 AND NOT list_contains({hit_pos}, h.pos - {k}))"
-        cur = f"list_transform({cur}, lambda h: {{'pos': h.pos, 'v': CASE WHEN {elig} THEN {v2} ELSE h.v END}})"
-    least = (f"(h.pos >= 1 AND NOT list_contains({hit_pos}, h.pos - 1) AND {word('h.pos - 1')} = 'least' "
-             f"AND (h.pos < 2 OR NOT coalesce({word('h.pos - 2')} IN ('at', 'very'), false)))")
-    cur = f"list_transform({cur}, lambda h: {{'pos': h.pos, 'v': CASE WHEN {least} THEN h.v * {R.NEGATION_SCALAR!r} ELSE h.v END}})"
-    return f"coalesce(list_sum(list_transform({cur}, lambda h: h.v)), 0.0)"
+        moved = f"({prev} + CASE WHEN {prev} < 0 THEN -add{k} ELSE add{k} END)"
+        out.append((f"{p}_v{k}", f"""SELECT *, CASE WHEN pos < {k} OR known{k} THEN {prev}
+WHEN coalesce(neg{k}, false) AND NOT coalesce({doubt[k]}, false) THEN {moved} * {R.NEGATION_SCALAR!r} ELSE {moved} END AS x{k} FROM {p}_v{k - 1}"""))
+        prev = f"x{k}"
+    word = {-3: "l3", -2: "l2", -1: "l1", 0: "w0", 1: "r1", 2: "r2"}
+    found = ", ".join(f"(SELECT valence FROM {p}_phr WHERE phrase = {' || chr(32) || '.join(word[o] for o in w)})" for w in WINDOWS)
+    out.append((f"{p}_v4", f"SELECT *, CASE WHEN pos >= 3 AND NOT known3 THEN coalesce({found}, x3) ELSE x3 END AS x4 FROM {p}_v3"))
+    out.append((f"{p}_vsum", f"""SELECT raw_id, sum(x4 * CASE WHEN l1 = 'least' AND NOT known1 AND NOT coalesce(l2 IN ('at', 'very'), false)
+  THEN {R.NEGATION_SCALAR!r} ELSE 1.0 END) AS vsum FROM {p}_v4 GROUP BY raw_id"""))
+    return out
 
 
 def year_month(x: str) -> str:
@@ -203,12 +202,11 @@ UNION ALL SELECT token, lemma FROM {p}_irr"""),
         (f"{p}_tok", f"""SELECT v.token, m.lemma, x.valence FROM {p}_vocab v
 LEFT JOIN {p}_lm m ON m.token = v.token
 LEFT JOIN {p}_lex x ON x.token = coalesce(m.lemma, v.token)"""),
-        (f"{p}_agg", f"""SELECT o.raw_id, list(coalesce(t.lemma, o.token) ORDER BY o.pos) AS lemmas,
-  list({{'pos': o.pos, 'v': t.valence}} ORDER BY o.pos) FILTER (WHERE t.valence IS NOT NULL) AS hits,
-  sum(t.valence) AS lsum
-FROM {p}_occ o LEFT JOIN {p}_tok t ON t.token = o.token GROUP BY o.raw_id"""),
-        (f"{p}_lem", f"""SELECT raw_id, array_to_string(lemmas, ' ') AS cleaned_text, len(lemmas) AS word_count,
-  lsum, {vader_sum('lemmas', 'hits')} AS vsum FROM {p}_agg"""),
+        (f"{p}_mark", f"SELECT o.raw_id, o.pos, coalesce(t.lemma, o.token) AS word, t.valence FROM {p}_occ o JOIN {p}_tok t ON t.token = o.token"),
+        *vader_ctes(p),
+        (f"{p}_agg", f"""SELECT raw_id, string_agg(word, ' ' ORDER BY pos) AS cleaned_text, count(*) AS word_count, sum(valence) AS lsum
+FROM {p}_mark GROUP BY raw_id"""),
+        (f"{p}_lem", f"SELECT a.*, v.vsum FROM {p}_agg a LEFT JOIN {p}_vsum v ON v.raw_id = a.raw_id"),
     ]
 
 

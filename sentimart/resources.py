@@ -201,6 +201,17 @@ NEGATOR_SEED: tuple[str, ...] = tuple((
     "never none nope nor not nothing nowhere oughtnt rarely seldom shant shouldnt uhuh uhhuh wasnt werent without wont wouldnt"
 ).split())
 
+# FIXED VALUES: phrases with a valence of their own in the public VADER rules.
+PHRASE_SEED: tuple[tuple[str, float], ...] = (
+    ("the shit", 3.0),
+    ("the bomb", 3.0),
+    ("bad ass", 1.5),
+    ("yeah right", -2.0),
+    ("cut the mustard", 2.0),
+    ("kiss of death", -1.5),
+    ("hand to mouth", -2.0),
+)
+
 # ---------------------------------------------------------------------------------------------
 # Themes named in the reference's results section (theme -> token that signals it).
 # ---------------------------------------------------------------------------------------------
@@ -259,23 +270,46 @@ GOLDEN_TEXT: tuple[tuple[int, str | None], ...] = (
     (-28, "never great"),
     (-29, "broken boxes and sad news about the shelves"),
     (-30, "price, delivery and service of this product: the app is cheap"),
+    (-31, "phone truly looks bad ass"),
+    (-32, "screen yeah right great"),
+    (-33, "never really good, battery yeah right bad ass stupid idiot"),
 )
 
 
+def seed_df(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small table as inline VALUES: a local relation, read without a job of its own."""
+    names = ", ".join(c.split()[0] for c in schema.split(", "))
+    types = ", ".join("CAST({0} AS {1}) AS {0}".format(*c.split()) for c in schema.split(", "))
+    body = ", ".join("(" + ", ".join("'" + v.replace("'", "\\'") + "'" if isinstance(v, str) else repr(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT {types} FROM VALUES {body} AS t({names})")
+
+
 def dictionary_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in DICTIONARY_SEED], "token string")
+    return seed_df(spark, [(w,) for w in DICTIONARY_SEED], "token string")
 
 
 def lemmas_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(LEMMA_SEED), "token string, lemma string")
+    return seed_df(spark, LEMMA_SEED, "token string, lemma string")
 
 
 def lexicon_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(LEXICON_SEED), "token string, valence double")
+    return seed_df(spark, LEXICON_SEED, "token string, valence double")
+
+
+def boosters_df(spark: SparkSession) -> DataFrame:
+    return seed_df(spark, BOOSTER_SEED, "token string, scalar double")
+
+
+def negators_df(spark: SparkSession) -> DataFrame:
+    return seed_df(spark, [(w,) for w in NEGATOR_SEED], "token string")
+
+
+def phrases_df(spark: SparkSession) -> DataFrame:
+    return seed_df(spark, PHRASE_SEED, "phrase string, valence double")
 
 
 def themes_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(THEMES), "theme string, token string")
+    return seed_df(spark, THEMES, "theme string, token string")
 
 
 def golden_text_df(spark: SparkSession) -> DataFrame:

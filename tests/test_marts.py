@@ -91,15 +91,16 @@ def test_top_k_is_subset_of_counts(spark):
     assert outside.filter(F.col("c") > F.col("m")).count() == 0
 
 
-def test_null_ids_match_unless_disabled(spark):
+def test_null_ids_pair_only_when_asked(spark):
     from sentimart.operators import marts as M
     raw = spark.createDataFrame([(1, "a", None, 5), (2, "a", None, 4)],
                                 "raw_id long, app_name string, review_id string, rating int") \
         .withColumn("review_ts", F.lit(None).cast("timestamp_ntz")).withColumn("review_text", F.lit("x"))
     proc = spark.createDataFrame([(7, "a", None, "Neutral", 0.0), (8, "a", None, "Neutral", 0.0)],
                                  "raw_id long, app_name string, review_id string, sentiment string, sentiment_score double")
-    assert M.join_examples(raw, proc).count() == 4                      # 2 x 2, as a null-safe merge
-    assert M.join_examples(raw, proc, match_null_ids=False).count() == 2
+    assert M.join_examples(raw, proc, pair_null_ids=True).count() == 4  # 2 x 2, as a null-safe merge
+    got = M.join_examples(raw, proc)
+    assert got.count() == 2 and got.filter("sentiment is not null").count() == 0  # 7 and 8 are other rows
 
 
 def test_dominant_sentiment_tie_goes_to_first_label(spark):
