@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentimart.llm.scratch import stored
-from sentimart.llm.textblocks import U64, RangeHash, blocks, mix, per_row, runs, starts_of_rows, text_column
+from sentimart.llm.textblocks import U64, TextHash, blocks, mix, per_row, runs, starts_of_rows, text_column
 
 #: Bytes of shingle hashes in one trie.
 BLOCK_BYTES = 8 << 20
@@ -66,7 +66,7 @@ def shingle_sets(col: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     low = raw + (upper * np.uint8(32))
     inside = ~((low == 32) | ((low >= 9) & (low <= 13)))
     starts, ends = runs(inside, starts_of_rows(offsets, len(raw)))
-    words = RangeHash(low)(starts, ends)
+    words = TextHash(low)(starts, ends)
     begin = per_row(starts, offsets)
     counts = np.diff(begin)
     long_enough = np.maximum(counts - width + 1, 0)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sentimart.llm.textblocks import BLOCK_BYTES, RangeHash, blocks, per_row, starts_of_rows, text_column
+from sentimart.llm.textblocks import BLOCK_BYTES, TextHash, blocks, per_row, starts_of_rows, text_column
 
 MARK = "▁"
 #: Chunks kept by a worker; when full the table starts again, which changes no result.
@@ -111,7 +111,7 @@ def _block(col: pa.Array, table: ChunkTable, end: bool) -> tuple[pa.Array, pa.Ar
         begin[1:] &= ~space[:-1]
         starts = np.flatnonzero(begin | starts_of_rows(offsets, len(raw)))
         stops = np.append(starts[1:], len(raw))
-        hashes, where, inverse = np.unique(RangeHash(raw)(starts, stops), return_index=True, return_inverse=True)
+        hashes, where, inverse = np.unique(TextHash(raw)(starts, stops), return_index=True, return_inverse=True)
         place = table.of(hashes, starts[where], stops[where], raw)
         ids, ends = gather(table.ids, table.begin[place][inverse], table.size[place][inverse])
         id_at = np.concatenate([[0], ends])[per_row(starts, offsets)]

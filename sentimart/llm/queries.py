@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import decontaminate, licenses, ngram_join, pieces, pii, suffix_dedup, token_counts, topk, toxicity, url_filter
+from sentimart.llm import decontaminate, licenses, minhash_dedup, ngram_join, pieces, pii, suffix_dedup, token_counts, topk, toxicity, url_filter
 from sentimart.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -235,3 +235,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@_query("op13_minhash_near_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)

@@ -59,7 +59,10 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class RangeHash:
-    """Polynomial hashes modulo 2**64 of any byte ranges of one buffer, equal for equal bytes in every buffer."""
+    """Polynomial hashes modulo 2**64 of short byte ranges of one buffer, equal for equal bytes in every buffer.
+
+    Ranges must be shorter than 1,024 bytes: from there on two ranges can be built that collide whatever the base.
+    """
 
     def __init__(self, raw: np.ndarray):
         up, self.down = _power(len(raw) + 1)
@@ -70,6 +73,68 @@ class RangeHash:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
 
+_P = U64((1 << 61) - 1)
+_M30, _M31 = U64((1 << 30) - 1), U64((1 << 31) - 1)
+_BASE61 = 0x0F3B9E4A5C7D86D7
+#: Longer ranges are hashed piece by piece, so that sums stay exact.
+_PIECE = 1 << 23
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """x modulo 2**61 - 1, for x below 2**64."""
+    x = (x & _P) + (x >> U64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2**61 - 1."""
+    a1, a0, b1, b0 = a >> U64(31), a & _M31, b >> U64(31), b & _M31
+    middle, low = a1 * b0 + a0 * b1, a0 * b0
+    return _fold(a1 * b1 * U64(2) + (middle >> U64(30)) + ((middle & _M30) << U64(31)) + (low & _P) + (low >> U64(61)))
+
+
+def _powers61(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(high, low) halves of the base's powers and its inverse powers."""
+    if len(_powers.get("high", ())) < n:
+        size = max(n, BLOCK_BYTES + 1)
+        tables = []
+        for base in (_BASE61, pow(_BASE61, -1, int(_P))):
+            table = np.ones(1, np.uint64)
+            while len(table) < size:
+                table = np.concatenate([table, _times(table, U64(pow(base, len(table), int(_P))))])
+            tables.append(table[:size])
+        _powers["high"], _powers["low"], _powers["inverse"] = (tables[0] >> U64(31)).astype(np.uint32), (tables[0] & _M31).astype(np.uint32), tables[1]
+    return _powers["high"][:n], _powers["low"][:n], _powers["inverse"][:n]
+
+
+class TextHash:
+    """Polynomial hashes modulo the prime 2**61 - 1 of any byte ranges of one buffer, equal for equal bytes in every buffer."""
+
+    def __init__(self, raw: np.ndarray):
+        high, low, self.inverse = _powers61(len(raw) + 1)
+        value = raw.astype(np.uint64) + U64(1)
+        self.high, self.low = np.zeros(len(raw) + 1, np.uint64), np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(value * high[:-1], out=self.high[1:], dtype=np.uint64)
+        np.cumsum(value * low[:-1], out=self.low[1:], dtype=np.uint64)
+
+    def _piece(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        high, low = _fold(self.high[end] - self.high[start]), self.low[end] - self.low[start]
+        total = _fold((high >> U64(30)) + ((high & _M30) << U64(31)) + _fold(low))
+        return mix(_times(total, self.inverse[start]) + (end - start).astype(np.uint64) * U64(0x9E3779B97F4A7C15))
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        start, end = np.asarray(start), np.asarray(end)
+        out = self._piece(start, np.minimum(end, start + _PIECE))
+        rest = np.flatnonzero(end - start > _PIECE)
+        at = start[rest] + _PIECE
+        while len(rest):
+            out[rest] = mix(out[rest] * U64(0xC2B2AE3D27D4EB4F) + self._piece(at, np.minimum(end[rest], at + _PIECE)))
+            at, rest = at + _PIECE, rest
+            keep = at < end[rest]
+            at, rest = at[keep], rest[keep]
+        return out
+
+
 def starts_of_rows(offsets: np.ndarray, n: int) -> np.ndarray:
     """A flag for each byte at which a non-empty row begins."""
     first = np.zeros(n, bool)

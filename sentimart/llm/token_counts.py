@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import pre_tokenizers
 
-from sentimart.llm.textblocks import BLOCK_BYTES, RangeHash, blocks, per_row, text_column
+from sentimart.llm.textblocks import BLOCK_BYTES, TextHash, blocks, per_row, text_column
 
 CHUNK = 64
 #: Characters of a chunk after which a constant map is followed as one state.
@@ -273,7 +273,7 @@ class Counter:
         at -= np.searchsorted(rows[1:] + np.arange(len(rows) - 1), at)  # without the ENDs
         starts = lead[at]
         ends = np.append(starts[1:], len(raw))
-        hashes, where, inverse = np.unique(RangeHash(raw)(starts, ends), return_index=True, return_inverse=True)
+        hashes, where, inverse = np.unique(TextHash(raw)(starts, ends), return_index=True, return_inverse=True)
         total = np.concatenate([[0], np.cumsum(self._annotations(hashes, starts[where], ends[where], raw)[inverse])])
         return np.diff(total[per_row(starts, offsets)])
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sentimart.llm.scratch import stored
-from sentimart.llm.textblocks import U64, RangeHash, blocks, mix, runs, starts_of_rows, text_column
+from sentimart.llm.textblocks import U64, TextHash, blocks, mix, runs, starts_of_rows, text_column
 
 MIN_SHARE, MIN_TEXTS = 0.002, 3
 #: Standard errors by which a weight is lowered, and the least weight kept.
@@ -141,7 +141,7 @@ def features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     inside = ((low >= 97) & (low <= 122)) | (low >= 128)
     starts, ends = runs(inside, starts_of_rows(offsets, len(raw)))
     row = np.searchsorted(offsets, starts, side="right") - 1
-    hashed, size = RangeHash(low), ends - starts
+    hashed, size = TextHash(low), ends - starts
     rows, values = [row], [mix(hashed(starts, ends) + _WHOLE)]
     for n in BEGINNINGS:
         own = size >= n
