@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm import decontaminate, licenses, minhash_dedup, ngram_join, pieces, pii, suffix_dedup, token_counts, topk, toxicity, url_filter
+from sentimart.llm import collocations, decontaminate, licenses, minhash_dedup, ngram_join, pieces, pii, spelling, suffix_dedup, token_counts, topk, toxicity, url_filter
 from sentimart.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,26 +206,28 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-#: Words, shingles, links and their closure, each by its definition.
-OP1_SQL = r"""
+def _classes_sql(width: int, percent: int, more: str = "") -> str:
+    """Words, shingles, links and their closure, each by its definition."""
+    shingle = " || ' ' || ".join(f"words[i + {j}]" if j else "words[i]" for j in range(width))
+    return rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents
 ), s AS (
   SELECT doc_id, CASE WHEN len(words) = 0 THEN []
-    WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS sh
+    WHEN len(words) < {width} THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - {width - 2}), lambda i: {shingle})) END AS sh
   FROM w
 ), e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
 pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS an, b.n AS bn, count(*) AS i FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
-links AS (SELECT a, b FROM pairs WHERE 100 * i >= 90 * (an + bn - i)),
+links AS (SELECT a, b FROM pairs WHERE 100 * i >= {percent} * (an + bn - i)),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
-SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, m.c AS component_id
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, m.c AS component_id{more}
 FROM s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON s.doc_id = m.a
 """
 
 
-@_query("op1_ngram_jaccard_join", OP1_SQL)
+@_query("op1_ngram_jaccard_join", _classes_sql(3, 90))
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(_table(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
@@ -237,6 +239,46 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
-@_query("op13_minhash_near_dedup")
+@_query("op13_minhash_near_dedup", _classes_sql(4, 80, ", s.doc_id = m.c AS kept"))
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@_query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
+
+
+def _phrases_sql() -> str:
+    """Every phrase of one to four words with its count, then cuts, subsumption and ranks by their definitions."""
+    grams = " UNION ALL ".join(f"SELECT lang, ws[i : i + {size - 1}] AS p FROM (SELECT lang, ws, unnest(range(1, len(ws) - {size - 2})) AS i FROM w WHERE len(ws) >= {size})" for size in range(1, 5))
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+  FROM documents
+), w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS ws FROM pieces),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+f AS (SELECT lang, p, count(*) AS f FROM ({grams}) GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, p, f AS a FROM f WHERE len(p) > 1),
+inner_of AS (
+  SELECT lang, p[i : i + s - 1] AS p, max(a) AS around
+  FROM (SELECT lang, p, a, s, unnest(range(1, len(p) - s + 2)) AS i FROM (SELECT lang, p, a, unnest(range(2, len(p))) AS s FROM c WHERE len(p) > 2))
+  GROUP BY ALL
+),
+kept AS (SELECT c.* FROM c LEFT JOIN inner_of USING (lang, p) WHERE around IS NULL OR 100 * around::HUGEINT < 80 * a::HUGEINT),
+cuts AS (SELECT lang, p, a, k, p[1 : k] AS x, p[k + 1 :] AS y FROM (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM kept)),
+scored AS (
+  SELECT cuts.*, x.f AS l, y.f AS r, (2000000 * a::HUGEINT) // (x.f + y.f) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.p = cuts.x JOIN f y ON y.lang = cuts.lang AND y.p = cuts.y
+),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM (SELECT *, array_to_string(p, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM low) JOIN total USING (lang)
+WHERE rank <= 2000
+"""
+
+
+@_query("op12_phrase_collocations", _phrases_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))

@@ -14,6 +14,7 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers: dict[str, np.ndarray] = {}
+_tables: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
 
 def text_column(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -93,25 +94,27 @@ def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _fold(a1 * b1 * U64(2) + (middle >> U64(30)) + ((middle & _M30) << U64(31)) + (low & _P) + (low >> U64(61)))
 
 
-def _powers61(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _powers61(n: int, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(high, low) halves of the base's powers and its inverse powers."""
-    if len(_powers.get("high", ())) < n:
+    key = f"61:{base}"
+    if key not in _tables or len(_tables[key][0]) < n:
         size = max(n, BLOCK_BYTES + 1)
-        tables = []
-        for base in (_BASE61, pow(_BASE61, -1, int(_P))):
+        made = []
+        for b in (base, pow(base, -1, int(_P))):
             table = np.ones(1, np.uint64)
             while len(table) < size:
-                table = np.concatenate([table, _times(table, U64(pow(base, len(table), int(_P))))])
-            tables.append(table[:size])
-        _powers["high"], _powers["low"], _powers["inverse"] = (tables[0] >> U64(31)).astype(np.uint32), (tables[0] & _M31).astype(np.uint32), tables[1]
-    return _powers["high"][:n], _powers["low"][:n], _powers["inverse"][:n]
+                table = np.concatenate([table, _times(table, U64(pow(b, len(table), int(_P))))])
+            made.append(table[:size])
+        _tables[key] = (made[0] >> U64(31)).astype(np.uint32), (made[0] & _M31).astype(np.uint32), made[1]
+    high, low, inverse = _tables[key]
+    return high[:n], low[:n], inverse[:n]
 
 
 class TextHash:
     """Polynomial hashes modulo the prime 2**61 - 1 of any byte ranges of one buffer, equal for equal bytes in every buffer."""
 
-    def __init__(self, raw: np.ndarray):
-        high, low, self.inverse = _powers61(len(raw) + 1)
+    def __init__(self, raw: np.ndarray, base: int = _BASE61):
+        high, low, self.inverse = _powers61(len(raw) + 1, base)
         value = raw.astype(np.uint64) + U64(1)
         self.high, self.low = np.zeros(len(raw) + 1, np.uint64), np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(value * high[:-1], out=self.high[1:], dtype=np.uint64)
