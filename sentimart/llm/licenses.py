@@ -4,11 +4,11 @@ A text is put into a canonical form: case, copyright lines, equivalent spellings
 are normalised away; the SHA-256 of that form is looked up among the digests of known licence texts. Besides the
 whole text, each of its lines is a text of its own, which finds one-line notices.
 
-The digests of a document's lines are joined, not the lines. Known licences are a table (license_id, text); their
+Each text is normalised once: its lines are cut from that form, and the whole form joins them again. Lines are known by
+128-bit digests, kept in one table beside the text's SHA-256, and these are joined, not the lines. Known licences are a table (license_id, text); their
 digests are broadcast only while they number at most BROADCAST_ROWS, else the join shuffles on the digest.
 Cases: null texts and texts whose canonical form is empty match nothing; several known licences with one canonical
-form give the smallest id; repeated rows give a row each, as documents are matched by a row key made from the text
-itself; an empty table gives an empty table. Only the named columns are read, so further columns may have any name.
+form give the smallest id; repeated rows give a row each, as documents are matched by a row number; an empty table gives an empty table. Only the named columns are read, so further columns may have any name.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from importlib import resources
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentimart.llm.scratch import stored
+
 BROADCAST_ROWS = 10_000
 
 # Equivalent spellings, applied in this order to lower-case words.
@@ -105,33 +107,69 @@ NOTICES = tuple(dict.fromkeys([*_notices(), *_texts()]))
 _COPYRIGHT_LINE = r"(?imd)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©)[^\n]*\d{4}[^\n]*$|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 
 
+_SIGNS = ("copyright", "(c)", "©", "all rights reserved")
+#: Spellings of one word and of two: the latter are applied where lines have been joined or parted.
+ONE_WORD, TWO_WORDS = (tuple(p for p in SPELLINGS if (" " in p[0]) == two) for two in (False, True))
+
+
+def _spelled(form: Column, pairs: tuple[tuple[str, str], ...]) -> Column:
+    for a, b in pairs:
+        form = F.replace(form, F.lit(a), F.lit(b))
+    return form
+
+
+def _even(text: Column) -> Column:
+    """Lower-case words of a text with single blanks between them, its line ends kept."""
+    low = F.lower(text)
+    signed = F.lit(False)
+    for sign in _SIGNS:
+        signed = signed | low.contains(sign)
+    # Only lines with one of the signs can be copyright lines.
+    low = F.when(signed, F.regexp_replace(low, _COPYRIGHT_LINE, " ")).otherwise(low)
+    return _spelled(F.regexp_replace(low, r"[^\p{L}\p{N}\n]+", " "), ONE_WORD)
+
+
+def _whole(even: Column) -> Column:
+    return _spelled(F.trim(F.regexp_replace(even, "[ \n]+", " ")), TWO_WORDS)
+
+
 def canonical(text: Column) -> Column:
     """The canonical form of a licence text."""
-    out = F.lower(F.regexp_replace(text, _COPYRIGHT_LINE, " "))
-    out = F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
-    for a, b in SPELLINGS:
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return out
+    return _whole(_even(text))
 
 
 def digest(text: Column) -> Column:
     """SHA-256 of the canonical form; null where that is empty."""
-    form = canonical(text)
+    return _digest_of(canonical(text))
+
+
+def _digest_of(form: Column) -> Column:
     return F.when(form != "", F.sha2(form, 256))
 
 
+def _short(form: Column) -> Column:
+    """A 128-bit digest of a line's form."""
+    return F.struct(F.xxhash64(form).alias("a"), F.xxhash64(F.lit("line"), form).alias("b"))
+
+
 def known_notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(NOTICES), "license_id string, text string")
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, digest, text_license, line_licenses array) for each row of docs."""
-    table = known.select(digest(F.col("text")).alias("__digest"), "license_id").filter("__digest is not null").groupBy("__digest").agg(F.min("license_id").alias("__license"))
+    forms = known.select("license_id", _whole(_even(F.col("text"))).alias("__form")).filter("__form <> ''")
+    table = forms.groupBy("__form").agg(F.min("license_id").alias("__license")).select(
+        F.sha2("__form", 256).alias("__digest"), _short(F.col("__form")).alias("__line"), "__license")
     small = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     side = F.broadcast(table) if small else table
-    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
-    whole = rows.select("__key", F.xxhash64("__text").alias("__row"), "__text", digest(F.col("__text")).alias("__digest"))
-    lines = rows.select(F.xxhash64("__text").alias("__row"), F.explode(F.split("__text", "\n")).alias("__line"))
-    hits = lines.select("__row", digest(F.col("__line")).alias("__digest")).filter("__digest is not null").join(side, "__digest").groupBy("__row").agg(F.array_sort(F.collect_set("__license")).alias("line_licenses"))
-    out = whole.select("__key", "__row", "__digest").join(side.withColumnRenamed("__license", "text_license"), "__digest", "left").join(hits, "__row", "left")
+    # Each text is normalised once; its whole form and its lines are made of that, and only digests are kept.
+    even = docs.select(F.col(key).alias("__key"), _even(F.col(text)).alias("__even"))
+    line = F.transform(F.split("__even", "\n"), lambda x: _spelled(F.trim(x), TWO_WORDS))
+    made = even.select("__key", F.monotonically_increasing_id().alias("__row"), _digest_of(_whole(F.col("__even"))).alias("__digest"),
+                       F.transform(F.array_distinct(F.filter(line, lambda x: x != "")), _short).alias("__lines"))
+    base = stored(made, "licences")
+    hits = base.select("__row", F.explode("__lines").alias("__line")).join(side.select("__line", "__license"), "__line")
+    hits = hits.groupBy("__row").agg(F.array_sort(F.collect_set("__license")).alias("line_licenses"))
+    out = base.select("__key", "__row", "__digest").join(side.select("__digest", F.col("__license").alias("text_license")), "__digest", "left").join(hits, "__row", "left")
     return out.select(F.col("__key").alias(key), F.col("__digest").alias("digest"), "text_license", F.coalesce("line_licenses", F.array().cast("array<string>")).alias("line_licenses"))
