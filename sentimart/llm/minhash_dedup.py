@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from sentimart.llm.hotkeys import join_heavy
 from sentimart.llm.ngram_join import need_of_pair, shingle_sets
-from sentimart.llm.scratch import stored
+from sentimart.llm.scratch import release, stored
 from sentimart.llm.stars import components
 from sentimart.llm.textblocks import U64, blocks, mix
 
@@ -47,8 +47,8 @@ HASHES = BANDS * ROWS
 MIN_AGREE = 125
 #: Bytes of signatures and sets in one block of an open band value.
 BLOCK_BYTES = 8 << 20
-#: Copies of a hub's set, for the nodes that are compared with it to be spread over as many tasks.
-SALTS = 16
+#: Nodes that are compared with one copy of their hub's set; a hub of more has copies, dealt over as many tasks.
+PER_HUB = 256
 _COEFFICIENTS = np.random.Generator(np.random.PCG64(61)).integers(0, 1 << 63, (2, HASHES), dtype=np.uint64) * U64(2) + U64(1)
 
 
@@ -156,9 +156,11 @@ def _whole_sets(rows: DataFrame, keys: DataFrame, wanted: DataFrame, width: int)
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs (node, hub) that link, one hub a node. Nodes' sets stream past their hub's set."""
-    hub_rows = pairs.select("hub").distinct().join(sets.withColumnRenamed("node", "hub"), "hub").select(
-        "hub", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(0).alias("side"), F.col("hub").alias("node"), "members")
-    node_rows = pairs.join(sets, "node").select("hub", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(1).alias("side"), "node", "members")
+    counts = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n_pairs")).withColumn("copies", F.ceil(F.col("n_pairs") / PER_HUB).cast("int"))
+    hub_rows = counts.join(sets.withColumnRenamed("node", "hub"), "hub").select(
+        "hub", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), F.lit(0).alias("side"), F.col("hub").alias("node"), "members")
+    dealt_pairs = join_heavy(pairs, counts, "hub", "n_pairs", pairs.count())
+    node_rows = dealt_pairs.join(sets, "node").select("hub", F.pmod(F.xxhash64("node"), F.col("copies")).cast("int").alias("salt"), F.lit(1).alias("side"), "node", "members")
     dealt = hub_rows.unionByName(node_rows).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "side")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +204,7 @@ def _open_groups(shared: DataFrame, nodes: DataFrame, classes: DataFrame) -> Dat
     weight = nodes.select("node", (F.col("n") * 8 + HASHES * 4).alias("weight"))
     member = shared.select("value", "band", "node").join(classes, "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root")
     several = member.groupBy("value").agg(F.min("class").alias("c0"), F.max("class").alias("c1")).filter("c0 <> c1").select("value")
-    member = stored(member.join(several, "value", "left_semi").join(weight, "node"), "open")
+    member = member.join(several, "value", "left_semi").join(weight, "node")
     per_class = member.groupBy("value", "class").agg(F.sum("weight").alias("w")).withColumn("big", F.col("w") > BLOCK_BYTES // 2)
     parts = F.ceil(F.col("w") / BLOCK_BYTES).cast("int")
     own = per_class.filter("big").select("value", "class", parts.alias("parts"))
@@ -285,26 +287,30 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, text: str
     one = sets.filter("set_id is not null").groupBy("set_id").agg(
         F.min("key").alias("key"), F.first("n").alias("n"), F.first("sign").alias("sign"), F.count(F.lit(1)).alias("n_rows"))
     nodes = stored(one.withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
+    signed_rows, sets = sets, stored(sets.select("key", "n", "set_id"), "minhash-rows")
+    release(signed_rows)
 
     bands = _bands(nodes)
     hubs = bands.groupBy("value").agg(F.min("node").alias("hub"), F.max("node").alias("other")).filter("hub <> other").select("value", "hub")
     shared = stored(bands.join(hubs, "value"), "minhash-shared")
-    star = shared.filter("node <> hub").select("node", "hub").distinct()
+    star = stored(shared.filter("node <> hub").select("node", "hub").distinct(), "minhash-star")
     signs = nodes.select("node", "sign")
-    hub_signs = signs.join(hubs.select(F.col("hub").alias("node")).distinct(), "node", "left_semi").select(
-        F.col("node").alias("hub"), F.col("sign").alias("hub_sign"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = star.join(signs, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    agree = _agreement(salted.join(hub_signs, ["hub", "salt"]).select("node", "hub", "sign", "hub_sign")).filter(F.col("agree") >= MIN_AGREE)
+    hub_signs = star.groupBy("hub").agg(F.count(F.lit(1)).alias("n_pairs")).join(signs.withColumnRenamed("node", "hub").withColumnRenamed("sign", "hub_sign"), "hub")
+    signed = join_heavy(star, hub_signs, "hub", "n_pairs", star.count()).join(signs, "node")
+    agree = _agreement(signed).filter(F.col("agree") >= MIN_AGREE)
     best = stored(agree.groupBy("node").agg(F.max_by("hub", F.struct("agree", "hub")).alias("hub")), "minhash-best")
 
     keys = nodes.select("set_id", "node", "key")
     wanted = best.select("node").unionByName(best.select(F.col("hub").alias("node"))).distinct()
     whole = stored(_whole_sets(rows, keys, wanted, width), "minhash-whole")
     links = stored(_confirm(best, whole, percent), "minhash-links")
+    release(star, best, whole)
     classes = components(links)
 
     opened = stored(_open_groups(shared, nodes, classes), "minhash-groups")
+    release(shared)
     marked = stored(_plausible(opened.join(signs, "node").select("g", "side", "band", "class", "node", "sign")), "minhash-marked")
+    release(opened)
     if marked.limit(1).count():
         more = _whole_sets(rows, keys, marked.select("node").distinct(), width)
         found = stored(_confirm_groups(marked.join(more, "node"), percent), "minhash-more")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentimart.llm.scratch import stored
+from sentimart.llm.scratch import release, stored
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -36,7 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(edges.select("a", "b").filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "star")
     mark = None
     while True:
-        now = stored(small_star(large_star(now).distinct()).distinct(), "star")
+        old, now = now, stored(small_star(large_star(now).distinct()).distinct(), "star")
+        release(old)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:
             break
