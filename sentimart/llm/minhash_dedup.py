@@ -204,7 +204,7 @@ def _open_groups(shared: DataFrame, nodes: DataFrame, classes: DataFrame) -> Dat
     weight = nodes.select("node", (F.col("n") * 8 + HASHES * 4).alias("weight"))
     member = shared.select("value", "band", "node").join(classes, "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root")
     several = member.groupBy("value").agg(F.min("class").alias("c0"), F.max("class").alias("c1")).filter("c0 <> c1").select("value")
-    member = member.join(several, "value", "left_semi").join(weight, "node")
+    member = stored(member.join(several, "value", "left_semi").join(weight, "node"), "minhash-open")
     per_class = member.groupBy("value", "class").agg(F.sum("weight").alias("w")).withColumn("big", F.col("w") > BLOCK_BYTES // 2)
     parts = F.ceil(F.col("w") / BLOCK_BYTES).cast("int")
     own = per_class.filter("big").select("value", "class", parts.alias("parts"))
