@@ -29,3 +29,19 @@ def try_timestamp(c: Column) -> Column:
 def year_month(ts: Column) -> Column:
     """First day of the month, as a date."""
     return F.trunc(ts.cast("date"), "month")
+
+
+def fmt_share(c: Column) -> Column:
+    """Percentage with one decimal; null -> 'N/A'."""
+    return F.coalesce(F.concat(F.round(c.cast("decimal(18,6)"), 1).cast("string"), F.lit("%")), F.lit("N/A"))
+
+
+def fmt_mean(c: Column) -> Column:
+    """Mean with two decimals; null -> 'N/A'."""
+    return F.coalesce(F.round(c.cast("decimal(18,6)"), 2).cast("string"), F.lit("N/A"))
+
+
+def example_title(rating: Column, score: Column, ts: Column, unscored: Column) -> Column:
+    """Header of an example; `unscored` examples are shown without a score."""
+    shown = F.when(unscored, F.lit("")).otherwise(F.concat(F.lit(" | VADER Score: "), fmt_fixed(score, 3)))
+    return F.concat(F.lit("Rating: "), F.coalesce(rating.cast("string"), F.lit("N/A")), F.lit(" ⭐"), shown, F.lit(" | Date: "), fmt_date(ts))

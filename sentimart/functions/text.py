@@ -12,7 +12,7 @@ same way: no back-references, no look-behind, explicit character classes instead
 from __future__ import annotations
 
 import re
-from html.entities import name2codepoint
+from html.entities import html5
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -32,10 +32,18 @@ HTML_SCRIPT = r"(?s)<script(?:[^a-z0-9>][^>]*)?>.*?</script[^>]*>"
 HTML_STYLE = r"(?s)<style(?:[^a-z0-9>][^>]*)?>.*?</style[^>]*>"
 # A quoted attribute value may hold ">".
 HTML_TAG = r"""</?[a-z!](?:[^>"']+|"[^"]*"|'[^']*')*>"""
-# Character references are decoded after the tags are gone, each once. Names: the HTML 4 set in
-# lower case (the text is), taken from the standard library.
-ENTITY = "^(#x[0-9a-f]{1,6}|#[0-9]{1,7}|[a-z0-9]{2,8});"
-ENTITIES: dict[str, str] = {name: chr(code) for name, code in sorted(name2codepoint.items()) if name == name.lower()} | {"apos": "'"}
+# What stands where markup was until references are decoded, so that no reference is read across a tag. No character.
+MARK = "\uffff"
+# Character references, each decoded once. Names: the HTML 5 set in lower case (the text is), from the standard library;
+# those of the older sets are also known without ";" and as the beginning of a longer word.
+ENTITIES: dict[str, str] = {name[:-1]: text for name, text in sorted(html5.items()) if name == name.lower() and name.endswith(";")}
+BARE_ENTITIES: tuple[str, ...] = tuple(sorted((n for n in html5 if n == n.lower() and not n.endswith(";")), key=lambda n: (-len(n), n)))
+NAMED = "^([a-z0-9]{1,32});"
+BARE_NAMED = "^(" + "|".join(BARE_ENTITIES) + ")"
+NUMBER, HEX_NUMBER = "^#([0-9]+);?", "^#x([0-9a-f]+);?"
+# Numbers that stand for another character: the C1 range as Windows reads it, 0 and the carriage return.
+RENUMBERED: dict[int, str] = {0: "\ufffd", 13: "\r"} | {
+    code: bytes([code]).decode("cp1252", errors="ignore") or chr(code) for code in range(0x80, 0xA0)}
 
 URL = rf"http[^{WS_CLASS}]+|www[^{WS_CLASS}]+"
 # Union of the reference's emoji ranges: {U+200D, U+231A, U+23CF, U+23E9} and U+24C2..U+10FFFF.
@@ -67,29 +75,46 @@ def lower_text(c: Column) -> Column:
 
 
 def strip_html(c: Column) -> Column:
-    """HTML to text: comments, script/style blocks, tags, then entities."""
-    out = F.regexp_replace(c, HTML_COMMENT, "")
-    out = F.regexp_replace(out, HTML_SCRIPT, "")
-    out = F.regexp_replace(out, HTML_STYLE, "")
-    out = F.regexp_replace(out, HTML_TAG, "")
-    return decode_entities(out)
+    """HTML to text: comments, script/style blocks, tags, then character references."""
+    out = c
+    for pattern in (HTML_COMMENT, HTML_SCRIPT, HTML_STYLE, HTML_TAG):
+        out = F.regexp_replace(out, pattern, MARK)
+    return F.replace(decode_entities(out), F.lit(MARK), F.lit(""))
 
 
-def decode_entities(c: Column) -> Column:
-    """Named and numeric character references; unknown ones stay as they are."""
-    table = F.expr("map(" + ", ".join(f"'{k}', decode(unhex('{v.encode().hex()}'), 'UTF-8')" for k, v in ENTITIES.items()) + ")")
+def _string_map(entries: dict) -> Column:
+    """A map literal, folded from one string."""
+    pairs = "\u001f".join(f"{k}\u001e{v}" for k, v in entries.items())
+    return F.str_to_map(F.lit(pairs), F.lit("\u001f"), F.lit("\u001e"))
 
-    def char(code: Column) -> Column:
-        ok = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+def decode_entities(c: Column) -> Column:
+    """Named and numeric character references, by longest prefix where ";" lacks; unknown ones stay as they are."""
+    names, numbers = _string_map(ENTITIES), _string_map({str(k): v for k, v in RENUMBERED.items()})
+
+    def char(digits: Column, base: int) -> Column:
+        significant = F.regexp_replace(digits, "^0+(?=.)", "")
+        code = F.when(F.length(significant) <= 7, F.conv(significant, base, 10).cast("long")).otherwise(F.lit(0x110000))
+        dropped = (code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | code.between(0x7F, 0x9F)
+                   | code.between(0xFDD0, 0xFDEF) | ((code % 0x10000) >= 0xFFFE))
+        kept = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return (F.when(F.try_element_at(numbers, code.cast("string")).isNotNull(), F.try_element_at(numbers, code.cast("string")))
+                .when(code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
+                .when(dropped, F.lit("")).otherwise(kept))
 
     def part(p: Column, i: Column) -> Column:
-        name = F.regexp_extract(p, ENTITY, 1)
-        found = (F.when(name.startswith("#x"), char(F.conv(F.substring(name, 3, 6), 16, 10).cast("long")))
-                 .when(name.startswith("#"), char(F.substring(name, 2, 7).cast("long")))
-                 .otherwise(F.try_element_at(table, name)))
-        return F.when((i == 0) | (name == ""), F.concat(F.when(i > 0, F.lit("&")).otherwise(F.lit("")), p)).otherwise(
-            F.concat(F.coalesce(found, F.concat(F.lit("&"), name, F.lit(";"))), F.substr(p, F.length(name) + 2)))
+        number, hexed = F.regexp_extract(p, NUMBER, 1), F.regexp_extract(p, HEX_NUMBER, 1)
+        full, bare = F.regexp_extract(p, NAMED, 1), F.regexp_extract(p, BARE_NAMED, 1)
+
+        def rest(pattern: str) -> Column:
+            return F.regexp_replace(p, pattern, "")
+
+        return (F.when(i == 0, p)
+                .when(hexed != "", F.concat(char(hexed, 16), rest(HEX_NUMBER)))
+                .when(number != "", F.concat(char(number, 10), rest(NUMBER)))
+                .when(F.try_element_at(names, full).isNotNull(), F.concat(F.try_element_at(names, full), rest(NAMED)))
+                .when(bare != "", F.concat(F.try_element_at(names, bare), rest(BARE_NAMED)))
+                .otherwise(F.concat(F.lit("&"), p)))
 
     return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, "&"), part), "")).otherwise(c)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sentimart import resources as R
+from sentimart.functions import formats as FF
 
 LABELS = R.SENTIMENT_LABELS
 
@@ -40,10 +41,22 @@ def kpi_overview(raw: DataFrame, processed: DataFrame) -> DataFrame:
     return r.join(p, "app_name", "full")
 
 
+def kpi_formatted(raw: DataFrame, processed: DataFrame) -> DataFrame:
+    """The four figures as the dashboard prints them; 'N/A' where a side has no rows."""
+    k = kpi_overview(raw, processed)
+    return k.select(
+        "app_name", F.coalesce(F.col("total_reviews").cast("string"), F.lit("N/A")).alias("total_reviews"),
+        FF.fmt_mean(F.col("avg_rating")).alias("avg_rating"), FF.fmt_share(F.col("positive_pct")).alias("positive_pct"),
+        F.coalesce("dominant_sentiment", F.lit("N/A")).alias("dominant_sentiment"))
+
+
 # ------------------------------------------------------------------------------ A5-A9
 def rating_distribution(raw: DataFrame) -> DataFrame:
-    return (raw.filter(F.col("rating").isNotNull())
-            .groupBy("app_name", "rating").agg(F.count(F.lit(1)).alias("review_count")))
+    """Per app, ratings in ascending order with their place."""
+    counts = (raw.filter(F.col("rating").isNotNull())
+              .groupBy("app_name", "rating").agg(F.count(F.lit(1)).alias("review_count")))
+    w = Window.partitionBy("app_name").orderBy("rating")
+    return counts.withColumn("rating_order", F.row_number().over(w)).orderBy("app_name", "rating")
 
 
 def sentiment_distribution(processed: DataFrame) -> DataFrame:
@@ -65,7 +78,7 @@ def sentiment_trend_monthly(processed: DataFrame) -> DataFrame:
     # A label is never null (X12), so only the month can drop a row.
     return (processed.filter(F.col("year_month").isNotNull())
             .groupBy("app_name", "year_month", "sentiment")
-            .agg(F.count(F.lit(1)).alias("review_count")))
+            .agg(F.count(F.lit(1)).alias("review_count")).orderBy("app_name", "year_month", "sentiment"))
 
 
 def processed_total(processed: DataFrame) -> DataFrame:
@@ -73,8 +86,11 @@ def processed_total(processed: DataFrame) -> DataFrame:
 
 
 def sentiment_counts_global(processed: DataFrame) -> DataFrame:
-    return (processed.filter(F.col("sentiment").isNotNull())
-            .groupBy("sentiment").agg(F.count(F.lit(1)).alias("review_count")))
+    """Label counts, most frequent first; ties by label. One row per label: the window sees those only."""
+    counts = (processed.filter(F.col("sentiment").isNotNull())
+              .groupBy("sentiment").agg(F.count(F.lit(1)).alias("review_count")))
+    w = Window.orderBy(F.desc("review_count"), "sentiment")
+    return counts.withColumn("count_order", F.row_number().over(w)).orderBy("count_order")
 
 
 # ------------------------------------------------------------------------------ J1, J2, A15
@@ -83,6 +99,12 @@ def app_names(raw: DataFrame, processed: DataFrame) -> DataFrame:
     return raw.select("app_name").union(processed.select("app_name")).distinct()
 
 
+def app_list(raw: DataFrame, processed: DataFrame) -> DataFrame:
+    """The app names in sorted order with their place (one row per app)."""
+    w = Window.orderBy("app_name")
+    return app_names(raw, processed).filter(F.col("app_name").isNotNull()).withColumn("name_order", F.row_number().over(w)).orderBy("name_order")
+
+
 def join_examples(raw: DataFrame, processed: DataFrame, pair_null_ids: bool = False) -> DataFrame:
     """Raw rows of each app with the label and score of the same app's processed row.
 
@@ -110,40 +132,52 @@ def join_examples(raw: DataFrame, processed: DataFrame, pair_null_ids: bool = Fa
         sentiment.alias("sentiment"), score.alias("sentiment_score"))
 
 
-def _top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
-    w = Window.partitionBy("app_name").orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+def sample_key(seed: int = R.SAMPLE_SEED) -> Column:
+    """Repeatable pseudo-random order: md5 of seed and row id (same in any engine)."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col("raw_id").cast("string")))
+
+
+def ranked_examples(examples: DataFrame, k: int = 5, seed: int = R.SAMPLE_SEED) -> DataFrame:
+    """T5-T7 in one ranked pass: the first k rows of each app and label.
+
+    Positive: highest scores; Negative: lowest scores; both only with a score, ties in original (raw_id)
+    order. Neutral: a seeded-random sample of the rows with a score; of all rows if none has one. Rows with a
+    score are ranked first, so whether an app has any is seen among its first k rows.
+    """
+    label, score = F.col("sentiment"), F.col("sentiment_score")
+    shown = examples.filter(((label == "Neutral") | score.isNotNull()) & label.isin(*LABELS))
+    by_score = F.when(label == "Positive", -score).when(label == "Negative", score)
+    mixed = F.when(label == "Neutral", sample_key(seed))
+    w = Window.partitionBy("app_name", "sentiment").orderBy(score.isNull(), by_score, mixed, F.col("raw_id"))
+    top = shown.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    any_score = F.max(score.isNotNull()).over(Window.partitionBy("app_name", "sentiment"))  # k rows at most
+    return top.withColumn("_any", any_score).filter(score.isNotNull() | ~F.col("_any")).drop("_any")
+
+
+def _of_label(examples: DataFrame, label: str, k: int, seed: int = R.SAMPLE_SEED) -> DataFrame:
+    return ranked_examples(examples.filter(F.col("sentiment") == label), k, seed)
 
 
 def examples_positive(examples: DataFrame, k: int = 5) -> DataFrame:
     """T5: k highest scores among Positive rows with a score; ties in original (raw_id) order."""
-    pos = examples.filter((F.col("sentiment") == "Positive") & F.col("sentiment_score").isNotNull())
-    return _top_k(pos, [F.col("sentiment_score").desc(), F.col("raw_id")], k)
+    return _of_label(examples, "Positive", k)
 
 
 def examples_negative(examples: DataFrame, k: int = 5) -> DataFrame:
     """K lowest scores among Negative rows with a score."""
-    neg = examples.filter((F.col("sentiment") == "Negative") & F.col("sentiment_score").isNotNull())
-    return _top_k(neg, [F.col("sentiment_score").asc(), F.col("raw_id")], k)
-
-
-def sample_key(seed: int = R.SAMPLE_SEED) -> Column:
-    """Repeatable pseudo-random order: md5 of seed and row id (same in any engine)."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col("raw_id").cast("string")))
+    return _of_label(examples, "Negative", k)
 
 
 def examples_neutral(examples: DataFrame, k: int = 5, seed: int = R.SAMPLE_SEED) -> DataFrame:
-    """K seeded-random Neutral rows; rows with a score first, all Neutral rows if none has one.
+    """K seeded-random Neutral rows; rows with a score, all Neutral rows if none has one."""
+    return _of_label(examples, "Neutral", k, seed)
 
-    The 'any score' flag is a per-app aggregate joined back (not a whole-app window), so no
-    task ever holds all rows of one app.
-    """
-    neu = examples.filter(F.col("sentiment") == "Neutral")
-    flag = neu.groupBy(F.col("app_name").alias("_f_app")).agg(
-        F.max(F.col("sentiment_score").isNotNull()).alias("_any_score"))
-    neu = neu.join(flag, neu.app_name.eqNullSafe(flag._f_app), "left").drop("_f_app")
-    neu = neu.filter(F.col("sentiment_score").isNotNull() | ~F.col("_any_score")).drop("_any_score")
-    return _top_k(neu, [sample_key(seed), F.col("raw_id")], k)
+
+def examples_formatted(examples: DataFrame, k: int = 5) -> DataFrame:
+    """(app_name, tab, rank, title) of all examples, from one ranked pass."""
+    unscored = (F.col("sentiment") == "Neutral") & F.col("sentiment_score").isNull()
+    title = FF.example_title(F.col("rating"), F.col("sentiment_score"), F.col("review_ts"), unscored)
+    return ranked_examples(examples, k).select("app_name", F.col("sentiment").alias("tab"), "rank", title.alias("title"))
 
 
 def sample_processed(processed: DataFrame, n: int = 10) -> DataFrame:
@@ -159,14 +193,22 @@ def first_app(raw: DataFrame, processed: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------------ R1-R3, R5
 def volume_trend_monthly(raw: DataFrame) -> DataFrame:
-    """Reviews per app and month, with the previous month's count and the change."""
+    """Reviews per app and month, with the previous month's count and the change.
+
+    Every month from an app's first to its last counts, so a month without reviews is a row of zero and the
+    change is always against the month before. The calendar is one row per app and month.
+    """
     m = (raw.filter(F.col("review_ts").isNotNull())
          .groupBy("app_name", F.trunc(F.col("review_ts").cast("date"), "month").alias("year_month"))
-         .agg(F.count(F.lit(1)).alias("review_count")))
+         .agg(F.count(F.lit(1)).alias("n")))
+    span = m.groupBy(F.col("app_name").alias("_app")).agg(F.min("year_month").alias("lo"), F.max("year_month").alias("hi"))
+    months = span.select("_app", F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("_month"))
+    full = months.join(m, months._app.eqNullSafe(m.app_name) & (months._month == m.year_month), "left").select(
+        F.col("_app").alias("app_name"), F.col("_month").alias("year_month"), F.coalesce("n", F.lit(0)).alias("review_count"))
     w = Window.partitionBy("app_name").orderBy("year_month")
     prev = F.lag("review_count").over(w)
-    return m.select("app_name", "year_month", "review_count", prev.alias("prev_count"),
-                    (F.col("review_count") - prev).alias("change"))
+    return full.select("app_name", "year_month", "review_count", prev.alias("prev_count"),
+                       (F.col("review_count") - prev).alias("change"))
 
 
 def rating_patterns(raw: DataFrame) -> DataFrame:

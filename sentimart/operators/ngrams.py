@@ -96,11 +96,49 @@ def top_bigrams(processed: DataFrame, k: int = 20) -> DataFrame:
     return top_k(count_items(bigram_items(ngram_docs(processed))), k)
 
 
-def top_bigrams_corpus(processed: DataFrame, k: int = 20, bucket_size: int = BRIDGE_BUCKET) -> DataFrame:
+#: Reviews per bucket of the one-pass summary: the most edges that one row of it collects.
+SUMMARY_BUCKET = 4096
+
+
+def corpus_bigram_counts(docs: DataFrame, bucket_size: int = SUMMARY_BUCKET) -> DataFrame:
+    """(app_name, ngram, ngram_count, first) over each app's concatenated corpus, from one scan of docs.
+
+    A review gives its pairs and one edge (first and last token). One aggregate counts the pairs and gathers the
+    edges by (app, raw_id bucket); each bucket's row then has an associative summary: the pairs across its own
+    neighbouring reviews, its first token and its last one, which meets the first token of the app's next bucket.
+    The pairs made so are added to the counts.
+    """
+    size = F.size("toks")
+    pair = F.transform(TF.bigrams(F.col("toks")), lambda g, i: F.struct(
+        g.alias("ngram"), F.lit(None).cast("long").alias("bucket"), i.alias("pos"), F.lit(None).cast("string").alias("head"), F.lit(None).cast("string").alias("tail")))
+    edge = F.array(F.struct(
+        F.lit(None).cast("string").alias("ngram"), F.floor(F.col("raw_id") / F.lit(bucket_size)).alias("bucket"), (size - 1).alias("pos"),
+        F.element_at("toks", 1).alias("head"), F.element_at("toks", -1).alias("tail")))
+    items = docs.select("app_name", "raw_id", F.explode_outer(F.when(size > 0, F.concat(pair, edge))).alias("i")).filter(F.col("i").isNotNull())
+    summary = items.groupBy("app_name", F.col("i.ngram").alias("ngram"), F.col("i.bucket").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("raw_id", F.col("i.pos").alias("pos"))).alias("first"),
+        F.sort_array(F.collect_list(F.when(F.col("i.head").isNotNull(), F.struct("raw_id", F.col("i.pos").alias("pos"), F.col("i.head").alias("head"), F.col("i.tail").alias("tail"))))).alias("edges"))
+    # Buckets of an app follow each other in one window of one row per bucket; pairs lie in windows of their own.
+    w = Window.partitionBy("app_name", F.when(F.col("ngram").isNotNull(), F.pmod(F.xxhash64("ngram"), F.lit(1024)))).orderBy("bucket")
+    following = F.when(F.col("ngram").isNull(), F.lead(F.get("edges", F.lit(0))["head"]).over(w))
+    linked = summary.select("app_name", "ngram", "n", "first", "edges", following.alias("next"))
+    across = F.transform("edges", lambda e, i: F.struct(
+        F.concat_ws(" ", e["tail"], F.coalesce(F.get("edges", i + 1)["head"], F.col("next"))).alias("ngram"),
+        F.lit(1).cast("long").alias("n"), F.struct(e["raw_id"].alias("raw_id"), e["pos"].alias("pos")).alias("first"),
+        F.coalesce(F.get("edges", i + 1)["head"], F.col("next")).isNotNull().alias("whole")))
+    own = F.array(F.struct("ngram", "n", "first", F.lit(True).alias("whole")))
+    pairs = linked.select("app_name", F.explode(F.when(F.col("ngram").isNotNull(), own).otherwise(F.filter(across, lambda x: x["whole"]))).alias("p"))
+    return pairs.groupBy("app_name", F.col("p.ngram").alias("ngram")).agg(F.sum("p.n").alias("ngram_count"), F.min("p.first").alias("first"))
+
+
+def top_bigrams_corpus(processed: DataFrame, k: int = 20, bucket_size: int = SUMMARY_BUCKET) -> DataFrame:
     """Bigrams over the app's concatenated corpus, as the reference counts them."""
-    docs = ngram_docs(processed)
-    items = bigram_items(docs).unionByName(bridge_bigrams(docs, bucket_size))
-    return top_k(count_items(items), k)
+    return top_k(corpus_bigram_counts(ngram_docs(processed), bucket_size), k)
+
+
+def top_ngrams(processed: DataFrame, ngram_range: tuple[int, int], k: int = 20) -> DataFrame:
+    """The k most frequent n-grams: (1, 1) words, (2, 2) pairs over the corpus, any other range falls back to words."""
+    return top_bigrams_corpus(processed, k) if tuple(ngram_range) == (2, 2) else top_unigrams(processed, k)
 
 
 def term_weights(processed: DataFrame, k: int = 100) -> DataFrame:

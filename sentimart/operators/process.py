@@ -129,8 +129,13 @@ def lemmatized(docs: DataFrame, res: TextResources, keep: list[str]) -> DataFram
 
 
 def process_reviews(raw: DataFrame, res: TextResources | None = None,
-                    existing: DataFrame | None = None, processed_at: str | None = None) -> DataFrame:
-    """Raw rows -> processed rows not yet in ``existing`` (schema: ``schemas.PROCESSED``)."""
+                    existing: DataFrame | None = None, processed_at: str | None = None,
+                    apps: DataFrame | None = None) -> DataFrame:
+    """Raw rows -> processed rows not yet in ``existing`` (schema: ``schemas.PROCESSED``).
+
+    ``apps`` (app_name): only the rows of these apps, chosen before any text work but after the first arrivals of
+    all apps are known, so the result is that of filtering afterwards.
+    """
     spark = raw.sparkSession
     res = (res or TextResources()).resolve(spark)
     # Ids only: first rows per review id and pending ids are found on two key columns; the rows
@@ -141,6 +146,8 @@ def process_reviews(raw: DataFrame, res: TextResources | None = None,
     if existing is not None:
         ids = anti_join_existing(anti_join_existing(ids, existing, "raw_id"), existing, "review_id")
     # A shuffled semi join, also where the ids are few: it deals the texts by document.
+    if apps is not None:
+        valid = valid.join(apps, "app_name", "left_semi")
     todo = valid.join(ids.select("raw_id").hint("merge"), "raw_id", "left_semi")
     keep = ["raw_id", "app_name", "review_id", "rating", "review_ts", "review_text"]
     scored = lemmatized(todo, res, keep)

@@ -63,21 +63,32 @@ def rx(x: str, pattern: str, repl: str = "") -> str:
 
 
 def strip_html(x: str) -> str:
-    out = rx(x, TF.HTML_COMMENT)
-    out = rx(out, TF.HTML_SCRIPT)
-    out = rx(out, TF.HTML_STYLE)
-    out = rx(out, TF.HTML_TAG)
-    table = "MAP {" + ", ".join(f"'{k}': chr({ord(v)})" for k, v in TF.ENTITIES.items()) + "}"
-    name = f"regexp_extract(p, {q(TF.ENTITY)}, 1)"
+    mark = f"chr({ord(TF.MARK)})"
+    out = x
+    for pattern in (TF.HTML_COMMENT, TF.HTML_SCRIPT, TF.HTML_STYLE, TF.HTML_TAG):
+        out = f"regexp_replace({out}, {q(pattern)}, {mark}, 'g')"
+    table = "MAP {" + ", ".join(f"'{k}': {' || '.join(f'chr({ord(c)})' for c in v)}" for k, v in TF.ENTITIES.items()) + "}"
+    numbers = "MAP {" + ", ".join(f"{k}: chr({ord(v)})" for k, v in TF.RENUMBERED.items()) + "}"
 
-    def char(code: str) -> str:
-        return f"(CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr(CAST({code} AS INT)) ELSE chr(65533) END)"
+    def extract(pattern: str) -> str:
+        return f"regexp_extract(p, {q(pattern)}, 1)"
 
-    found = (f"CASE WHEN starts_with({name}, '#x') THEN {char(f'CAST(CAST(concat(chr(48), chr(120), substr({name}, 3)) AS INT) AS BIGINT)')} "
-             f"WHEN starts_with({name}, '#') THEN {char(f'CAST(substr({name}, 2) AS BIGINT)')} ELSE {table}[{name}] END")
-    part = (f"CASE WHEN i = 1 THEN p WHEN {name} = '' THEN '&' || p "
-            f"ELSE coalesce({found}, '&' || {name} || ';') || substr(p, length({name}) + 2) END")
-    return f"(CASE WHEN contains({out}, '&') THEN array_to_string(list_transform(string_split({out}, '&'), lambda p, i: {part}), '') ELSE {out} END)"
+    def rest(pattern: str) -> str:
+        return f"regexp_replace(p, {q(pattern)}, '')"
+
+    def char(code: str) -> str:
+        return (f"(CASE WHEN {code} IS NULL THEN chr(65533) WHEN map_contains({numbers}, {code}) THEN {numbers}[{code}] "
+                f"WHEN {code} BETWEEN 55296 AND 57343 OR {code} > 1114111 THEN chr(65533) "
+                f"WHEN {code} BETWEEN 1 AND 8 OR {code} = 11 OR {code} BETWEEN 14 AND 31 OR {code} BETWEEN 127 AND 159 "
+                f"OR {code} BETWEEN 64976 AND 65007 OR {code} % 65536 >= 65534 THEN '' ELSE chr({code}) END)")
+
+    hexed, number, full, bare = (extract(r) for r in (TF.HEX_NUMBER, TF.NUMBER, TF.NAMED, TF.BARE_NAMED))
+    part = (f"CASE WHEN i = 1 THEN p "
+            f"WHEN {hexed} <> '' THEN {char(f'TRY_CAST(concat(chr(48), chr(120), {hexed}) AS INT)')} || {rest(TF.HEX_NUMBER)} "
+            f"WHEN {number} <> '' THEN {char(f'TRY_CAST({number} AS INT)')} || {rest(TF.NUMBER)} "
+            f"WHEN map_contains({table}, {full}) THEN {table}[{full}] || {rest(TF.NAMED)} "
+            f"WHEN {bare} <> '' THEN {table}[{bare}] || {rest(TF.BARE_NAMED)} ELSE '&' || p END")
+    return f"(CASE WHEN contains({out}, '&') THEN replace(array_to_string(list_transform(string_split({out}, '&'), lambda p, i: {part}), ''), {mark}, '') ELSE replace({out}, {mark}, '') END)"
 
 
 def strip_urls(x: str) -> str:

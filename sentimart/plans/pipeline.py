@@ -13,8 +13,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from sentimart import schemas as S
 from sentimart.operators import process as P
@@ -35,12 +34,6 @@ def processed_table(spark: SparkSession, root: str, exclude_batch: int | None =
     return _read_or_empty(spark, os.path.join(root, "processed"), S.PROCESSED, exclude_batch)
 
 
-def _write(df: DataFrame, path: str, name: str) -> int:
-    obs = Observation(name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return int(obs.get["rows"])
-
-
 def _gate(report: DataFrame, enforce: bool) -> list[tuple[str, int, bool]]:
     rows = [(r["check"], int(r["value"]), bool(r["passed"])) for r in report.collect()]
     if enforce and not all(p for _, _, p in rows):
@@ -55,23 +48,27 @@ def run_pipeline(spark: SparkSession, feed_rows: DataFrame, root: str, run_id: i
     """One scheduled run over ``feed_rows`` (raw-table shaped rows of all apps)."""
     # 1. ingest: watermark filter, insert-or-ignore; raw rows first, then the watermark.
     commit_batch(feed_rows, run_id, root, max_per_app)
-    raw_n = spark.read.schema(S.RAW).parquet(os.path.join(root, "raw", f"batch={run_id}")).count()
-
-    # 2. raw gate over the whole raw table.
-    raw_all = raw_table(spark, root)
-    raw_gate = _gate(Q.dq_gate_raw(raw_all, raw_min_rows), enforce_gates)
+    # 2. raw gate: the figures of all runs and the rows of this one.
+    raw_new = spark.read.schema(S.RAW).parquet(os.path.join(root, "raw", f"batch={run_id}"))
+    raw_gate = _gate(Q.gate_of_runs(spark, Q.RAW_METRICS, os.path.join(root, "raw_metrics"), raw_new, raw_min_rows), enforce_gates)
+    raw_n = _run_rows(spark, root, "raw_metrics", run_id)
 
     # 3. transform: only raw rows not processed yet (anti join before any text work).
     existing = processed_table(spark, root, exclude_batch=run_id)
-    new_p = P.process_reviews(raw_all, resources, existing=existing)
-    proc_n = _write(new_p.select(*S.PROCESSED_COLUMNS),
-                    os.path.join(root, "processed", f"batch={run_id}"), f"processed_{run_id}")
-
-    # 4. processed gate.
-    done = processed_table(spark, root)
-    proc_gate = _gate(Q.dq_gate_processed(done, processed_min_rows), enforce_gates)
-    missing = P.valid_for_processed(raw_all).count() - done.count()
+    new_p = P.process_reviews(raw_table(spark, root), resources, existing=existing)
+    proc_n = Q.write_observed(new_p.select(*S.PROCESSED_COLUMNS), Q.PROCESSED_METRICS,
+                              os.path.join(root, "processed", f"batch={run_id}"),
+                              os.path.join(root, "processed_metrics", f"batch={run_id}"))["row_count"]
+
+    # 4. processed gate, from the figures of all runs; every stored raw row is valid and must have a processed row.
+    proc_gate = _gate(Q.gate_of_runs(spark, Q.PROCESSED_METRICS, os.path.join(root, "processed_metrics"), min_rows=processed_min_rows), enforce_gates)
+    total = {c: v for c, v, _ in raw_gate}["row_count"]
+    missing = total - {c: v for c, v, _ in proc_gate}["row_count"]
     proc_gate.append(("unprocessed_rows", missing, missing == 0))
     if enforce_gates and missing:
         raise Q.GateFailed(f"gate failed: {missing} valid raw rows have no processed row")
     return RunResult(run_id, raw_n, proc_n, raw_gate, proc_gate)
+
+
+def _run_rows(spark: SparkSession, root: str, metrics: str, run_id: int) -> int:
+    return int(spark.read.parquet(os.path.join(root, metrics, f"batch={run_id}")).first()["row_count"])

@@ -43,7 +43,22 @@ def kpi_overview(spark, sf_dir):
     return M.kpi_overview(raw(spark, sf_dir), processed(spark, sf_dir))
 
 
-@register("rating_distribution", W(O.BASE, """SELECT app_name, rating, count(*) AS review_count
+@register("kpi_formatted", W(P + [
+    ("r", "SELECT app_name, count(*) AS n, avg(rating) AS m FROM raw_reviews GROUP BY app_name"),
+    ("c", "SELECT app_name, sentiment, count(*) AS n FROM processed GROUP BY app_name, sentiment"),
+    ("s", """SELECT app_name, 100.0 * coalesce(sum(n) FILTER (WHERE sentiment = 'Positive'), 0) / sum(n) AS pct,
+  min_by(sentiment, {'less': -n, 'name': sentiment}) FILTER (WHERE sentiment IS NOT NULL) AS top FROM c GROUP BY app_name"""),
+], """SELECT app_name, coalesce(CAST(r.n AS VARCHAR), 'N/A') AS total_reviews,
+  coalesce(CAST(round(CAST(m AS DECIMAL(18,6)), 2) AS VARCHAR), 'N/A') AS avg_rating,
+  coalesce(CAST(round(CAST(pct AS DECIMAL(18,6)), 1) AS VARCHAR) || '%', 'N/A') AS positive_pct,
+  coalesce(top, 'N/A') AS dominant_sentiment FROM r FULL JOIN s USING (app_name)"""))
+def kpi_formatted(spark, sf_dir):
+    """The overview figures in the forms the dashboard prints."""
+    return M.kpi_formatted(raw(spark, sf_dir), processed(spark, sf_dir))
+
+
+@register("rating_distribution", W(O.BASE, """SELECT app_name, rating, count(*) AS review_count,
+  CAST(row_number() OVER (PARTITION BY app_name ORDER BY rating) AS INT) AS rating_order
 FROM raw_reviews WHERE rating IS NOT NULL GROUP BY app_name, rating"""))
 def rating_distribution(spark, sf_dir):
     """Rating histogram per app."""
@@ -76,8 +91,9 @@ def processed_total(spark, sf_dir):
     return M.processed_total(processed(spark, sf_dir))
 
 
-@register("sentiment_counts_global", W(P, """SELECT sentiment, count(*) AS review_count FROM processed
-WHERE sentiment IS NOT NULL GROUP BY sentiment"""))
+@register("sentiment_counts_global", W(P, """SELECT sentiment, count(*) AS review_count,
+  CAST(row_number() OVER (ORDER BY count(*) DESC, sentiment) AS INT) AS count_order
+FROM processed WHERE sentiment IS NOT NULL GROUP BY sentiment"""))
 def sentiment_counts_global(spark, sf_dir):
     """A9."""
     return M.sentiment_counts_global(processed(spark, sf_dir))
@@ -128,12 +144,13 @@ def term_weights(spark, sf_dir):
     return N.term_weights(processed(spark, sf_dir))
 
 
-# The driver texts hold none of the theme words; the golden rows do (as an app of their own).
+# The given texts are invented prose with licence lines and insults; the golden rows hold the shop words.
+_THEME_ROWS = R.THEMES + R.TEXT_THEMES
 _THEMED = P + [("gt_docs", f"SELECT raw_id, {O.clean_tokens('review_text')} AS toks FROM {O.values(R.GOLDEN_TEXT, 'raw_id, review_text')}")]
 _THEMED += O.lemma_ctes("gt", "gt_docs") + [
     ("themed", "SELECT app_name, raw_id, cleaned_text FROM processed UNION ALL SELECT 'golden', raw_id, cleaned_text FROM gt_lem"),
     ("nd", f"SELECT app_name, raw_id, {O.ngram_tokens('cleaned_text')} AS toks FROM themed WHERE cleaned_text IS NOT NULL"),
-    ("themes", O.values(R.THEMES, "theme, token"))]
+    ("themes", O.values(_THEME_ROWS, "theme, token"))]
 
 
 @register("theme_counts", W(_THEMED, """SELECT app_name, theme, count(DISTINCT raw_id) AS review_count
@@ -143,7 +160,7 @@ def theme_counts(spark, sf_dir):
     """Reviews per app mentioning price, shipping, product, app, service."""
     golden = PR.clean_text_only(R.golden_text_df(spark)).select(F.lit("golden").alias("app_name"), "raw_id", "cleaned_text")
     docs = processed(spark, sf_dir).select("app_name", "raw_id", "cleaned_text").unionByName(golden)
-    return N.theme_counts(docs, R.themes_df(spark))
+    return N.theme_counts(docs, R.seed_df(spark, _THEME_ROWS, "theme string, token string"))
 
 
 # ------------------------------------------------------------------------------ joins and examples
@@ -208,20 +225,8 @@ def _title_sql(rel: str, tab: str) -> str:
     _title_sql(_ex_body(NEUTRAL_WHERE, NEUTRAL_ORDER), "Neutral"),
 ])))
 def examples_formatted(spark, sf_dir):
-    """The example headers as the dashboard prints them (3 decimals, %Y-%m-%d, N/A)."""
-    from sentimart.functions.formats import fmt_date, fmt_fixed
-    ex = examples(spark, sf_dir)
-    parts = [(M.examples_positive(ex), "Positive"), (M.examples_negative(ex), "Negative"),
-             (M.examples_neutral(ex), "Neutral")]
-    out = None
-    for df, tab in parts:
-        title = F.concat(
-            F.lit("Rating: "), F.coalesce(F.col("rating").cast("string"), F.lit("N/A")),
-            F.lit(" ⭐ | VADER Score: "), fmt_fixed(F.col("sentiment_score"), 3),
-            F.lit(" | Date: "), fmt_date(F.col("review_ts")))
-        df = df.select("app_name", F.lit(tab).alias("tab"), "rank", title.alias("title"))
-        out = df if out is None else out.unionByName(df)
-    return out
+    """The example headers as the dashboard prints them (3 decimals, %Y-%m-%d, N/A), in one ranked pass."""
+    return M.examples_formatted(examples(spark, sf_dir))
 
 
 @register("sample_processed", W(P, """SELECT raw_id, app_name, rating, review_text, cleaned_text, sentiment
@@ -235,10 +240,10 @@ def sample_processed(spark, sf_dir):
     'raw_id, app_name, review_id, rating, review_ts, review_text, cleaned_text, word_count, sentiment_score, sentiment, year_month'.split(','))}
 FROM processed WHERE app_name = (SELECT min(app_name) FROM (SELECT app_name FROM raw_reviews UNION SELECT app_name FROM processed))"""))
 def filter_app(spark, sf_dir):
-    """the processed rows of the selected app (default: first app name)."""
-    r, p = raw(spark, sf_dir), processed(spark, sf_dir)
-    # One-row relation: broadcasting it is bounded by construction.
-    return p.join(F.broadcast(M.first_app(r, p)), "app_name").select(*p.columns)
+    """the processed rows of the selected app (default: first app name); only its texts are read and scored."""
+    r = raw(spark, sf_dir)
+    # Processed rows have no other app names than raw ones. One-row relation: broadcasting it is bounded.
+    return PR.process_reviews(r, apps=F.broadcast(M.first_app(r, r))).drop("processed_at")
 
 
 @register("drop_null_score", W(JX, """SELECT app_name, sentiment, count(*) AS review_count FROM ex
@@ -249,21 +254,31 @@ def drop_null_score(spark, sf_dir):
     return ex.groupBy("app_name", "sentiment").agg(F.count(F.lit(1)).alias("review_count"))
 
 
-@register("app_names", W(P, "SELECT app_name FROM raw_reviews UNION SELECT app_name FROM processed"))
+@register("app_names", W(P, """SELECT app_name, CAST(row_number() OVER (ORDER BY app_name) AS INT) AS name_order
+FROM (SELECT app_name FROM raw_reviews UNION SELECT app_name FROM processed) WHERE app_name IS NOT NULL"""))
 def app_names(spark, sf_dir):
-    """Distinct app names of both tables."""
-    return M.app_names(raw(spark, sf_dir), processed(spark, sf_dir))
+    """Distinct app names of both tables, sorted, with their place."""
+    return M.app_list(raw(spark, sf_dir), processed(spark, sf_dir))
 
 
 # ------------------------------------------------------------------------------ R1-R3, R5
-@register("volume_trend_monthly", W(O.BASE + [("m", f"""SELECT app_name, {O.year_month('review_ts')} AS year_month,
-  count(*) AS review_count FROM raw_reviews WHERE review_ts IS NOT NULL GROUP BY ALL""")],
-    """SELECT app_name, year_month, review_count, lag(review_count) OVER w AS prev_count,
+# One app is kept to every third month, so that months without reviews occur at every scale.
+_GAPS = O.BASE + [
+    ("v", "SELECT * FROM raw_reviews WHERE app_name <> (SELECT min(app_name) FROM raw_reviews) OR month(review_ts) % 3 = 1"),
+    ("m", f"SELECT app_name, {O.year_month('review_ts')} AS year_month, count(*) AS n FROM v WHERE review_ts IS NOT NULL GROUP BY ALL"),
+    ("cal", "SELECT app_name, CAST(unnest(generate_series(min(year_month), max(year_month), INTERVAL 1 MONTH)) AS DATE) AS year_month FROM m GROUP BY app_name"),
+    ("full_m", "SELECT app_name, year_month, coalesce(n, 0) AS review_count FROM cal LEFT JOIN m USING (app_name, year_month)")]
+
+
+@register("volume_trend_monthly", W(_GAPS, """SELECT app_name, year_month, review_count, lag(review_count) OVER w AS prev_count,
   review_count - lag(review_count) OVER w AS change
-FROM m WINDOW w AS (PARTITION BY app_name ORDER BY year_month)"""))
+FROM full_m WINDOW w AS (PARTITION BY app_name ORDER BY year_month)"""))
 def volume_trend_monthly(spark, sf_dir):
-    """Monthly review volume per app and change from the month before."""
-    return M.volume_trend_monthly(raw(spark, sf_dir))
+    """Monthly review volume per app, months without reviews included, and change from the month before."""
+    r = raw(spark, sf_dir)
+    first = r.agg(F.min("app_name").alias("app_name")).withColumn("thinned", F.lit(True))
+    r = r.join(F.broadcast(first), "app_name", "left").filter(F.col("thinned").isNull() | (F.month("review_ts") % 3 == 1))
+    return M.volume_trend_monthly(r)
 
 
 @register("rating_patterns", W(O.BASE + [("a", """SELECT app_name, count(*) AS n_ratings, avg(rating) AS avg_rating,

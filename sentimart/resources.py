@@ -231,6 +231,18 @@ THEMES: tuple[tuple[str, str], ...] = (
     ("service", "support"),
 )
 
+# Themes that occur in the given documents.
+TEXT_THEMES: tuple[tuple[str, str], ...] = (
+    ("abuse", "idiot"),
+    ("abuse", "moron"),
+    ("abuse", "pathetic"),
+    ("abuse", "stupid"),
+    ("abuse", "worthless"),
+    ("licence", "license"),
+    ("licence", "licensed"),
+    ("licence", "released"),
+)
+
 # FIXED VALUES: sentiment labels in the order the dashboard shows them.
 SENTIMENT_LABELS: tuple[str, ...] = ("Negative", "Neutral", "Positive")
 

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from sentimart import schemas as S
 from sentimart.operators import ingest as I
+from sentimart.operators import quality as Q
 from sentimart.sources import feed as FD
 
 def land_feed(rows: DataFrame, feed_root: str) -> None:
@@ -41,9 +42,8 @@ def land_feed(rows: DataFrame, feed_root: str) -> None:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the path (local, HDFS, object store)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, exclude_batch: int | None) -> DataFrame:
@@ -87,7 +87,7 @@ def commit_batch(rows: DataFrame, batch_id: int, tables_root: str, max_per_app:
     # Duplicates go before the cap: a run never spends its cap on rows that are stored already.
     capped = new if max_per_app is None else I.cap_per_app(new, max_per_app).drop("feed_rank")
     raw_path = _batch_path(tables_root, "raw", batch_id)
-    capped.write.mode("overwrite").parquet(raw_path)
+    Q.write_observed(capped, Q.RAW_METRICS, raw_path, _batch_path(tables_root, "raw_metrics", batch_id))
 
     rejects = I.constraint_rejects(fresh).filter("reason <> 'duplicate_review_id'")
     rejects = rejects.select("app_name", F.col("raw_id").cast("string").alias("line"), "reason")
@@ -104,6 +104,7 @@ def commit_batch(rows: DataFrame, batch_id: int, tables_root: str, max_per_app:
         held = I.cap_report(new, max_per_app).filter("skipped_by_cap > 0").select("app_name")
         seen = seen.join(held, "app_name", "left_anti")
     seen.write.mode("overwrite").parquet(_batch_path(tables_root, "watermarks", batch_id))
+    remove_folder(spark, staged)
     return spark.read.schema(counts.schema).parquet(_batch_path(tables_root, "runs", batch_id))
 
 
@@ -146,18 +147,68 @@ def run_ingest_stream(spark: SparkSession, feed_root: str, tables_root: str, che
 
 
 def trend_stream(spark: SparkSession, processed_root: str) -> DataFrame:
-    """I4: monthly label counts over a stream of processed rows (complete mode keeps it fresh)."""
+    """I4: monthly label counts over a stream of processed rows (state: one row per app, month and label)."""
     src = spark.readStream.schema(S.PROCESSED).parquet(processed_root)
     return (src.filter(F.col("year_month").isNotNull() & F.col("sentiment").isNotNull())
             .groupBy("app_name", "year_month", "sentiment")
             .agg(F.count(F.lit(1)).alias("review_count")))
 
 
-def run_trend_stream(spark: SparkSession, processed_root: str, checkpoint: str, query_name: str) -> DataFrame:
-    """Run the trend stream over the files present now into a memory table and return it."""
+TREND = T.StructType([T.StructField("app_name", T.StringType()), T.StructField("year_month", T.DateType()),
+                      T.StructField("sentiment", T.StringType()), T.StructField("review_count", T.LongType())])
+TREND_KEY = ["app_name", "year_month", "sentiment"]
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions of a keyed table that were written whole, ascending."""
+    if not path_exists(spark, root):
+        return []
+    fs, path = _file_system(spark, root)
+    names = [status.getPath().getName() for status in fs.listStatus(path)]
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and path_exists(spark, os.path.join(root, n, "_SUCCESS")))
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def merge_trend(changed: DataFrame, batch_id: int, root: str) -> None:
+    """The batch's changed rows take the place of those of the same key: a new version of the folder.
+
+    Batch n writes version n from the newest version before it, so a replayed batch writes the same files.
+    The two newest versions stay, for readers that have opened the older one.
+    """
+    spark = changed.sparkSession
+    old = [v for v in _versions(spark, root) if v < batch_id]
+    rows = changed.select(*TREND_KEY, "review_count")
+    if old:
+        before = spark.read.schema(TREND).parquet(os.path.join(root, f"v={old[-1]}"))
+        rows = before.join(rows.select(*TREND_KEY), TREND_KEY, "left_anti").unionByName(rows)
+    rows.write.mode("overwrite").parquet(os.path.join(root, f"v={batch_id}"))
+    for v in old[:-1]:
+        remove_folder(spark, os.path.join(root, f"v={v}"))
+
+
+def trend_table(spark: SparkSession, root: str) -> DataFrame:
+    """The newest version of the maintained trend; empty before the first batch."""
+    found = _versions(spark, root)
+    return spark.read.schema(TREND).parquet(os.path.join(root, f"v={found[-1]}")) if found else spark.createDataFrame([], TREND)
+
+
+def run_trend_stream(spark: SparkSession, processed_root: str, checkpoint: str, trend_root: str) -> DataFrame:
+    """Run the trend stream over the files present now; each micro-batch's changes are merged into ``trend_root``.
+
+    Update mode: a batch hands on the changed rows only. Nothing of the result goes through the driver.
+    """
     q = (trend_stream(spark, processed_root).writeStream
-         .outputMode("complete").format("memory").queryName(query_name)
+         .outputMode("update").foreachBatch(lambda df, batch_id: merge_trend(df, batch_id, trend_root))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(query_name)
+    return trend_table(spark, trend_root)

@@ -1,21 +1,9 @@
-"""Exact HTML-to-text mode (X2): the standard-library HTML parser, as an Arrow-batched UDF.
-
-The default path is the native regex chain in ``functions.text.strip_html``. This mode exists
-for pages whose markup the regex chain cannot read the way an HTML parser does (unclosed
-comments, attributes holding ``>``, character references of every kind). It is a per-value
-helper; Spark still partitions the rows and runs it in parallel, one Arrow batch at a time.
-Text inside script and style elements is dropped, as in the native chain.
-"""
+"""HTML to text by the standard library's parser: the yardstick of the native chain; script and style are dropped."""
 
 from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
-
 SKIP = {"script", "style"}
 
 
@@ -45,12 +33,3 @@ def html_to_text(value: str | None) -> str | None:
     p.feed(value)
     p.close()
     return "".join(p.parts)
-
-
-def _strip_batch(s: pd.Series) -> pd.Series:
-    return s.map(html_to_text)
-
-
-def strip_html_exact(c: Column) -> Column:
-    """X2, exact mode. The UDF is built here, not at import, so workers can import the module."""
-    return pandas_udf(_strip_batch, StringType())(c)

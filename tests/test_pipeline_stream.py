@@ -47,3 +47,69 @@ def test_stream_restart_from_checkpoint(spark):
     mx = {r.app_name: r.m for r in raw.groupBy("app_name").agg(F.max("review_ts").alias("m")).collect()}
     st = {r.app_name: r.m for r in t.groupBy("app_name").agg(F.max("review_ts").alias("m")).collect()}
     assert set(wm) == set(mx) and all(st[a] <= wm[a] <= mx[a] for a in wm)
+
+
+def test_gate_reads_the_new_run_and_stored_figures(spark):
+    """Q2: the gate over all runs scans one batch folder and the small table of figures, and equals the whole-table gate."""
+    from sentimart.operators import quality as Q
+
+    root = checkpoint_path(spark, next(tempfile._get_candidate_names()))
+    raw = ST.raw_reviews_full(spark, SF01)
+    SI.commit_batch(ST.feed_history(raw), 1, root)
+    SI.commit_batch(ST.feed_increment(raw), 2, root)
+    new = spark.read.parquet(os.path.join(root, "raw", "batch=2"))
+    gate = Q.gate_of_runs(spark, Q.RAW_METRICS, os.path.join(root, "raw_metrics"), new)
+    scanned = {f.split(root)[1].split("/part-")[0] for f in gate.inputFiles()}
+    assert {s for s in scanned if s.startswith("/raw/")} == {"/raw/batch=2"}
+    assert sorted(map(tuple, gate.collect())) == sorted(map(tuple, Q.dq_gate_raw(SI.raw_table(spark, root)).collect()))
+    assert not SI.path_exists(spark, os.path.join(root, "staged", "batch=1"))
+
+
+def test_id_tables_are_read_without_an_exchange(spark):
+    """The stored side of the check is a bucketed scan with no Exchange above it; a replay changes nothing."""
+    from sentimart.operators import ingest as I
+    from sentimart.sources.warehouse import Warehouse
+
+    name = next(tempfile._get_candidate_names())
+    w = Warehouse(spark, f"w{name}", checkpoint_path(spark, name), buckets=4).ensure().ensure()
+    raw = ST.raw_reviews_full(spark, SF01)
+    w.insert_raw(ST.feed_history(raw), 1)
+    w.insert_raw(raw, 2)
+    before = sorted(map(tuple, w.read("raw").select("raw_id", "review_id").collect()))
+    w.insert_raw(raw, 2)
+    assert sorted(map(tuple, w.read("raw").select("raw_id", "review_id").collect())) == before and len(before) == 927
+    check = w.unseen(I.insert_or_ignore(None, raw), "raw_ids", "review_id", 3)
+    plan = check._jdf.queryExecution().executedPlan().toString()
+    stored = plan[plan.index("LeftAnti"):]
+    scan = next(i for i, line in enumerate(stored.splitlines()) if "raw_ids" in line)
+    lines = stored.splitlines()
+    depth = len(lines[scan]) - len(lines[scan].lstrip(" :+-"))
+    above = []
+    for line in reversed(lines[:scan]):
+        own = len(line) - len(line.lstrip(" :+-"))
+        if own < depth:
+            above.append(line.strip(" :+-"))
+            depth = own
+    assert not any(x.startswith("Exchange") for x in above), above
+    assert check.count() == 0
+    # The tables of another session are found again in the folder.
+    again = Warehouse(spark, f"again{name}", checkpoint_path(spark, name), buckets=4).ensure()
+    assert again.read("raw").count() == 927
+
+
+def test_trend_is_maintained_by_key(spark):
+    """I4: changed rows replace those of their key, a replayed batch writes the same, two versions stay."""
+    root = checkpoint_path(spark, next(tempfile._get_candidate_names()))
+
+    def rows(*n):
+        return spark.createDataFrame([("a", k, "Neutral", v) for k, v in n], "app_name string, year_month string, sentiment string, review_count long") \
+            .withColumn("year_month", F.to_date("year_month"))
+
+    assert SI.trend_table(spark, root).count() == 0
+    SI.merge_trend(rows(("2024-01-01", 1), ("2024-02-01", 5)), 0, root)
+    for _ in range(2):
+        SI.merge_trend(rows(("2024-02-01", 7), ("2024-03-01", 2)), 1, root)
+    SI.merge_trend(rows(("2024-01-01", 3)), 2, root)
+    got = {str(r.year_month): r.review_count for r in SI.trend_table(spark, root).collect()}
+    assert got == {"2024-01-01": 3, "2024-02-01": 7, "2024-03-01": 2}
+    assert SI._versions(spark, root) == [1, 2]

@@ -1,5 +1,7 @@
 """Golden rows for every text step (FIXTURES.md section 4) and text properties."""
 
+from dataclasses import replace
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -113,14 +115,16 @@ def test_vader_heuristics_by_hand(spark):
 def test_html_fixed_values(spark):
     rows = {"<b>love</b> it &amp; more": "love it & more", "a<br>b": "ab", "<script>var a=1;</script>hi": "hi", "<!-- c -->hi": "hi",
             "<p title='a>b'>x</p>": "x", '<a href="x>y" >z</a>': "z", "2 &lt; 3 &#233;t&eacute; &#x1f600;": "2 < 3 \u00e9t\u00e9 \U0001f600",
-            "&middot;&copy;don&rsquo;t": "\u00b7\u00a9don\u2019t", "&amp;lt; &nosuch; & &#0; a&b": "&lt; &nosuch; & \ufffd a&b"}
+            "&middot;&copy;don&rsquo;t": "\u00b7\u00a9don\u2019t", "&amp;lt; &nosuch; & &#0; a&b": "&lt; &nosuch; & \ufffd a&b",
+            "&copy 2024 &notit; &notin; &amp &ltb&gt": "\u00a9 2024 \u00acit; \u2209 & <b>", "&#65&#x42;&#x110000;&#128;&#99999999999;": "AB\ufffd\u20ac\ufffd",
+            "&am<b></b>p; &#<i>65;": "&amp; &#65;", "&ngt; &nvlt; &fjlig;": "\u226f <\u20d2 fj", "&#1;x&#xb;&#13;": "x\r"}
     got = _frame(spark, list(rows)).select("raw_id", TF.strip_html(F.col("review_text")).alias("t")).collect()
     assert [r.t for r in sorted(got, key=lambda r: r.raw_id)] == list(rows.values())
 
 
 def test_html_agrees_with_the_parser_on_all_pages(spark):
     """Same words as the standard library's parser on every page."""
-    from sentimart.functions.html_exact import html_to_text
+    from html_exact import html_to_text
 
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = pages.select(F.lower("html").alias("h"), TF.strip_html(F.lower("html")).alias("t")).collect()
@@ -145,3 +149,101 @@ def test_lemmas_do_not_depend_on_the_batch(spark):
 def test_negation_is_the_default(spark):
     row = P.clean_text_only(_frame(spark, ["never great"])).collect()[0]
     assert row.sentiment_score == pytest.approx(-0.5096)
+
+
+def test_html_agrees_with_the_parser_on_generated_pages(spark):
+    """Character for character, on 2,000 pages of tags, comments, scripts and references of every kind."""
+    import random
+    from html.entities import html5
+
+    from html_exact import html_to_text
+
+    rng = random.Random(9)
+    names = sorted({n.lower() for n in html5})
+    legacy = sorted(n for n in html5 if not n.endswith(";") and n == n.lower())
+
+    def piece():
+        kind = rng.randrange(14)
+        if kind == 0:
+            return "&" + rng.choice(names)
+        if kind == 1:
+            return "&" + rng.choice(legacy) + rng.choice(["", ";", "x", "=1", " ", "it;", "9"])
+        if kind == 2:
+            return f"&#{rng.choice([0, 9, 13, 38, 60, 65, 128, 129, 150, 159, 160, 233, 8217, 55296, 65535, 128512, 1114111, 1114112, 10 ** 12])}" + rng.choice(["", ";", "x", " "])
+        if kind == 3:
+            return f"&#x{rng.choice([0, 11, 26, 60, 130, 160, 233, 0xD800, 0xFDD0, 0x1F600, 0x10FFFF, 0x110000]):x}" + rng.choice(["", ";", "g", " "])
+        if kind == 4:
+            return rng.choice(["<b>", "</b>", "<br/>", "<p class='a>b'>", '<a href="x&amp;y">', "</p >", "<!-- c &amp; -->"])
+        if kind == 5:
+            return "<script>var a = 1;</script>"
+        if kind == 6:
+            return rng.choice(["&", "& ", "&;", "&&", "&#;", "&#x;", "& amp;", "a&b", "&am<i></i>p;"])
+        return rng.choice(["word", " ", "2 > 1", "x;", "\u00e9t\u00e9", "; ", "100%"])
+
+    pages = ["".join(piece() for _ in range(rng.randint(1, 25))) + " end" for _ in range(2000)]
+    got = _frame(spark, pages).select("raw_id", TF.strip_html(F.col("review_text")).alias("t")).collect()
+    differ = [(pages[r.raw_id], r.t, html_to_text(pages[r.raw_id])) for r in got if r.t != html_to_text(pages[r.raw_id])]
+    assert not differ, (len(differ), differ[:3])
+
+
+def test_words_in_one_pass(spark):
+    """Every rule, alone and as a run of suffixes, gives the tokens of the rule-by-rule chain; so do words in quotes and beside signs."""
+    rules = [p.removeprefix("=") for _, p, _ in R.CONTRACTIONS]
+    texts = [f"x {w} y" for w in rules if w[0] != "n"] + [f"they{w}, dog{w}." for w in rules if w[0] == "'" and w != "'cause"]
+    texts += ["don't you'll dog's", "he'd've", "shouldn't've", "y'all're", "(don't) won't/can't", "she's 'tis", "we’re isn’t", "wanna! gonnax"]
+    df = _frame(spark, texts)
+    rows = df.select("review_text", TF.tokenize(TF.keep_letters(TF.expand_contractions(F.col("review_text")))).alias("a"),
+                     TF.tokenize(TF.keep_letters(TF.expand_words(F.col("review_text")))).alias("b")).collect()
+    assert [r.review_text for r in rows if r.a != r.b] == []
+
+
+def _compound(s):
+    return pytest.approx(round(s / (s * s + 15) ** 0.5, 4))
+
+
+def test_phrases_by_hand(spark):
+    """Phrases take the place of a word's valence from the fourth word on, before 'least' and after boosters."""
+    texts = ["phone truly looks bad ass", "bad ass phone", "screen yeah right great", "aaa bbb ccc really great", "good bbb ccc bad ass",
+             "aaa bbb kiss of death great", "aaa bbb ccc least good"]
+    phrases = spark.createDataFrame([("bad ass", 1.5), ("yeah right", -2.0), ("kiss death great", 0.5)], "phrase string, valence double")
+    got = {r.raw_id: r.sentiment_score for r in P.clean_text_only(_frame(spark, texts), P.TextResources(phrases=phrases)).collect()}
+    assert got[0] == _compound(1.5)                       # the phrase begins with the scored word
+    assert got[1] == _compound(-2.5)                      # too early in the text
+    assert got[2] == _compound(-2.0)                      # the phrase stands before the scored word
+    assert got[3] == _compound(3.1 + 0.293)               # no phrase
+    assert got[4] == _compound(1.9 - 2.5)                 # word i - 3 is in the lexicon: phrases are not looked up
+    assert got[5] == _compound(0.5)                       # three words
+    assert got[6] == _compound(1.9 * -0.74)
+
+
+def test_full_size_tables(spark, tmp_path):
+    """Loaders read the public files' formats; a lexicon and dictionary of their size give the right rows and small plans."""
+    from sentimart.sources import lexicons as L
+
+    def name(i):
+        return "q" + "".join(chr(97 + (i // 26 ** k) % 26) for k in range(4))
+
+    (tmp_path / "lex.txt").write_text("".join(f"{name(i)}\t{(i % 9) - 4.0}\t0.5\t[1, 2]\n" for i in range(7500)) + "great\t3.1\t0.7\t[3]\n")
+    (tmp_path / "noun.exc").write_text("".join(f"irr{name(i)} {name(i)}\n" for i in range(2000)) + "children child\n")
+    (tmp_path / "index.noun").write_text("  1 licence line\n" + "".join(f"{name(i)} n 1 0 1 0 00001740\n" for i in range(90_000)) + "two_words n 1 0\n")
+    (tmp_path / "phrases.tsv").write_text("bad ass\t1.5\nkiss of death\t-1.5\n")
+    res = P.TextResources(lexicon=L.vader_lexicon(spark, str(tmp_path / "lex.txt")), lemmas=L.exceptions(spark, str(tmp_path / "noun.exc")),
+                          dictionary=L.dictionary(spark, str(tmp_path / "index.noun")), phrases=L.phrases(spark, str(tmp_path / "phrases.tsv"))).prepared(spark)
+    assert res.bounded and res.words.count() > 90_000
+    df = _frame(spark, [f"great {name(7)}s irr{name(8)}", "children"])
+    s = 3.1 + 3.0 + 4.0
+    for own in (res, replace(res, bounded=False)):  # broadcast, and left to the optimizer
+        got = {r.raw_id: (r.cleaned_text, r.sentiment_score) for r in P.clean_text_only(df, own).collect()}
+        assert got == {0: (f"great {name(7)} {name(8)}", _compound(s)), 1: ("child", 0.0)}
+    seeds = P.clean_text_only(df)._jdf.queryExecution().analyzed().toString()
+    loaded = P.clean_text_only(df, res)._jdf.queryExecution().analyzed().toString()
+    assert len(loaded) <= len(seeds)
+
+
+def test_lemmas_of_a_million_tokens(spark):
+    """One text of a million tokens, half of them changed: every occurrence carries its lemma, in order."""
+    words = ["boxes", "glass", "children", "qqq"]
+    row = P.clean_text_only(_frame(spark, [" ".join(words * 250_000)])).select(
+        "word_count", F.md5("cleaned_text").alias("m")).first()
+    import hashlib
+    assert (row.word_count, row.m) == (1_000_000, hashlib.md5(" ".join(["box", "glass", "child", "qqq"] * 250_000).encode()).hexdigest())
