@@ -59,20 +59,20 @@ SPELLED = {
 _CHARS = {**LOOK_ALIKES, **FULL_WIDTH, **{c: "" for c in INVISIBLE}}
 _WORD = "|".join(sorted(SPELLED, key=len, reverse=True))
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
-#: Longest blank beside a disguise; keeps every scan linear.
-_GAP = r"[\x20\t]{0,3}"
+#: Blanks inside and behind a disguise; those before it are taken back from the bracket, so that no blank is read twice.
+_GAP = r"[\x20\t]*+"
 LONG_RUN = 7
 _DISGUISE = (
     rf"(?P<char>[{re.escape(''.join(_CHARS))}])"
-    rf"|(?P<at>{_GAP}{_OPEN}{_GAP}(?:at|@|arroba|arobase){_GAP}{_CLOSE}{_GAP})"
-    rf"|(?P<dot>{_GAP}{_OPEN}{_GAP}(?:dot|\.|point|punto|punkt){_GAP}{_CLOSE}{_GAP})"
+    rf"|(?P<at>{_OPEN}{_GAP}(?:at|@|arroba|arobase){_GAP}{_CLOSE}{_GAP})"
+    rf"|(?P<dot>{_OPEN}{_GAP}(?:dot|\.|point|punto|punkt){_GAP}{_CLOSE}{_GAP})"
     rf"|(?P<bare_at>(?<=[A-Za-z0-9])[\x20\t]at[\x20\t](?=[A-Za-z0-9-]{{1,63}}[\x20\t]dot[\x20\t]))"
     rf"|(?P<bare_dot>(?<=[A-Za-z0-9])[\x20\t]dot[\x20\t](?=[A-Za-z0-9]))"
     rf"|(?P<spelled>\b(?:plus[\x20-])?(?:(?:{_WORD}|[0-9])[\x20,-]{{1,2}}){{LEAST,}}(?:{_WORD}|[0-9])\b)"
 )
 _LONG_RUNS, _ALL_RUNS = (re.compile(_DISGUISE.replace("LEAST", str(n)), re.IGNORECASE) for n in (LONG_RUN - 1, 0))
 # Texts without any of these need no rewriting, and texts without a digit or @ have no plain finding (RE2 syntax).
-_TRIGGER = rf"(?i)[{''.join(_CHARS)}]|{_OPEN}[ \t]{{0,3}}(at|@|arroba|arobase|dot|\.|point|punto|punkt)[ \t]{{0,3}}{_CLOSE}|[ \t]dot[ \t]|(({_WORD}|[0-9])[ ,-]{{1,2}}){{5}}"
+_TRIGGER = rf"(?i)[{''.join(_CHARS)}]|{_OPEN}[ \t]*(at|@|arroba|arobase|dot|\.|point|punto|punkt)[ \t]*{_CLOSE}|[ \t]dot[ \t]|(({_WORD}|[0-9])[ ,-]{{1,2}}){{5}}"
 # Texts without these have no run that only counts on the second copy: a spelled digit next to another or to a figure.
 _NEIGHBOURS = rf"(?i)({_WORD}|[0-9])[^a-z0-9]+({_WORD})|({_WORD})[^a-z0-9]+[0-9]|({_WORD})[^a-z0-9]+(dot|point|punto|punkt)[^a-z0-9]|(dot|point|punto|punkt)[^a-z0-9]+({_WORD})"
 _BETWEEN = re.compile(_NEIGHBOURS)
@@ -142,8 +142,12 @@ def normalise(text: str, disguise: re.Pattern = _LONG_RUNS) -> tuple[str, list[i
             made = "".join("+" if (w := x.lower()) == "plus" else SPELLED.get(w, w) for x in parts)
         else:
             made = "@" if "at" in kind else "."
-        take(text[done : m.start()], done, m.start(), False)
-        take(made, *m.span(), True)
+        start = m.start()
+        if kind in ("at", "dot"):
+            while start > done and text[start - 1] in " \t":
+                start -= 1
+        take(text[done:start], done, start, False)
+        take(made, start, m.end(), True)
         done = m.end()
     take(text[done:], done, len(text), False)
     return "".join(out), begin, end, new

@@ -3,11 +3,12 @@
 1. A character trigram model counts every document (28 symbols, so its size is fixed while its counts grow).
 2. Suspicious stretches (letters mixed with digits or signs, letters set apart, letters repeated) become lattices:
    each sign may stand for the letters it imitates, separators and repetitions for nothing. Viterbi decoding under
-   the character model finds the likeliest reading, which replaces the stretch.
+   the character model finds the likeliest reading of the whole stretch, however long, which replaces it. A separator
+   may also be a gap between words: of letters set apart, each further place where a word may begin is read as well.
 3. Words and their 4-, 5- and 6-byte beginnings are features. From labelled texts a feature's weight is the lower
-   confidence bound of its log-odds in toxic texts; only features in at least MIN_SHARE of the toxic texts (and
-   MIN_TEXTS of them) can have one, which bounds their number. A logistic curve over a text's strongest weight and
-   the sum of its weights, fitted on the same labelled texts, gives the score.
+   confidence bound of its log-odds in toxic texts; a feature needs MIN_TEXTS toxic texts, at every size of the table.
+   A logistic curve over a text's strongest weight and the sum of its weights, fitted on the same labelled texts, gives
+   the score. All features that are looked at come from the bounded sample.
 
 Learning takes at most `sample` labelled rows, chosen by a hash of the key; every row is scored. Cases: null and
 empty texts get the score of a text without features; keys that are null or without a label are scored alike but
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 from sentimart.llm.scratch import stored
 from sentimart.llm.textblocks import U64, TextHash, blocks, mix, runs, starts_of_rows, text_column
 
-MIN_SHARE, MIN_TEXTS = 0.002, 3
+MIN_TEXTS = 3
 #: Standard errors by which a weight is lowered, and the least weight kept.
 CAUTION, LEAST_WEIGHT = 2.0, 1.0
 BEGINNINGS = (4, 5, 6)
@@ -44,7 +45,10 @@ _WHOLE = U64(0x5851F42D4C957F2D)
 IMITATED = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "*": "aeiou"}
 #: Costs (negative logs) in the channel: a letter as itself, as one of its imitations, dropped as a repetition.
 SELF, IMITATION, WILD, REPEAT = 0.0, 1.0, 2.0, 0.5
-MAX_STRETCH = 40
+#: Letters of a word that may begin inside a stretch of letters set apart: as many as features and their ends take.
+INSIDE = 7
+#: Longest stretch whose reading is remembered.
+KNOWN = 64
 
 _SIGN = r"0-9@$!|+*€("
 _LETTER = "a-zA-Zİ\u212a"  # all whose lower case has an ASCII letter
@@ -56,9 +60,9 @@ _SUSPICIOUS = (
     "|(?i:" + "|".join(c * 3 for c in "abcdefghijklmnopqrstuvwxyz") + ")"
 )
 _STRETCH = re.compile(
-    rf"(?P<apart>(?<![a-z0-9])[a-z{_SIGN}](?:[ ._*-]{{1,2}}[a-z{_SIGN}](?![a-z0-9])){{2,{MAX_STRETCH}}})"
-    rf"|(?P<mixed>(?<![a-z{_SIGN}])(?=[a-z{_SIGN}]*[a-z])(?=[a-z]*[{_SIGN}])[a-z{_SIGN}]{{3,{MAX_STRETCH}}}(?![a-z{_SIGN}]))"
-    rf"|(?P<drawn>(?<![a-z])(?=[a-z]*([a-z])\4\4)[a-z]{{3,{MAX_STRETCH}}}(?![a-z]))"
+    rf"(?P<apart>(?<![a-z0-9])[a-z{_SIGN}](?:[ ._*-]{{1,2}}[a-z{_SIGN}](?![a-z0-9])){{2,}})"
+    rf"|(?P<mixed>(?<![a-z{_SIGN}])(?=[a-z{_SIGN}]*[a-z])(?=[a-z]*[{_SIGN}])[a-z{_SIGN}]{{3,}}(?![a-z{_SIGN}]))"
+    rf"|(?P<drawn>(?<![a-z])(?=[a-z]*([a-z])\4\4)[a-z]{{3,}}(?![a-z]))"
 )
 
 
@@ -87,6 +91,8 @@ class CharModel:
 
     def decode(self, stretch: str) -> str:
         """The likeliest letters behind a stretch of signs and letters (lower case, separators removed)."""
+        if len(stretch) > KNOWN:
+            return self._viterbi(stretch)
         if stretch not in self.known:
             if len(self.known) > 50_000:
                 self.known = {}
@@ -95,7 +101,8 @@ class CharModel:
 
     def _viterbi(self, stretch: str) -> str:
         cost = self.cost
-        paths = {(0, 0): (0.0, "")}  # the two last symbols: cost so far, letters so far
+        # The two last symbols: cost so far, letters so far as (letters before, letter), so that paths share them.
+        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         previous = ""
         first, last = len(stretch) - len(stretch.lstrip("(")), len(stretch.rstrip("!"))  # outside, both may be punctuation
         for i, sign in enumerate(stretch):
@@ -103,7 +110,7 @@ class CharModel:
             ways = [(ord(c) - 96, c, w) for c, w in letters]
             if i < first or i >= last:
                 ways.append((0, sign, SELF))
-            new: dict[tuple[int, int], tuple[float, str]] = {}
+            new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (so_far, text) in paths.items():
                 if sign == previous and (a, b) != (0, 0) or not ways:
                     here = so_far + REPEAT
@@ -112,13 +119,31 @@ class CharModel:
                 for s, c, w in ways:
                     here = so_far + w + cost[a][b][s]
                     if here < new.get((b, s), (math.inf,))[0]:
-                        new[b, s] = (here, text + c)
+                        new[b, s] = (here, (text, c))
             paths, previous = new, sign
-        return min((so_far + cost[a][b][0], text) for (a, b), (so_far, text) in paths.items())[1]
+        ends = [(so_far + cost[a][b][0], text) for (a, b), (so_far, text) in paths.items()]
+        least = min(e[0] for e in ends)
+        return min(_letters(text) for here, text in ends if here == least)
 
     def restore(self, text: str) -> str:
         """The text in lower case with its suspicious stretches decoded."""
-        return _STRETCH.sub(lambda m: self.decode(re.sub(r"[ ._-]|(?<=\*)\*", "", m[0]) if m["apart"] else m[0]), text.lower())
+
+        def read(m: re.Match) -> str:
+            if not m["apart"]:
+                return self.decode(m[0])
+            word = self.decode(re.sub(r"[ ._-]|(?<=\*)\*", "", m[0]))
+            # Every separator may be a gap: the words that may begin behind one, beside the reading as one word.
+            return " ".join([word, *(word[i : i + INSIDE] for i in range(1, len(word) - BEGINNINGS[0] + 1))])
+
+        return _STRETCH.sub(read, text.lower())
+
+
+def _letters(path: tuple | None) -> str:
+    out = []
+    while path is not None:
+        path, letter = path
+        out.append(letter)
+    return "".join(reversed(out))
 
 
 def _restored(col: pa.Array, model: CharModel) -> pa.Array:
@@ -252,15 +277,14 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     if not bad or not good:
         share = bad / max(bad + good, 1)
         return ToxicityModel(chars, curve=(math.log((share + 1e-9) / (1 - share + 1e-9)), 0.0, 0.0))
-    least = max(MIN_TEXTS, math.ceil(MIN_SHARE * bad))
-    seen = _counts(known.filter("toxic = 1"), chars, None).filter(F.col("n") >= least).collect()
-    among = np.array([r["feature"] for r in seen], np.int64).view(np.uint64)
+    seen = _counts(known.filter("toxic = 1"), chars, None).filter(F.col("n") >= MIN_TEXTS).toArrow()
+    among, t = seen.column("feature").to_numpy().view(np.uint64), seen.column("n").to_numpy().astype(np.float64)
     order = np.argsort(among)
-    among, t = among[order], np.array([r["n"] for r in seen], np.float64)[order]
+    among, t = among[order], t[order]
     c = np.zeros(len(among))
     if len(among):
-        for r in _counts(known.filter("toxic = 0"), chars, among).collect():
-            c[np.searchsorted(among, np.array([r["feature"]], np.int64).view(np.uint64)[0])] = r["n"]
+        clean = _counts(known.filter("toxic = 0"), chars, among).toArrow()
+        c[np.searchsorted(among, clean.column("feature").to_numpy().view(np.uint64))] = clean.column("n").to_numpy()
     weight = np.log((t + 0.5) / (bad + 1)) - np.log((c + 0.5) / (good + 1)) - CAUTION * np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
     kept = weight >= LEAST_WEIGHT
     model = ToxicityModel(chars, among[kept], weight[kept])

@@ -46,6 +46,7 @@ def test_base_spans_equal_the_patterns(letters):
         ("card ４９４４ 3394 9042 9605!", "card", "４９４４ 3394 9042 9605"),
         ("is 4944​339490429605 it", "card", "4944​339490429605"),
         ("ip 192[.]168[.]1[.]1 ok", "ip", "192[.]168[.]1[.]1"),
+        ("write john     [     at     ]     example (\t dot  \t ) com now", "email", "john     [     at     ]     example (\t dot  \t ) com"),
     ],
 )
 def test_disguises(text, kind, found):
@@ -84,3 +85,12 @@ def test_frames(docs_of, llm_spark):
     assert masked.columns == docs_of(rows).columns
     assert sorted(str((r.doc_id, r.text)) for r in masked.collect()) == sorted(str((k, "<email> and <phone>" if k == 8 else t)) for k, t in rows)
     assert pii.find_pii(docs_of([])).count() == 0
+
+
+def test_long_blanks_are_read_in_linear_time():
+    import time
+
+    text = "a [" + " " * 200_000 + "[ at" + " " * 200_000 + "x" + " \t" * 200_000 + "[at] b.co"
+    begin = time.process_time()
+    assert [text[a:b][-9:] for _, a, b, _ in pii.spans_of(text)] == ["[at] b.co"]
+    assert time.process_time() - begin < 5

@@ -1,6 +1,7 @@
 """op3 on held-out labels and disguised words; the pipeline against brute force, stage by stage."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -42,6 +43,46 @@ def test_restoring(model, hidden, word):
     assert disguised == pytest.approx(plain)
 
 
+@pytest.mark.parametrize("text, word", [("y o u i d i o t", "idiot"), ("what a i d i o t", "idiot"), ("stu" + "u" * 45 + "pid", "stupid"), ("x " + "q w " * 60 + "m o r o n", "moron"), ("1d" + "1" * 60 + "0t", "idiot")])
+def test_gaps_and_long_stretches(model, text, word):
+    """Letters set apart hold a gap or none at each separator; stretches of any length are decoded whole."""
+    found = model.strengths(pa.array([f"an {t} of it" for t in (word, text)]))[0]
+    assert found[1] == pytest.approx(found[0]) and found[0] > 0
+
+
+def test_letters_set_apart_of_plain_words_stay_clean(model):
+    assert (model.score(pa.array(["t h e o n t h e i n w a s w i t h", "a b c d e f g", "s p a c e d t i t l e o f t h e b o o k"])) < 0.5).all()
+
+
+def viterbi(model, stretch):
+    """The least cost over all readings, by plain recursion over the channel's choices."""
+    best = None
+
+    def go(i, previous, a, b, cost, out):
+        nonlocal best
+        if best is not None and cost > best[0] + 1e-9:
+            return
+        if i == len(stretch):
+            best = min(best or (math.inf, ""), (cost + model.cost[a][b][0], out))
+            return
+        sign = stretch[i]
+        ways = [(sign, toxicity.SELF)] if "a" <= sign <= "z" else [(c, toxicity.WILD if sign == "*" else toxicity.IMITATION) for c in toxicity.IMITATED.get(sign, "")]
+        for c, w in ways:
+            go(i + 1, sign, b, ord(c) - 96, cost + w + model.cost[a][b][ord(c) - 96], out + c)
+        if sign == previous and (a, b) != (0, 0) or not ways:
+            go(i + 1, sign, a, b, cost + toxicity.REPEAT, out)
+
+    go(0, "", 0, 0, 0.0, "")
+    return best[1]
+
+
+def test_decoding_against_all_readings(model):
+    rng = random.Random(8)
+    for _ in range(300):
+        stretch = "x" + "".join(rng.choice("abeo01358@$+*lst") for _ in range(rng.randint(1, 8))) + "y"
+        assert model.chars.decode(stretch) == viterbi(model.chars, stretch), stretch
+
+
 @pytest.mark.parametrize("hidden, word", [("idio7", "idiot"), ("1di0+", "idiot"), ("id!0+", "idiot"), ("m0r0n", "moron"), ("s(um", "scum"), ("idiot!", "idiot"), ("(idiot", "idiot")])
 def test_gate_lets_disguises_through(model, hidden, word):
     plain, disguised = toxicity._restored(pa.array([f"an {word} of it", f"an {hidden} of it"]), model.chars).to_pylist()
