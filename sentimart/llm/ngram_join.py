@@ -38,7 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentimart.llm.scratch import stored
+from sentimart.llm.hotkeys import join_heavy
+from sentimart.llm.scratch import release, stored
 from sentimart.llm.textblocks import U64, TextHash, blocks, mix, per_row, runs, starts_of_rows, text_column
 
 #: Bytes of shingle hashes in one trie.
@@ -92,8 +93,14 @@ def shingle_sets(col: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return values, np.searchsorted(owner, np.arange(n + 1))
 
 
-def _set_id(values: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _set_id(values: np.ndarray, salt: int) -> int:
+    return _digest(values, salt)[0]
+
+
+def _digest(values: np.ndarray, salt: int) -> tuple[int, int]:
+    """A set's 128-bit digest: the half that names it and the half that tells two sets of one name apart."""
+    made = hashlib.blake2b(values.tobytes(), digest_size=16, salt=salt.to_bytes(2, "little")).digest()
+    return int.from_bytes(made[:8], "little", signed=True), int.from_bytes(made[8:], "little", signed=True)
 
 
 def size_bounds(percent: int, largest: int) -> np.ndarray:
@@ -136,27 +143,36 @@ def signatures(values: np.ndarray, begin: np.ndarray, percent: int) -> tuple[np.
     return np.concatenate(out_set), np.concatenate(out_sign)
 
 
-def _sets(df: DataFrame, width: int) -> DataFrame:
-    """(key, n, set_id) of each row; texts without words have no set."""
-    schema = "key long, n long, set_id long"
+def _sets(df: DataFrame, width: int, salt: int) -> DataFrame:
+    """(key, n, set_id, check) of each row; texts without words have no set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             values, begin = shingle_sets(b.column("text"), width)
-            ids = [_set_id(values[a:z]) if z > a else None for a, z in zip(begin.tolist(), begin[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(np.diff(begin), pa.int64()), pa.array(ids, pa.int64())], names=["key", "n", "set_id"])
+            ids = [_digest(values[a:z], salt) if z > a else (None, None) for a, z in zip(begin.tolist(), begin[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(np.diff(begin), pa.int64()), pa.array([x for x, _ in ids], pa.int64()), pa.array([y for _, y in ids], pa.int64())], names=["key", "n", "set_id", "check"])
+
+    return df.mapInArrow(run, "key long, n long, set_id long, check long")
+
 
-    return df.mapInArrow(run, schema)
+def _named_sets(df: DataFrame, width: int) -> tuple[DataFrame, int]:
+    """The stored sets and the salt under which no two different sets have one name."""
+    for salt in range(1 << 16):
+        sets = stored(_sets(df, width, salt), "sets")
+        if not sets.groupBy("set_id").agg(F.min("check").alias("a"), F.max("check").alias("b")).filter("a <> b").limit(1).count():
+            return sets.drop("check"), salt
+        release(sets)
+    raise ValueError("no salt names all sets apart")
 
 
-def _signed(df: DataFrame, width: int, percent: int) -> DataFrame:
+def _signed(df: DataFrame, width: int, percent: int, salt: int) -> DataFrame:
     """(set_id, value) for each signature of each row's set. Both readers compute it from the texts anew, which costs
     less than to store about half a number for every word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             values, begin = shingle_sets(b.column("text"), width)
-            ids = np.array([_set_id(values[a:z]) if z > a else 0 for a, z in zip(begin.tolist(), begin[1:].tolist())], np.int64)
+            ids = np.array([_set_id(values[a:z], salt) if z > a else 0 for a, z in zip(begin.tolist(), begin[1:].tolist())], np.int64)
             owner, sign = signatures(values, begin, percent)
             yield pa.RecordBatch.from_arrays([pa.array(ids[owner], pa.int64()), pa.array(sign.view(np.int64), pa.int64())], names=["set_id", "value"])
 
@@ -177,6 +193,7 @@ def components(edges: DataFrame) -> DataFrame:
         if turn >= 3:
             near = near.join(labels.select(F.col("node").alias("low"), F.col("root").alias("top")), "low").select("a", F.least("low", "top").alias("low"), "old")
         new = stored(near.select(F.col("a").alias("node"), F.col("low").alias("root"), (F.col("low") < F.col("old")).alias("moved")), "labels")
+        release(labels)
         labels = new.select("node", "root")
         if not new.filter("moved").limit(1).count():
             return labels
@@ -294,14 +311,14 @@ def _edges(ids: np.ndarray, classes: list[int]) -> pd.DataFrame:
     return pd.DataFrame({"a": ids, "b": ids[np.asarray(classes, np.int64)]})
 
 
-def _whole_sets(df: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def _whole_sets(df: DataFrame, wanted: DataFrame, width: int, salt: int) -> DataFrame:
     """(set_id, members binary) of the sets named in wanted (key, set_id), one row each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             values, begin = shingle_sets(b.column("text"), width)
             own = [values[a:z] for a, z in zip(begin.tolist(), begin[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array([_set_id(x) if len(x) else None for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], names=["set_id", "members"])
+            yield pa.RecordBatch.from_arrays([pa.array([_set_id(x, salt) if len(x) else None for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], names=["set_id", "members"])
 
     texts = df.join(wanted.select("key").distinct(), "key", "left_semi")
     made = texts.mapInArrow(run, "set_id long, members binary").join(wanted.select("set_id").distinct(), "set_id", "left_semi")
@@ -312,9 +329,9 @@ def jaccard_classes(df: DataFrame, width: int = 3, percent: int = 90, text: str
     """(key, n_shingles, component_id, set_id) for each row; component_id: the smallest key reachable by links."""
     kind = df.schema[key].dataType
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    sets = stored(_sets(rows, width), "sets")
+    sets, salt = _named_sets(rows, width)
     # Several sets of one signature meet through the smallest; repeated rows of one set are no meeting.
-    heads = _signed(rows, width, percent)
+    heads = _signed(rows, width, percent, salt)
     hubs = heads.groupBy("value").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("other")).filter("hub <> other").select("value", "hub")
     star = heads.join(hubs, "value").select(F.col("set_id").alias("a"), F.col("hub").alias("b")).filter("a <> b")
     groups = components(star)
@@ -323,13 +340,16 @@ def jaccard_classes(df: DataFrame, width: int = 3, percent: int = 90, text: str
     null_keys = keys.filter("key is null").limit(1).count()
     source = rows if not null_keys else rows.withColumn("key", F.coalesce("key", F.lit(-(1 << 63)).cast("long")))
     wanted = keys.withColumn("key", F.coalesce("key", F.lit(-(1 << 63)).cast("long"))) if null_keys else keys
-    whole = _whole_sets(source, wanted, width)
+    whole = _whole_sets(source, wanted, width, salt)
     members = whole.join(keys.select("set_id", "root"), "set_id")
     classes = _classes(stored(_in_blocks(members), "members"), percent)
 
-    named = sets.select("key", "n", "set_id").join(classes, "set_id", "left").withColumn("class", F.coalesce("class", "set_id"))
-    lowest = named.filter("class is not null").groupBy("class").agg(F.min("key").alias("lowest"))
-    out = named.join(lowest, "class", "left")
+    # Classes' ids are found among sets, not rows; sets and classes with many rows do not gather in one task.
+    per_set = sets.filter("set_id is not null").groupBy("set_id").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n_rows"))
+    named = stored(per_set.join(classes, "set_id", "left").withColumn("class", F.coalesce("class", "set_id")), "named")
+    lowest = named.groupBy("class").agg(F.min("key").alias("lowest"), F.count(F.lit(1)).alias("n_sets"))
+    ids = join_heavy(named, lowest, "class", "n_sets", named.count()).select("set_id", "lowest", "n_rows")
+    out = join_heavy(sets.select("key", "n", "set_id"), ids, "set_id", "n_rows", sets.count())
     return out.select(F.col("key").cast(kind).alias(key), F.col("n").alias("n_shingles"), F.coalesce("lowest", "key").cast(kind).alias("component_id"), "set_id")
 
 
