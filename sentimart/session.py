@@ -61,9 +61,15 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
 
 
+#: Rows sent to a Python worker at once, where the cluster leaves Spark's default of 10,000: rows hold whole texts.
+ARROW_ROWS = 2000
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers once per Spark context, for clusters where it is not installed."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     if getattr(sc, "_sentimart_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
