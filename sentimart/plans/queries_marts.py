@@ -179,6 +179,20 @@ def join_examples(spark, sf_dir):
     return examples(spark, sf_dir)
 
 
+@register("join_unknown", W(P + [
+    ("kept", "SELECT * FROM processed WHERE app_name <> (SELECT min(app_name) FROM raw_reviews)")],
+    """SELECT r.app_name, CASE WHEN h.app_name IS NULL THEN 'Unknown' ELSE k.sentiment END AS sentiment, count(*) AS review_count,
+  count(CASE WHEN h.app_name IS NOT NULL THEN k.sentiment_score END) AS n_scores
+FROM raw_reviews r LEFT JOIN kept k ON k.app_name = r.app_name AND k.review_id = r.review_id
+LEFT JOIN (SELECT DISTINCT app_name FROM kept) h ON h.app_name = r.app_name GROUP BY 1, 2"""))
+def join_unknown(spark, sf_dir):
+    """An app without any processed row shows 'Unknown' and no scores; others keep their labels."""
+    r = raw(spark, sf_dir)
+    first = F.broadcast(M.first_app(r, r))  # one row
+    ex = M.join_examples(r, processed(spark, sf_dir).join(first, "app_name", "left_anti"))
+    return ex.groupBy("app_name", "sentiment").agg(F.count(F.lit(1)).alias("review_count"), F.count("sentiment_score").alias("n_scores"))
+
+
 def _ex_body(where: str, order: str) -> str:
     return f"""SELECT {EX_COLS} FROM (SELECT *, CAST(row_number() OVER (PARTITION BY app_name ORDER BY {order}) AS INT) AS rank
 FROM ex WHERE {where}) WHERE rank <= 5"""

@@ -200,9 +200,13 @@ def sentiment_score_lexicon(spark, sf_dir):
     return P.clean_text_only(_golden(spark, sf_dir), P.TextResources(mode="lexicon")).select("raw_id", "sentiment_score")
 
 
-@register("sentiment_score_vader", O.with_ctes(_GOLDEN_LEM, f"""SELECT d.raw_id,
-  {O.compound('l.vsum')} AS sentiment_score FROM g_docs d LEFT JOIN g_lem l ON l.raw_id = d.raw_id"""))
+_TURNS = [("turn_docs", f"SELECT conv_id * 1048576 + turn AS raw_id, {O.clean_tokens('text')} AS toks FROM conversations")]
+
+
+@register("sentiment_score_vader", O.with_ctes(_TURNS + O.lemma_ctes("t", "turn_docs"), f"""SELECT d.raw_id,
+  {O.compound('l.vsum')} AS sentiment_score FROM turn_docs d LEFT JOIN t_lem l ON l.raw_id = d.raw_id"""))
 def sentiment_score_vader(spark, sf_dir):
-    """X13 with VADER's heuristics: boosters (damped), negators, 'without doubt', 'least'."""
-    res = P.TextResources(mode="vader")
-    return P.clean_text_only(_golden(spark, sf_dir), res).select("raw_id", "sentiment_score")
+    """X13 on the turns of conversations: boosters (damped), negators, phrases, 'without doubt', 'least'."""
+    turns = ST.table(spark, sf_dir, "conversations").select(
+        (F.col("conv_id") * 1048576 + F.col("turn")).alias("raw_id"), F.col("text").alias("review_text"))
+    return P.clean_text_only(turns, P.TextResources(mode="vader")).select("raw_id", "sentiment_score")

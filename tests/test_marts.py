@@ -111,3 +111,61 @@ def test_dominant_sentiment_tie_goes_to_first_label(spark):
     r = M.kpi_overview(raw, proc).first()
     assert r.dominant_sentiment == "Negative"          # Negative and Positive tie at 2
     assert r.positive_pct == 40.0 and r.total_reviews == 1 and r.avg_rating == 5.0
+
+
+def test_empty_input_flows_through(spark):
+    """Tables without rows give reports without rows (or the figures of nothing), never an error."""
+    from sentimart.operators import marts as M
+    from sentimart.operators import quality as Q
+    raw = ST.raw_reviews(spark, SF001).limit(0)
+    processed = P.process_reviews(raw)
+    for df in (processed, M.kpi_formatted(raw, processed), M.sentiment_trend_monthly(processed), M.volume_trend_monthly(raw),
+               N.top_bigrams_corpus(processed), M.examples_formatted(M.join_examples(raw, processed)), M.app_list(raw, processed)):
+        assert df.count() == 0
+    assert M.processed_total(processed).first()[0] == 0
+    assert {r["check"]: r.value for r in Q.dq_gate_raw(raw).collect()}["row_count"] == 0
+
+
+def test_example_titles_and_unscored_neutrals(spark):
+    """A neutral example without a score has a title without one, and only appears if its app has no scored one."""
+    from sentimart.operators import marts as M
+    rows = [(1, "a", 5, "Neutral", None), (2, "a", None, "Neutral", None), (3, "b", 4, "Neutral", 0.01), (4, "b", 2, "Neutral", None),
+            (5, "a", 1, "Negative", -0.5), (6, "a", 1, "Negative", -0.9), (7, "a", 1, "Negative", None), (8, "b", 5, "Positive", 0.25), (9, "b", 3, None, 0.3)]
+    ex = spark.createDataFrame(rows, "raw_id long, app_name string, rating int, sentiment string, sentiment_score double") \
+        .withColumn("review_ts", F.when(F.col("raw_id") != 2, F.lit("2024-03-05 10:00:00").cast("timestamp_ntz")))
+    got = {(r.app_name, r.tab, r.title) for r in M.examples_formatted(ex).collect()}
+    assert got == {
+        ("a", "Neutral", "Rating: 5 \u2b50 | Date: 2024-03-05"), ("a", "Neutral", "Rating: N/A \u2b50 | Date: N/A"),
+        ("b", "Neutral", "Rating: 4 \u2b50 | VADER Score: 0.010 | Date: 2024-03-05"),
+        ("a", "Negative", "Rating: 1 \u2b50 | VADER Score: -0.900 | Date: 2024-03-05"),
+        ("a", "Negative", "Rating: 1 \u2b50 | VADER Score: -0.500 | Date: 2024-03-05"),
+        ("b", "Positive", "Rating: 5 \u2b50 | VADER Score: 0.250 | Date: 2024-03-05")}
+    assert [r.raw_id for r in M.examples_negative(ex).orderBy("rank").collect()] == [6, 5]
+
+
+def test_kpi_forms(spark):
+    from sentimart.operators import marts as M
+    raw = spark.createDataFrame([(1, "a", 5), (2, "a", 4), (3, "b", None)], "raw_id long, app_name string, rating int")
+    proc = spark.createDataFrame([("a", "Positive"), ("a", "Neutral"), ("a", "Neutral"), ("c", None)], "app_name string, sentiment string")
+    got = {tuple(r) for r in M.kpi_formatted(raw, proc).collect()}
+    assert got == {("a", "2", "4.50", "33.3%", "Neutral"), ("b", "1", "N/A", "N/A", "N/A"), ("c", "N/A", "N/A", "0.0%", "N/A")}
+
+
+def test_months_without_reviews(spark):
+    from sentimart.operators import marts as M
+    raw = spark.createDataFrame([(1, "a", "2024-01-05"), (2, "a", "2024-01-09"), (3, "a", "2024-04-01"), (4, None, "2024-02-01"), (5, "a", None)],
+                                "raw_id long, app_name string, d string").withColumn("review_ts", F.col("d").cast("timestamp_ntz"))
+    got = [(r.app_name, str(r.year_month)[:7], r.review_count, r.prev_count, r.change) for r in M.volume_trend_monthly(raw).orderBy("app_name", "year_month").collect()]
+    assert got == [(None, "2024-02", 1, None, None), ("a", "2024-01", 2, None, None), ("a", "2024-02", 0, 2, -2), ("a", "2024-03", 0, 0, 0), ("a", "2024-04", 1, 0, 1)]
+
+
+def test_one_scan_corpus_bigrams(spark):
+    """Counts and first places equal those of pairs and bridges counted apart, for buckets of any size; ranges fall back to words."""
+    processed = P.process_reviews(ST.raw_reviews(spark, SF001)).cache()
+    docs = N.ngram_docs(processed)
+    want = sorted(map(str, N.count_items(N.bigram_items(docs).unionByName(N.bridge_bigrams(docs))).collect()))
+    for size in (1, 7, 1 << 20):
+        got = N.corpus_bigram_counts(docs, size).select("app_name", "ngram", "ngram_count", "first")
+        assert sorted(map(str, got.collect())) == want
+    assert N.top_ngrams(processed, (3, 3)).exceptAll(N.top_unigrams(processed)).count() == 0
+    assert N.top_ngrams(processed, (2, 2)).exceptAll(N.top_bigrams_corpus(processed)).count() == 0

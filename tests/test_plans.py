@@ -64,3 +64,44 @@ def test_batch_vs_table_check_does_not_shuffle_the_table(spark):
     df.write.format("noop").mode("overwrite").save()
     p = plan(df)
     assert "BroadcastHashJoin" in p and "LeftSemi" in p and "SortMergeJoin" not in p
+
+
+@pytest.mark.parametrize("name", ["scan_processed", "sentiment_trend_monthly", "top_bigrams_corpus", "examples_formatted"])
+def test_no_exchange_between_the_steps_of_a_document(spark, name):
+    """Texts are dealt by document once; scores, lemmas and attributes then meet without a further exchange by raw_id."""
+    p = plan(E.queries()[name](spark, SF001))
+    by_id = [line for line in p.splitlines() if "Exchange hashpartitioning(raw_id" in line]
+    assert by_id and all("ENSURE_REQUIREMENTS" in line for line in by_id)
+    assert not [line for line in p.splitlines() if "Exchange hashpartitioning(raw_id" in line and ", pos" in line]
+
+
+def test_unused_results_are_not_computed(spark):
+    """The trend needs scores only: no lemmas are gathered; the global count needs neither."""
+    assert "collect_list(struct(pos" not in plan(E.queries()["sentiment_trend_monthly"](spark, SF001))
+    assert "posexplode" not in plan(E.queries()["processed_total"](spark, SF001))
+
+
+def test_no_job_while_a_plan_is_built(spark):
+    from sentimart.operators import ngrams as N
+    from sentimart.operators import process as P
+    raw = ST.raw_reviews(spark, SF001)  # reads the file's schema
+    spark.sparkContext.setJobGroup("building", "plans only")
+    try:
+        processed = P.process_reviews(raw, existing=P.process_reviews(raw).filter("rating > 3"))
+        M.sentiment_trend_monthly(processed), M.kpi_formatted(raw, processed), N.top_bigrams_corpus(processed), M.examples_formatted(M.join_examples(raw, processed))
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+
+
+def test_score_plan_does_not_grow_with_the_tables(spark):
+    """Word lists are joined: ten times the boosters and phrases give the same plan."""
+    from sentimart.operators import process as P
+    df = spark.createDataFrame([(1, "x")], "raw_id long, review_text string")
+
+    def size(n):
+        boosters = spark.range(n).selectExpr("concat('b', id) as token", "0.1D as scalar")
+        phrases = spark.range(n).selectExpr("concat('p', id, ' q') as phrase", "1.0D as valence")
+        return len(P.clean_text_only(df, P.TextResources(boosters=boosters, phrases=phrases)).select("sentiment_score")._jdf.queryExecution().analyzed().toString())
+
+    assert abs(size(1000) - size(10)) < 20
