@@ -4,18 +4,21 @@
    that puts most of every inner product into the first coordinates.
 2. Vectors are range-partitioned by descending length and packed into blocks of up to BLOCK rows; a block knows its
    greatest length. Queries are packed likewise, QUERIES to a block.
-3. Query blocks first meet the SEEDS blocks with the longest vectors: a query's k-th best score there bounds its
-   final one from below.
-4. A query block then meets every block whose greatest length times a query's length reaches that query's bound;
+3. Query blocks meet the vector blocks in rounds: first the FIRST blocks with the longest vectors, then, in the order of
+   lengths, as many as GROWTH times those met so far. After each round a query's k-th best score bounds its final
+   one from below, so a block far down hands on only what beats a large part of all vectors: the rows made grow with
+   the logarithm of the number of blocks.
+4. A query block meets a block only if the block's greatest length times a query's length reaches that query's bound;
    as lengths fall, the tail of the blocks is skipped. Inside, a pair survives only if its head product plus the
    product of the residual lengths (Cauchy-Schwarz) reaches the bound; survivors get their exact integer score.
-5. The k best of each query from each block are merged by a window that keeps k rows per task before its shuffle.
+5. The k best of each query from each block are merged with those so far by a window that keeps k rows per task before
+   its shuffle.
 
 Bounds are widened by a relative slack above the rounding of doubles, so no tie is lost. Products whose lengths
 multiply to under 2**53 are exact in doubles; others are computed in 64-bit integers (and wrap beyond them).
 Cases: vectors that are null, empty, of another length than the most common one (ties: the longer), or that hold
-null or non-finite components take no part, nor do null ids; of rows with one id the one with the smallest vector
-counts; score ties go to the smaller id; an empty table gives an empty table. Only the named columns are read, so
+null or non-finite components take no part, nor do null ids; repeated ids are rows of their own, except that no row
+meets a query of its id (queries of one id share one list); score ties go to the smaller id; an empty table gives an empty table. Only the named columns are read, so
 further columns may have any name. A task holds one query block, one vector block and their scores.
 """
 
@@ -34,8 +37,8 @@ BLOCK = 4096
 QUERIES = 256
 #: Rotated coordinates summed before the first pruning.
 HEAD = 16
-#: Longest blocks that give the first bounds.
-SEEDS = 4
+#: Longest blocks, which give the first bounds, and by how much the blocks met grow from round to round.
+FIRST, GROWTH = 4, 4
 #: Groups into which the blocks are dealt to meet query blocks through an equi-join.
 DEALT = 16
 SLACK = 1e-9
@@ -129,10 +132,9 @@ def _meet(pairs: DataFrame, rotation: np.ndarray, k: int) -> DataFrame:
     return pairs.select("q_ids", "q_ints", "q_bounds", "ids", "ints").mapInPandas(run, SCHEMA)
 
 
-def _bounded(queries: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
+def _bounded(queries: DataFrame, best: DataFrame, k: int) -> DataFrame:
     """Adds to the query blocks their queries' bounds, and the least length of a vector that can reach one of them."""
-    scores = seeds.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).filter(F.col("r") == k)
-    bounds = scores.select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("bound"))
+    bounds = best.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("bound"))
 
     def ids(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -160,7 +162,7 @@ def _bounded(queries: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
 def top_k(df: DataFrame, is_query: Column, k: int = 20, scale: int = 64, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """(query_id, rank, <key>, score): the k highest integer inner products of each query row with all other rows."""
     rows = df.select(F.col(key).cast("long").alias("id"), quantised(F.col(vector), scale).alias("v"), is_query.alias("is_query")).filter("id is not null and v is not null")
-    rows = stored(rows.groupBy("id").agg(F.min("v").alias("v"), F.max("is_query").alias("is_query")), "vectors")
+    rows = stored(rows, "vectors")
     widths = rows.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), F.desc("w")).limit(1).collect()
     width = widths[0]["w"] if widths else 1
     rows = rows.filter(F.size("v") == width)
@@ -171,16 +173,22 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, scale: int = 64, vector:
     queries = _packed(ordered.filter("is_query"), QUERIES).select(F.monotonically_increasing_id().alias("q"), F.col("ids").alias("q_ids"), F.col("ints").alias("q_ints"))
     queries = stored(queries, "queries")
 
-    longest = [r["block"] for r in blocks.select("block", "most").orderBy(F.desc("most"), "block").limit(SEEDS).collect()]
-    none = F.lit(None).cast("binary").alias("q_bounds")
-    seed_pairs = queries.withColumn("block", F.explode(F.lit(longest).cast("array<long>"))).join(blocks, "block").select("q_ids", "q_ints", none, "ids", "ints")
-    queries = stored(_bounded(queries, _meet(seed_pairs, rotation, k), k), "bounded")
-
-    # Which blocks meet: keys only. Then the query blocks are sent to the vector blocks, which move once.
-    dealt = blocks.select("block", "most", F.pmod(F.xxhash64("block"), F.lit(DEALT)).alias("deal"))
-    asked = queries.select("q", "least", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)).cast("array<long>")).alias("deal"))
-    pairs = asked.join(dealt, "deal").filter("most >= least").select("q", "block")
-    met = pairs.join(queries.drop("least"), "q").join(blocks.drop("most"), "block")
-    best = _meet(met, rotation, k)
-    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("id").alias(key), "score")
+    # One small row for each block, so one window over all of them; which blocks meet is found on keys only.
+    places = blocks.select("block", "most").withColumn("place", F.row_number().over(Window.orderBy(F.desc("most"), "block")))
+    places = stored(places.withColumn("deal", F.pmod(F.xxhash64("block"), F.lit(DEALT))), "places")
+    n_blocks, low, high = places.count(), 0, FIRST
+    best = None
+    asking = queries.select("q", "q_ids", "q_ints", F.lit(None).cast("binary").alias("q_bounds"), F.lit(float("-inf")).alias("least"))
+    while True:
+        dealt = places.filter((F.col("place") > low) & (F.col("place") <= high))
+        asked = asking.select("q", "least", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)).cast("array<long>")).alias("deal"))
+        pairs = asked.join(dealt, "deal").filter("most >= least").select("q", "block")
+        met = _meet(pairs.join(asking.drop("least"), "q").join(blocks.drop("most"), "block"), rotation, k)
+        met = met if best is None else met.unionByName(best.drop("rank"))
+        first = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+        merged = met.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k)
+        if high >= n_blocks:
+            return merged.select("query_id", "rank", F.col("id").alias(key), "score")
+        best = stored(merged, "best")
+        asking = stored(_bounded(queries, best, k), "bounded")
+        low, high = high, high * GROWTH

@@ -187,14 +187,15 @@ def test_top_k(llm_spark):
     rows += [(i + 300, rows[i % 7][1], "x") for i in range(60)]  # ties
     rows += [(400, None, "x"), (401, [], "x"), (402, [1.0] * 7, "x"), (403, [math.nan] + [1.0] * 7, "x"), (404, [None] + [1.0] * 7, "x"), (None, [1.0] * 8, "x"), (405, [math.inf] * 8, "x"), (406, [0.0] * 8, "x"), (7, rows[7][1], "x")]
     frame = llm_spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string")
-    vectors = {k: [math.floor(64 * x) for x in v] for k, v, _ in rows if k is not None and v and len(v) == 8 and all(x is not None and math.isfinite(x) for x in v)}
+    rows += [(11, [3.0] * 8, "x"), (40, [-2.0] * 8, "x")]  # repeated ids with other vectors, one of a query
+    frame = llm_spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string")
+    vectors = [(k, [math.floor(64 * x) for x in v]) for k, v, _ in rows if k is not None and v and len(v) == 8 and all(x is not None and math.isfinite(x) for x in v)]
     want = set()
-    for q, v in vectors.items():
-        if q % 20 == 0:
-            near = sorted((-sum(a * b for a, b in zip(v, w)), k) for k, w in vectors.items() if k != q)[:20]
-            want |= {(q, r + 1, k, -s) for r, (s, k) in enumerate(near)}
-    for size, head in ((4096, 16), (16, 2)):
-        topk.BLOCK, topk.QUERIES, topk.HEAD = size, size // 2, head
+    for q in {k for k, _ in vectors if k % 20 == 0}:
+        near = sorted((-sum(a * b for a, b in zip(v, w)), k) for own, v in vectors if own == q for k, w in vectors if k != q)[:20]
+        want |= {(q, r + 1, k, -s) for r, (s, k) in enumerate(near)}
+    for size, head in ((4096, 16), (16, 2), (4, 2)):  # one, some and many rounds
+        topk.BLOCK, topk.QUERIES, topk.HEAD = size, max(size // 2, 3), head
         got = {tuple(r) for r in topk.top_k(frame, frame["vec_id"] % 20 == 0).collect()}
         topk.BLOCK, topk.QUERIES, topk.HEAD = 4096, 256, 16
         assert got == want
