@@ -155,7 +155,7 @@ def _template_sql(name: str, source: str, key: str) -> str:
 {name} AS (
   SELECT {key}, place, tokens[place:place + {decontaminate.WINDOW - 1}] AS tokens, vals[place:place + {decontaminate.WINDOW - 1}] AS vals
   FROM (SELECT *, unnest(range(1, len(tokens) - {decontaminate.WINDOW - 2})) AS place FROM {name}_t WHERE len(tokens) >= {decontaminate.WINDOW})
-  UNION ALL SELECT {key}, -1, tokens, vals FROM {name}_t WHERE len(tokens) BETWEEN 1 AND {decontaminate.WINDOW - 1}
+  UNION ALL SELECT {key}, 1, tokens, vals FROM {name}_t WHERE len(tokens) BETWEEN 1 AND {decontaminate.WINDOW - 1}
 )"""
 
 
@@ -167,7 +167,14 @@ met AS (
   SELECT doc_id, place, item_id FROM d JOIN told ON d.tokens = told.tokens
   WHERE {_SLOTS("d.vals[i], told.vals[i]")} = {_SLOTS("d.vals[i]")} AND {_SLOTS("d.vals[i], told.vals[i]")} = {_SLOTS("told.vals[i]")}
 ),
-leaks AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, count(DISTINCT place) AS n_windows, min(item_id) AS item FROM met GROUP BY doc_id)
+said AS (SELECT DISTINCT item_id, vals FROM m WHERE len(list_filter(vals, lambda v: v <> '')) > 0),
+runs AS (
+  SELECT doc_id, place, vals FROM d
+  UNION ALL SELECT doc_id, place, vals[place:place + n - 1] FROM (
+    SELECT doc_id, vals, n, unnest(range(1, len(vals) - n + 2)) AS place FROM (SELECT doc_id, vals, unnest(range({decontaminate.INSIDE}, {decontaminate.WINDOW})) AS n FROM d_t) WHERE len(vals) >= n)
+),
+both_ways AS (SELECT * FROM met UNION ALL SELECT doc_id, place, item_id FROM runs JOIN said ON runs.vals = said.vals),
+leaks AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, count(DISTINCT place) AS n_windows, min(item_id) AS item FROM both_ways GROUP BY doc_id)
 SELECT doc_id, coalesce(n_items, 0) AS n_items, coalesce(n_windows, 0) AS n_windows, item, n_windows IS NOT NULL AS contaminated
 FROM documents LEFT JOIN leaks USING (doc_id)
 """
@@ -255,7 +262,8 @@ def _phrases_sql() -> str:
     return rf"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents
 ), w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS ws FROM pieces),
 total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),

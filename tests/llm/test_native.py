@@ -42,10 +42,22 @@ def test_leaks(docs_of, benchmark):
         None,
         "",
         "bought 12 apples and 12 pears for 40 dollars at the old market",  # equal where the item differs
+        "Short FIVE, word: item (here)!",
+        "short five word item there",
+        "it said so. Pears for 40 dollars at the old market, then",  # a window that begins a sentence here only
     ]
     got = leaks(docs_of, benchmark, texts)
-    assert [got[i][0] for i in range(len(texts))] == [True, True, True, True, False, True, False, False, False, False, True]
-    assert got[2] == (True, 1) and got[5] == (True, 2)
+    assert [got[i][0] for i in range(len(texts))] == [True, True, True, True, False, True, True, False, False, False, True, True, False, True]
+    assert got[2] == (True, 1) and got[5] == got[6] == got[11] == (True, 2)
+
+
+def test_windows_that_name_one_word_or_none(docs_of, llm_spark):
+    """Items without two neighbouring simple words are met all the same; the cheap test then asks for less."""
+    texts = ["a 1.5 of-x b 2.5 c-d 3.5 e-f 4.5 g", "1.5 of-x B 2.5 c-d 3.5 e-f 4.5", "1.5 2.5 3.5 4.5 5.5 6.5 7.5 8.5 9.5", "x 2.5 3.5 4.5 5.5 6.5 7.5 8.5 9.5 y", "nothing"]
+    for items, want in (([texts[1]], [True, True, False, False, False]), ([texts[2]], [False, False, True, True, False]), (["nothing"], [False] * 4 + [True])):
+        frame = llm_spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+        got = leaks(docs_of, frame, texts)
+        assert [got[i][0] for i in range(len(texts))] == want
 
 
 def test_slots_must_agree(docs_of, benchmark):
