@@ -61,6 +61,11 @@ TOKEN_SPLIT = r"\b(" + "|".join(
 ) + r")"
 
 
+def _quoted(text: str) -> str:
+    """A string literal of Spark SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def contraction_regex(pattern: str) -> str:
     """Regex for a contraction rule; an apostrophe matches the straight and the curly one, "=" marks a whole word."""
     if pattern.startswith("="):
@@ -90,33 +95,38 @@ def _string_map(entries: dict) -> Column:
 
 def decode_entities(c: Column) -> Column:
     """Named and numeric character references, by longest prefix where ";" lacks; unknown ones stay as they are."""
-    names, numbers = _string_map(ENTITIES), _string_map({str(k): v for k, v in RENUMBERED.items()})
-
-    def char(digits: Column, base: int) -> Column:
+    def char(digits: Column, base: int, numbers: Column) -> Column:
         significant = F.regexp_replace(digits, "^0+(?=.)", "")
         code = F.when(F.length(significant) <= 7, F.conv(significant, base, 10).cast("long")).otherwise(F.lit(0x110000))
         dropped = (code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | code.between(0x7F, 0x9F)
                    | code.between(0xFDD0, 0xFDEF) | ((code % 0x10000) >= 0xFFFE))
         kept = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return (F.when(F.try_element_at(numbers, code.cast("string")).isNotNull(), F.try_element_at(numbers, code.cast("string")))
-                .when(code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
-                .when(dropped, F.lit("")).otherwise(kept))
+        other = (F.when(code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
+                 .when(dropped, F.lit("")).otherwise(kept))
+        return F.coalesce(F.try_element_at(numbers, code.cast("string")), other)
+
+    def decoded(tables: Column) -> Column:
+        names, numbers = tables["names"], tables["numbers"]
+
+        def part(p: Column, i: Column) -> Column:
+            number, hexed = F.regexp_extract(p, NUMBER, 1), F.regexp_extract(p, HEX_NUMBER, 1)
+            full, bare = F.regexp_extract(p, NAMED, 1), F.regexp_extract(p, BARE_NAMED, 1)
 
-    def part(p: Column, i: Column) -> Column:
-        number, hexed = F.regexp_extract(p, NUMBER, 1), F.regexp_extract(p, HEX_NUMBER, 1)
-        full, bare = F.regexp_extract(p, NAMED, 1), F.regexp_extract(p, BARE_NAMED, 1)
+            def rest(pattern: str) -> Column:
+                return F.regexp_replace(p, pattern, "")
 
-        def rest(pattern: str) -> Column:
-            return F.regexp_replace(p, pattern, "")
+            return (F.when(i == 0, p)
+                    .when(hexed != "", F.concat(char(hexed, 16, numbers), rest(HEX_NUMBER)))
+                    .when(number != "", F.concat(char(number, 10, numbers), rest(NUMBER)))
+                    .when(F.try_element_at(names, full).isNotNull(), F.concat(F.try_element_at(names, full), rest(NAMED)))
+                    .when(bare != "", F.concat(F.try_element_at(names, bare), rest(BARE_NAMED)))
+                    .otherwise(F.concat(F.lit("&"), p)))
 
-        return (F.when(i == 0, p)
-                .when(hexed != "", F.concat(char(hexed, 16), rest(HEX_NUMBER)))
-                .when(number != "", F.concat(char(number, 10), rest(NUMBER)))
-                .when(F.try_element_at(names, full).isNotNull(), F.concat(F.try_element_at(names, full), rest(NAMED)))
-                .when(bare != "", F.concat(F.try_element_at(names, bare), rest(BARE_NAMED)))
-                .otherwise(F.concat(F.lit("&"), p)))
+        return F.array_join(F.transform(F.split(c, "&"), part), "")
 
-    return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, "&"), part), "")).otherwise(c)
+    # The tables stand in the plan once: a lambda over an array of one struct names them.
+    tables = F.array(F.struct(_string_map(ENTITIES).alias("names"), _string_map({str(k): v for k, v in RENUMBERED.items()}).alias("numbers")))
+    return F.when(c.contains("&"), F.get(F.transform(tables, decoded), F.lit(0))).otherwise(c)
 
 
 def strip_urls(c: Column) -> Column:
@@ -168,7 +178,7 @@ def expand_words(c: Column, rules: Iterable[tuple[int, str, str]] = R.CONTRACTIO
     pairs, singles, words = contraction_tables(rules)
 
     def table(entries: dict[str, str]) -> Column:
-        return F.create_map(*[F.lit(x) for kv in entries.items() for x in kv]) if entries else F.expr("map('', '')")
+        return F.expr("map(" + ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in (entries or {"": ""}).items()) + ")")
 
     pair_of, single_of, word_of = table(pairs), table(singles), table(words)
 
@@ -257,8 +267,8 @@ def add_clean_tokens(df: DataFrame, src: str, dst: str, stopwords: Iterable[str]
     df = _guarded(df, t, tuple(w for w, _, _ in R.TOKEN_SPLITS),
                   lambda c: F.regexp_replace(c, TOKEN_SPLIT, "$1 "))
     # Only letters and blanks are left, so what is no letter parts the tokens.
-    toks = F.split(F.col(t), "[^a-zA-Z]+")
-    return df.withColumn(dst, F.filter(toks, lambda x: ~x.isin("", *stopwords))).drop(t)
+    kept = ", ".join(_quoted(w) for w in ("", *stopwords))
+    return df.withColumn(dst, F.expr(f"filter(split({t}, '[^a-zA-Z]+'), x -> x not in ({kept}))")).drop(t)
 
 
 def join_tokens(tokens: Column) -> Column:

@@ -20,22 +20,19 @@ from pyspark.sql import functions as F
 from sentimart import resources as R
 
 
-def _undone(word, suffix: str, repl: str):
+def _undone(suffix: str, repl: str) -> str:
     """The form that the rule suffix -> repl reduces to the word; null where the word does not end so."""
-    stem = F.substring(word, F.lit(1), F.length(word) - F.lit(len(repl)))
-    form = F.concat(stem, F.lit(suffix))
-    return F.when(word.endswith(repl), form) if repl else form
+    form = f"concat(substring(word, 1, length(word) - {len(repl)}), '{suffix}')"
+    return f"if(endswith(word, '{repl}'), {form}, null)" if repl else form
 
 
 def noun_forms(dictionary: DataFrame, lemmas: DataFrame | None = None, rules=R.NOUN_SUFFIX_RULES) -> DataFrame:
     """(token, lemma) of every form whose lemma differs from it, from the resource tables alone."""
-    word = F.col("word")
-    made = [F.struct(word.alias("token"), F.lit(0).alias("ord"), word)]
-    made += [F.struct(_undone(word, suffix, repl).alias("token"), F.lit(i).alias("ord"), word)
-             for i, (suffix, repl) in enumerate(rules, start=1)]
+    made = ["named_struct('token', word, 'ord', 0, 'word', word)"]
+    made += [f"named_struct('token', {_undone(suffix, repl)}, 'ord', {i}, 'word', word)" for i, (suffix, repl) in enumerate(rules, start=1)]
     words = dictionary.select(F.col("token").alias("word")).filter("word <> ''")
-    best = (words.select(F.inline(F.array(*made))).filter(F.col("token").isNotNull())
-            .groupBy("token").agg(F.min(F.struct(F.length("word").alias("len"), "ord", "word")).alias("b")))
+    best = (words.selectExpr(f"inline(array({', '.join(made)}))").filter(F.col("token").isNotNull())
+            .groupBy("token").agg(F.expr("min(named_struct('len', length(word), 'ord', ord, 'word', word)) as b")))
     by_rule = best.select("token", F.col("b.word").alias("lemma")).filter("lemma <> token")
     if lemmas is None:
         return by_rule

@@ -22,7 +22,7 @@ also in the lexicon scores nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentimart import resources as R
@@ -37,14 +37,14 @@ WINDOWS = ((0, 1, 2), (0, 1), (-1, 0), (-2, -1, 0), (-2, -1), (-3, -2, -1), (-3,
 
 def role_words(lexicon: DataFrame, boosters: DataFrame, negators: DataFrame, phrases: DataFrame) -> DataFrame:
     """(word, valence, scalar, negates, in_phrase): one row for each word that bears on a score."""
-    none, no = F.lit(None).cast("double"), F.lit(False)
     named = R.seed_df(lexicon.sparkSession, [(w,) for w in NAMED_WORDS], "word string")
+    no_valence, no_scalar = "cast(null as double) as valence", "cast(null as double) as scalar"
     parts = [
-        lexicon.select(F.col("token").alias("word"), F.col("valence").cast("double"), none.alias("scalar"), no.alias("negates"), no.alias("in_phrase")),
-        boosters.select(F.col("token").alias("word"), none.alias("valence"), F.col("scalar").cast("double"), no.alias("negates"), no.alias("in_phrase")),
-        negators.select(F.col("token").alias("word"), none.alias("valence"), none.alias("scalar"), F.lit(True).alias("negates"), no.alias("in_phrase")),
-        phrases.select(F.explode(F.split("phrase", " ")).alias("word"), none.alias("valence"), none.alias("scalar"), no.alias("negates"), F.lit(True).alias("in_phrase")),
-        named.select("word", none.alias("valence"), none.alias("scalar"), no.alias("negates"), no.alias("in_phrase")),
+        lexicon.selectExpr("token as word", "cast(valence as double) as valence", no_scalar, "false as negates", "false as in_phrase"),
+        boosters.selectExpr("token as word", no_valence, "cast(scalar as double) as scalar", "false as negates", "false as in_phrase"),
+        negators.selectExpr("token as word", no_valence, no_scalar, "true as negates", "false as in_phrase"),
+        phrases.selectExpr("explode(split(phrase, ' ')) as word", no_valence, no_scalar, "false as negates", "true as in_phrase"),
+        named.selectExpr("word", no_valence, no_scalar, "false as negates", "false as in_phrase"),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -62,59 +62,47 @@ def word_table(forms: DataFrame, roles: DataFrame) -> DataFrame:
 
 def neighbourhoods(marks: DataFrame) -> DataFrame:
     """(raw_id, pos, valence, near): scored words with the marked words from pos - 3 to pos + 2 by their distance."""
-    own = F.when(F.col("valence").isNotNull(), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
-    ahead = F.when(F.col("in_phrase"), F.array(F.lit(-1), F.lit(-2))).otherwise(F.array().cast("array<int>"))
-    at = F.explode(F.concat(own, F.array(F.lit(1), F.lit(2), F.lit(3)), ahead)).alias("shift")
-    sent = marks.select("raw_id", "pos", at, "word", "valence", "scalar", "negates", "in_phrase")
-    sent = sent.select(
-        "raw_id", (F.col("pos") + F.col("shift")).alias("pos"), F.when(F.col("shift") == 0, F.col("valence")).alias("own"),
-        F.struct((-F.col("shift")).alias("off"), "word", F.col("valence").isNotNull().alias("known"), "scalar", "negates", "in_phrase").alias("mark"))
+    shifts = "concat(if(valence is not null, array(0), array()), array(1, 2, 3), if(in_phrase, array(-1, -2), array()))"
+    sent = marks.selectExpr("raw_id", "pos", f"explode({shifts}) as shift", "word", "valence", "scalar", "negates", "in_phrase")
+    sent = sent.selectExpr(
+        "raw_id", "pos + shift as pos", "if(shift = 0, valence, null) as own",
+        "named_struct('off', -shift, 'word', word, 'known', valence is not null, 'scalar', scalar, 'negates', negates, 'in_phrase', in_phrase) as mark")
     met = sent.groupBy("raw_id", "pos").agg(F.max("own").alias("valence"), F.collect_list("mark").alias("near"))
     return met.filter(F.col("valence").isNotNull())
 
 
-def _at(off: int) -> Column:
-    return F.get(F.filter("near", lambda m: m["off"] == off), F.lit(0))
+def _mark(off: int) -> str:
+    """Column of the marked word at this distance."""
+    return f"m{off + 3}"
+
+
+def _step(k: int) -> str:
+    """What the word k places before does: its scalar, whether it negates, and whether it counts at all."""
+    w = _mark(-k)
+    doubt = {1: "false", 2: f"{w}.word = 'without' and {_mark(-1)}.word = 'doubt'",
+             3: f"{w}.word = 'without' and ({_mark(-1)}.word = 'doubt' or coalesce({_mark(-2)}.word = 'doubt', false))"}[k]
+    return (f"named_struct('add', coalesce({w}.scalar, 0D) * {DAMPING[k - 1]}D, 'negated', coalesce({w}.negates, false) and not coalesce({doubt}, false), "
+            f"'open', pos >= {k} and not coalesce({w}.known, false))")
 
 
 def valence_sums(marks: DataFrame, phrases: DataFrame) -> DataFrame:
     """(raw_id, _vsum): the documents' sums over their scored words; documents without one are absent."""
-    hits = neighbourhoods(marks).select("raw_id", "pos", "valence", *[_at(k).alias(f"m{k + 3}") for k in range(-3, 3)])
-
-    def m(off: int, field: str) -> Column:
-        return F.col(f"m{off + 3}")[field]
-
-    def step(k: int) -> Column:
-        doubt = F.lit(False)
-        if k >= 2:
-            said = m(-1, "word") == "doubt"
-            if k == 3:
-                said = said | (m(-2, "word") == "doubt")
-            doubt = F.coalesce((m(-k, "word") == "without") & said, F.lit(False))
-        return F.struct(
-            (F.coalesce(m(-k, "scalar"), F.lit(0.0)) * DAMPING[k - 1]).alias("add"),
-            (F.coalesce(m(-k, "negates"), F.lit(False)) & ~doubt).alias("negated"),
-            ((F.col("pos") >= k) & ~F.coalesce(m(-k, "known"), F.lit(False))).alias("open"))
-
-    def apply(v: Column, s: Column) -> Column:
-        moved = v + F.when(v < 0, -s["add"]).otherwise(s["add"])
-        return F.when(s["open"], F.when(s["negated"], moved * R.NEGATION_SCALAR).otherwise(moved)).otherwise(v)
-
-    boosted = F.aggregate(F.array(*[step(k) for k in (1, 2, 3)]), F.col("valence"), apply)
-    least = F.coalesce((m(-1, "word") == "least") & ~m(-1, "known") & ~F.coalesce(m(-2, "word").isin("at", "very"), F.lit(False)), F.lit(False))
-    idioms = (F.col("pos") >= 3) & ~F.coalesce(m(-3, "known"), F.lit(False))
-    windows = F.array(*[
-        F.struct(F.lit(i).alias("rank"), F.when(
-            F.forall(F.array(*[F.coalesce(m(o, "in_phrase"), F.lit(False)) for o in w]), lambda x: x),
-            F.concat_ws(" ", *[m(o, "word") for o in w])).alias("phrase"))
-        for i, w in enumerate(WINDOWS)])
-    scored = hits.filter(m(0, "scalar").isNull()).select(
-        "raw_id", "pos", boosted.alias("v"), least.alias("least"),
-        F.explode_outer(F.filter(F.when(idioms, windows), lambda w: w["phrase"].isNotNull())).alias("w"))
+    hits = neighbourhoods(marks).selectExpr("raw_id", "pos", "valence", *[f"get(filter(near, m -> m.off = {k}), 0) as {_mark(k)}" for k in range(-3, 3)])
+    negation = f"{R.NEGATION_SCALAR}D"
+    moved = "v + if(v < 0, -s.add, s.add)"
+    boosted = (f"aggregate(array({', '.join(map(_step, (1, 2, 3)))}), valence, "
+               f"(v, s) -> if(s.open, if(s.negated, ({moved}) * {negation}, {moved}), v))")
+    one, two = _mark(-1), _mark(-2)
+    least = f"coalesce({one}.word = 'least' and not {one}.known and not coalesce({two}.word in ('at', 'very'), false), false)"
+    windows = ", ".join(
+        f"named_struct('rank', {i}, 'phrase', if({' and '.join(f'coalesce({_mark(o)}.in_phrase, false)' for o in w)}, "
+        f"concat_ws(' ', {', '.join(f'{_mark(o)}.word' for o in w)}), null))" for i, w in enumerate(WINDOWS))
+    idioms = f"pos >= 3 and not coalesce({_mark(-3)}.known, false)"
+    scored = hits.filter(f"{_mark(0)}.scalar is null").selectExpr(
+        "raw_id", "pos", f"{boosted} as v", f"{least} as least",
+        f"explode_outer(filter(if({idioms}, array({windows}), null), w -> w.phrase is not null)) as w")
     table = phrases.groupBy("phrase").agg(F.max(F.col("valence").cast("double")).alias("p"))
-    found = scored.select("raw_id", "pos", "v", "least", "w.rank", "w.phrase").join(table, "phrase", "left")
+    found = scored.selectExpr("raw_id", "pos", "v", "least", "w.rank", "w.phrase").join(table, "phrase", "left")
     per_word = found.groupBy("raw_id", "pos").agg(
-        F.max("v").alias("v"), F.max("least").alias("least"),
-        F.min_by("p", F.when(F.col("p").isNotNull(), F.col("rank"))).alias("p"))
-    v = F.coalesce("p", "v")
-    return per_word.groupBy("raw_id").agg(F.sum(F.when(F.col("least"), v * R.NEGATION_SCALAR).otherwise(v)).alias("_vsum"))
+        F.max("v").alias("v"), F.max("least").alias("least"), F.expr("min_by(p, if(p is not null, rank, null)) as p"))
+    return per_word.groupBy("raw_id").agg(F.expr(f"sum(coalesce(p, v) * if(least, {negation}, 1D)) as _vsum"))
