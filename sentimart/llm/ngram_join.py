@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentimart.llm.hotkeys import join_heavy
@@ -166,8 +166,7 @@ def _named_sets(df: DataFrame, width: int) -> tuple[DataFrame, int]:
 
 
 def _signed(df: DataFrame, width: int, percent: int, salt: int) -> DataFrame:
-    """(set_id, value) for each signature of each row's set. Both readers compute it from the texts anew, which costs
-    less than to store about half a number for every word."""
+    """(set_id, value) for each signature of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
@@ -331,9 +330,9 @@ def jaccard_classes(df: DataFrame, width: int = 3, percent: int = 90, text: str
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     sets, salt = _named_sets(rows, width)
     # Several sets of one signature meet through the smallest; repeated rows of one set are no meeting.
-    heads = _signed(rows, width, percent, salt)
-    hubs = heads.groupBy("value").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("other")).filter("hub <> other").select("value", "hub")
-    star = heads.join(hubs, "value").select(F.col("set_id").alias("a"), F.col("hub").alias("b")).filter("a <> b")
+    # The signatures are shuffled once; a value's smallest set is found where its rows lie sorted (and spill).
+    heads = _signed(rows, width, percent, salt).withColumn("hub", F.min("set_id").over(Window.partitionBy("value")))
+    star = heads.filter("set_id <> hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b"))
     groups = components(star)
 
     keys = sets.join(groups.select(F.col("node").alias("set_id"), "root"), "set_id").groupBy("set_id", "root").agg(F.min("key").alias("key"))
