@@ -247,3 +247,27 @@ def test_lemmas_of_a_million_tokens(spark):
         "word_count", F.md5("cleaned_text").alias("m")).first()
     import hashlib
     assert (row.word_count, row.m) == (1_000_000, hashlib.md5(" ".join(["box", "glass", "child", "qqq"] * 250_000).encode()).hexdigest())
+
+
+def test_character_classes_are_looked_up(spark):
+    """No class on the way of every character is a chain of ranges; what the classes match stays that of the SQL's patterns."""
+    import re
+    for pattern in (TF.DROPPED, TF.EMOJI_RUN, TF.BLANK_RUN):
+        assert len(re.findall(r"\\x\{?[0-9A-F]+\}?-\\x", pattern.split("&&")[0])) <= 1
+    every = "".join("a" + chr(i) for i in [*range(0xD800), *range(0xE000, 0xFFFF), *range(0x1F300, 0x1F700)])
+    df = spark.createDataFrame([(every,)], "t string")
+    for old, new, put in ((TF.NON_LETTER, TF.DROPPED, ""), (TF.EMOJI, TF.EMOJI_RUN, ""), (TF.BLANKS, TF.BLANK_RUN, "|")):
+        row = df.select(F.regexp_replace("t", old, put).alias("a"), F.regexp_replace("t", new, put).alias("b")).first()
+        assert row.a == row.b
+
+
+def test_contraction_rules_go_over_few_pieces(spark):
+    """The rules stand under a test for an apostrophe or a whole word, and give what they give over the whole text."""
+    rows = [("it's  gonna rain ,won’t it\tshe'd've gone ",), ("xgonna gonnax 'cause y'all's o'clock",), ("no rule applies",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    whole = F.col("t")
+    for _, pattern, replacement in sorted(R.CONTRACTIONS):
+        whole = F.regexp_replace(whole, TF.contraction_regex(pattern), replacement)
+    got = df.select(whole.alias("a"), TF.expand_contractions(F.col("t")).alias("b"))
+    assert [r.a for r in got.collect()] == [r.b for r in got.collect()]
+    assert "contains" in got.select("b")._jdf.queryExecution().optimizedPlan().toString().lower()
