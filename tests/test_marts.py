@@ -169,3 +169,17 @@ def test_one_scan_corpus_bigrams(spark):
         assert sorted(map(str, got.collect())) == want
     assert N.top_ngrams(processed, (3, 3)).exceptAll(N.top_unigrams(processed)).count() == 0
     assert N.top_ngrams(processed, (2, 2)).exceptAll(N.top_bigrams_corpus(processed)).count() == 0
+
+
+def test_counts_need_no_sorted_occurrences(spark):
+    """Occurrences are counted by hash, also with their first places and, over the corpus, from one shuffle of one scan."""
+    rows = [(5, "a", "x y x"), (1, "a", "y x"), (None, "a", "y x"), (-3, "b", "z"), (2, "b", "z z"), (2, "b", "z z")]
+    docs = spark.createDataFrame(rows, "raw_id long, app_name string, cleaned_text string").selectExpr("app_name", "raw_id", "split(cleaned_text, ' ') as toks")
+    counts = N.count_items(N.unigram_items(docs))
+    first = {(r.app_name, r.ngram): (r.ngram_count, *r["first"]) for r in counts.collect()}
+    assert first == {("a", "x"): (4, None, 1), ("a", "y"): (3, None, 0), ("b", "z"): (5, -3, 0)}
+    for df in (N.top_k(counts, 3), N.top_k(N.corpus_bigram_counts(docs), 3)):
+        df.collect()
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    pairs = {(r.app_name, r.ngram): r.ngram_count for r in N.corpus_bigram_counts(docs, 2).collect()}
+    assert pairs == {("a", "y x"): 3, ("a", "x y"): 2, ("a", "x x"): 1, ("b", "z z"): 4}
