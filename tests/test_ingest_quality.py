@@ -103,3 +103,19 @@ def test_insert_or_ignore_is_idempotent(spark):
     # Only rows without an id come back (they never conflict, as in the reference).
     assert again.filter(F.col("review_id").isNotNull()).count() == 0
     assert again.count() == t.filter(F.col("review_id").isNull()).count()
+
+
+def test_feed_is_not_dealt_by_app(spark):
+    """Watermarks (one row per app) go to the rows, also where AQE is off, as in a stream's batch."""
+    feed = spark.createDataFrame([(i, "a", "2024-01-0%d" % (i % 9 + 1)) for i in range(20)], "raw_id long, app_name string, d string").withColumn("review_ts", F.col("d").cast("timestamp_ntz"))
+    before = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = I.incremental_filter(feed, I.watermarks_from(feed.filter("raw_id < 5")))
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert fresh.count() == sum(i % 9 + 1 > 5 for i in range(20))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before[0])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[1])
