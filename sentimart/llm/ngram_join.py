@@ -7,12 +7,15 @@ every row's class of linked rows; rows with equal sets are one node from the sta
 2. Linked sets differ in at most `apart` shingles, which follows from their sizes. Dealt by hash into apart + 1 +
    spare parts, more than `spare` are equal, so a non-empty one is unless over `spare` are empty (then empty parts
    count too). Parts are made for the set's size class and the next larger one, as a partner's class is the
-   same or the next. A part's signature is its sum of hashes; some eight shingles must agree, so a passage that
-   unlike texts share hardly ever makes one.
-3. Sets with a common signature are connected through the smallest of them (a star, not all pairs); connected sets
-   form a candidate group.
-4. A group's whole sets are cut into blocks of about BLOCK_BYTES. Each block is a trie of its sets in the global order,
-   frequent shingles first, so near copies share long paths. A set is looked up before it is inserted: the walk
+   same or the next. A part's signature is its sum of hashes. As more than `spare` parts are equal, each set leaves out
+   its `spare` weakest ones, in an order that equal parts share: few shingles outside lines that many texts hold, then
+   few shingles at all. So a line that unlike texts share makes hardly any signature. The common shingles are counted
+   in a sample of at most SAMPLE rows; they bear on the number of candidates only, never on the links found.
+3. Sets with a common signature are connected through the smallest of them (a star, not all pairs), a set's further
+   hubs through its smallest one, so that a group has about one edge for each set; connected sets form a candidate group.
+4. A group is cut into blocks of about BLOCK_BYTES. Texts travel, not sets, which are larger and do not compress: one
+   text of each set goes to its block, where its set is made again. Each block is a trie of its sets in the global
+   order, frequent shingles first, so near copies share long paths. A set is looked up before it is inserted: the walk
    adds up the overlap along shared paths and leaves a subtree when overlap plus the shorter remaining length, by
    the subtree's least size, can't reach the need, or when all sets in it are in the looker's class already.
 5. Groups of several blocks go on: neighbouring blocks are joined first; if that leaves a group in several
@@ -21,7 +24,7 @@ every row's class of linked rows; rows with equal sets are one node from the sta
 
 Cases: null texts and texts without words have an empty set and link with nothing; fewer words than `width` make
 one shingle of all; repeated rows are one node and a row each in the result; null keys take part, and a class's id
-is its smallest non-null key; an empty table gives an empty table. Only the named columns are read, so further
+is its smallest non-null key (where keys repeat or are null, the rows are stored with a number of their own); an empty table gives an empty table. Only the named columns are read, so further
 columns may have any name. Sets are compared by hashes of their shingles: two texts are misjudged only if
 shingles of these two collide in 64 bits.
 """
@@ -42,8 +45,10 @@ from sentimart.llm.hotkeys import join_heavy
 from sentimart.llm.scratch import release, stored
 from sentimart.llm.textblocks import U64, TextHash, blocks, mix, per_row, runs, starts_of_rows, text_column
 
-#: Bytes of shingle hashes in one trie.
+#: Bytes of shingle hashes, or of their texts where these are longer, in one trie.
 BLOCK_BYTES = 8 << 20
+#: Rows in which common shingles are counted; how many of these rows make a shingle common; the most that are sent to tasks.
+SAMPLE, COMMON, MOST_COMMON = 20_000, 5, 200_000
 _WORD = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0x27D4EB2F165667C5), U64(0x85EBCA77C2B2AE63))
 
 
@@ -111,8 +116,16 @@ def size_bounds(percent: int, largest: int) -> np.ndarray:
     return np.array([*ends, max(ends[-1] + 1, (100 * (ends[-1] + 1)) // percent)], np.int64)
 
 
-def signatures(values: np.ndarray, begin: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set, signature) of the sets' parts in both their classes."""
+def _in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Whether each value is in the sorted table."""
+    if not len(table):
+        return np.zeros(len(values), bool)
+    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
+
+
+def signatures(values: np.ndarray, begin: np.ndarray, percent: int, common: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, np.ndarray]:
+    """(set, signature) of the sets' strong parts in both their classes; common: shingles, sorted, that make no part strong."""
+    telling = ~_in(values, common)
     n = np.diff(begin)
     ends = size_bounds(percent, int(n.max(initial=1)))
     own = np.searchsorted(ends, n)
@@ -136,23 +149,27 @@ def signatures(values: np.ndarray, begin: np.ndarray, percent: int) -> tuple[np.
         set_of = np.repeat(np.arange(len(n)), parts)
         number = np.arange(total) - at[set_of]
         sign = mix(sums * _WORD[0] + number.astype(np.uint64) * _WORD[1] + kind[set_of].astype(np.uint64) * _WORD[2] + counts.astype(np.uint64))
-        empty = np.bincount(set_of, counts == 0, len(n))
-        keep = (counts > 0) | (empty > spare)[set_of]
+        # The strongest part that two linked sets share is among the last apart + 1 of both.
+        order = np.lexsort((sign, counts, np.bincount(slot[telling], minlength=total), set_of))
+        keep = np.zeros(total, bool)
+        keep[order[number >= spare[set_of]]] = True
         out_set.append(set_of[keep])
         out_sign.append(sign[keep])
     return np.concatenate(out_set), np.concatenate(out_sign)
 
 
 def _sets(df: DataFrame, width: int, salt: int) -> DataFrame:
-    """(key, n, set_id, check) of each row; texts without words have no set."""
+    """(row, key, n, weight, set_id, check) of each row; weight: bytes of its set or text, the larger; texts without words have no set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             values, begin = shingle_sets(b.column("text"), width)
             ids = [_digest(values[a:z], salt) if z > a else (None, None) for a, z in zip(begin.tolist(), begin[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(np.diff(begin), pa.int64()), pa.array([x for x, _ in ids], pa.int64()), pa.array([y for _, y in ids], pa.int64())], names=["key", "n", "set_id", "check"])
+            n = np.diff(begin)
+            weight = np.maximum(8 * n, np.diff(text_column(b.column("text"))[1]))
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("key"), pa.array(n, pa.int64()), pa.array(weight, pa.int64()), pa.array([x for x, _ in ids], pa.int64()), pa.array([y for _, y in ids], pa.int64())], names=["row", "key", "n", "weight", "set_id", "check"])
 
-    return df.mapInArrow(run, "key long, n long, set_id long, check long")
+    return df.mapInArrow(run, "row long, key long, n long, weight long, set_id long, check long")
 
 
 def _named_sets(df: DataFrame, width: int) -> tuple[DataFrame, int]:
@@ -165,14 +182,28 @@ def _named_sets(df: DataFrame, width: int) -> tuple[DataFrame, int]:
     raise ValueError("no salt names all sets apart")
 
 
-def _signed(df: DataFrame, width: int, percent: int, salt: int) -> DataFrame:
+def common_shingles(df: DataFrame, width: int, total: int) -> np.ndarray:
+    """The shingles, sorted, that are in COMMON texts or more of a sample of the total rows; the MOST_COMMON most frequent ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches, "text"):
+            yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(b.column("text"), width)[0].view(np.int64), pa.int64())], names=["shingle"])
+
+    taken = df.select("text").sample(min(1.0, SAMPLE / max(total, 1)), seed=1).mapInArrow(run, "shingle long")
+    counted = stored(taken.groupBy("shingle").count().filter(F.col("count") >= COMMON), "common")
+    most = counted.orderBy(F.desc("count"), "shingle").limit(MOST_COMMON).select("shingle").toPandas()["shingle"]
+    release(counted)
+    return np.sort(most.to_numpy(np.int64).view(np.uint64))
+
+
+def _signed(df: DataFrame, width: int, percent: int, salt: int, common: np.ndarray = np.zeros(0, np.uint64)) -> DataFrame:
     """(set_id, value) for each signature of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             values, begin = shingle_sets(b.column("text"), width)
             ids = np.array([_set_id(values[a:z], salt) if z > a else 0 for a, z in zip(begin.tolist(), begin[1:].tolist())], np.int64)
-            owner, sign = signatures(values, begin, percent)
+            owner, sign = signatures(values, begin, percent, common)
             yield pa.RecordBatch.from_arrays([pa.array(ids[owner], pa.int64()), pa.array(sign.view(np.int64), pa.int64())], names=["set_id", "value"])
 
     return df.mapInArrow(run, "set_id long, value long")
@@ -310,38 +341,47 @@ def _edges(ids: np.ndarray, classes: list[int]) -> pd.DataFrame:
     return pd.DataFrame({"a": ids, "b": ids[np.asarray(classes, np.int64)]})
 
 
-def _whole_sets(df: DataFrame, wanted: DataFrame, width: int, salt: int) -> DataFrame:
-    """(set_id, members binary) of the sets named in wanted (key, set_id), one row each."""
+def _sets_of(texts: pd.Series, width: int) -> list[np.ndarray]:
+    """The shingle sets of texts given as bytes."""
+    out = []
+    for b in blocks([pa.RecordBatch.from_arrays([pa.array(texts.tolist(), pa.large_binary())], names=["text"])], "text"):
+        values, begin = shingle_sets(b.column("text"), width)
+        out += [values[a:z] for a, z in zip(begin.tolist(), begin[1:].tolist())]
+    return out
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches, "text"):
-            values, begin = shingle_sets(b.column("text"), width)
-            own = [values[a:z] for a, z in zip(begin.tolist(), begin[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array([_set_id(x, salt) if len(x) else None for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], names=["set_id", "members"])
+def star_edges(signed: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the sets of each value of signed (set_id, value) with each other; about one for each set.
 
-    texts = df.join(wanted.select("key").distinct(), "key", "left_semi")
-    made = texts.mapInArrow(run, "set_id long, members binary").join(wanted.select("set_id").distinct(), "set_id", "left_semi")
-    return made.dropDuplicates(["set_id"])
+    Several sets of one value meet through the smallest, their hub; repeated rows of one set are no meeting. Near copies
+    have many values and several hubs: a set goes on with the smallest of these, and its others are tied to that one.
+    """
+    # The signatures are shuffled once; a value's smallest set is found where its rows lie sorted (and spill).
+    heads = signed.withColumn("hub", F.min("set_id").over(Window.partitionBy("value")))
+    star = heads.filter("set_id <> hub").select("set_id", "hub").distinct()
+    lowest = star.withColumn("b", F.min("hub").over(Window.partitionBy("set_id")))
+    # An edge to the lowest hub itself stands for the set's own.
+    return lowest.select(F.when(F.col("hub") == F.col("b"), F.col("set_id")).otherwise(F.col("hub")).alias("a"), "b").distinct()
 
 
 def jaccard_classes(df: DataFrame, width: int = 3, percent: int = 90, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id, set_id) for each row; component_id: the smallest key reachable by links."""
     kind = df.schema[key].dataType
-    rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    rows = df.select(F.col(key).cast("long").alias("row"), F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     sets, salt = _named_sets(rows, width)
-    # Several sets of one signature meet through the smallest; repeated rows of one set are no meeting.
-    # The signatures are shuffled once; a value's smallest set is found where its rows lie sorted (and spill).
-    heads = _signed(rows, width, percent, salt).withColumn("hub", F.min("set_id").over(Window.partitionBy("value")))
-    star = heads.filter("set_id <> hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b"))
-    groups = components(star)
-
-    keys = sets.join(groups.select(F.col("node").alias("set_id"), "root"), "set_id").groupBy("set_id", "root").agg(F.min("key").alias("key"))
-    null_keys = keys.filter("key is null").limit(1).count()
-    source = rows if not null_keys else rows.withColumn("key", F.coalesce("key", F.lit(-(1 << 63)).cast("long")))
-    wanted = keys.withColumn("key", F.coalesce("key", F.lit(-(1 << 63)).cast("long"))) if null_keys else keys
-    whole = _whole_sets(source, wanted, width, salt)
-    members = whole.join(keys.select("set_id", "root"), "set_id")
-    classes = _classes(stored(_in_blocks(members), "members"), percent)
+    if sets.groupBy("key").count().filter("key is null or count > 1").limit(1).count():
+        # Keys that do not tell rows apart: the rows get numbers, which have to be stored to stay the same.
+        release(sets)
+        rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+        sets, salt = _named_sets(rows, width)
+    common = common_shingles(rows, width, sets.count())
+    groups = components(star_edges(_signed(rows, width, percent, salt, common)))
+
+    # One row of each set in a group stands for it.
+    one = sets.join(groups.select(F.col("node").alias("set_id"), "root"), "set_id").groupBy("set_id", "root").agg(F.min(F.struct("row", "weight")).alias("m"))
+    placed = stored(_in_blocks(one.select("set_id", "root", "m.row", "m.weight")), "placed")
+    texts = rows.select("row", F.col("text").cast("binary").alias("text")).join(placed, "row").select("set_id", "root", "n_blocks", "block", "text")
+    classes = _classes(stored(texts, "texts"), width, percent)
 
     # Classes' ids are found among sets, not rows; sets and classes with many rows do not gather in one task.
     per_set = sets.filter("set_id is not null").groupBy("set_id").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n_rows"))
@@ -366,19 +406,20 @@ def keep_one(df: DataFrame, width: int, percent: int, text: str = "text", key: s
     return numbered.join(gone, "__row", "left_anti").drop("__row")
 
 
-def _in_blocks(members: DataFrame) -> DataFrame:
-    """Adds to the sets the block of their group, of about BLOCK_BYTES each, and the group's number of blocks."""
-    counts = members.groupBy("root").agg(F.sum(F.length("members")).alias("c"))
+def _in_blocks(sets: DataFrame) -> DataFrame:
+    """(row, set_id, root, n_blocks, block) of sets (set_id, root, row, weight): blocks of a group weigh about BLOCK_BYTES each."""
+    counts = sets.groupBy("root").agg(F.sum("weight").alias("c"))
     blocks_of = F.ceil(F.col("c") / BLOCK_BYTES).cast("int")
-    return members.join(counts.select("root", blocks_of.alias("n_blocks")), "root").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("n_blocks")).cast("int"))
+    numbered = sets.join(counts.select("root", blocks_of.alias("n_blocks")), "root")
+    return numbered.select("row", "set_id", "root", "n_blocks", F.pmod(F.xxhash64("set_id"), F.col("n_blocks")).cast("int").alias("block"))
 
 
-def _classes(sets: DataFrame, percent: int) -> DataFrame:
-    """(set_id, class) of the sets that are linked with others."""
+def _classes(sets: DataFrame, width: int, percent: int) -> DataFrame:
+    """(set_id, class) of the sets (set_id, root, n_blocks, block, text) that are linked with others."""
 
     def inside(group: pd.DataFrame) -> pd.DataFrame:
         ids = group["set_id"].to_numpy(np.int64)
-        return _edges(ids, link_sets([np.frombuffer(x, np.uint64) for x in group["members"]], list(range(len(ids))), percent))
+        return _edges(ids, link_sets(_sets_of(group["text"], width), list(range(len(ids))), percent))
 
     links = stored(sets.groupBy("root", "block").applyInPandas(inside, "a long, b long").filter("a <> b"), "inside")
     large = sets.filter("n_blocks > 1")
@@ -388,7 +429,7 @@ def _classes(sets: DataFrame, percent: int) -> DataFrame:
     def across(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("side", kind="stable")
         ids = group["set_id"].to_numpy(np.int64)
-        return _edges(ids, link_sets([np.frombuffer(x, np.uint64) for x in group["members"]], group["class"].tolist(), percent, int((group["side"] == 0).sum())))
+        return _edges(ids, link_sets(_sets_of(group["text"], width), group["class"].tolist(), percent, int((group["side"] == 0).sum())))
 
     def meet(pairs: DataFrame, links: DataFrame) -> DataFrame:
         """Links found between the pairs of blocks (root, i, j), given the classes that links make."""

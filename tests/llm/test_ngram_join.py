@@ -75,3 +75,92 @@ def test_keep_one(docs_of):
     assert kept.columns == docs_of(rows).columns
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(2, "A b c d e f"), (5, ""), (5, None), (9, "quite another text than those")], key=str)
     assert ngram_join.jaccard_classes(docs_of([])).count() == 0
+
+
+def near_copies(rng, n, words=120):
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        own = list(base)
+        for _ in range(2):
+            own[rng.randrange(words)] = f"x{rng.randrange(900)}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_a_group_of_near_copies_has_about_one_edge_a_set(docs_of):
+    rng = random.Random(5)
+    texts = [*near_copies(rng, 150), *near_copies(rng, 150)]
+    rows = docs_of(list(enumerate(texts))).selectExpr("doc_id as row", "doc_id as key", "text")
+    signed = ngram_join._signed(rows, 3, 90, 0)
+    edges = [tuple(r) for r in ngram_join.star_edges(signed).collect()]
+    assert len(edges) < 1.5 * len(texts)
+    by_value = {}
+    for r in signed.distinct().collect():
+        by_value.setdefault(r.value, []).append(r.set_id)
+    every = [(s[0], x) for s in by_value.values() for x in s[1:]]
+    ids = sorted({x for e in every for x in e})
+
+    def parts(pairs):
+        root = {x: x for x in ids}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+        return [find(x) for x in ids]
+
+    assert parts(edges) == parts(every)
+
+
+def test_one_text_of_each_set_travels(docs_of, monkeypatch):
+    """Sets are larger than their texts and do not compress, so none is stored; repeated keys and rows bring no further text."""
+    tables, stored = {}, ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name: tables.setdefault(name, stored(df, name)) if name == "texts" else stored(df, name))
+    texts = near_copies(random.Random(6), 20)
+    rows = [*enumerate(texts), *enumerate(texts), (None, texts[0]), (3, texts[4]), (99, "all alone")]
+    got = ngram_join.jaccard_classes(docs_of(rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 3, 90)
+    assert sorted(bytes(r.text).decode() for r in tables["texts"].collect()) == sorted(set(texts))
+
+
+def test_stored_tables_leave_no_setting(llm_spark):
+    from sentimart.llm import scratch
+
+    before = llm_spark.conf.get(scratch.CLEAN_UP, "false")
+    table = scratch.stored(llm_spark.range(100).repartition(4, "id"), "plain")
+    assert table.count() == 100 and llm_spark.conf.get(scratch.CLEAN_UP, "false") == before
+
+
+def test_strong_parts_of_linked_sets_meet():
+    """Whatever shingles count as common, sets that link share a signature."""
+    rng = random.Random(8)
+    for _ in range(300):
+        base = rng.sample(range(1, 5000), rng.randint(1, 120))
+        percent = rng.choice([60, 80, 90])
+        own = [set(base), set(base)]
+        while 100 * len(own[0] & own[1]) >= percent * len(own[0] | own[1]):
+            last = [set(own[0]), set(own[1])]
+            if rng.random() < 0.5 and len(own[1]) > 1:
+                own[1].discard(rng.choice(sorted(own[1])))
+            else:
+                own[rng.randrange(2)].add(rng.randrange(5000, 1 << 40))
+        arrays = [ngram_join.mix(np.array(sorted(x), np.uint64)) for x in last]
+        common = np.sort(np.array(rng.sample(arrays[0].tolist(), rng.randint(0, len(arrays[0]))), np.uint64))
+        owner, sign = ngram_join.signatures(np.concatenate(arrays), np.cumsum([0, *map(len, arrays)]), percent, common)
+        assert set(sign[owner == 0].tolist()) & set(sign[owner == 1].tolist())
+
+
+def test_a_common_line_connects_few_unlike_texts(docs_of):
+    rng = random.Random(9)
+    line = [f"line{i}" for i in range(40)]
+    texts = [" ".join([*(f"t{i}w{j}" for j in range(90 + rng.randrange(4))), *line]) for i in range(400)]
+    rows = docs_of(list(enumerate(texts))).selectExpr("doc_id as row", "doc_id as key", "text")
+    common = ngram_join.common_shingles(rows, 5, len(texts))
+    assert len(common) == 36
+    plain, tied = (ngram_join.star_edges(ngram_join._signed(rows, 5, 80, 0, c)).count() for c in (common[:0], common))
+    assert tied < plain / 2
