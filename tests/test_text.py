@@ -271,3 +271,20 @@ def test_contraction_rules_go_over_few_pieces(spark):
     got = df.select(whole.alias("a"), TF.expand_contractions(F.col("t")).alias("b"))
     assert [r.a for r in got.collect()] == [r.b for r in got.collect()]
     assert "contains" in got.select("b")._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_tokens_are_cut_at_every_blank(spark):
+    """Every blank of Python's ``str.split``, alone, in runs, at the edges and mixed; U+3000 goes with the emoji."""
+    blanks = [c for c in map(chr, range(0x3000)) if c.isspace()]
+    texts = [f"{c}aa{c}{c}bb {c}\n{c}cc{c}" for c in blanks] + ["".join(f"w{c}" for c in blanks), "aa\n\nbb  cc\n", "\n", " ", "aa　bb"]
+    df = _frame(spark, texts)
+    got = {r.raw_id: r.t for r in TF.add_clean_tokens(df, "review_text", "t", ()).collect()}
+    assert [got[i] for i in range(len(texts))] == [t.replace("　", "").split() for t in texts]
+
+
+def test_ampersands_that_begin_no_reference(spark):
+    texts = ["a&&&amp;b", "&", "&&", "x& y&.&amp", "&é&#;&#x;&;", "&AMP;&Lt;&#65;&#x42;&copyx", "tion&&&\nof&%"]
+    want = ["a&&&b", "&", "&&", "x& y&.&", "&é&#;&#x;&;", "&<AB©x", "tion&&&\nof&%"]
+    df = _frame(spark, texts)
+    got = {r.raw_id: r.t for r in df.select("raw_id", TF.strip_html(TF.lower_text(F.col("review_text"))).alias("t")).collect()}
+    assert [got[i] for i in range(len(texts))] == want
