@@ -273,6 +273,20 @@ def test_contraction_rules_go_over_few_pieces(spark):
     assert "contains" in got.select("b")._jdf.queryExecution().optimizedPlan().toString().lower()
 
 
+def test_word_counts_of_odd_documents(spark):
+    """Documents without a word, without a scored word, with scored words only, and two rows of one id."""
+    texts = [None, "", "the", "qqq box", "great", "very great least good", "bad ass qqq"]
+    rows = list(enumerate(texts)) + [(9, "great qqq"), (9, "box"), (None, "good box")]
+    df = spark.createDataFrame(rows, "raw_id long, review_text string")
+    for mode in ("vader", "lexicon"):
+        out = P.clean_text_only(df, P.TextResources(mode=mode)).collect()
+        assert sorted((-1 if r.raw_id is None else r.raw_id, r.word_count) for r in out) == [
+            (-1, 0), (0, 0), (1, 0), (2, 0), (3, 2), (4, 1), (5, 3), (6, 3), (9, 3), (9, 3)]
+        for r in out:
+            assert (r.sentiment_score == 0.0) == (r.raw_id in (None, 0, 1, 2, 3))
+            assert r.raw_id == 9 or r.word_count == len(r.cleaned_text.split())
+
+
 def test_tokens_are_cut_at_every_blank(spark):
     """Every blank of Python's ``str.split``, alone, in runs, at the edges and mixed; U+3000 goes with the emoji."""
     blanks = [c for c in map(chr, range(0x3000)) if c.isspace()]
