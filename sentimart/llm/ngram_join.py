@@ -13,6 +13,9 @@ every row's class of linked rows; rows with equal sets are one node from the sta
    in a sample of at most SAMPLE rows; they bear on the number of candidates only, never on the links found.
 3. Sets with a common signature are connected through the smallest of them (a star, not all pairs), a set's further
    hubs through its smallest one, so that a group has about one edge for each set; connected sets form a candidate group.
+   A passage that unlike texts share may make a whole part, and such ties would connect ever more of a growing corpus. So
+   sets carry parities of their shingles in 2 to 4 bits for each: differing parities can't outnumber the differing shingles,
+   which proves most ties wrong. Where a star's set is proved unlike the hub, the star's sets are compared with each other.
 4. A group is cut into blocks of about BLOCK_BYTES. Texts travel, not sets, which are larger and do not compress: one
    text of each set goes to its block, where its set is made again. Each block is a trie of its sets in the global
    order, frequent shingles first, so near copies share long paths. A set is looked up before it is inserted: the walk
@@ -49,6 +52,10 @@ from sentimart.llm.textblocks import U64, TextHash, blocks, mix, per_row, runs,
 BLOCK_BYTES = 8 << 20
 #: Rows in which common shingles are counted; how many of these rows make a shingle common; the most that are sent to tasks.
 SAMPLE, COMMON, MOST_COMMON = 20_000, 5, 200_000
+#: Sets of one signature that are compared by parities; comparisons of one star. Beyond both, sets stay connected unproved.
+STAR, COMPARED = 20_000, 4_000_000
+#: How many times the shingles in which linked sets may differ must differ; below, near copies stay one star, for the tries to tell.
+SURE = 2
 _WORD = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0x27D4EB2F165667C5), U64(0x85EBCA77C2B2AE63))
 
 
@@ -158,8 +165,61 @@ def signatures(values: np.ndarray, begin: np.ndarray, percent: int, common: np.n
     return np.concatenate(out_set), np.concatenate(out_sign)
 
 
+def parities(values: np.ndarray, begin: np.ndarray) -> list[bytes]:
+    """Each set's parities: how many shingles, odd or even, fall on each of 2 to 4 bits a shingle (a power of two, 64 at least).
+
+    Halves laid over each other (xor) are the parities of half as many bits.
+    """
+    n = np.diff(begin)
+    bits = np.left_shift(np.int64(1), np.ceil(np.log2(np.maximum(2 * n, 64))).astype(np.int64))
+    at = np.cumsum(bits) - bits
+    owner = np.repeat(np.arange(len(n)), n)
+    slot = at[owner] + (mix(values ^ U64(0x27D4EB2F165667C5)) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(slot, minlength=int(bits.sum())) & 1).astype(np.uint8)).tobytes()
+    return [packed[a // 8 : (a + b) // 8] for a, b in zip(at.tolist(), bits.tolist())]
+
+
+def _folded(parity: bytes, size: int) -> np.ndarray:
+    out = np.frombuffer(parity, np.uint8)
+    while len(out) > size:
+        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
+    return out
+
+
+def _unlike(differing, total, percent: int):
+    """Whether sets of total shingles in all, of which so many differ at least, are far from linked."""
+    return differing * (100 + percent) > SURE * total * (100 - percent)
+
+
+def unlike_pair(a: bytes, n: int, b: bytes, m: int, percent: int) -> bool:
+    """Whether the parities of sets of n and m shingles prove that they are not linked."""
+    size = min(len(a), len(b))
+    return bool(_unlike(int(np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum()), n + m, percent))
+
+
+def star_groups(sets: list[bytes], sizes: np.ndarray, percent: int, most: int | None = None) -> np.ndarray:
+    """A group's number for each set: sets in different groups are proved unlike; from `most` comparisons on all that are left are one."""
+    size = min(map(len, sets))
+    bits = np.stack([_folded(s, size) for s in sets]).view(np.uint64)
+    group, left, done, most = np.full(len(sets), -1), np.arange(len(sets)), 0, COMPARED if most is None else most
+    while len(left):
+        number, waiting, left = left[0], [left[0]], left[1:]
+        group[number] = number
+        while waiting and len(left):
+            if done >= most:
+                group[left] = number
+                return group
+            i = waiting.pop()
+            done += len(left)
+            near = ~_unlike(np.bitwise_count(bits[left] ^ bits[i]).sum(1, dtype=np.int64), sizes[left] + sizes[i], percent)
+            group[left[near]] = number
+            waiting += left[near].tolist()
+            left = left[~near]
+    return group
+
+
 def _sets(df: DataFrame, width: int, salt: int) -> DataFrame:
-    """(row, key, n, weight, set_id, check) of each row; weight: bytes of its set or text, the larger; texts without words have no set."""
+    """(row, key, n, weight, set_id, check, parity) of each row; weight: bytes of its set or text, the larger; texts without words have no set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
@@ -167,9 +227,9 @@ def _sets(df: DataFrame, width: int, salt: int) -> DataFrame:
             ids = [_digest(values[a:z], salt) if z > a else (None, None) for a, z in zip(begin.tolist(), begin[1:].tolist())]
             n = np.diff(begin)
             weight = np.maximum(8 * n, np.diff(text_column(b.column("text"))[1]))
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("key"), pa.array(n, pa.int64()), pa.array(weight, pa.int64()), pa.array([x for x, _ in ids], pa.int64()), pa.array([y for _, y in ids], pa.int64())], names=["row", "key", "n", "weight", "set_id", "check"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("key"), pa.array(n, pa.int64()), pa.array(weight, pa.int64()), pa.array([x for x, _ in ids], pa.int64()), pa.array([y for _, y in ids], pa.int64()), pa.array([p if k else None for p, k in zip(parities(values, begin), n)], pa.binary())], names=["row", "key", "n", "weight", "set_id", "check", "parity"])
 
-    return df.mapInArrow(run, "row long, key long, n long, weight long, set_id long, check long")
+    return df.mapInArrow(run, "row long, key long, n long, weight long, set_id long, check long, parity binary")
 
 
 def _named_sets(df: DataFrame, width: int) -> tuple[DataFrame, int]:
@@ -356,14 +416,68 @@ def star_edges(signed: DataFrame) -> DataFrame:
     Several sets of one value meet through the smallest, their hub; repeated rows of one set are no meeting. Near copies
     have many values and several hubs: a set goes on with the smallest of these, and its others are tied to that one.
     """
-    # The signatures are shuffled once; a value's smallest set is found where its rows lie sorted (and spill).
     heads = signed.withColumn("hub", F.min("set_id").over(Window.partitionBy("value")))
-    star = heads.filter("set_id <> hub").select("set_id", "hub").distinct()
+    return _tied(heads.filter("set_id <> hub").select("set_id", "hub").distinct())
+
+
+def _tied(star: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect what the distinct pairs (set_id, hub) connect, about one for each set."""
     lowest = star.withColumn("b", F.min("hub").over(Window.partitionBy("set_id")))
     # An edge to the lowest hub itself stands for the set's own.
     return lowest.select(F.when(F.col("hub") == F.col("b"), F.col("set_id")).otherwise(F.col("hub")).alias("a"), "b").distinct()
 
 
+def likely_edges(signed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges as star_edges makes them, less those between sets (set_id, n, parity) that their parities prove unlike.
+
+    1. The distinct lists of the sets of one signature (STAR sets at most; longer ones are stars as they are).
+    2. Each pair of a set and its list's smallest is kept or proved unlike.
+    3. Lists that the kept pairs do not connect, of three sets or more, are parted by comparing their sets with each other.
+    """
+    # The signatures are shuffled once; a value's sets are found where its rows lie sorted (and spill).
+    own = Window.partitionBy("value")
+    met = signed.select("value", "set_id", F.min("set_id").over(own).alias("hub"), F.max("set_id").over(own).alias("last"), F.count(F.lit(1)).over(own).alias("n")).filter("hub <> last")
+    alone = F.when(F.col("n") > STAR, F.col("set_id"))
+    listed = met.groupBy("value", alone.alias("alone")).agg(F.min("hub").alias("hub"), F.sort_array(F.collect_set("set_id")).alias("ids"))
+    ids = F.when(F.col("alone").isNull(), F.col("ids")).otherwise(F.array("hub", "alone"))
+    lists = stored(listed.select(ids.alias("ids"), F.col("alone").isNotNull().alias("long")).filter("ids[0] <> ids[size(ids) - 1]").distinct(), "lists")
+    pairs = lists.filter("not long").select(F.col("ids")[0].alias("hub"), F.explode(F.expr("slice(ids, 2, size(ids) - 1)")).alias("set_id")).distinct()
+    pairs = stored(pairs, "pairs")
+    named = pairs.select("set_id").union(pairs.select("hub")).distinct()
+    known = stored(sets.select("set_id", "n", "parity").join(named, "set_id", "left_semi").groupBy("set_id").agg(F.min(F.struct("n", "parity")).alias("own")), "parities")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            far = [unlike_pair(x["parity"], x["n"], y["parity"], y["n"], percent) for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("set_id"), b.column("hub"), pa.array(far, pa.bool_())], names=["set_id", "hub", "far"])
+
+    both = pairs.join(known.select("set_id", F.col("own").alias("x")), "set_id").join(known.select(F.col("set_id").alias("hub"), F.col("own").alias("y")), "hub")
+    judged = stored(both.select("set_id", "hub", "x", "y").mapInArrow(judge, "set_id long, hub long, far boolean"), "judged")
+    long = lists.filter("long").select(F.col("ids")[1].alias("set_id"), F.col("ids")[0].alias("hub"))
+    edges = stored(_tied(judged.filter("not far").select("set_id", "hub").union(long).distinct()), "near")
+    if judged.filter("far").limit(1).count():
+        roots = components(edges)
+        members = lists.filter("not long and size(ids) > 2").select(F.xxhash64("ids").alias("list"), F.explode("ids").alias("set_id"))
+        rooted = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+        apart = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n_sets")).filter("low <> high")
+        apart = stored(apart.select("list", "n_sets"), "apart")
+        buckets = max(8, (apart.agg(F.sum("n_sets").alias("n")).first()["n"] or 0) // STAR)
+
+        def part(group: pd.DataFrame) -> pd.DataFrame:
+            group = group.drop_duplicates(["list", "set_id"]).sort_values(["list", "set_id"])
+            cuts = np.flatnonzero(np.diff(group["list"].to_numpy(), prepend=group["list"].iloc[0])).tolist()
+            ids, sizes, bits = group["set_id"].to_numpy(np.int64), group["n"].to_numpy(np.int64), group["parity"].tolist()
+            found = [a + star_groups(bits[a:z], sizes[a:z], percent) for a, z in zip([0, *cuts], [*cuts, len(ids)])]
+            return _edges(ids, np.concatenate(found).tolist()).drop_duplicates()
+
+        compared = members.join(apart.select("list"), "list", "left_semi").join(known, "set_id").select("list", "set_id", "own.n", "own.parity")
+        found = compared.groupBy(F.pmod("list", F.lit(buckets)).alias("bucket")).applyInPandas(part, "a long, b long").filter("a <> b")
+        edges = stored(edges.union(found.distinct()), "likely")
+        release(apart)
+    release(lists, pairs, judged, known)
+    return edges
+
+
 def jaccard_classes(df: DataFrame, width: int = 3, percent: int = 90, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id, set_id) for each row; component_id: the smallest key reachable by links."""
     kind = df.schema[key].dataType
@@ -375,7 +489,7 @@ def jaccard_classes(df: DataFrame, width: int = 3, percent: int = 90, text: str
         rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
         sets, salt = _named_sets(rows, width)
     common = common_shingles(rows, width, sets.count())
-    groups = components(star_edges(_signed(rows, width, percent, salt, common)))
+    groups = components(likely_edges(_signed(rows, width, percent, salt, common), sets, percent))
 
     # One row of each set in a group stands for it.
     one = sets.join(groups.select(F.col("node").alias("set_id"), "root"), "set_id").groupBy("set_id", "root").agg(F.min(F.struct("row", "weight")).alias("m"))

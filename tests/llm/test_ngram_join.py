@@ -164,3 +164,45 @@ def test_a_common_line_connects_few_unlike_texts(docs_of):
     assert len(common) == 36
     plain, tied = (ngram_join.star_edges(ngram_join._signed(rows, 5, 80, 0, c)).count() for c in (common[:0], common))
     assert tied < plain / 2
+
+
+def test_parities_part_only_sets_that_are_not_linked():
+    rng = random.Random(10)
+    for _ in range(300):
+        base = rng.sample(range(1 << 40), rng.randint(1, 700))
+        percent = rng.choice([60, 80, 90])
+        sets = [base]
+        while len(sets) < 6:  # each differs from the one before as far as linked sets may, or is another set altogether
+            last = list(sets[-1])
+            for _ in range(rng.choice([0, 1, (100 - percent) * len(last) // 200, len(last)])):
+                last[rng.randrange(len(last))] = rng.randrange(1 << 40)
+            sets.append(last)
+        arrays = [np.sort(ngram_join.mix(np.array(sorted(set(x)), np.uint64))) for x in sets]
+        sizes = np.array([len(x) for x in arrays])
+        bits = ngram_join.parities(np.concatenate(arrays), np.cumsum([0, *sizes]))
+        groups = [ngram_join.star_groups(bits, sizes, percent), ngram_join.star_groups(bits, sizes, percent, 3)]
+        for i in range(6):
+            for j in range(i):
+                overlap = len(set(arrays[i].tolist()) & set(arrays[j].tolist()))
+                if 100 * overlap >= percent * (sizes[i] + sizes[j] - overlap):
+                    assert not ngram_join.unlike_pair(bits[i], sizes[i], bits[j], sizes[j], percent)
+                    assert all(g[i] == g[j] for g in groups)
+
+
+@pytest.mark.parametrize("star,compared", [(20_000, 4_000_000), (20_000, 3), (4, 4_000_000)])
+def test_passages_shared_by_unlike_texts_tie_no_group(docs_of, monkeypatch, star, compared):
+    """Each text shares a third of its words with the next one; near copies of some must be found whatever is compared."""
+    rng = random.Random(11)
+    passages = [" ".join(f"p{i}w{j}" for j in range(60)) for i in range(61)]
+    texts = [f"{passages[i]} {' '.join(f't{i}w{j}' for j in range(60))} {passages[i + 1]}" for i in range(60)]
+    copies = [t.replace(f"t{i}w{rng.randrange(60)} ", "other ") for i, t in enumerate(texts[:10])]
+    rows = list(enumerate([*texts, *copies]))
+    want = brute(rows, 5, 80)
+    monkeypatch.setattr(ngram_join, "STAR", star)
+    monkeypatch.setattr(ngram_join, "COMPARED", compared)
+    placed, stored = {}, ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name: placed.setdefault(name, stored(df, name)) if name == "placed" else stored(df, name))
+    got = ngram_join.jaccard_classes(docs_of(rows), 5, 80).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == want
+    if star == 20_000 and compared > 3:
+        assert placed["placed"].count() == 20
