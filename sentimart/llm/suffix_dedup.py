@@ -32,14 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sentimart.llm.scratch import stored
-from sentimart.llm.textblocks import U64, RangeHash, blocks, text_column
+from sentimart.llm.scratch import release, stored
+from sentimart.llm.textblocks import U64, RangeHash, blocks, mix, text_column
 
 GRAM = 24
 BLOCK = 4 << 20
 SEGMENT = 1 << 20
 #: Text bytes for each bucket of anchors and for each part of contexts.
 BUCKET_TEXT, PART_TEXT = 8 << 20, 4 << 20
+#: Bytes of contexts that are sorted at once (about 50 times as much memory) and sent to Spark at once.
+SORT_BYTES, SEND_BYTES = 2 << 20, 4 << 20
 #: Blocks that hold an anchor before its windows are dealt one by one.
 HOT = 500
 #: Replies to blocks are broadcast up to this many bytes, else joined by shuffle.
@@ -100,7 +102,7 @@ class _Block:
 
     def contexts(self, replies, buckets: int, parts: int, length: int):
         """Runs whose anchor is met again, cut into windows where hot: (first, last, key, part, distinct number),
-        and of the distinct contexts, by number: part, first, last, smallest key."""
+        and of the distinct contexts, by number: part, first, last, smallest key. turns: a number of each of these, the same for those of one anchor."""
         anchors, _, inverse = self.anchors()
         again, hot = np.zeros(len(anchors), bool), np.zeros(len(anchors), bool)
         bucket = (anchors % U64(buckets)).astype(np.int64)
@@ -117,7 +119,7 @@ class _Block:
         first = np.concatenate([self.first[runs], spread])
         last = np.concatenate([self.last[runs], spread])
         key = np.concatenate([self.key_of[runs], np.repeat(self.key_of[single], counts)])
-        content = RangeHash(self.raw)(first, last + length)
+        content = self._hashes(first, last + length)
         dealt = np.concatenate([self.hash[runs], content[len(runs) :]])
         part = ((dealt >> U64(17)) % U64(parts)).astype(np.int64)
         # Equal contexts of one part, by content; the first of each in order of key has the block's smallest.
@@ -127,8 +129,20 @@ class _Block:
         number = np.empty(len(order), np.int64)
         number[order] = np.cumsum(new) - 1
         lead = order[new]
+        self.turns = (mix(dealt[lead]) >> U64(56)).astype(np.uint8)
         return first, last, key, number, part[lead], first[lead], last[lead], key[lead]
 
+    def _hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The hashes of short ranges, segment by segment: a hash needs 8 bytes and more for each byte of its buffer."""
+        out, longest = np.zeros(len(start), np.uint64), int((end - start).max(initial=0))
+        segment = start // SEGMENT
+        for k in range(-(-len(self.raw) // SEGMENT)):
+            own = np.flatnonzero(segment == k)
+            if len(own):
+                a = k * SEGMENT
+                out[own] = RangeHash(self.raw[a : a + SEGMENT + longest])(start[own] - a, end[own] - a)
+        return out
+
 
 def _joined(raw: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The ranges of raw end to end."""
@@ -183,6 +197,20 @@ def two_stage_order(text: np.ndarray, wanted: np.ndarray, length: int) -> np.nda
     return order[wanted[order]]
 
 
+def _in_turns(data: list[bytes], turns: np.ndarray, sizes: np.ndarray, keys: np.ndarray, length: int) -> np.ndarray:
+    """_smaller_keys of contexts, sorted about SORT_BYTES at a time: only contexts of one turn can have equal windows."""
+    raw = np.frombuffer(b"".join(data), np.uint8)
+    rounds = min(256, -(-len(raw) // SORT_BYTES))
+    if rounds < 2:
+        return _smaller_keys(raw, sizes, keys, length)
+    flags, begin = np.zeros(len(keys), np.uint32), np.cumsum(sizes) - sizes
+    for k in range(rounds):
+        own = np.flatnonzero(turns % rounds == k)
+        if len(own):
+            flags[own] = _smaller_keys(_joined(raw, begin[own], sizes[own]), sizes[own], keys[own], length)
+    return flags
+
+
 def _smaller_keys(raw: np.ndarray, sizes: np.ndarray, keys: np.ndarray, length: int) -> np.ndarray:
     """For contexts (end to end) with their keys: bits of the window starts that a smaller key's context holds too."""
     ends = np.cumsum(sizes)
@@ -238,10 +266,15 @@ def _to_blocks(df: DataFrame) -> DataFrame:
 
 
 def _reply(table: DataFrame, replies: DataFrame, name: str) -> DataFrame:
-    """table with the replies to each block, as one list: (number of its sender, bytes, bytes)."""
+    """table with the replies to each block, as one list: (number of its sender, bytes, bytes); what is read here may be deleted."""
     lists = replies.groupBy("block").agg(F.collect_list(F.struct("part", "bits", "more")).alias(name))
     size = replies.agg(F.coalesce(F.sum(F.length("bits") + F.coalesce(F.length("more"), F.lit(0)) + 40), F.lit(0)).alias("n")).first()["n"]
-    return table.join(F.broadcast(lists) if size <= BROADCAST_BYTES else lists, "block", "left")
+    if size <= BROADCAST_BYTES:
+        return table.join(F.broadcast(lists), "block", "left")
+    # Blocks are rows of several MB: dealt once here and stored, so that their shuffle files go before others are written.
+    joined = stored(table.join(lists, "block", "left"), name)
+    release(table, replies)
+    return joined
 
 
 def remove_repeats(df: DataFrame, length: int = 50, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -289,21 +322,26 @@ def remove_repeats(df: DataFrame, length: int = 50, text: str = "text", key: str
             for row in frame.itertuples(index=False):
                 block = _Block(row, length)
                 _, _, _, _, part, first, last, keys = block.contexts(listed(row.again), buckets, parts, length)
-                out = []
+                out, held = [], 0
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
                 for a, b in zip(cuts, np.append(cuts[1:], len(part))):
                     sizes = last[a:b] - first[a:b] + length
-                    out.append((int(part[a]), row.block, _joined(block.raw, first[a:b], sizes).tobytes(), sizes.astype(np.uint8).tobytes(), keys[a:b].tobytes()))
-                yield pd.DataFrame(out, columns=["part", "block", "data", "sizes", "keys"])
+                    out.append((int(part[a]), row.block, _joined(block.raw, first[a:b], sizes).tobytes(), sizes.astype(np.uint8).tobytes(), keys[a:b].tobytes(), block.turns[a:b].tobytes()))
+                    held += int(sizes.sum())
+                    if held > SEND_BYTES:
+                        yield pd.DataFrame(out, columns=["part", "block", "data", "sizes", "keys", "turns"])
+                        out, held = [], 0
+                yield pd.DataFrame(out, columns=["part", "block", "data", "sizes", "keys", "turns"])
 
     def sort_part(group: pd.DataFrame) -> pd.DataFrame:
         sizes = np.frombuffer(b"".join(group["sizes"]), np.uint8).astype(np.int64)
-        flags = _smaller_keys(np.frombuffer(b"".join(group["data"]), np.uint8), sizes, np.frombuffer(b"".join(group["keys"]), np.int64), length)
+        turns = np.frombuffer(b"".join(group["turns"]), np.uint8)
+        flags = _in_turns(group["data"].tolist(), turns, sizes, np.frombuffer(b"".join(group["keys"]), np.int64), length)
         counts = np.array([len(x) for x in group["sizes"]])
         ends = np.cumsum(counts)
         return pd.DataFrame({"part": group["part"], "block": group["block"], "bits": [zlib.compress(flags[e - n : e].tobytes(), 1) for e, n in zip(ends, counts)], "more": None})
 
-    sent = known.mapInPandas(send_contexts, "part long, block long, data binary, sizes binary, keys binary")
+    sent = known.mapInPandas(send_contexts, "part long, block long, data binary, sizes binary, keys binary, turns binary")
     flags = stored(sent.groupBy("part").applyInPandas(sort_part, "part long, block long, bits binary, more binary"), "flags")
     ready = _reply(known, flags, "flags")
     kind = df.schema[key].dataType

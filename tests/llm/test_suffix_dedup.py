@@ -1,6 +1,7 @@
 """op8 against a table of all substrings."""
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -62,6 +63,45 @@ def test_removed_bytes(docs_of, monkeypatch):
     assert suffix_dedup.remove_repeats(docs_of([])).count() == 0
 
 
+def test_replies_joined_by_shuffle_and_contexts_sorted_in_turns(docs_of, monkeypatch):
+    """What holds on larger tables: stored replies, many small sends and sorts, blocks over a segment."""
+    for name, value in (("BROADCAST_BYTES", 0), ("SORT_BYTES", 300), ("SEND_BYTES", 200), ("SEGMENT", 1000)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rng = random.Random(6)
+    passages = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(50, 300))) for _ in range(12)]
+    rows = [(i // 2, "".join(rng.choice("ijklmno ") for _ in range(rng.randint(0, 60))) + rng.choice(passages)[rng.randint(0, 30) :] + rng.choice(passages)) for i in range(120)]
+    assert rows_of(suffix_dedup.remove_repeats(docs_of(rows))) == brute(rows, 50)
+
+
+def test_memory_of_a_sort_does_not_follow_the_part(monkeypatch):
+    """A part whose contexts have many repeats is sorted in turns, with the same flags."""
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 123, 62).astype(np.uint8)) for _ in range(20_000)]
+
+    class Row:
+        data, sizes, keys = b"".join(texts), np.array([len(t) for t in texts], np.int64).tobytes(), np.arange(len(texts)).tobytes()
+
+    block = suffix_dedup._Block(Row, 50)
+    anchors, _, _ = block.anchors()
+    _, _, _, _, _, first, last, keys = block.contexts([(0, np.packbits(np.ones(len(anchors), bool)).tobytes(), None)], 1, 1, 50)
+    sizes = last - first + 50
+    data = [suffix_dedup._joined(block.raw, first, sizes).tobytes()] * 2
+    twice = (np.tile(block.turns, 2), np.tile(sizes, 2), np.concatenate([keys, keys + 7]), 50)
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 1 << 30)
+    whole, most = _traced(suffix_dedup._in_turns, data, *twice)
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 1 << 18)
+    turns, least = _traced(suffix_dedup._in_turns, data, *twice)
+    assert (whole == turns).all() and whole.any() and least < most / 3
+
+
+def _traced(run, *args):
+    tracemalloc.start()
+    try:
+        return run(*args), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
 def test_hot_anchors_and_small_blocks(monkeypatch):
     """The window-by-window way for hot anchors finds what the ordinary one finds."""
     rng = random.Random(1)
