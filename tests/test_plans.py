@@ -81,6 +81,14 @@ def test_unused_results_are_not_computed(spark):
     assert "posexplode" not in plan(E.queries()["processed_total"](spark, SF001))
 
 
+def test_corpus_bigrams_make_the_tokens_once(spark):
+    """Pairs and edges read one shuffle; a map inside a literal of the text chain made Spark run it all for each."""
+    df = E.queries()["top_bigrams_corpus"](spark, SF001)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert final.count("posexplode(_toks") == 1 and "ReusedExchange" in final
+
+
 def test_no_job_while_a_plan_is_built(spark):
     from sentimart.operators import ngrams as N
     from sentimart.operators import process as P

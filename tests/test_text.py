@@ -302,3 +302,15 @@ def test_ampersands_that_begin_no_reference(spark):
     df = _frame(spark, texts)
     got = {r.raw_id: r.t for r in df.select("raw_id", TF.strip_html(TF.lower_text(F.col("review_text"))).alias("t")).collect()}
     assert [got[i] for i in range(len(texts))] == want
+
+
+def test_ngram_tokens_of_any_text(spark):
+    """Plain texts take a shorter way with the tokens that every text gets."""
+    from sentimart.functions import text as TF
+
+    texts = [None, "", " ", "The cat  sat", "cannot gimme x", "i cannot, gimme 2 apples", "tab\tand\u00a0blank", "The CANNOT of it", "caf\u00e9 is open", "line\nbreak", "wanna" * 3]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    words = list(R.STOPWORDS)
+    slow = F.filter(TF.tokenize(F.lower("t")), lambda t: t.rlike("^[A-Za-z]+$") & ~t.isin(words))
+    got = df.select("i", TF.ngram_tokens(F.col("t")).alias("a"), slow.alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
