@@ -17,3 +17,11 @@ def spark():
     s = build_session("local[4]", app_name="sentimart-tests", shuffle_partitions=8)
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def nothing_stays_cached(request):
+    """A table cached by one test would stand in the plans that later tests look at."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").catalog.clearCache()
